@@ -29,7 +29,7 @@ from tidemark.sinks.segments import to_day_segments, write_segments
 from tidemark.sinks.topics import to_frames
 from tidemark.sources.index import read_index
 from tidemark.sources.rawjson import read_raw, read_raw_run
-from tidemark.sources.tables import TABLES, read_table, table_glob, table_path
+from tidemark.sources.tables import TABLES, read_table, spread, table_glob, table_path
 from tidemark.sources.topics import Topic, decode_topic
 from tidemark.streaming import window_stream as ws
 
@@ -38,9 +38,10 @@ EVENTS_TOPIC = Topic("edit-events")
 COUNTS_TOPIC = Topic("edit-window-counts")
 
 
-def _events(spark: SparkSession, sf_dir: str, cols=None) -> DataFrame:
+def _events(spark: SparkSession, sf_dir: str, cols=None, per_row_work: bool = False) -> DataFrame:
     configure(spark)
-    return dtab.events(spark, sf_dir, cols)
+    ev = dtab.events(spark, sf_dir, cols)
+    return spread(ev) if per_row_work else ev
 
 
 def _window_input(spark: SparkSession, sf_dir: str, domain=None) -> DataFrame:
@@ -56,13 +57,14 @@ def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _edit_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events topic frames: JSON value of the 7-field event; record time =
     the event's full-precision ``ts``."""
-    edits = dtab.edit_events(_events(spark, sf_dir, EVENT_COLS), time_as_text=True, with_record_time=True)
+    edits = dtab.edit_events(_events(spark, sf_dir, EVENT_COLS, per_row_work=True), time_as_text=True,
+                             with_record_time=True)
     return to_frames(edits, EVENTS_TOPIC, value_cols=[f.name for f in EDIT_EVENT.fields],
                      timestamp_col="_record_ts")
 
 
 def _normalised_edits(spark: SparkSession, sf_dir: str, with_broken: bool = True) -> DataFrame:
-    raw = dtab.raw_change_text(_events(spark, sf_dir, EVENT_COLS), with_broken=with_broken)
+    raw = dtab.raw_change_text(_events(spark, sf_dir, EVENT_COLS, per_row_work=True), with_broken=with_broken)
     return edit_ops.normalise_edits(edit_ops.parse_raw_edits(raw, "value", on_error="skip"))
 
 
@@ -125,7 +127,7 @@ def q_topic_metadata(spark, sf_dir):
 # --------------------------------------------------------------------------
 
 def q_edit_parse_skip_bad(spark, sf_dir):
-    raw = dtab.raw_change_text(_events(spark, sf_dir, EVENT_COLS), with_broken=True)
+    raw = dtab.raw_change_text(_events(spark, sf_dir, EVENT_COLS, per_row_work=True), with_broken=True)
     parsed = edit_ops.parse_raw_edits(raw, "value", on_error="skip")
     return parsed.select("id", "type", F.col("meta.domain").alias("domain"), "namespace", "title",
                          "timestamp", "user", "bot")

@@ -20,6 +20,15 @@ def table_glob(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{{{name}.parquet}}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster has
+    cores (a table stored as one row group is one task).  Used before
+    per-row CPU work such as JSON encoding.  On large inputs the scan already
+    has at least that many splits and this adds nothing."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> DataFrame:
     """Parquet scan; a column list is applied right away so the scan's
     ``ReadSchema`` holds only what the query uses."""
