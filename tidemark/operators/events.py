@@ -32,11 +32,11 @@ def parse_raw_edits(df: DataFrame, text_col: str = "value", on_error: str = "ski
         _RAW_EDIT_WITH_CORRUPT,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN},
     )
-    return (
-        df.select(parsed.alias("_e"))
-        .where(F.col("_e").isNotNull() & F.col(f"_e.{CORRUPT_COLUMN}").isNull())
-        .select(*[f"_e.{f.name}" for f in RAW_EDIT.fields])
-    )
+    # The record is parsed once and tested inside a one-element array; the
+    # generator keeps later filters (e.g. on ``type``) from being pushed
+    # below the parse, which would re-parse the text once per predicate.
+    kept = F.filter(F.array(parsed), lambda e: e.isNotNull() & e[CORRUPT_COLUMN].isNull())
+    return df.select(F.inline(kept)).select(*[f.name for f in RAW_EDIT.fields])
 
 
 def normalise_edits(raw: DataFrame) -> DataFrame:

@@ -23,23 +23,22 @@ from tidemark.sinks.layers import write_raw, write_trusted
 from tidemark.sources.rawjson import read_raw, read_raw_run
 
 
-def raw_job(spark: SparkSession, ds, replies: DataFrame, raw_root: str, reply_col: str = "reply",
-            files_per_partition: int = 1) -> None:
+def raw_job(spark: SparkSession, ds, replies: DataFrame, raw_root: str, reply_col: str = "reply") -> None:
     """J1 raw step: service replies for run ``ds`` -> flat records under
     ``processing_date=ds``; a rerun replaces that folder (K1)."""
     configure(spark)
     records = flatten_replies(replies, reply_col).withColumn("processing_date", F.lit(as_date(ds)))
-    write_raw(records, raw_root, files_per_partition=files_per_partition)
+    write_raw(records, raw_root)
 
 
 def trusted_job(spark: SparkSession, ds, raw_root: str, trusted_root: str, mode: str = "overwrite",
-                multiline: bool = False, files_per_partition: int = 1) -> None:
+                multiline: bool = False) -> None:
     """J1 trusted step: one run's raw partition -> trusted partition.
     ``mode="append"`` repeats the original behaviour; the default is safe to
     retry (J4)."""
     configure(spark)
     raw = read_raw_run(spark, raw_root, ds, multiline=multiline).drop("processing_date")
-    write_trusted(trusted_transform(raw, ds), trusted_root, mode=mode, files_per_partition=files_per_partition)
+    write_trusted(trusted_transform(raw, ds), trusted_root, mode=mode)
 
 
 def daily_job(spark: SparkSession, ds, replies: DataFrame, raw_root: str, trusted_root: str, **kw) -> None:
@@ -48,20 +47,18 @@ def daily_job(spark: SparkSession, ds, replies: DataFrame, raw_root: str, truste
     trusted_job(spark, ds, raw_root, trusted_root, **kw)
 
 
-def backfill_from_raw(spark: SparkSession, start, end, raw_root: str, trusted_root: str,
-                      files_per_partition: int = 1) -> None:
+def backfill_from_raw(spark: SparkSession, start, end, raw_root: str, trusted_root: str) -> None:
     """J3 (a): every run date in [start, end] in one job from the raw root."""
     configure(spark)
     rows = trusted_from_raw_root(read_raw(spark, raw_root), start, end)
-    write_trusted(rows, trusted_root, files_per_partition=files_per_partition)
+    write_trusted(rows, trusted_root)
 
 
-def backfill_from_pageviews(spark: SparkSession, start, end, pageviews: DataFrame, trusted_root: str,
-                            files_per_partition: int = 1) -> None:
+def backfill_from_pageviews(spark: SparkSession, start, end, pageviews: DataFrame, trusted_root: str) -> None:
     """J3 (b): every run date in [start, end] from one pageview table
     (columns domain, pageviews, pageview_date)."""
     configure(spark)
-    write_trusted(explode_run_dates(pageviews, start, end), trusted_root, files_per_partition=files_per_partition)
+    write_trusted(explode_run_dates(pageviews, start, end), trusted_root)
 
 
 def main(argv=None) -> None:
@@ -73,13 +70,12 @@ def main(argv=None) -> None:
     p.add_argument("--raw-root", required=True)
     p.add_argument("--trusted-root", required=True)
     p.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
-    p.add_argument("--files-per-partition", type=int, default=1)
     a = p.parse_args(argv)
     spark = build_session()
     if a.step == "trusted":
-        trusted_job(spark, a.date, a.raw_root, a.trusted_root, a.mode, files_per_partition=a.files_per_partition)
+        trusted_job(spark, a.date, a.raw_root, a.trusted_root, a.mode)
     else:
-        backfill_from_raw(spark, a.start, a.end, a.raw_root, a.trusted_root, a.files_per_partition)
+        backfill_from_raw(spark, a.start, a.end, a.raw_root, a.trusted_root)
 
 
 if __name__ == "__main__":

@@ -3,28 +3,29 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 PARTITION_COL = "processing_date"
 
 
-def _spread(df: DataFrame, files_per_partition: int, key_cols) -> DataFrame:
-    """One shuffle so each partition value is written by a bounded number of
-    tasks: ``files_per_partition`` hash slices per value.  A very large day
-    is thus split over several writers instead of landing on one task, and
-    a small day does not leave one file per upstream task."""
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in key_cols]), F.lit(files_per_partition))
-    return df.repartition(F.col(PARTITION_COL), salt)
+def _balanced(df: DataFrame, *cols: str) -> DataFrame:
+    """Rebalance by the partition column before a partitioned write.
+
+    Rows of one run date meet in few tasks, so each date is written as a
+    few large files instead of one small file per upstream task; with AQE
+    a date holding a large share of the rows is split over several tasks
+    (skew split) and small dates are coalesced.  No fixed file count.
+    """
+    return df.hint("rebalance", *cols)
 
 
-def write_raw(df: DataFrame, root: str, mode: str = "overwrite", files_per_partition: int = 1) -> None:
+def write_raw(df: DataFrame, root: str, mode: str = "overwrite") -> None:
     """K1: raw records as JSON lines under ``processing_date=<ds>/``.
 
     ``overwrite`` replaces only the run dates present in ``df`` (dynamic
     partition overwrite), so a rerun of one day leaves the others alone.
     """
     (
-        _spread(df, files_per_partition, ["domain", "date"])
+        _balanced(df, PARTITION_COL)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PARTITION_COL)
@@ -32,7 +33,7 @@ def write_raw(df: DataFrame, root: str, mode: str = "overwrite", files_per_parti
     )
 
 
-def write_trusted(df: DataFrame, root: str, mode: str = "overwrite", files_per_partition: int = 1) -> None:
+def write_trusted(df: DataFrame, root: str, mode: str = "overwrite") -> None:
     """K2: trusted rows as Parquet partitioned by run date.
 
     ``mode="append"`` behaves like the original job (a repeated run adds its
@@ -40,7 +41,7 @@ def write_trusted(df: DataFrame, root: str, mode: str = "overwrite", files_per_p
     partitions only and is safe to retry.
     """
     (
-        _spread(df, files_per_partition, ["domain", "pageview_date"])
+        _balanced(df, PARTITION_COL)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PARTITION_COL)

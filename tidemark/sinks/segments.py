@@ -38,7 +38,7 @@ def to_day_segments(frames: DataFrame, on_error: str = "fail") -> DataFrame:
 def write_segments(rows: DataFrame, root: str) -> None:
     """Batch load of whole days: each day present is replaced."""
     (
-        rows.repartition("segment_day")
+        rows.hint("rebalance", "segment_day")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("segment_day")
