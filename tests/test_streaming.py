@@ -116,8 +116,8 @@ def test_fanout_and_multi_hop(spark, scratch):
     d = dt.date(2024, 1, 1)
     _publish_events_by_day(spark, "/root/testdata/sf0.001", events,
                            [(d, d + dt.timedelta(days=15)), (d + dt.timedelta(days=15), d + dt.timedelta(days=31))])
-    to_topic, to_index = ws.start_fanout(spark, events, counts, f"{scratch}/index", f"{scratch}/ckpt",
-                                         max_per_trigger=1)
+    stream = ws.window_count_stream(spark, events, max_per_trigger=1)
+    to_topic, to_index = ws.start_fanout(stream, counts, f"{scratch}/index", f"{scratch}/ckpt")
     ws.drain(to_topic)
     ws.drain(to_index)
     topic_rows = decode_topic(read_topic(spark, counts), WINDOW_COUNT)

@@ -30,8 +30,9 @@ from tidemark.sinks.topics import to_frames
 from tidemark.sources.index import read_index
 from tidemark.sources.rawjson import read_raw, read_raw_run
 from tidemark.sources.tables import TABLES, read_table, spread, table_glob, table_path
-from tidemark.sources.topics import Topic, decode_topic
+from tidemark.sources.topics import Topic, decode_topic, read_topic
 from tidemark.streaming import window_stream as ws
+from tidemark.streaming.normaliser_stream import start_normaliser
 
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 EVENTS_TOPIC = Topic("edit-events")
@@ -87,20 +88,63 @@ def q_tumbling_count_null_key(spark, sf_dir):
     return tumbling_count(_window_input(spark, sf_dir, F.nullif(F.col("event_type"), F.lit("error"))))
 
 
-def q_stream_replay_closed(spark, sf_dir):
-    """The events table replayed as a file stream; windows the watermark has
-    closed are written once to a Parquet sink and read back."""
+def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table replayed as a file stream."""
     configure(spark)
-    stream = (
-        spark.readStream.schema(dtab.events(spark, sf_dir).schema)
-        .parquet(table_glob(sf_dir, "events"))
-        .select(F.col("event_type").alias("domain"), F.col("ts").alias("createTime"))
+    return spark.readStream.schema(dtab.events(spark, sf_dir).schema).parquet(table_glob(sf_dir, "events"))
+
+
+def _count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edits = _event_stream(spark, sf_dir).select(
+        F.col("event_type").alias("domain"), F.col("ts").alias("createTime")
     )
+    return ws.window_counts(edits)
+
+
+def q_stream_replay_closed(spark, sf_dir):
+    """Windows the watermark has closed are written once to a Parquet sink
+    and read back."""
     out = scratch_path(spark, "stream_replay_closed")
-    ws.drain(ws.start_counts_to_files(ws.window_counts(stream), f"{out}/table", f"{out}/checkpoint"))
+    ws.drain(ws.start_counts_to_files(_count_stream(spark, sf_dir), f"{out}/table", f"{out}/checkpoint"))
     return ws.to_output_times(spark.read.schema(WINDOW_COUNT).parquet(f"{out}/table"))
 
 
+def q_stream_fanout_index(spark, sf_dir):
+    """T6 + K3 + K4: one count stream into the counts topic and the index as
+    two queries; the index is read back (S6)."""
+    out = scratch_path(spark, "stream_fanout")
+    counts_topic = Topic(COUNTS_TOPIC.name, path=f"{out}/counts")
+    to_topic, to_index = ws.start_fanout(_count_stream(spark, sf_dir), counts_topic, f"{out}/index", f"{out}/ckpt")
+    ws.drain(to_topic)
+    ws.drain(to_index)
+    docs = read_index(spark, f"{out}/index")
+    return ws.to_output_times(docs.select("domain", "ten_second_window", "count_actions"))
+
+
+def q_stream_day_segments(spark, sf_dir):
+    """T7 + K6: events -> counts topic -> day-segmented table, each hop a
+    checkpointed stream; rows per day of the table."""
+    out = scratch_path(spark, "stream_segments")
+    counts_topic = Topic(COUNTS_TOPIC.name, path=f"{out}/counts")
+    ws.drain(ws.start_counts_to_topic(_count_stream(spark, sf_dir), counts_topic, f"{out}/ckpt/counts"))
+    ws.drain(ws.start_day_segments(spark, counts_topic, f"{out}/segments", f"{out}/ckpt/segments"))
+    seg = spark.read.parquet(f"{out}/segments")
+    return seg.groupBy("segment_day").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("count_actions").alias("total_actions")
+    )
+
+
+def q_stream_edit_normalise(spark, sf_dir):
+    """S8 + P8-P13 + K5 as a stream: raw text (with broken copies) ->
+    normalised edits -> events topic, read back and decoded (S3)."""
+    out = scratch_path(spark, "stream_normaliser")
+    topic = Topic(EVENTS_TOPIC.name, path=f"{out}/edit-events")
+    raw = dtab.raw_change_text(_event_stream(spark, sf_dir), with_broken=True)
+    ws.drain(start_normaliser(raw, topic, f"{out}/ckpt"))
+    decoded = decode_topic(read_topic(spark, topic), EDIT_EVENT)
+    return decoded.withColumn("createTime", to_ntz("createTime"))
+
+
 # --------------------------------------------------------------------------
 # Topics: S3, S4, K3, K5, P14, P15
 # --------------------------------------------------------------------------
@@ -300,6 +344,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tumbling_count": q_tumbling_count,
     "tumbling_count_null_key": q_tumbling_count_null_key,
     "stream_replay_closed": q_stream_replay_closed,
+    "stream_fanout_index": q_stream_fanout_index,
+    "stream_day_segments": q_stream_day_segments,
+    "stream_edit_normalise": q_stream_edit_normalise,
     "topic_json_parse": q_topic_json_parse,
     "topic_json_serialise": q_topic_json_serialise,
     "topic_metadata": q_topic_metadata,
@@ -347,6 +394,10 @@ _TUMBLING = (
     f"SELECT event_type AS domain, {_WINDOW_END} AS ten_second_window, "
     f"count(event_type) AS count_actions FROM events GROUP BY ALL"
 )
+_CLOSED = (
+    f"SELECT * FROM ({_TUMBLING}) WHERE ten_second_window <= "
+    f"(SELECT date_trunc('millisecond', max(ts)) - INTERVAL 5 SECOND FROM events)"
+)
 _DAILY = "SELECT CAST(ts AS DATE) AS day, event_type AS domain, count(*) AS pageviews FROM events GROUP BY ALL"
 _RUN = dtab.RUN_DATE.isoformat()
 _BACKFILL = (
@@ -371,9 +422,17 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT NULLIF(event_type, 'error') AS domain, {_WINDOW_END} AS ten_second_window, "
         f"count(NULLIF(event_type, 'error')) AS count_actions FROM events GROUP BY ALL"
     ),
-    "stream_replay_closed": (
-        f"SELECT * FROM ({_TUMBLING}) WHERE ten_second_window <= "
-        f"(SELECT date_trunc('millisecond', max(ts)) - INTERVAL 5 SECOND FROM events)"
+    "stream_replay_closed": _CLOSED,
+    "stream_fanout_index": _CLOSED,
+    "stream_day_segments": (
+        f"SELECT CAST(ten_second_window AS DATE) AS segment_day, count(*) AS n_rows, "
+        f"CAST(sum(count_actions) AS BIGINT) AS total_actions FROM ({_CLOSED}) GROUP BY ALL"
+    ),
+    "stream_edit_normalise": (
+        f"SELECT CAST(event_id AS VARCHAR) AS id, event_type || '.org' AS domain, "
+        f"coalesce(ns.label, 'unknown') AS namespace, props AS title, date_trunc('second', ts) AS createTime, "
+        f"CAST(user_id AS VARCHAR) AS user_name, {_USER_TYPE} AS user_type "
+        f"FROM events LEFT JOIN {_NS} ON ns.code = {_NS_CODE} WHERE {_RAW_KIND} = 'edit'"
     ),
     "topic_json_parse": (
         f"SELECT CAST(event_id AS VARCHAR) AS id, event_type AS domain, coalesce(ns.label, 'unknown') AS namespace, "

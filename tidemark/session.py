@@ -54,11 +54,12 @@ def build_session(
         {
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
-            # Large keyed state (one entry per open domain window) belongs
-            # off-heap, not in the executor's JVM heap.
-            "spark.sql.streaming.stateStore.providerClass": (
-                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-            ),
+            # Stream state is bounded by the watermark: about two open
+            # 10 s windows per domain.  The default state store keeps that
+            # in memory; for a very large key space pass
+            # spark.sql.streaming.stateStore.providerClass =
+            # org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider
+            # in ``extra``.
         }
     )
     if shuffle_partitions:

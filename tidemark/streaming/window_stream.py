@@ -72,18 +72,13 @@ def start_counts_to_files(counts: DataFrame, path: str, checkpoint: str, trigger
     )
 
 
-def start_fanout(spark: SparkSession, source: Topic, counts_topic: Topic, index_target: str,
-                 checkpoint_root: str, trigger: dict | None = None, max_per_trigger: int | None = None):
-    """The same query into two sinks, as two independent queries with
-    their own checkpoints (one failing does not stop the other)."""
-    to_topic = start_counts_to_topic(
-        window_count_stream(spark, source, max_per_trigger), counts_topic,
-        f"{checkpoint_root}/to_topic", trigger,
-    )
-    to_index = start_counts_to_index(
-        window_count_stream(spark, source, max_per_trigger), index_target,
-        f"{checkpoint_root}/to_index", trigger,
-    )
+def start_fanout(counts: DataFrame, counts_topic: Topic, index_target: str, checkpoint_root: str,
+                 trigger: dict | None = None):
+    """The same count query into two sinks, as two independent queries
+    with their own checkpoints (one failing does not stop the other).
+    ``counts`` is a streaming DataFrame; each ``start`` runs it anew."""
+    to_topic = start_counts_to_topic(counts, counts_topic, f"{checkpoint_root}/to_topic", trigger)
+    to_index = start_counts_to_index(counts, index_target, f"{checkpoint_root}/to_index", trigger)
     return to_topic, to_index
 
 
