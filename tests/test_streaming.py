@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.windows import tumbling_count
 from tidemark.schemas import EDIT_EVENT, EVENT_TIME_FORMAT, WINDOW_COUNT
 from tidemark.sinks.index import with_doc_id
-from tidemark.sinks.topics import to_frames, write_topic
+from tidemark.sinks.topics import to_frames, to_text_frames, write_topic
 from tidemark.sources.index import read_index
 from tidemark.sources.topics import Topic, decode_topic, read_topic
 from tidemark.streaming import window_stream as ws
@@ -140,3 +140,35 @@ def test_index_doc_id_is_deterministic(spark):
     ids1 = [r.doc_id for r in with_doc_id(df).collect()]
     ids2 = [r.doc_id for r in with_doc_id(df).collect()]
     assert ids1 == ids2 and len(set(ids1)) == 3
+
+
+def test_stream_jobs_command_line(spark, scratch):
+    """The three stream jobs chained through file topics, as run by hand."""
+    from tidemark.streaming import jobs as stream_jobs
+
+    raw = Topic("edit-raw", path=f"{scratch}/raw")
+    texts = [
+        '{"id": 1, "type": "edit", "meta": {"domain": "en.wikipedia.org"}, "namespace": 0, "title": "t",'
+        ' "timestamp": 1704067201, "user": "u", "bot": false}',
+        "not json",
+        '{"id": 2, "type": "log", "meta": {"domain": "en.wikipedia.org"}, "namespace": 0, "title": "t",'
+        ' "timestamp": 1704067202, "user": "u", "bot": false}',
+        '{"id": 3, "type": "edit", "meta": {"domain": "en.wikipedia.org"}, "namespace": 0, "title": "t",'
+        ' "timestamp": 1704067260, "user": "u", "bot": true}',
+    ]
+    texts_df = spark.createDataFrame([(t,) for t in texts], "value string")
+    write_topic(to_text_frames(texts_df, raw).coalesce(1), raw)
+    common = ["--trigger", "available-now"]
+    for argv in (
+        ["normalise", "--raw", f"{scratch}/raw", "--events", f"{scratch}/events", "--checkpoint", f"{scratch}/c1"],
+        ["counts", "--events", f"{scratch}/events", "--counts", f"{scratch}/counts", "--index", f"{scratch}/index",
+         "--checkpoint", f"{scratch}/c2"],
+        ["segments", "--counts", f"{scratch}/counts", "--table", f"{scratch}/table", "--checkpoint", f"{scratch}/c3"],
+    ):
+        for q in stream_jobs.run(argv + common, spark=spark):
+            ws.drain(q)
+    events = decode_topic(read_topic(spark, Topic("edit-events", path=f"{scratch}/events")), EDIT_EVENT)
+    assert sorted(r.id for r in events.collect()) == ["1", "3"]
+    table = spark.read.parquet(f"{scratch}/table").collect()
+    assert [(r.domain, r.count_actions) for r in table] == [("en.wikipedia.org", 1)]
+    assert read_index(spark, f"{scratch}/index").count() == 1

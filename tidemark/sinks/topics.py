@@ -26,6 +26,20 @@ def to_frames(df: DataFrame, topic: Topic, value_cols=None, key_col: str | None
     )
 
 
+def to_text_frames(df: DataFrame, topic: Topic, text_col: str = "value", timestamp_col: str | None = None) -> DataFrame:
+    """Text records (already serialised, e.g. raw events) -> topic frames."""
+    ts = F.col(timestamp_col).cast("timestamp") if timestamp_col else F.current_timestamp()
+    return df.select(
+        F.lit(None).cast("binary").alias("key"),
+        F.col(text_col).cast("binary").alias("value"),
+        F.lit(topic.name).alias("topic"),
+        F.lit(None).cast("int").alias("partition"),
+        F.lit(None).cast("bigint").alias("offset"),
+        ts.alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    )
+
+
 def write_topic(frames: DataFrame, topic: Topic) -> None:
     """Batch publish."""
     if topic.format == "kafka":
