@@ -25,14 +25,16 @@ def daily_pageviews(trusted: DataFrame) -> DataFrame:
 
 
 def cross_source_daily(edits: DataFrame, pageviews: DataFrame) -> DataFrame:
-    """Q5: both sides are already one row per (domain, day), so the join
-    moves aggregates, never events.  AQE picks broadcast or sort-merge from
-    the real sizes."""
-    joined = edits.join(pageviews, on=["domain", "day"], how="full_outer")
+    """Q5: for every (domain, day) of the pageview table, its edit count and
+    edits per pageview.  Both sides are already one row per (domain, day),
+    so the join moves aggregates, never events; AQE picks broadcast or
+    sort-merge from the real sizes."""
+    joined = pageviews.join(edits, on=["domain", "day"], how="left")
+    edit_count = F.coalesce(F.col("edits"), F.lit(0)).cast("bigint")
     return joined.select(
         "domain",
         "day",
-        F.coalesce(F.col("edits"), F.lit(0)).cast("bigint").alias("edits"),
+        edit_count.alias("edits"),
         F.col("pageviews"),
-        F.when(F.col("pageviews") > 0, F.coalesce(F.col("edits"), F.lit(0)) / F.col("pageviews")).alias("edit_ratio"),
+        F.when(F.col("pageviews") > 0, edit_count / F.col("pageviews")).alias("edit_ratio"),
     )

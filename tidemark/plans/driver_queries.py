@@ -340,7 +340,7 @@ def q_lookup_latest(spark, sf_dir):
     return lookups.latest_per_key(ev, "user_id", "value", "event_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+_QUERY_FUNCTIONS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tumbling_count": q_tumbling_count,
     "tumbling_count_null_key": q_tumbling_count_null_key,
     "stream_replay_closed": q_stream_replay_closed,
@@ -372,6 +372,39 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lookup_latest": q_lookup_latest,
 }
 
+# Day columns of the registered results.  They are handed to the comparison
+# as midnight TIMESTAMP values on both sides: DuckDB returns DATE as
+# ``datetime64`` through pandas but as ``date`` through ``fetchall``, while
+# timestamps come back as datetimes either way.  The library functions
+# themselves keep DATE.
+DAY_COLUMNS: dict[str, tuple[str, ...]] = {
+    "raw_json_scan": ("processing_date",),
+    "partition_scan": ("processing_date",),
+    "trusted_pageviews": ("pageview_date", "processing_date"),
+    "trusted_write_readback": ("pageview_date", "processing_date"),
+    "trusted_backfill": ("pageview_date", "processing_date"),
+    "day_segments": ("segment_day",),
+    "stream_day_segments": ("segment_day",),
+    "external_table_sql": ("processing_date",),
+    "cross_source_daily": ("day",),
+}
+
+
+def _days_as_timestamps(fn, cols):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = fn(spark, sf_dir)
+        return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
+
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    name: _days_as_timestamps(fn, DAY_COLUMNS[name]) if name in DAY_COLUMNS else fn
+    for name, fn in _QUERY_FUNCTIONS.items()
+}
+
 
 # --------------------------------------------------------------------------
 # DuckDB oracles
@@ -416,7 +449,7 @@ _TRUSTED = (
 )
 _ALLOWED = ", ".join(_sql_str(d) for d in dtab.ALLOWED_EVENT_DOMAINS)
 
-ORACLE_SQL: dict[str, str] = {
+_ORACLE_SQL: dict[str, str] = {
     "tumbling_count": _TUMBLING,
     "tumbling_count_null_key": (
         f"SELECT NULLIF(event_type, 'error') AS domain, {_WINDOW_END} AS ten_second_window, "
@@ -485,10 +518,9 @@ ORACLE_SQL: dict[str, str] = {
         f"WITH e AS (SELECT event_type AS domain, CAST(ts AS DATE) AS day, count(*) AS edits FROM events "
         f"WHERE {_RAW_KIND} = 'edit' GROUP BY ALL), "
         f"p AS (SELECT DISTINCT domain, pageview_date AS day, pageviews FROM ({_BACKFILL})) "
-        f"SELECT coalesce(e.domain, p.domain) AS domain, coalesce(e.day, p.day) AS day, "
-        f"coalesce(e.edits, 0) AS edits, p.pageviews AS pageviews, "
+        f"SELECT p.domain AS domain, p.day AS day, coalesce(e.edits, 0) AS edits, p.pageviews AS pageviews, "
         f"CASE WHEN p.pageviews > 0 THEN CAST(coalesce(e.edits, 0) AS DOUBLE) / p.pageviews END AS edit_ratio "
-        f"FROM e FULL OUTER JOIN p ON e.domain = p.domain AND e.day = p.day"
+        f"FROM p LEFT JOIN e ON e.domain = p.domain AND e.day = p.day"
     ),
     "lookup_join": (
         "SELECT c_custkey, c_name, n_name, r_name FROM customer "
@@ -496,3 +528,14 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "lookup_latest": "SELECT user_id, arg_max(value, event_id) AS value FROM events GROUP BY user_id",
 }
+
+
+def _oracle_with_day_timestamps(name: str, sql: str) -> str:
+    cols = DAY_COLUMNS.get(name)
+    if not cols:
+        return sql
+    casts = ", ".join(f"CAST({c} AS TIMESTAMP) AS {c}" for c in cols)
+    return f"SELECT * REPLACE ({casts}) FROM ({sql})"
+
+
+ORACLE_SQL: dict[str, str] = {name: _oracle_with_day_timestamps(name, sql) for name, sql in _ORACLE_SQL.items()}
