@@ -118,8 +118,9 @@ def test_backfill_forms_agree_with_single_runs(spark, scratch):
     b = explode_run_dates(daily, start, end).select("domain", "pageviews", "pageview_date", "processing_date")
     # raw root: every run's reply holds all days; the filter keeps its window
     raw_root = f"{scratch}/raw"
-    runs = spark.createDataFrame([(start + dt.timedelta(i),) for i in range(5)], "processing_date date")
-    raw = daily.select(F.date_format("pageview_date", "yyyy-MM-dd").alias("date"), "domain", "pageviews").crossJoin(runs)
+    run_dates = F.array(*[F.lit(start + dt.timedelta(i)) for i in range(5)])
+    raw = daily.select(F.date_format("pageview_date", "yyyy-MM-dd").alias("date"), "domain", "pageviews",
+                       F.explode(run_dates).alias("processing_date"))
     write_raw(raw, raw_root)
     a = trusted_from_raw_root(read_raw(spark, raw_root), start, end)
     singles = None
@@ -142,3 +143,25 @@ def test_daily_job_end_to_end(spark, scratch):
     assert [(r.domain, r.pageviews, r.pageview_date, r.processing_date) for r in out] == [
         ("en.wikipedia", 3, dt.date(2024, 1, 14), DS)
     ]
+
+
+def test_hot_run_date_is_split_over_writers(spark, scratch):
+    """A run date holding most rows is written by several tasks (AQE splits
+    the rebalance partition), the small dates are coalesced."""
+    hot = spark.range(0, 30000).select(
+        F.lit("2024-01-14").alias("date"),
+        F.concat(F.lit("d"), (F.col("id") % 997).cast("string")).alias("domain"),
+        F.col("id").alias("pageviews"),
+        F.lit(DS).alias("processing_date"),
+    )
+    cold = spark.createDataFrame([("2024-01-13", "en.wikipedia", 1, DS + dt.timedelta(days=1))],
+                                 "date string, domain string, pageviews bigint, processing_date date")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        write_raw(hot.unionByName(cold), f"{scratch}/raw")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    hot_files = [f for f in os.listdir(local_path(f"{scratch}/raw/processing_date=2024-01-15")) if f.endswith(".json")]
+    cold_files = [f for f in os.listdir(local_path(f"{scratch}/raw/processing_date=2024-01-16")) if f.endswith(".json")]
+    assert len(hot_files) > 1 and len(cold_files) == 1
+    assert read_raw(spark, f"{scratch}/raw").count() == 30001

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,7 +46,7 @@ def repair_table(spark: SparkSession, name: str) -> None:
 def insert_run(spark: SparkSession, name: str, rows: DataFrame, overwrite: bool = True) -> None:
     """SQL insert of run partitions into the external table; with
     ``overwrite`` only the run dates present in ``rows`` are replaced."""
-    view = f"_tidemark_insert_{abs(hash(name))}"
+    view = f"_tidemark_insert_{uuid.uuid4().hex[:12]}"
     rows.select("domain", "pageviews", "pageview_date", "processing_date").createOrReplaceTempView(view)
     verb = "INSERT OVERWRITE" if overwrite else "INSERT INTO"
     spark.sql(
