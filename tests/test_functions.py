@@ -39,3 +39,15 @@ def test_normalise_domain(spark):
     df = spark.createDataFrame([("en.wikipedia.org",), ("WWW.Commons.Wikimedia.org",), ("en.wikipedia",), (None,)], "d string")
     got = [r[0] for r in df.select(normalise_domain("d")).collect()]
     assert got == ["en.wikipedia", "commons.wikimedia", "en.wikipedia", None]
+
+
+def test_kafka_topic_options():
+    from tidemark.sources.topics import Topic
+
+    t = Topic("edit-events", format="kafka", options={"kafka.bootstrap.servers": "k:9092"}, group_id="g1")
+    assert t._kafka_options() == {
+        "subscribe": "edit-events",
+        "startingOffsets": "earliest",
+        "kafka.group.id": "g1",
+        "kafka.bootstrap.servers": "k:9092",
+    }

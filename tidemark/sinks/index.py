@@ -35,7 +35,13 @@ def write_index_batch(df: DataFrame, batch_id: int, target: str, format: str = "
             .parquet(target)
         )
     else:
-        opts = {"es.mapping.id": "doc_id", "es.batch.size.entries": "32", "es.batch.size.bytes": "42mb"}
+        # Bulk requests of at most 32 documents / 42 MB, retried after 1 s.
+        opts = {
+            "es.mapping.id": "doc_id",
+            "es.batch.size.entries": "32",
+            "es.batch.size.bytes": "42mb",
+            "es.batch.write.retry.wait": "1s",
+        }
         opts.update(options or {})
         docs.write.format(format).options(**opts).mode("append").save(target)
 

@@ -22,13 +22,20 @@ from tidemark.schemas import TOPIC_FRAME
 
 @dataclass
 class Topic:
+    """A named topic.  ``options`` go to the Kafka source/sink unchanged
+    (e.g. ``kafka.bootstrap.servers``); ``group_id`` names the consumer
+    group; reading starts at the earliest record."""
+
     name: str
     path: str | None = None
     format: str = "files"
     options: dict = field(default_factory=dict)
+    group_id: str | None = None
 
     def _kafka_options(self) -> dict:
         opts = {"subscribe": self.name, "startingOffsets": "earliest"}
+        if self.group_id:
+            opts["kafka.group.id"] = self.group_id
         opts.update(self.options)
         return opts
 
