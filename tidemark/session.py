@@ -73,8 +73,10 @@ def build_session(
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Root of the shared scratch area: ``spark.checkpoint.dir`` if the
-    cluster sets it, otherwise a folder created here (tests only)."""
+    """Root of the shared scratch area: ``spark.checkpoint.dir`` as the
+    cluster sets it.  Only a local-mode session without one (tests) gets a
+    temporary folder; on a cluster a missing setting is an error, since a
+    machine-local folder would not survive the loss of that machine."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -82,8 +84,13 @@ def shared_dir(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    else:
+    elif sc.master.startswith("local"):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-ckpt-"))
+    else:
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: give the cluster's shared folder "
+            "(for example --conf spark.checkpoint.dir=s3a://bucket/checkpoints)"
+        )
     return sc.getCheckpointDir().rstrip("/")
 
 
