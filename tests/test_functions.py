@@ -12,12 +12,13 @@ from tidemark.schemas import WINDOW_COUNT
 
 def test_time_auto_detects_iso_and_millis(spark):
     df = spark.createDataFrame(
-        [("2024-01-01T00:00:07.179Z",), ("2024-01-01 00:00:07.179",), ("1704067207179",), ("bad",), (None,)],
+        [("2024-01-01T00:00:07.179Z",), ("2024-01-01 00:00:07.179",), ("1704067207179",),
+         ("2024-01-01T02:00:07.179+02:00",), ("bad",), (None,)],
         "c string",
     )
     got = [r.t for r in df.select(time_auto("c").cast("timestamp_ntz").alias("t")).collect()]
     want = dt.datetime(2024, 1, 1, 0, 0, 7, 179000)
-    assert got == [want, want, want, None, None]
+    assert got == [want, want, want, want, None, None]
 
 
 def test_epoch_seconds_text(spark):

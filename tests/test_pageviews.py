@@ -165,3 +165,19 @@ def test_hot_run_date_is_split_over_writers(spark, scratch):
     cold_files = [f for f in os.listdir(local_path(f"{scratch}/raw/processing_date=2024-01-16")) if f.endswith(".json")]
     assert len(hot_files) > 1 and len(cold_files) == 1
     assert read_raw(spark, f"{scratch}/raw").count() == 30001
+
+
+def test_batch_job_command_line(spark, scratch):
+    """J1/J3 through the spark-submit entry point's argument parser."""
+    days = [dt.date(2024, 1, 1) + dt.timedelta(d) for d in range(12)]
+    rows = [(d.isoformat(), "en.wikipedia", 100 + i) for i, d in enumerate(days)]
+    raw = spark.createDataFrame(rows, "date string, domain string, pageviews bigint")
+    run_dates = F.array(*[F.lit(dt.date(2024, 1, 8) + dt.timedelta(i)) for i in range(3)])
+    write_raw(raw.select("*", F.explode(run_dates).alias("processing_date")), f"{scratch}/raw")
+    args = ["--raw-root", f"{scratch}/raw", "--trusted-root", f"{scratch}/trusted"]
+    jobs.run_cli(["trusted", "--date", "2024-01-08", *args], spark)
+    assert spark.read.parquet(f"{scratch}/trusted").count() == 7
+    jobs.run_cli(["backfill", "--start", "2024-01-08", "--end", "2024-01-10", *args], spark)
+    out = spark.read.parquet(f"{scratch}/trusted")
+    assert out.count() == 21
+    assert out.where(F.col("pageview_date") >= F.col("processing_date")).count() == 0

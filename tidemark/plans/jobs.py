@@ -61,7 +61,7 @@ def backfill_from_pageviews(spark: SparkSession, start, end, pageviews: DataFram
     write_trusted(explode_run_dates(pageviews, start, end), trusted_root)
 
 
-def main(argv=None) -> None:
+def run_cli(argv=None, spark: SparkSession | None = None) -> None:
     p = argparse.ArgumentParser(description="pageview batch jobs")
     p.add_argument("step", choices=["trusted", "backfill"])
     p.add_argument("--date", help="run date yyyy-MM-dd (trusted)")
@@ -71,12 +71,16 @@ def main(argv=None) -> None:
     p.add_argument("--trusted-root", required=True)
     p.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
     a = p.parse_args(argv)
-    spark = build_session()
+    spark = spark or build_session(app_name=f"tidemark-{a.step}")
     if a.step == "trusted":
         trusted_job(spark, a.date, a.raw_root, a.trusted_root, a.mode)
     else:
         backfill_from_raw(spark, a.start, a.end, a.raw_root, a.trusted_root)
 
 
+def main(argv=None) -> None:
+    run_cli(argv)
+
+
 if __name__ == "__main__":
     main()
