@@ -30,8 +30,9 @@ def _publish(spark, topic, rows):
 
 def _closed(spark, path):
     return sorted(
-        (r.domain, r.ten_second_window.replace(tzinfo=None), r.count_actions)
-        for r in ws.to_output_times(spark.read.parquet(path)).collect()
+        ((r.domain, r.ten_second_window.replace(tzinfo=None), r.count_actions)
+         for r in ws.to_output_times(spark.read.parquet(path)).collect()),
+        key=lambda t: (t[0] is None, t[0] or "", t[1]),
     )
 
 
@@ -172,3 +173,14 @@ def test_stream_jobs_command_line(spark, scratch):
     table = spark.read.parquet(f"{scratch}/table").collect()
     assert [(r.domain, r.count_actions) for r in table] == [("en.wikipedia.org", 1)]
     assert read_index(spark, f"{scratch}/index").count() == 1
+
+
+def test_stream_null_domain_and_window_boundary(spark, scratch):
+    """F5 'other' file: the null domain forms its own group with count 0;
+    an event at 00:00:10.000 belongs to the window ending 00:00:20."""
+    topic = Topic("edit-events", path=f"{scratch}/topic")
+    _publish(spark, topic, [("a", "2024-01-01 00:00:09.500"), (None, "2024-01-01 00:00:09.500"),
+                            ("b", "2024-01-01 00:00:10.000"), ("a", "2024-01-01 00:00:40.000")])
+    q = ws.start_counts_to_files(ws.window_count_stream(spark, topic, 1), f"{scratch}/out", f"{scratch}/ckpt")
+    ws.drain(q)
+    assert _closed(spark, f"{scratch}/out") == [("a", _t("00:00:10"), 1), ("b", _t("00:00:20"), 1), (None, _t("00:00:10"), 0)]
