@@ -21,7 +21,7 @@ from tidemark.operators import pageviews as pv
 from tidemark.operators.windows import tumbling_count
 from tidemark.plans import catalog
 from tidemark.plans import driver_tables as dtab
-from tidemark.schemas import EDIT_EVENT, NAMESPACE_LABELS, TRUSTED_PAGEVIEW, WINDOW_COUNT
+from tidemark.schemas import DAY_SEGMENT, EDIT_EVENT, NAMESPACE_LABELS, TRUSTED_PAGEVIEW, WINDOW_COUNT
 from tidemark.session import configure, scratch_path
 from tidemark.sinks.index import write_index_batch
 from tidemark.sinks.layers import write_raw, write_trusted
@@ -128,7 +128,7 @@ def q_stream_day_segments(spark, sf_dir):
     counts_topic = Topic(COUNTS_TOPIC.name, path=f"{out}/counts")
     ws.drain(ws.start_counts_to_topic(_count_stream(spark, sf_dir), counts_topic, f"{out}/ckpt/counts"))
     ws.drain(ws.start_day_segments(spark, counts_topic, f"{out}/segments", f"{out}/ckpt/segments"))
-    seg = spark.read.parquet(f"{out}/segments")
+    seg = spark.read.schema(DAY_SEGMENT).parquet(f"{out}/segments")
     return seg.groupBy("segment_day").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("count_actions").alias("total_actions")
     )
@@ -265,7 +265,7 @@ def q_day_segments(spark, sf_dir):
     frames = to_frames(counts, COUNTS_TOPIC, timestamp_col="ten_second_window")
     root = scratch_path(spark, "day_segments")
     write_segments(to_day_segments(frames), root)
-    seg = spark.read.parquet(root)
+    seg = spark.read.schema(DAY_SEGMENT).parquet(root)
     return seg.groupBy("segment_day").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("count_actions").alias("total_actions")
     )
