@@ -68,3 +68,47 @@ def test_latest_per_key(spark):
     for r in ev.select("user_id", "event_id", "value").orderBy("event_id").collect():
         last[r.user_id] = r.value
     assert got == last
+
+
+def test_theta_set_operations_within_error(spark):
+    ev = spark.read.parquet(f"{SF}/events.parquet").withColumn("half", (F.dayofmonth("ts") > 15).cast("int"))
+    first = sketches.theta_sketches(ev.where("half = 0"), ["event_type"], "user_id")
+    second = sketches.theta_sketches(ev.where("half = 1"), ["event_type"], "user_id")
+    got = {r.event_type: r for r in sketches.theta_overlap(first, second, "event_type").collect()}
+    users = {}
+    for r in ev.select("event_type", "half", "user_id").collect():
+        users.setdefault((r.event_type, r.half), set()).add(r.user_id)
+    for t, row in got.items():
+        a, b = users[(t, 0)], users[(t, 1)]
+        for est, exact in ((row.in_both, len(a & b)), (row.left_only, len(a - b)), (row.in_either, len(a | b))):
+            assert abs(est - exact) <= max(3, 0.05 * exact)
+
+
+def test_lookup_kept_current_from_topic_and_stream_static_join(spark, scratch):
+    import datetime as dt
+
+    from pyspark.sql import types as T
+
+    from tidemark.sinks.topics import to_frames, write_topic
+    from tidemark.sources.topics import Topic, read_topic
+
+    topic = Topic("user-tiers", path=f"{scratch}/tiers")
+    t0 = dt.datetime(2024, 1, 1)
+    updates = spark.createDataFrame(
+        [(1, "free", t0), (2, "free", t0), (1, "pro", t0 + dt.timedelta(minutes=1)), (3, "pro", t0)],
+        "user_id bigint, tier string, at timestamp",
+    )
+    write_topic(to_frames(updates, topic, value_cols=["user_id", "tier"], timestamp_col="at"), topic)
+    schema = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("tier", T.StringType())])
+    latest = lookups.latest_from_topic(read_topic(spark, topic), schema, "user_id", "tier")
+    assert sorted(tuple(r) for r in latest.collect()) == [(1, "pro"), (2, "free"), (3, "pro")]
+    # stream-static join: events stream enriched with the current tier
+    ev_path = f"{scratch}/events"
+    spark.createDataFrame([(10, 1), (11, 2), (12, 4)], "event_id bigint, user_id bigint").write.parquet(ev_path)
+    stream = spark.readStream.schema("event_id bigint, user_id bigint").parquet(ev_path)
+    q = (lookups.enrich(stream, latest, "user_id").writeStream.format("parquet")
+         .option("path", f"{scratch}/out").option("checkpointLocation", f"{scratch}/ckpt")
+         .trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    out = sorted((r.event_id, r.tier) for r in spark.read.parquet(f"{scratch}/out").collect())
+    assert out == [(10, "pro"), (11, "free"), (12, None)]

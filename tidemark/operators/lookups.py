@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.codec import parse_json_value
+
 # A lookup side is broadcast only below this many rows (checked, not assumed).
 BROADCAST_ROW_LIMIT = 1_000_000
 
@@ -36,3 +38,25 @@ def latest_per_key(df: DataFrame, key_col: str, value_cols, order_col: str) -> D
     return df.groupBy(key_col).agg(
         *[F.max_by(F.col(c), F.col(order_col)).alias(c) for c in value_cols]
     )
+
+
+def latest_from_topic(frames: DataFrame, schema, key_col: str, value_cols) -> DataFrame:
+    """C4: a lookup kept current from a topic of updates (JSON values).  The
+    latest update per key wins, ordered by (record time, offset).  Like
+    ``latest_per_key`` this combines map-side before its one shuffle."""
+    if isinstance(value_cols, str):
+        value_cols = [value_cols]
+    updates = frames.select(
+        F.struct(F.col("timestamp"), F.coalesce(F.col("offset"), F.lit(0))).alias("_order"),
+        parse_json_value("value", schema).alias("_v"),
+    ).select("_order", "_v.*")
+    return updates.groupBy(key_col).agg(
+        *[F.max_by(F.col(c), F.col("_order")).alias(c) for c in value_cols]
+    )
+
+
+def enrich(events: DataFrame, lookup: DataFrame, key_col: str, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """Left join of events (batch or stream) with a lookup table;
+    the lookup is broadcast only within the checked bound.  On a stream this
+    is a stream-static join: each micro-batch probes the same lookup."""
+    return events.join(bounded_broadcast(lookup, limit), on=key_col, how="left")

@@ -36,3 +36,24 @@ def approx_histogram(df: DataFrame, group_cols, value_col: str, bins: int = 10)
     return df.groupBy(*group_cols).agg(
         F.histogram_numeric(F.col(value_col), F.lit(bins)).alias("histogram")
     )
+
+
+def theta_sketches(df: DataFrame, group_cols, value_col: str, lg_nom_entries: int = 12) -> DataFrame:
+    """Theta sketches per group; unlike HLL they support intersection
+    and difference as well as union."""
+    return df.groupBy(*group_cols).agg(F.theta_sketch_agg(value_col, lg_nom_entries).alias("sketch"))
+
+
+def theta_overlap(left: DataFrame, right: DataFrame, on) -> DataFrame:
+    """Per key of ``on``, estimated distinct values in both sketch sets,
+    in the left only, and in either.  Inputs hold one sketch per key (from
+    ``theta_sketches``), so the join moves sketches, not values."""
+    l = left.withColumnRenamed("sketch", "_l")
+    r = right.withColumnRenamed("sketch", "_r")
+    joined = l.join(r, on=on, how="inner")
+    return joined.select(
+        *([on] if isinstance(on, str) else on),
+        F.theta_sketch_estimate(F.theta_intersection("_l", "_r")).alias("in_both"),
+        F.theta_sketch_estimate(F.theta_difference("_l", "_r")).alias("left_only"),
+        F.theta_sketch_estimate(F.theta_union("_l", "_r")).alias("in_either"),
+    )
