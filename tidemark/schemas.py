@@ -73,10 +73,6 @@ EDIT_EVENT = T.StructType(
     ]
 )
 
-EVENT_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSS"
-WATERMARK_DELAY = "5 seconds"
-WINDOW_SIZE = "10 seconds"
-
 # One row of the window-count stream.
 WINDOW_COUNT = T.StructType(
     [
@@ -217,3 +213,9 @@ PAGEVIEW_DOMAINS = (
 
 # Trusted window is [ds - 7 days, ds).
 TRUSTED_LOOKBACK_DAYS = 7
+
+# Event-time text format (UTC, milliseconds), watermark delay
+# and tumbling window size of the window-count stream.
+EVENT_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSS"
+WATERMARK_DELAY = "5 seconds"
+WINDOW_SIZE = "10 seconds"
