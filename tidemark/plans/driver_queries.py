@@ -19,12 +19,12 @@ from tidemark.operators import crosssource, limits, lookups, sketches
 from tidemark.operators import events as edit_ops
 from tidemark.operators import pageviews as pv
 from tidemark.operators.windows import tumbling_count
-from tidemark.plans import catalog
+from tidemark.plans import catalog, jobs
 from tidemark.plans import driver_tables as dtab
 from tidemark.schemas import DAY_SEGMENT, EDIT_EVENT, NAMESPACE_LABELS, TRUSTED_PAGEVIEW, WINDOW_COUNT
 from tidemark.session import configure, scratch_path
 from tidemark.sinks.index import write_index_batch
-from tidemark.sinks.layers import write_raw, write_trusted
+from tidemark.sinks.layers import write_raw
 from tidemark.sinks.segments import to_day_segments, write_segments
 from tidemark.sinks.topics import to_frames
 from tidemark.sources.index import read_index
@@ -235,12 +235,12 @@ def q_trusted_pageviews(spark, sf_dir):
 
 
 def q_trusted_write_readback(spark, sf_dir):
-    """K2 + J4: the run is written twice (a retry); dynamic overwrite keeps
-    one copy."""
+    """K2 + J1 + J4: the trusted job for the run date, run twice (a retry);
+    dynamic overwrite keeps one copy.  The partition is read back."""
     raw_root = _write_raw_layer(spark, sf_dir)
     root = scratch_path(spark, "trusted_layer")
     for _ in range(2):
-        write_trusted(_trusted_run(spark, sf_dir, raw_root), root, mode="overwrite")
+        jobs.trusted_job(spark, dtab.RUN_DATE, raw_root, root, mode="overwrite")
     return spark.read.schema(TRUSTED_PAGEVIEW).parquet(root)
 
 
@@ -276,8 +276,11 @@ def q_day_segments(spark, sf_dir):
 # --------------------------------------------------------------------------
 
 def q_external_table_sql(spark, sf_dir):
+    """J3 backfill job writes the trusted layer; Q1 external table over it,
+    Q2 partition discovery, Q4 SQL."""
     base = scratch_path(spark, "external_table")
-    write_trusted(_backfill(spark, sf_dir), f"{base}/trusted")
+    daily = _daily(spark, sf_dir).withColumnRenamed("day", "pageview_date")
+    jobs.backfill_from_pageviews(spark, dtab.BACKFILL_START, dtab.BACKFILL_END, daily, f"{base}/trusted")
     db = "tidemark_" + base.rsplit("-", 1)[-1]
     catalog.create_database(spark, db, f"{base}/db")
     table = f"{db}.trusted_pageviews"
