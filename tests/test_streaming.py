@@ -184,3 +184,23 @@ def test_stream_null_domain_and_window_boundary(spark, scratch):
     q = ws.start_counts_to_files(ws.window_count_stream(spark, topic, 1), f"{scratch}/out", f"{scratch}/ckpt")
     ws.drain(q)
     assert _closed(spark, f"{scratch}/out") == [("a", _t("00:00:10"), 1), ("b", _t("00:00:20"), 1), (None, _t("00:00:10"), 0)]
+
+
+def test_stop_after_n_published_events(spark, scratch):
+    """G2 in stream form: the normaliser stops once N events are published
+    (batch granular; one file per micro-batch here)."""
+    from tidemark.streaming.normaliser_stream import raw_topic_stream, start_normaliser
+
+    raw = Topic("edit-raw", path=f"{scratch}/raw")
+    for i in range(4):
+        texts = [f'{{"id": {10 * i + j}, "type": "edit", "meta": {{"domain": "d"}}, "namespace": 0, '
+                 f'"title": "t", "timestamp": {1704067200 + 10 * i + j}, "user": "u", "bot": false}}'
+                 for j in range(5)]
+        write_topic(to_text_frames(spark.createDataFrame([(t,) for t in texts], "value string"), raw).coalesce(1), raw)
+        time.sleep(1.1)
+    events = Topic("edit-events", path=f"{scratch}/events")
+    q = start_normaliser(raw_topic_stream(spark, raw, max_per_trigger=1), events, f"{scratch}/ckpt",
+                         trigger={"processingTime": "1 second"})
+    written = ws.stop_after(q, 8, poll_s=0.5, timeout_s=120)
+    assert 8 <= written < 20
+    assert decode_topic(read_topic(spark, events), EDIT_EVENT).count() == written

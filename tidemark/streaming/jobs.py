@@ -43,6 +43,8 @@ def run(argv=None, spark=None) -> list:
     p.add_argument("--bootstrap", default=None)
     p.add_argument("--trigger", default="10 seconds")
     p.add_argument("--max-per-trigger", type=int, default=None)
+    p.add_argument("--max-events", type=int, default=None,
+                   help="normalise: stop after this many published events (G2, per micro-batch)")
     a = p.parse_args(argv)
     spark = spark or build_session(app_name=f"tidemark-{a.job}")
     trigger = _trigger(a.trigger)
@@ -60,9 +62,18 @@ def run(argv=None, spark=None) -> list:
 
 def main(argv=None) -> None:
     queries = run(argv)
+    max_events = _max_events(argv)
+    if max_events is not None:
+        ws.stop_after(queries[0], max_events)
     for q in queries:
         q.awaitTermination()
 
 
+def _max_events(argv) -> int | None:
+    p = argparse.ArgumentParser(add_help=False)
+    p.add_argument("--max-events", type=int, default=None)
+    return p.parse_known_args(argv)[0].max_events
+
+
 if __name__ == "__main__":
     main()

@@ -11,6 +11,7 @@ so a restarted run publishes every record exactly once.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.events import normalise_edits, parse_raw_edits
@@ -27,8 +28,14 @@ def raw_topic_stream(spark: SparkSession, raw: Topic, max_per_trigger: int | Non
     return read_topic(spark, raw, streaming=True, max_per_trigger=max_per_trigger).select("value")
 
 
+# Name of the observed per-batch metric with the number of published events.
+PUBLISHED_METRIC = "published"
+
+
 def start_normaliser(raw_text: DataFrame, events_topic: Topic, checkpoint: str,
                      trigger: dict | None = None) -> StreamingQuery:
-    """Publish normalised edits; the record time is the publish time."""
-    frames = to_frames(normalised_edits(raw_text), events_topic)
+    """Publish normalised edits; the record time is the publish time.  Each
+    micro-batch reports ``observedMetrics["published"]["rows"]``."""
+    edits = normalised_edits(raw_text).observe(PUBLISHED_METRIC, F.count(F.lit(1)).alias("rows"))
+    frames = to_frames(edits, events_topic)
     return write_topic_stream(frames, events_topic, checkpoint, trigger)

@@ -100,6 +100,39 @@ def drain(query: StreamingQuery, timeout_s: int = 600) -> dict | None:
     return query.lastProgress
 
 
+def _observed_by_batch(query: StreamingQuery, seen: dict[int, int], name: str, field: str) -> int:
+    """Add an observed metric of batches not seen yet; return the total."""
+    for progress in query.recentProgress:
+        metrics = progress.get("observedMetrics") or {}
+        row = metrics.get(name)
+        seen.setdefault(progress["batchId"], int(row[field]) if row is not None and row[field] is not None else 0)
+    return sum(seen.values())
+
+
+def stop_after(query: StreamingQuery, n_rows: int, metric: str = "published", field: str = "rows",
+               poll_s: float = 1.0, timeout_s: float | None = None) -> int:
+    """G2 for streams: stop once the observed per-batch count ``metric``
+    (see ``Dataset.observe``) adds up to at least ``n_rows``.
+
+    Granularity is one micro-batch; bound the overshoot with
+    ``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``.  The exact first ``n``
+    by id is the batch operator ``operators.limits.first_n``.  Returns the
+    count when the query stopped.  Batches are tallied by id at each poll,
+    so the progress buffer (last 100 batches) only has to cover one poll.
+    """
+    seen: dict[int, int] = {}
+    waited = 0.0
+    while query.isActive and _observed_by_batch(query, seen, metric, field) < n_rows:
+        if query.awaitTermination(poll_s):
+            break
+        waited += poll_s
+        if timeout_s is not None and waited >= timeout_s:
+            break
+    if query.isActive:
+        query.stop()
+    return _observed_by_batch(query, seen, metric, field)
+
+
 def dropped_by_watermark(query: StreamingQuery) -> int:
     """T5: rows dropped as late over the query's recent progress."""
     total = 0
