@@ -89,6 +89,10 @@ class SourceRegistry:
                 f"CREATE TABLE {name} USING {s.format} "
                 f"OPTIONS (path {_literal(s.path)}{opts})"
             )
+            # Partition folders already on storage become visible only
+            # after discovery (Q2).
+            if any(c.isPartition for c in spark.catalog.listColumns(name)):
+                repair_table(spark, name)
 
     def listing(self, spark: SparkSession) -> DataFrame:
         """One row per source: catalog, table and its row count."""

@@ -293,12 +293,25 @@ def q_external_table_sql(spark, sf_dir):
 
 
 def q_registry_list(spark, sf_dir):
+    """Q3: named sources under catalogs, one SQL surface: the driver tables
+    and the trusted layer in ``lake``, the window index in ``search``, the
+    day-segmented table in ``olap``; row count per source."""
     configure(spark)
     base = scratch_path(spark, "registry")
+    daily = _daily(spark, sf_dir).withColumnRenamed("day", "pageview_date")
+    jobs.backfill_from_pageviews(spark, dtab.BACKFILL_START, dtab.BACKFILL_END, daily, f"{base}/trusted")
+    write_index_batch(tumbling_count(_window_input(spark, sf_dir)), 0, f"{base}/index")
+    # The day table is fed from the written index, not from a second count.
+    counts = read_index(spark, f"{base}/index").drop("doc_id")
+    write_segments(to_day_segments(to_frames(counts, COUNTS_TOPIC, timestamp_col="ten_second_window")),
+                   f"{base}/segments")
     reg = catalog.SourceRegistry()
     for name in TABLES:
         reg.add("lake", name, "parquet", table_path(sf_dir, name))
-    reg.register(spark, base)
+    reg.add("lake", "trusted_pageviews", "parquet", f"{base}/trusted")
+    reg.add("search", "edit_window_counts", "parquet", f"{base}/index")
+    reg.add("olap", "edit_window_counts", "parquet", f"{base}/segments")
+    reg.register(spark, f"{base}/catalogs")
     return reg.listing(spark)
 
 
@@ -515,7 +528,12 @@ _ORACLE_SQL: dict[str, str] = {
         f"FROM ({_BACKFILL}) GROUP BY ALL"
     ),
     "registry_list": " UNION ALL ".join(
-        f"SELECT 'lake' AS catalog, '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in TABLES
+        [f"SELECT 'lake' AS catalog, '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in TABLES]
+        + [
+            f"SELECT 'lake' AS catalog, 'trusted_pageviews' AS table_name, count(*) AS n_rows FROM ({_BACKFILL})",
+            f"SELECT 'search' AS catalog, 'edit_window_counts' AS table_name, count(*) AS n_rows FROM ({_TUMBLING})",
+            f"SELECT 'olap' AS catalog, 'edit_window_counts' AS table_name, count(*) AS n_rows FROM ({_TUMBLING})",
+        ]
     ),
     "cross_source_daily": (
         f"WITH e AS (SELECT event_type AS domain, CAST(ts AS DATE) AS day, count(*) AS edits FROM events "
