@@ -29,7 +29,7 @@ from tidemark.sinks.segments import to_day_segments, write_segments
 from tidemark.sinks.topics import to_frames
 from tidemark.sources.index import read_index
 from tidemark.sources.rawjson import read_raw, read_raw_run
-from tidemark.sources.tables import TABLES, read_table, spread, table_glob, table_path
+from tidemark.sources.tables import read_table, spread, table_glob, table_path
 from tidemark.sources.topics import Topic, decode_topic, read_topic
 from tidemark.streaming import window_stream as ws
 from tidemark.streaming.normaliser_stream import start_normaliser
@@ -293,8 +293,8 @@ def q_external_table_sql(spark, sf_dir):
 
 
 def q_registry_list(spark, sf_dir):
-    """Q3: named sources under catalogs, one SQL surface: the driver tables
-    and the trusted layer in ``lake``, the window index in ``search``, the
+    """Q3: named sources under catalogs, one SQL surface: the raw events and
+    the trusted layer in ``lake``, the window index in ``search``, the
     day-segmented table in ``olap``; row count per source."""
     configure(spark)
     base = scratch_path(spark, "registry")
@@ -306,8 +306,7 @@ def q_registry_list(spark, sf_dir):
     write_segments(to_day_segments(to_frames(counts, COUNTS_TOPIC, timestamp_col="ten_second_window")),
                    f"{base}/segments")
     reg = catalog.SourceRegistry()
-    for name in TABLES:
-        reg.add("lake", name, "parquet", table_path(sf_dir, name))
+    reg.add("lake", "events", "parquet", table_path(sf_dir, "events"))
     reg.add("lake", "trusted_pageviews", "parquet", f"{base}/trusted")
     reg.add("search", "edit_window_counts", "parquet", f"{base}/index")
     reg.add("olap", "edit_window_counts", "parquet", f"{base}/segments")
@@ -528,8 +527,8 @@ _ORACLE_SQL: dict[str, str] = {
         f"FROM ({_BACKFILL}) GROUP BY ALL"
     ),
     "registry_list": " UNION ALL ".join(
-        [f"SELECT 'lake' AS catalog, '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in TABLES]
-        + [
+        [
+            "SELECT 'lake' AS catalog, 'events' AS table_name, count(*) AS n_rows FROM events",
             f"SELECT 'lake' AS catalog, 'trusted_pageviews' AS table_name, count(*) AS n_rows FROM ({_BACKFILL})",
             f"SELECT 'search' AS catalog, 'edit_window_counts' AS table_name, count(*) AS n_rows FROM ({_TUMBLING})",
             f"SELECT 'olap' AS catalog, 'edit_window_counts' AS table_name, count(*) AS n_rows FROM ({_TUMBLING})",
