@@ -204,3 +204,21 @@ def test_stop_after_n_published_events(spark, scratch):
     written = ws.stop_after(q, 8, poll_s=0.5, timeout_s=120)
     assert 8 <= written < 20
     assert decode_topic(read_topic(spark, events), EDIT_EVENT).count() == written
+
+
+def test_day_table_time_filter_prunes_days(spark, scratch):
+    """A __time range reads only the matching segment_day folders."""
+    from tidemark.sinks.segments import to_day_segments, write_segments
+    from tidemark.sources.segments import read_segments
+
+    from plans import plan_text
+
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    counts = tumbling_count(ev.select(F.col("event_type").alias("domain"), F.col("ts").alias("createTime")))
+    write_segments(to_day_segments(to_frames(counts, Topic("c"), timestamp_col="ten_second_window")), f"{scratch}/day")
+    got = read_segments(spark, f"{scratch}/day", "2024-01-05 12:00:00", "2024-01-07")
+    plan = plan_text(got, "simple")
+    assert "PartitionFilters: [isnotnull(segment_day" in plan and "2024-01-05" in plan
+    want = counts.where((F.col("ten_second_window") >= F.lit(dt.datetime(2024, 1, 5, 12)))
+                        & (F.col("ten_second_window") < F.lit(dt.datetime(2024, 1, 7)))).count()
+    assert got.count() == want > 0
