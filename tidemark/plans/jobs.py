@@ -18,7 +18,7 @@ from tidemark.operators.pageviews import (
     trusted_from_raw_root,
     trusted_transform,
 )
-from tidemark.session import build_session, configure
+from tidemark.session import CLUSTER_BATCH_CONF, build_session, configure
 from tidemark.sinks.layers import write_raw, write_trusted
 from tidemark.sources.rawjson import read_raw, read_raw_run
 
@@ -71,7 +71,7 @@ def run_cli(argv=None, spark: SparkSession | None = None) -> None:
     p.add_argument("--trusted-root", required=True)
     p.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
     a = p.parse_args(argv)
-    spark = spark or build_session(app_name=f"tidemark-{a.step}")
+    spark = spark or build_session(app_name=f"tidemark-{a.step}", extra=CLUSTER_BATCH_CONF)
     if a.step == "trusted":
         trusted_job(spark, a.date, a.raw_root, a.trusted_root, a.mode)
     else:

@@ -31,6 +31,26 @@ RUNTIME_CONF = {
 }
 
 
+# Starting points for a large cluster, used by the batch job entry points.
+# AQE starts from many shuffle partitions and coalesces them toward the
+# advisory size, so one setting serves a small day and a 100 TB backfill;
+# Parquet scans are split at 256 MB.
+CLUSTER_BATCH_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+}
+
+# Stream jobs: the number of state partitions is the shuffle partition count
+# at the first start of a checkpoint and cannot change later.  The state
+# (open windows per domain) is small, so a modest fixed number is used.
+CLUSTER_STREAM_CONF = {
+    "spark.sql.shuffle.partitions": "400",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import argparse
 
-from tidemark.session import build_session
+from tidemark.session import CLUSTER_STREAM_CONF, build_session
 from tidemark.sources.topics import Topic
 from tidemark.streaming import window_stream as ws
 from tidemark.streaming.normaliser_stream import raw_topic_stream, start_normaliser
@@ -46,7 +46,7 @@ def run(argv=None, spark=None) -> list:
     p.add_argument("--max-events", type=int, default=None,
                    help="normalise: stop after this many published events (G2, per micro-batch)")
     a = p.parse_args(argv)
-    spark = spark or build_session(app_name=f"tidemark-{a.job}")
+    spark = spark or build_session(app_name=f"tidemark-{a.job}", extra=CLUSTER_STREAM_CONF)
     trigger = _trigger(a.trigger)
     if a.job == "normalise":
         raw = raw_topic_stream(spark, _topic(a.raw, a), a.max_per_trigger)
