@@ -50,14 +50,12 @@ def test_bounded_broadcast_checks_size(spark):
     customer = spark.read.parquet(f"{SF}/customer.parquet")
     small = lookups.lookup_join(customer, nation, customer["c_nationkey"] == nation["n_nationkey"], limit=100)
     assert "BroadcastHashJoin" in plan_text(small, "simple")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         big = lookups.lookup_join(customer, nation, customer["c_nationkey"] == nation["n_nationkey"], limit=10)
         assert "BroadcastHashJoin" not in plan_text(big, "simple")
         assert big.count() == small.count() == customer.count()
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 

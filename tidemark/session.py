@@ -25,6 +25,12 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast only on a proven size: no broadcast from static file-size
+    # estimates (compressed Parquet can be far larger in memory); AQE may
+    # still switch a join to broadcast from the exact size of a finished
+    # shuffle stage, and explicit hints come after a row-count check.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     # Reruns of a day replace that day's partition only.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
