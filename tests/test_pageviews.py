@@ -181,3 +181,20 @@ def test_batch_job_command_line(spark, scratch):
     out = spark.read.parquet(f"{scratch}/trusted")
     assert out.count() == 21
     assert out.where(F.col("pageview_date") >= F.col("processing_date")).count() == 0
+
+
+def test_replies_are_bounded_in_size(spark):
+    """Replies hold about entries_per_reply domains, whatever a day holds."""
+    from tidemark.plans.driver_tables import pageview_replies
+
+    daily = spark.range(0, 5000).select(
+        F.lit(dt.date(2024, 1, 1)).alias("day"),
+        F.concat(F.lit("site"), F.col("id").cast("string")).alias("domain"),
+        F.col("id").alias("pageviews"),
+    )
+    replies = pageview_replies(daily, entries_per_reply=500)
+    parsed = replies.select(F.from_json("reply", "map<string,map<string,bigint>>").alias("r"))
+    sizes = [r.n for r in parsed.select(F.size(F.map_values("r")[0]).alias("n")).collect()]
+    assert sum(sizes) == 5000 and len(sizes) == 10
+    assert max(sizes) < 2 * 500
+    assert flatten_replies(replies).count() == 5000

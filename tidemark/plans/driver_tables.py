@@ -113,14 +113,22 @@ def daily_pageviews(ev: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("pageviews"))
 
 
-def pageview_replies(daily: DataFrame, buckets: int = 64) -> DataFrame:
-    """Service replies (F1): one reply per (day, domain hash slice).
+def pageview_replies(daily: DataFrame, entries_per_reply: int = 1000) -> DataFrame:
+    """Service replies (F1): date -> {domain: views}, about
+    ``entries_per_reply`` domains per reply.
 
-    Inputs are already one row per (day, domain), and each reply holds the
-    domains of one slice only, so no reply grows with the event count.
+    Each day is cut into ``ceil(domains / entries_per_reply)`` hash slices,
+    sized from a per-day count, so no reply grows with the number of
+    domains or events.  The per-day table has one row per day.
     """
+    slices = daily.groupBy("day").agg(
+        F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(entries_per_reply))).alias("_slices")
+    )
+    keyed = daily.join(slices, on="day").withColumn(
+        "_slice", F.pmod(F.xxhash64("domain"), F.col("_slices"))
+    )
     return (
-        daily.groupBy("day", F.pmod(F.xxhash64("domain"), F.lit(buckets)).alias("_slice"))
+        keyed.groupBy("day", "_slice")
         .agg(F.map_from_entries(F.collect_list(F.struct("domain", "pageviews"))).alias("_views"))
         .select(
             F.to_json(
