@@ -95,15 +95,16 @@ def raw_change_events(ev: DataFrame) -> DataFrame:
 
 
 def raw_change_text(ev: DataFrame, with_broken: bool = True) -> DataFrame:
-    """Raw records as text.  With ``with_broken`` every record is followed
-    by a truncated copy that is not JSON and must be skipped (S8).  One pass
-    over the input, so it serves batch tables and streams alike."""
+    """Raw records as text.  With ``with_broken`` every record also comes
+    as an event-stream line (``event: {...}``), whole but not JSON, which
+    must be skipped (S8).  One pass over the input, so it serves batch
+    tables and streams alike."""
     text = F.to_json(F.struct(*[F.col(c) for c in raw_change_events(ev).columns]))
     raw = raw_change_events(ev).select(text.alias("value"))
     if not with_broken:
         return raw
-    broken = F.expr("substring(value, 1, length(value) - 1)")
-    return raw.select(F.explode(F.array(F.col("value"), broken)).alias("value"))
+    not_json = F.concat(F.lit("event: "), F.col("value"))
+    return raw.select(F.explode(F.array(F.col("value"), not_json)).alias("value"))
 
 
 def daily_pageviews(ev: DataFrame) -> DataFrame:
