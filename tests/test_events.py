@@ -54,3 +54,12 @@ def test_normalise_edges(spark):
     assert rows[2].title == "Żółw"
     assert rows[2].createTime == "2024-01-01 00:00:01.000"
     assert list(rows[1].asDict()) == ["id", "domain", "namespace", "title", "createTime", "user_name", "user_type"]
+
+
+def test_only_message_records_are_read(spark):
+    df = spark.createDataFrame(
+        [("message", _raw(id=1)), ("error", _raw(id=2)), (None, _raw(id=3)), ("message", "not json")],
+        "kind string, value string",
+    )
+    out = parse_raw_edits(df, "value", on_error="skip", kind_col="kind")
+    assert [r.id for r in out.collect()] == [1]

@@ -8,19 +8,23 @@ from pyspark.sql import types as T
 
 from tidemark.functions.labels import namespace_label, user_type_label
 from tidemark.functions.times import epoch_seconds_to_text
-from tidemark.schemas import CORRUPT_COLUMN, EDIT_TYPE, RAW_EDIT
+from tidemark.schemas import CORRUPT_COLUMN, EDIT_TYPE, MESSAGE_KIND, RAW_EDIT
 
 _RAW_EDIT_WITH_CORRUPT = T.StructType(
     RAW_EDIT.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())]
 )
 
 
-def parse_raw_edits(df: DataFrame, text_col: str = "value", on_error: str = "skip") -> DataFrame:
+def parse_raw_edits(df: DataFrame, text_col: str = "value", on_error: str = "skip",
+                    kind_col: str | None = None) -> DataFrame:
     """Decode raw event text by the declared schema.
 
-    ``on_error="skip"`` drops records that are not JSON (and null records);
-    ``"fail"`` stops the job on the first one.
+    With ``kind_col`` only event-stream records of kind ``message`` are
+    read.  ``on_error="skip"`` drops records that are not JSON (and null
+    records); ``"fail"`` stops the job on the first one.
     """
+    if kind_col is not None:
+        df = df.where(F.col(kind_col) == F.lit(MESSAGE_KIND))
     text = F.col(text_col).cast("string")
     if on_error == "fail":
         parsed = F.from_json(text, RAW_EDIT, {"mode": "FAILFAST"})

@@ -159,6 +159,9 @@ USER_TYPE_HUMAN = "human"
 # The only event type that is normalised and published.
 EDIT_TYPE = "edit"
 
+# Event-stream record kind that carries change events.
+MESSAGE_KIND = "message"
+
 # Projects whose pageviews are collected.
 PAGEVIEW_DOMAINS = (
     "meta.wikimedia",
