@@ -14,11 +14,9 @@ SF_ORACLE = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    extra = {}
-    # Tests set their own shared folder only where the environment has none.
-    if not os.environ.get("SPARK_CHECKPOINT_DIR"):
-        extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="tidemark-test-ckpt-")
-    extra["spark.sql.warehouse.dir"] = tempfile.mkdtemp(prefix="tidemark-test-warehouse-")
+    # spark.checkpoint.dir is left as the environment has it; when it is
+    # unset, tidemark.session.shared_dir gives a local session a temporary one.
+    extra = {"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tidemark-test-warehouse-")}
     s = build_session("local[*]", app_name="tidemark-tests", shuffle_partitions=8, extra=extra)
     yield s
     s.stop()
