@@ -222,3 +222,19 @@ def test_day_table_time_filter_prunes_days(spark, scratch):
     want = counts.where((F.col("ten_second_window") >= F.lit(dt.datetime(2024, 1, 5, 12)))
                         & (F.col("ten_second_window") < F.lit(dt.datetime(2024, 1, 7)))).count()
     assert got.count() == want > 0
+
+
+def test_fanout_as_one_query(spark, scratch):
+    """T6 with one stateful query writing both sinks per micro-batch."""
+    events = Topic("edit-events", path=f"{scratch}/events")
+    counts = Topic("edit-window-counts", path=f"{scratch}/counts")
+    d = dt.date(2024, 1, 1)
+    _publish_events_by_day(spark, "/root/testdata/sf0.001", events,
+                           [(d, d + dt.timedelta(days=15)), (d + dt.timedelta(days=15), d + dt.timedelta(days=31))])
+    q = ws.start_fanout_one_query(ws.window_count_stream(spark, events, max_per_trigger=1), counts,
+                                  f"{scratch}/index", f"{scratch}/ckpt")
+    ws.drain(q)
+    topic_rows = decode_topic(read_topic(spark, counts), WINDOW_COUNT)
+    index_rows = read_index(spark, f"{scratch}/index").drop("doc_id", "batch_id")
+    assert topic_rows.count() > 0
+    assert sorted(map(tuple, topic_rows.collect())) == sorted(map(tuple, index_rows.select(*topic_rows.columns).collect()))

@@ -21,7 +21,7 @@ from tidemark.operators.windows import tumbling_count, with_event_time
 from tidemark.schemas import EDIT_EVENT, WATERMARK_DELAY, WINDOW_SIZE
 from tidemark.sinks.index import index_writer
 from tidemark.sinks.segments import to_day_segments, write_segments_stream
-from tidemark.sinks.topics import to_frames, write_topic_stream
+from tidemark.sinks.topics import to_frames, write_topic, write_topic_stream
 from tidemark.sources.topics import Topic, decode_topic, read_topic
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -82,6 +82,33 @@ def start_fanout(counts: DataFrame, counts_topic: Topic, index_target: str, chec
     return to_topic, to_index
 
 
+def start_fanout_one_query(counts: DataFrame, counts_topic: Topic, index_target: str, checkpoint: str,
+                           trigger: dict | None = None) -> StreamingQuery:
+    """T6 as one query: one stateful count, each micro-batch persisted once
+    and written to the index and the counts topic.
+
+    Half the source reads and state of ``start_fanout``; the price is
+    coupling (one failure stops both) and an at-least-once topic: a replayed
+    micro-batch is published again.  The index stays idempotent by id.
+    """
+
+    def _write_both(df: DataFrame, batch_id: int) -> None:
+        df.persist()
+        try:
+            index_writer(index_target)(df, batch_id)
+            write_topic(to_frames(df, counts_topic), counts_topic)
+        finally:
+            df.unpersist()
+
+    return (
+        counts.writeStream.foreachBatch(_write_both)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .trigger(**(trigger or AVAILABLE_NOW))
+        .start()
+    )
+
+
 def start_day_segments(spark: SparkSession, counts_topic: Topic, root: str, checkpoint: str,
                        trigger: dict | None = None, max_per_trigger: int | None = None) -> StreamingQuery:
     """T7 second hop / K6: counts topic -> day-segmented table."""
