@@ -198,3 +198,14 @@ def test_replies_are_bounded_in_size(spark):
     assert sum(sizes) == 5000 and len(sizes) == 10
     assert max(sizes) < 2 * 500
     assert flatten_replies(replies).count() == 5000
+
+
+def test_trusted_job_reads_json_array_files(spark, scratch):
+    """The trusted job over raw files written as one JSON array per run."""
+    folder = local_path(f"{scratch}/raw/processing_date=2024-01-15")
+    os.makedirs(folder)
+    with open(f"{folder}/data.json", "w") as fh:
+        json.dump([{"date": d, "domain": dom, "pageviews": v} for d, dom, v in _raw_rows()], fh, indent=4)
+    jobs.run_cli(["trusted", "--date", "2024-01-15", "--multiline",
+                  "--raw-root", f"{scratch}/raw", "--trusted-root", f"{scratch}/trusted"], spark)
+    assert spark.read.parquet(f"{scratch}/trusted").count() == 5

@@ -70,10 +70,11 @@ def run_cli(argv=None, spark: SparkSession | None = None) -> None:
     p.add_argument("--raw-root", required=True)
     p.add_argument("--trusted-root", required=True)
     p.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
+    p.add_argument("--multiline", action="store_true", help="raw files are JSON arrays, one per file")
     a = p.parse_args(argv)
     spark = spark or build_session(app_name=f"tidemark-{a.step}", extra=CLUSTER_BATCH_CONF)
     if a.step == "trusted":
-        trusted_job(spark, a.date, a.raw_root, a.trusted_root, a.mode)
+        trusted_job(spark, a.date, a.raw_root, a.trusted_root, a.mode, multiline=a.multiline)
     else:
         backfill_from_raw(spark, a.start, a.end, a.raw_root, a.trusted_root)
 

@@ -22,7 +22,8 @@ from tidemark.streaming.normaliser_stream import raw_topic_stream, start_normali
 
 def _topic(name_or_path: str, args) -> Topic:
     if args.topic_format == "kafka":
-        return Topic(name_or_path, format="kafka", options={"kafka.bootstrap.servers": args.bootstrap})
+        return Topic(name_or_path, format="kafka", options={"kafka.bootstrap.servers": args.bootstrap},
+                     group_id=args.group_id)
     return Topic(name_or_path.rstrip("/").rsplit("/", 1)[-1], path=name_or_path)
 
 
@@ -41,6 +42,7 @@ def run(argv=None, spark=None) -> list:
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--topic-format", default="files", choices=["files", "kafka"])
     p.add_argument("--bootstrap", default=None)
+    p.add_argument("--group-id", default=None, help="Kafka consumer group of the readers")
     p.add_argument("--trigger", default="10 seconds")
     p.add_argument("--max-per-trigger", type=int, default=None)
     p.add_argument("--max-events", type=int, default=None,
