@@ -40,13 +40,21 @@ class Topic:
         return opts
 
 
-def read_topic(spark: SparkSession, topic: Topic, streaming: bool = False, max_per_trigger: int | None = None) -> DataFrame:
-    """S3: topic frames, from the earliest record."""
+def read_topic(spark: SparkSession, topic: Topic, streaming: bool = False, max_per_trigger: int | None = None,
+               min_partitions: int | None = None) -> DataFrame:
+    """S3: topic frames, from the earliest record.
+
+    ``min_partitions`` splits the offset ranges of few Kafka partitions
+    over that many Spark tasks, so a one-partition topic is not read and
+    parsed by a single task.
+    """
     if topic.format == "kafka":
         reader = (spark.readStream if streaming else spark.read).format("kafka")
         opts = topic._kafka_options()
         if streaming and max_per_trigger:
             opts["maxOffsetsPerTrigger"] = str(max_per_trigger)
+        if min_partitions:
+            opts["minPartitions"] = str(min_partitions)
         return reader.options(**opts).load()
     if topic.format != "files":
         raise ValueError(f"unknown topic format {topic.format!r}")

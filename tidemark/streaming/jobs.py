@@ -45,16 +45,19 @@ def run(argv=None, spark=None) -> list:
     p.add_argument("--group-id", default=None, help="Kafka consumer group of the readers")
     p.add_argument("--trigger", default="10 seconds")
     p.add_argument("--max-per-trigger", type=int, default=None)
+    p.add_argument("--min-partitions", type=int, default=None,
+                   help="Kafka: split few topic partitions over at least this many tasks")
     p.add_argument("--max-events", type=int, default=None,
                    help="normalise: stop after this many published events (G2, per micro-batch)")
     a = p.parse_args(argv)
     spark = spark or build_session(app_name=f"tidemark-{a.job}", extra=CLUSTER_STREAM_CONF)
     trigger = _trigger(a.trigger)
     if a.job == "normalise":
-        raw = raw_topic_stream(spark, _topic(a.raw, a), a.max_per_trigger)
+        raw = raw_topic_stream(spark, _topic(a.raw, a), a.max_per_trigger, a.min_partitions)
         return [start_normaliser(raw, _topic(a.events, a), a.checkpoint, trigger)]
     if a.job == "counts":
-        counts = ws.window_count_stream(spark, _topic(a.events, a), a.max_per_trigger)
+        counts = ws.window_count_stream(spark, _topic(a.events, a), a.max_per_trigger,
+                                        min_partitions=a.min_partitions)
         queries = [ws.start_counts_to_topic(counts, _topic(a.counts, a), f"{a.checkpoint}/to_topic", trigger)]
         if a.index:
             queries.append(ws.start_counts_to_index(counts, a.index, f"{a.checkpoint}/to_index", trigger))

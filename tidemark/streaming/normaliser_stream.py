@@ -23,9 +23,11 @@ def normalised_edits(raw_text: DataFrame, text_col: str = "value") -> DataFrame:
     return normalise_edits(parse_raw_edits(raw_text, text_col, on_error="skip"))
 
 
-def raw_topic_stream(spark: SparkSession, raw: Topic, max_per_trigger: int | None = None) -> DataFrame:
+def raw_topic_stream(spark: SparkSession, raw: Topic, max_per_trigger: int | None = None,
+                     min_partitions: int | None = None) -> DataFrame:
     """Raw event text as it arrives on a topic (the ``value`` bytes)."""
-    return read_topic(spark, raw, streaming=True, max_per_trigger=max_per_trigger).select("value")
+    frames = read_topic(spark, raw, streaming=True, max_per_trigger=max_per_trigger, min_partitions=min_partitions)
+    return frames.select("value")
 
 
 # Name of the observed per-batch metric with the number of published events.

@@ -37,8 +37,10 @@ def window_count_stream(
     source: Topic,
     max_per_trigger: int | None = None,
     on_error: str = "fail",
+    min_partitions: int | None = None,
 ) -> DataFrame:
-    frames = read_topic(spark, source, streaming=True, max_per_trigger=max_per_trigger)
+    frames = read_topic(spark, source, streaming=True, max_per_trigger=max_per_trigger,
+                        min_partitions=min_partitions)
     return window_counts(decode_topic(frames, EDIT_EVENT, on_error=on_error))
 
 
