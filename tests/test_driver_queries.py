@@ -57,3 +57,28 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["domain", "ten_second_window", "count_actions"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("sf", [SF, "/root/testdata/sf0.01"])
+def test_approx_users_against_exact(spark, sf):
+    got = {r.domain: r.approx_users for r in entry.queries()["approx_users"](spark, sf).collect()}
+    con = duckdb.connect()
+    exact = dict(con.execute(
+        f"SELECT event_type, count(DISTINCT user_id) FROM read_parquet('{sf}/events.parquet') GROUP BY 1"
+    ).fetchall())
+    assert set(got) == set(exact)
+    for domain, n in exact.items():
+        assert abs(got[domain] - n) <= max(2, 0.05 * n)
+
+
+@pytest.mark.parametrize("sf", [SF, "/root/testdata/sf0.01"])
+def test_approx_quantiles_rank_error(spark, sf):
+    rows = entry.queries()["approx_quantiles"](spark, sf).collect()
+    con = duckdb.connect()
+    for r in rows:
+        for p, v in ((0.5, r.p50), (0.9, r.p90), (0.99, r.p99)):
+            below, n = con.execute(
+                f"SELECT count(*) FILTER (WHERE value <= {v}), count(*) "
+                f"FROM read_parquet('{sf}/events.parquet') WHERE event_type = '{r.domain}'"
+            ).fetchone()
+            assert abs(below / n - p) <= 0.01
