@@ -39,3 +39,44 @@ def test_trusted_rows_lie_in_window(spark, rows, ds):
     assert all(lo <= r.pageview_date < ds and r.processing_date == ds for r in out)
     expected = sum(1 for d, _ in rows if d not in (None, "bad") and lo <= dt.date.fromisoformat(d) < ds)
     assert len(out) == expected
+
+
+_events = st.lists(
+    st.tuples(st.sampled_from(["a", "b", None]), st.integers(min_value=0, max_value=10**6)),
+    min_size=1, max_size=40,
+)
+
+
+@SETTINGS
+@given(events=_events)
+def test_tumbling_count_matches_brute_force(spark, events):
+    from tidemark.operators.windows import tumbling_count
+
+    base = dt.datetime(2024, 1, 1)
+    rows = [(d, base + dt.timedelta(milliseconds=ms)) for d, ms in events]
+    df = spark.createDataFrame(rows, "domain string, createTime timestamp_ntz")
+    got = {(r.domain, r.ten_second_window): r.count_actions for r in tumbling_count(df).collect()}
+    want = {}
+    for d, ts in rows:
+        end = base + dt.timedelta(seconds=((ts - base).total_seconds() // 10 + 1) * 10)
+        want[(d, end)] = want.get((d, end), 0) + (1 if d is not None else 0)
+    assert got == want
+
+
+@SETTINGS
+@given(days=st.lists(_day, min_size=1, max_size=20, unique=True), start=_day,
+       span=st.integers(min_value=0, max_value=12))
+def test_backfill_matches_definition(spark, days, start, span):
+    from tidemark.operators.pageviews import explode_run_dates
+
+    end = start + dt.timedelta(days=span)
+    daily = spark.createDataFrame([(d, "a.site", i) for i, d in enumerate(days)],
+                                  "pageview_date date, domain string, pageviews bigint")
+    got = sorted((r.pageview_date, r.processing_date) for r in explode_run_dates(daily, start, end).collect())
+    want = sorted(
+        (d, start + dt.timedelta(days=k))
+        for k in range(span + 1)
+        for d in days
+        if start + dt.timedelta(days=k) - dt.timedelta(days=7) <= d < start + dt.timedelta(days=k)
+    )
+    assert got == want
