@@ -13,6 +13,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -30,7 +31,11 @@ def main() -> None:
         f"local[{cpus}]",
         app_name="tidemark-bench",
         shuffle_partitions=cpus,
-        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")},
+        extra={
+            "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
+            # local bench: keep the default database folder out of the cwd
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tidemark-bench-warehouse-"),
+        },
     )
     # Warm the JVM (class loading, codegen cache) outside the timings.
     for warm in ("tumbling_count", "stream_replay_closed"):
