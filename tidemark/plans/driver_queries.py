@@ -105,7 +105,9 @@ def q_stream_replay_closed(spark, sf_dir):
     """Windows the watermark has closed are written once to a Parquet sink
     and read back."""
     out = scratch_path(spark, "stream_replay_closed")
-    ws.drain(ws.start_counts_to_files(_count_stream(spark, sf_dir), f"{out}/table", f"{out}/checkpoint"))
+    with ws.state_partitions(spark):
+        q = ws.start_counts_to_files(_count_stream(spark, sf_dir), f"{out}/table", f"{out}/checkpoint")
+    ws.drain(q)
     return ws.to_output_times(spark.read.schema(WINDOW_COUNT).parquet(f"{out}/table"))
 
 
@@ -114,7 +116,9 @@ def q_stream_fanout_index(spark, sf_dir):
     two queries; the index is read back (S6)."""
     out = scratch_path(spark, "stream_fanout")
     counts_topic = Topic(COUNTS_TOPIC.name, path=f"{out}/counts")
-    to_topic, to_index = ws.start_fanout(_count_stream(spark, sf_dir), counts_topic, f"{out}/index", f"{out}/ckpt")
+    with ws.state_partitions(spark):
+        to_topic, to_index = ws.start_fanout(_count_stream(spark, sf_dir), counts_topic, f"{out}/index",
+                                             f"{out}/ckpt")
     ws.drain(to_topic)
     ws.drain(to_index)
     docs = read_index(spark, f"{out}/index")
@@ -126,7 +130,9 @@ def q_stream_day_segments(spark, sf_dir):
     checkpointed stream; rows per day of the table."""
     out = scratch_path(spark, "stream_segments")
     counts_topic = Topic(COUNTS_TOPIC.name, path=f"{out}/counts")
-    ws.drain(ws.start_counts_to_topic(_count_stream(spark, sf_dir), counts_topic, f"{out}/ckpt/counts"))
+    with ws.state_partitions(spark):
+        q = ws.start_counts_to_topic(_count_stream(spark, sf_dir), counts_topic, f"{out}/ckpt/counts")
+    ws.drain(q)
     ws.drain(ws.start_day_segments(spark, counts_topic, f"{out}/segments", f"{out}/ckpt/segments"))
     seg = spark.read.schema(DAY_SEGMENT).parquet(f"{out}/segments")
     return seg.groupBy("segment_day").agg(

@@ -13,6 +13,8 @@ end (T4); rows for windows already closed are dropped (T5) and counted in
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -27,6 +29,23 @@ from tidemark.sources.topics import Topic, decode_topic, read_topic
 AVAILABLE_NOW = {"availableNow": True}
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None = None):
+    """Start stateful queries with ``n`` state partitions (default: at most
+    one per core).  A query fixes this number from
+    ``spark.sql.shuffle.partitions`` when it starts and keeps it in its
+    checkpoint; the session's own value is restored afterwards."""
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    if n is None:
+        n = min(int(old), spark.sparkContext.defaultParallelism)
+    spark.conf.set(key, str(n))
+    try:
+        yield n
+    finally:
+        spark.conf.set(key, old)
+
+
 def window_counts(events: DataFrame, delay: str = WATERMARK_DELAY, size: str = WINDOW_SIZE) -> DataFrame:
     """Edit events (batch or stream) -> window counts with a watermark."""
     return tumbling_count(with_event_time(events, "createTime", delay), size=size)
