@@ -38,3 +38,9 @@ def test_allowlist_is_pushed_into_the_scan(spark):
 def test_first_n_is_a_top_n_not_a_sort(spark):
     plan = plan_text(entry.queries()["first_n_events"](spark, SF), "simple")
     assert "TakeOrderedAndProject" in plan and "Sort [" not in plan
+
+
+def test_time_range_read_prunes_day_folders(spark):
+    plan = plan_text(entry.queries()["segments_time_range"](spark, SF), "simple")
+    scan = [line for line in plan.splitlines() if "FileScan parquet" in line][0]
+    assert "PartitionFilters: [isnotnull(segment_day" in scan and "2024-01-08" in scan and "2024-01-15" in scan

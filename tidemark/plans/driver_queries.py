@@ -29,6 +29,7 @@ from tidemark.sinks.segments import to_day_segments, write_segments
 from tidemark.sinks.topics import to_frames
 from tidemark.sources.index import read_index
 from tidemark.sources.rawjson import read_raw, read_raw_run
+from tidemark.sources.segments import read_segments
 from tidemark.sources.tables import read_table, spread, table_glob, table_path
 from tidemark.sources.topics import Topic, decode_topic, read_topic
 from tidemark.streaming import window_stream as ws
@@ -277,6 +278,18 @@ def q_day_segments(spark, sf_dir):
     )
 
 
+def q_segments_time_range(spark, sf_dir):
+    """K6 read side with time pruning: actions per domain for a
+    week of ``__time`` from the day table; only those day folders are read."""
+    counts = tumbling_count(_window_input(spark, sf_dir))
+    root = scratch_path(spark, "day_table")
+    write_segments(to_day_segments(to_frames(counts, COUNTS_TOPIC, timestamp_col="ten_second_window")), root)
+    week = read_segments(spark, root, dtab.RANGE_START, dtab.RANGE_END)
+    return week.groupBy("domain").agg(
+        F.count(F.lit(1)).alias("n_windows"), F.sum("count_actions").alias("total_actions")
+    )
+
+
 # --------------------------------------------------------------------------
 # Catalog and SQL: Q1-Q5
 # --------------------------------------------------------------------------
@@ -384,6 +397,7 @@ _QUERY_FUNCTIONS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trusted_backfill": q_trusted_backfill,
     "index_scan": q_index_scan,
     "day_segments": q_day_segments,
+    "segments_time_range": q_segments_time_range,
     "external_table_sql": q_external_table_sql,
     "registry_list": q_registry_list,
     "cross_source_daily": q_cross_source_daily,
@@ -528,6 +542,11 @@ _ORACLE_SQL: dict[str, str] = {
         f"SELECT CAST(ten_second_window AS DATE) AS segment_day, count(*) AS n_rows, "
         f"CAST(sum(count_actions) AS BIGINT) AS total_actions FROM ({_TUMBLING}) GROUP BY ALL"
     ),
+    "segments_time_range": (
+        f"SELECT domain, count(*) AS n_windows, CAST(sum(count_actions) AS BIGINT) AS total_actions "
+        f"FROM ({_TUMBLING}) WHERE ten_second_window >= TIMESTAMP '{dtab.RANGE_START}' "
+        f"AND ten_second_window < TIMESTAMP '{dtab.RANGE_END}' GROUP BY ALL"
+    ),
     "external_table_sql": (
         f"SELECT domain, processing_date, CAST(sum(pageviews) AS BIGINT) AS pageviews_7d, count(*) AS n_days "
         f"FROM ({_BACKFILL}) GROUP BY ALL"

@@ -37,6 +37,9 @@ BACKFILL_END = dt.date(2024, 1, 19)
 # A raw reply for run ds holds the days ds-9 … ds (today still partial).
 RAW_REPLY_DAYS = 10
 ALLOWED_EVENT_DOMAINS = ("click", "purchase", "view")
+# A week of the day table, [start, end), for the time-range read.
+RANGE_START = dt.datetime(2024, 1, 8)
+RANGE_END = dt.datetime(2024, 1, 15)
 FIRST_N = 1000
 
 
