@@ -52,3 +52,23 @@ def test_kafka_topic_options():
         "kafka.group.id": "g1",
         "kafka.bootstrap.servers": "k:9092",
     }
+
+
+def test_decode_topic_skip_drops_malformed_records(spark):
+    from tidemark.sinks.segments import to_day_segments
+    from tidemark.sinks.topics import to_text_frames
+    from tidemark.sources.topics import Topic, decode_topic
+
+    texts = [
+        '{"domain": "a", "ten_second_window": "2024-01-01 00:00:10.000", "count_actions": 3}',
+        "not json",
+        None,
+        '{"domain": "b", "ten_second_window": "1704067220000", "count_actions": 1}',
+    ]
+    frames = to_text_frames(spark.createDataFrame([(t,) for t in texts], "value string"), Topic("c"))
+    rows = decode_topic(frames, WINDOW_COUNT, on_error="skip", with_metadata=True).collect()
+    # b's time is epoch-ms text, not the declared timestamp format: malformed
+    assert [r.domain for r in rows] == ["a"] and rows[0].kafka_timestamp is not None
+    day = {r["domain"]: r["__time"] for r in to_day_segments(frames, on_error="skip").collect()}
+    assert day["a"].replace(tzinfo=None) == dt.datetime(2024, 1, 1, 0, 0, 10)
+    assert day["b"].replace(tzinfo=None) == dt.datetime(2024, 1, 1, 0, 0, 20)

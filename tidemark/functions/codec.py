@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.schemas import EVENT_TIME_FORMAT
+from tidemark.schemas import CORRUPT_COLUMN, EVENT_TIME_FORMAT
 
 # Topic payloads carry times as SQL text with milliseconds, UTC.
 JSON_OPTIONS = {"timestampFormat": EVENT_TIME_FORMAT, "timestampNTZFormat": EVENT_TIME_FORMAT}
@@ -17,14 +17,28 @@ def json_value(*cols) -> Column:
     return F.to_json(F.struct(*cols), JSON_OPTIONS).cast("binary")
 
 
-def parse_json_value(col, schema: T.StructType, on_error: str = "fail") -> Column:
-    """Topic ``value`` -> struct by a declared schema.
-
-    Missing fields become null.  ``on_error="fail"`` (the declared-topic
-    default, D5) stops on a malformed record; ``"null"`` yields a null
-    struct instead.
-    """
+def parse_json_value(col, schema: T.StructType) -> Column:
+    """Topic ``value`` -> struct by a declared schema.  Missing fields
+    become null; a malformed record stops the job (FAILFAST, the declared-
+    topic default, D5)."""
     c = F.col(col) if isinstance(col, str) else col
     options = dict(JSON_OPTIONS)
-    options["mode"] = "FAILFAST" if on_error == "fail" else "PERMISSIVE"
+    options["mode"] = "FAILFAST"
     return F.from_json(c.cast("string"), schema, options)
+
+
+def parse_json_or_skip(df: DataFrame, col: str, schema: T.StructType, keep=()) -> DataFrame:
+    """P14 with D5 ``skip``: records that are not JSON (or null) are dropped.
+
+    Malformed text is recognised by the corrupt-record column (PERMISSIVE
+    ``from_json`` returns all-null fields, not a null struct).  The record
+    is parsed once and tested inside a one-element array; the generator
+    keeps later filters from being pushed below the parse, which would parse
+    the text again per predicate.  ``keep`` columns of ``df`` are carried.
+    """
+    with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
+    options = dict(JSON_OPTIONS)
+    options.update({"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN})
+    parsed = F.from_json(F.col(col).cast("string"), with_corrupt, options)
+    ok = F.filter(F.array(parsed), lambda e: e.isNotNull() & e[CORRUPT_COLUMN].isNull())
+    return df.select(*keep, F.inline(ok)).select(*keep, *[f.name for f in schema.fields])

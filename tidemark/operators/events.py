@@ -4,15 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from tidemark.functions.codec import parse_json_or_skip
 from tidemark.functions.labels import namespace_label, user_type_label
 from tidemark.functions.times import epoch_seconds_to_text
-from tidemark.schemas import CORRUPT_COLUMN, EDIT_TYPE, MESSAGE_KIND, RAW_EDIT
-
-_RAW_EDIT_WITH_CORRUPT = T.StructType(
-    RAW_EDIT.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())]
-)
+from tidemark.schemas import EDIT_TYPE, MESSAGE_KIND, RAW_EDIT
 
 
 def parse_raw_edits(df: DataFrame, text_col: str = "value", on_error: str = "skip",
@@ -25,22 +21,12 @@ def parse_raw_edits(df: DataFrame, text_col: str = "value", on_error: str = "ski
     """
     if kind_col is not None:
         df = df.where(F.col(kind_col) == F.lit(MESSAGE_KIND))
-    text = F.col(text_col).cast("string")
     if on_error == "fail":
-        parsed = F.from_json(text, RAW_EDIT, {"mode": "FAILFAST"})
+        parsed = F.from_json(F.col(text_col).cast("string"), RAW_EDIT, {"mode": "FAILFAST"})
         return df.select(parsed.alias("_e")).select("_e.*")
     if on_error != "skip":
         raise ValueError(f"on_error must be 'skip' or 'fail', not {on_error!r}")
-    parsed = F.from_json(
-        text,
-        _RAW_EDIT_WITH_CORRUPT,
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN},
-    )
-    # The record is parsed once and tested inside a one-element array; the
-    # generator keeps later filters (e.g. on ``type``) from being pushed
-    # below the parse, which would re-parse the text once per predicate.
-    kept = F.filter(F.array(parsed), lambda e: e.isNotNull() & e[CORRUPT_COLUMN].isNull())
-    return df.select(F.inline(kept)).select(*[f.name for f in RAW_EDIT.fields])
+    return parse_json_or_skip(df, text_col, RAW_EDIT)
 
 
 def normalise_edits(raw: DataFrame) -> DataFrame:

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.codec import parse_json_value
-from tidemark.functions.times import time_auto, unix_millis_of
+from tidemark.functions.times import time_auto
+from tidemark.sources.topics import decode_topic
 
 # The counts topic payload; the time column is kept as text and typed by
 # detection (ISO text or epoch milliseconds), as the ingestion spec asks.
@@ -22,15 +22,13 @@ COUNT_PAYLOAD = T.StructType(
 
 def to_day_segments(frames: DataFrame, on_error: str = "fail") -> DataFrame:
     """Counts-topic frames -> rows of the day table.  No rollup, times kept
-    unrounded; ``segment_day`` is the partition column."""
-    v = parse_json_value("value", COUNT_PAYLOAD, on_error).alias("_v")
-    rows = frames.select(v, unix_millis_of("timestamp").alias("kafka_timestamp"))
-    if on_error != "fail":
-        rows = rows.where(F.col("_v").isNotNull())
+    unrounded; ``segment_day`` is the partition column.  ``on_error``:
+    ``"fail"`` or ``"skip"`` (malformed records dropped)."""
+    rows = decode_topic(frames, COUNT_PAYLOAD, on_error=on_error, with_metadata=True)
     return rows.select(
-        time_auto(F.col("_v.ten_second_window")).alias("__time"),
-        F.col("_v.count_actions").alias("count_actions"),
-        F.col("_v.domain").alias("domain"),
+        time_auto(F.col("ten_second_window")).alias("__time"),
+        F.col("count_actions"),
+        F.col("domain"),
         F.col("kafka_timestamp"),
     ).withColumn("segment_day", F.to_date("__time"))
 

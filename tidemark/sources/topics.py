@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.codec import parse_json_value
+from tidemark.functions.codec import parse_json_or_skip, parse_json_value
 from tidemark.functions.times import unix_millis_of
 from tidemark.schemas import TOPIC_FRAME
 
@@ -68,13 +68,15 @@ def read_topic(spark: SparkSession, topic: Topic, streaming: bool = False, max_p
 
 def decode_topic(frames: DataFrame, schema: T.StructType, on_error: str = "fail", with_metadata: bool = False) -> DataFrame:
     """JSON ``value`` -> declared columns; with ``with_metadata`` the
-    record timestamp is kept as epoch ms in ``kafka_timestamp``."""
-    parsed = parse_json_value("value", schema, on_error).alias("_v")
-    cols = [parsed]
-    if with_metadata:
-        cols.append(unix_millis_of("timestamp").alias("kafka_timestamp"))
-    out = frames.select(*cols)
+    record timestamp is kept as epoch ms in ``kafka_timestamp``.
+    ``on_error``: ``"fail"`` (D5 default) or ``"skip"``."""
+    meta = [unix_millis_of("timestamp").alias("kafka_timestamp")] if with_metadata else []
+    if on_error == "skip":
+        keep = ["kafka_timestamp"] if with_metadata else []
+        return parse_json_or_skip(frames.select("value", *meta), "value", schema, keep=keep).select(
+            *[f.name for f in schema.fields], *keep
+        )
     if on_error != "fail":
-        out = out.where(F.col("_v").isNotNull())
-    names = [f"_v.{f.name}" for f in schema.fields]
-    return out.select(*names, *(["kafka_timestamp"] if with_metadata else []))
+        raise ValueError(f"on_error must be 'fail' or 'skip', not {on_error!r}")
+    out = frames.select(parse_json_value("value", schema).alias("_v"), *meta)
+    return out.select(*[f"_v.{f.name}" for f in schema.fields], *(["kafka_timestamp"] if with_metadata else []))
