@@ -54,3 +54,16 @@ def test_registry_lists_sources_by_catalog(spark, scratch):
     # one SQL surface across catalogs
     n = spark.sql("SELECT count(*) FROM lake.nation n JOIN olap.region r ON n.n_regionkey = r.r_regionkey").first()[0]
     assert n == 25
+
+
+def test_insert_into_appends_and_overwrite_replaces(spark, scratch):
+    rows = _trusted_rows(spark).where(F.col("processing_date") == F.lit(dt.date(2024, 1, 8)))
+    catalog.create_database(spark, "tm_insert_test", f"{scratch}/db")
+    table = "tm_insert_test.pageviews"
+    catalog.create_trusted_table(spark, table, f"{scratch}/trusted")
+    catalog.insert_run(spark, table, rows, overwrite=False)
+    catalog.insert_run(spark, table, rows, overwrite=False)
+    assert spark.table(table).count() == 2 * rows.count()
+    catalog.insert_run(spark, table, rows, overwrite=True)
+    assert spark.table(table).count() == rows.count()
+    spark.sql(f"DROP TABLE {table}")
