@@ -238,3 +238,13 @@ def test_fanout_as_one_query(spark, scratch):
     index_rows = read_index(spark, f"{scratch}/index").drop("doc_id", "batch_id")
     assert topic_rows.count() > 0
     assert sorted(map(tuple, topic_rows.collect())) == sorted(map(tuple, index_rows.select(*topic_rows.columns).collect()))
+
+
+def test_max_events_only_for_the_normaliser(spark, scratch):
+    import pytest
+
+    from tidemark.streaming import jobs as stream_jobs
+
+    with pytest.raises(SystemExit):
+        stream_jobs.run(["counts", "--events", f"{scratch}/e", "--counts", f"{scratch}/c",
+                         "--checkpoint", f"{scratch}/k", "--max-events", "5"], spark=spark)

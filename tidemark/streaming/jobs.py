@@ -50,6 +50,8 @@ def run(argv=None, spark=None) -> list:
     p.add_argument("--max-events", type=int, default=None,
                    help="normalise: stop after this many published events (G2, per micro-batch)")
     a = p.parse_args(argv)
+    if a.max_events is not None and a.job != "normalise":
+        p.error("--max-events applies to the normalise job only")
     spark = spark or build_session(app_name=f"tidemark-{a.job}", extra=CLUSTER_STREAM_CONF)
     trigger = _trigger(a.trigger)
     if a.job == "normalise":
@@ -69,6 +71,7 @@ def main(argv=None) -> None:
     queries = run(argv)
     max_events = _max_events(argv)
     if max_events is not None:
+        # normalise only (checked in run): stop once that many are published
         ws.stop_after(queries[0], max_events)
     for q in queries:
         q.awaitTermination()
