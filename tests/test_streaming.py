@@ -136,11 +136,11 @@ def test_fanout_and_multi_hop(spark, scratch):
 
 
 def test_index_doc_id_is_deterministic(spark):
-    rows = [("a", _t("00:00:10"), 1), ("a", _t("00:00:20"), 2), (None, _t("00:00:10"), 0)]
+    rows = [("a", _t("00:00:10"), 1), ("a", _t("00:00:20"), 2), (None, _t("00:00:10"), 0), ("", _t("00:00:10"), 4)]
     df = spark.createDataFrame(rows, "domain string, ten_second_window timestamp, count_actions bigint")
     ids1 = [r.doc_id for r in with_doc_id(df).collect()]
     ids2 = [r.doc_id for r in with_doc_id(df).collect()]
-    assert ids1 == ids2 and len(set(ids1)) == 3
+    assert ids1 == ids2 and len(set(ids1)) == 4
 
 
 def test_stream_jobs_command_line(spark, scratch):

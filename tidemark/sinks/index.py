@@ -16,11 +16,9 @@ from tidemark.schemas import EVENT_TIME_FORMAT
 
 
 def with_doc_id(df: DataFrame) -> DataFrame:
-    key = F.concat_ws(
-        "$",
-        F.coalesce(F.col("domain"), F.lit("")),
-        F.date_format("ten_second_window", EVENT_TIME_FORMAT),
-    )
+    # A null domain and an empty one are different documents: tag the value.
+    domain = F.when(F.col("domain").isNull(), F.lit("N")).otherwise(F.concat(F.lit("S"), F.col("domain")))
+    key = F.concat_ws("$", domain, F.date_format("ten_second_window", EVENT_TIME_FORMAT))
     return df.select(F.sha2(key, 256).alias("doc_id"), "domain", "ten_second_window", "count_actions")
 
 
