@@ -21,12 +21,12 @@ def table_glob(sf_dir: str, name: str) -> str:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the cluster has
-    cores (a table stored as one row group is one task).  Used before
-    per-row CPU work such as JSON encoding.  On large inputs the scan already
-    has at least that many splits and this adds nothing."""
+    """Round-robin a scan that is far coarser than the cluster (fewer splits
+    than a quarter of its cores, e.g. a table stored as one row group) before
+    per-row CPU work such as JSON encoding.  A scan with more splits keeps
+    them: the shuffle would cost more than the idle cores."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 4 < cores else df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> DataFrame:
