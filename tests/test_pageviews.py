@@ -209,3 +209,18 @@ def test_trusted_job_reads_json_array_files(spark, scratch):
     jobs.run_cli(["trusted", "--date", "2024-01-15", "--multiline",
                   "--raw-root", f"{scratch}/raw", "--trusted-root", f"{scratch}/trusted"], spark)
     assert spark.read.parquet(f"{scratch}/trusted").count() == 5
+
+
+def test_daily_step_command_line(spark, scratch):
+    """J2 from the command line: replies -> raw -> trusted for one run."""
+    folder = local_path(f"{scratch}/replies")
+    os.makedirs(folder)
+    with open(f"{folder}/part.json", "w") as fh:
+        fh.write(json.dumps({"2024-01-14": {"en.wikipedia": 3, "fr.wikipedia": 2}}) + "\n")
+        fh.write(json.dumps({"2024-01-15": {"en.wikipedia": 9}, "2024-01-01": {"en.wikipedia": 1}}) + "\n")
+    jobs.run_cli(["daily", "--date", "2024-01-15", "--replies", f"{scratch}/replies",
+                  "--raw-root", f"{scratch}/raw", "--trusted-root", f"{scratch}/trusted"], spark)
+    raw = read_raw(spark, f"{scratch}/raw")
+    assert raw.count() == 4
+    out = sorted((r.domain, r.pageviews) for r in spark.read.parquet(f"{scratch}/trusted").collect())
+    assert out == [("en.wikipedia", 3), ("fr.wikipedia", 2)]

@@ -1,6 +1,7 @@
 """Daily batch jobs (J1-J4) with a ``spark-submit`` entry point.
 
-    spark-submit -m tidemark.plans.jobs trusted --date 2024-01-15 \
+    spark-submit --py-files tidemark.zip tidemark/plans/jobs.py daily --date 2024-01-15 \
+        --replies s3a://bucket/replies/2024-01-15 \
         --raw-root s3a://bucket/raw --trusted-root s3a://bucket/trusted
 """
 
@@ -63,7 +64,8 @@ def backfill_from_pageviews(spark: SparkSession, start, end, pageviews: DataFram
 
 def run_cli(argv=None, spark: SparkSession | None = None) -> None:
     p = argparse.ArgumentParser(description="pageview batch jobs")
-    p.add_argument("step", choices=["trusted", "backfill"])
+    p.add_argument("step", choices=["daily", "trusted", "backfill"])
+    p.add_argument("--replies", help="daily: service replies, one JSON object per line")
     p.add_argument("--date", help="run date yyyy-MM-dd (trusted)")
     p.add_argument("--start")
     p.add_argument("--end")
@@ -73,7 +75,10 @@ def run_cli(argv=None, spark: SparkSession | None = None) -> None:
     p.add_argument("--multiline", action="store_true", help="raw files are JSON arrays, one per file")
     a = p.parse_args(argv)
     spark = spark or build_session(app_name=f"tidemark-{a.step}", extra=CLUSTER_BATCH_CONF)
-    if a.step == "trusted":
+    if a.step == "daily":
+        replies = spark.read.text(a.replies).withColumnRenamed("value", "reply")
+        daily_job(spark, a.date, replies, a.raw_root, a.trusted_root, mode=a.mode)
+    elif a.step == "trusted":
         trusted_job(spark, a.date, a.raw_root, a.trusted_root, a.mode, multiline=a.multiline)
     else:
         backfill_from_raw(spark, a.start, a.end, a.raw_root, a.trusted_root)
