@@ -5,10 +5,69 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Up to this ``n`` the plan is a per-partition top-n plus one merge of at
+# most ``n`` rows per partition; above it the cutoff search is used.
+TOP_N_LIMIT = 1_000_000
+_QUANTILE_ACCURACY = 100_000
 
-def first_n(df: DataFrame, n: int, order_col: str = "id") -> DataFrame:
-    """``ORDER BY order_col LIMIT n``: Spark plans it as a per-partition
-    top-n followed by one merge of at most ``n`` rows per partition, so the
-    full table is never sorted or moved.  For streams use
-    ``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger`` with ``availableNow``."""
-    return df.orderBy(F.col(order_col).asc_nulls_last()).limit(n)
+
+def first_n(df: DataFrame, n: int, order_col: str = "id", top_n_limit: int = TOP_N_LIMIT) -> DataFrame:
+    """``ORDER BY order_col LIMIT n`` (nulls last).
+
+    Small ``n``: Spark's top-n (``TakeOrderedAndProject``), which never
+    sorts or moves the whole table.  Large ``n`` (the reference's default
+    budget is ten million events): the ``n``-th key is found with quantile
+    sketches and exact counts, so only scalars reach the driver and no task
+    merges ``n`` rows; the result is a filter on the key.  Among rows tied at
+    the cutoff key, as in SQL, any of them may be taken.
+    For streams use ``streaming.window_stream.stop_after``.
+    """
+    if n <= top_n_limit:
+        return df.orderBy(F.col(order_col).asc_nulls_last()).limit(n)
+    return _first_n_by_cutoff(df, n, order_col, top_n_limit)
+
+
+def _ranks(keys: DataFrame, c, cut) -> tuple[int, int]:
+    """(count of keys < cut, count of keys <= cut) in one pass."""
+    row = keys.agg(
+        F.count(F.when(c < cut, True)).alias("lt"), F.count(F.when(c <= cut, True)).alias("le")
+    ).first()
+    return row.lt, row.le
+
+
+def _kth_key(keys: DataFrame, col: str, k: int, step: int, m: int, max_rounds: int = 12):
+    """The k-th smallest key (1-based) among ``m`` non-null keys: the value
+    ``v`` with ``count(< v) < k <= count(<= v)``.  A tie group holding the
+    k-th rank satisfies this directly, so ties need no special case."""
+    c = F.col(col)
+    cut = keys.agg(F.percentile_approx(c, min(1.0, k / m), _QUANTILE_ACCURACY)).first()[0]
+    for _ in range(max_rounds):
+        lt, le = _ranks(keys, c, cut)
+        if lt < k <= le:
+            return cut
+        if le < k and k - le <= step:
+            # the k-th key is among the next few keys above the cut
+            return keys.where(c > cut).orderBy(c.asc()).limit(k - le).agg(F.max(c)).first()[0]
+        if lt >= k and lt - k + 1 <= step:
+            return keys.where(c < cut).orderBy(c.desc()).limit(lt - k + 1).agg(F.min(c)).first()[0]
+        # narrow the band on the side that holds the k-th key
+        if le < k:
+            band, q = keys.where(c > cut), (k - le) / (m - le)
+        else:
+            band, q = keys.where(c < cut), k / lt
+        cut = band.agg(F.percentile_approx(c, min(1.0, q), _QUANTILE_ACCURACY)).first()[0]
+    raise RuntimeError(f"k-th key search did not converge in {max_rounds} rounds")
+
+
+def _first_n_by_cutoff(df: DataFrame, n: int, col: str, step: int) -> DataFrame:
+    c = F.col(col)
+    keys = df.select(col).where(c.isNotNull())
+    m = keys.count()
+    if n >= m:
+        # every keyed row, then rows without a key up to n
+        return df.where(c.isNotNull()).unionByName(df.where(c.isNull()).limit(n - m))
+    kth = _kth_key(keys, col, n, step, m)
+    below = df.where(c < kth)
+    taken = below.count()
+    # rows tied at the k-th key fill the rest (SQL takes any of them)
+    return below.unionByName(df.where(c == kth).limit(n - taken))
