@@ -305,10 +305,16 @@ def q_external_table_sql(spark, sf_dir):
     table = f"{db}.trusted_pageviews"
     catalog.create_trusted_table(spark, table, f"{base}/trusted")
     catalog.repair_table(spark, table)
-    return spark.sql(
+    result = spark.sql(
         f"SELECT domain, processing_date, sum(pageviews) AS pageviews_7d, count(*) AS n_days "
         f"FROM {table} GROUP BY domain, processing_date"
     )
+    # Keep the answer, not the run's catalog entries: the result is written
+    # to the run's folder and the run's database is dropped (an external
+    # table's files stay where they are).
+    result.write.parquet(f"{base}/result")
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+    return spark.read.schema(result.schema).parquet(f"{base}/result")
 
 
 def q_registry_list(spark, sf_dir):
