@@ -224,3 +224,10 @@ def test_daily_step_command_line(spark, scratch):
     assert raw.count() == 4
     out = sorted((r.domain, r.pageviews) for r in spark.read.parquet(f"{scratch}/trusted").collect())
     assert out == [("en.wikipedia", 3), ("fr.wikipedia", 2)]
+
+
+def test_batch_cli_rejects_missing_arguments(spark, scratch):
+    with pytest.raises(SystemExit):
+        jobs.run_cli(["backfill", "--start", "2024-01-01", "--raw-root", "r", "--trusted-root", "t"], spark)
+    with pytest.raises(SystemExit):
+        jobs.run_cli(["daily", "--date", "2024-01-15", "--raw-root", "r", "--trusted-root", "t"], spark)

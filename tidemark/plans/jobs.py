@@ -66,7 +66,7 @@ def run_cli(argv=None, spark: SparkSession | None = None) -> None:
     p = argparse.ArgumentParser(description="pageview batch jobs")
     p.add_argument("step", choices=["daily", "trusted", "backfill"])
     p.add_argument("--replies", help="daily: service replies, one JSON object per line")
-    p.add_argument("--date", help="run date yyyy-MM-dd (trusted)")
+    p.add_argument("--date", help="run date yyyy-MM-dd (daily, trusted)")
     p.add_argument("--start")
     p.add_argument("--end")
     p.add_argument("--raw-root", required=True)
@@ -74,6 +74,10 @@ def run_cli(argv=None, spark: SparkSession | None = None) -> None:
     p.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
     p.add_argument("--multiline", action="store_true", help="raw files are JSON arrays, one per file")
     a = p.parse_args(argv)
+    needed = {"daily": ["date", "replies"], "trusted": ["date"], "backfill": ["start", "end"]}[a.step]
+    missing = [f"--{name}" for name in needed if getattr(a, name) is None]
+    if missing:
+        p.error(f"{a.step} needs {' '.join(missing)}")
     spark = spark or build_session(app_name=f"tidemark-{a.step}", extra=CLUSTER_BATCH_CONF)
     if a.step == "daily":
         replies = spark.read.text(a.replies).withColumnRenamed("value", "reply")
