@@ -30,6 +30,7 @@ def test_flatten_replies_edges(spark):
         json.dumps({"2024-01-10": {"aa.site": 12, "bb.site": 7}}),
         json.dumps({"2024-01-10": {"cc.site": None}}),
         json.dumps({"2024-01-11": {}}),
+        "not json",
     ]
     df = spark.createDataFrame([(r,) for r in replies], "reply string")
     out = sorted(tuple(r) for r in flatten_replies(df).collect())

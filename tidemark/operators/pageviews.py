@@ -21,8 +21,9 @@ def as_date(ds) -> dt.date:
 def flatten_replies(df: DataFrame, reply_col: str = "reply") -> DataFrame:
     """Date -> domain -> views replies to one row per (date, domain).
 
-    Text replies are decoded first.  Null views are kept; an empty inner map
-    yields no row.  Pure per-row generators: no shuffle.
+    Text replies are decoded first; a reply that is not JSON decodes to
+    null and yields no row (skipped, D5).  Null views are kept; an empty
+    inner map yields no row.  Pure per-row generators: no shuffle.
     """
     reply = F.col(reply_col)
     if dict(df.dtypes)[reply_col] == "string":
