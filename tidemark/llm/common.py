@@ -51,3 +51,39 @@ def worker_cache(name: str) -> dict:
     the tasks it runs share what is costly to set up."""
     module = sys.modules.setdefault("_tidemark_worker_cache", types.ModuleType("_tidemark_worker_cache"))
     return module.__dict__.setdefault(name, {})
+
+
+#: Names of the row-key columns that :func:`keyed` adds.
+ID, KEY_A, KEY_B = "__llm_id", "__llm_a", "__llm_b"
+
+
+def keyed(text_col: str) -> list[Column]:
+    """128 bits of the raw text; with the id they tell rows apart."""
+    text = text_or_empty(text_col)
+    return [F.xxhash64(text).alias(KEY_A), F.xxhash64(F.lit(1), text).alias(KEY_B)]
+
+
+def keep_winners(docs: DataFrame, winners: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` that ``winners`` (ID, KEY_A, KEY_B, copies) names,
+    with all their columns.  The texts are shuffled once, by id, so no group
+    of copies meets in one task.  Of rows that share id and text one stays:
+    the one whose columns, as JSON, hash lowest (an aggregate, combined
+    before the shuffle)."""
+    columns = docs.columns
+    rows = docs.withColumns({ID: col(id_col)}).select("*", *keyed(text_col)).alias("d")
+    w = winners.alias("w")
+    kept = rows.join(
+        w,
+        F.col(f"d.{ID}").eqNullSafe(F.col(f"w.{ID}"))
+        & (F.col(f"d.{KEY_A}") == F.col(f"w.{KEY_A}"))
+        & (F.col(f"d.{KEY_B}") == F.col(f"w.{KEY_B}")),
+    ).select("d.*", "w.copies")
+    whole = F.struct(*[col(c) for c in columns])
+    once = kept.filter(F.col("copies") == 1).select(*[col(c) for c in columns])
+    several = (
+        kept.filter(F.col("copies") > 1)
+        .groupBy(ID, KEY_A, KEY_B)
+        .agg(F.min_by(whole, F.xxhash64(F.to_json(whole))).alias("row"))
+        .select(*[F.col("row")[c].alias(c) for c in columns])
+    )
+    return once.unionByName(several)

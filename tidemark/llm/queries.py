@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import langid
+from tidemark.llm import exact_dedup, langid, simhash
 from tidemark.sources.tables import table_path
 
 
@@ -17,9 +17,34 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_documents(spark, sf_dir))
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_documents(spark, sf_dir))
+
+
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.groups(_documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op8_exact_dedup": op8_exact_dedup,
 }
 
+_OP8 = r"""
+WITH d AS (
+    SELECT doc_id, length(coalesce(text, '')) AS n,
+           regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm
+    FROM documents
+), g AS (
+    SELECT *, count(*) OVER (PARTITION BY norm) AS group_size,
+           first_value(doc_id) OVER (PARTITION BY norm ORDER BY n DESC, doc_id) AS keep_id
+    FROM d
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM g
+""".replace("\\", "\")
+
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_exact_dedup": _OP8,
+}
