@@ -42,7 +42,7 @@ WITH d AS (
     FROM d
 )
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM g
-""".replace("\\", "\")
+"""
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
