@@ -3,9 +3,10 @@ production parameters, to the whole of its table."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, langid, simhash
+from tidemark.llm import bpe, exact_dedup, langid, simhash
 from tidemark.sources.tables import table_path
 
 
@@ -25,10 +26,16 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(_documents(spark, sf_dir))
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.round_trip(_documents(spark, sf_dir), path, public_tokenizers.PATTERN)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 
 _OP8 = r"""
