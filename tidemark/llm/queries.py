@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, exact_dedup, langid, packing, simhash
+from tidemark.llm import bpe, exact_dedup, langid, packing, secret_scan, simhash
 from tidemark.sources.tables import table_path
 
 
@@ -22,6 +22,10 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(_documents(spark, sf_dir))
+
+
 def op6_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(_documents(spark, sf_dir), path, public_tokenizers.PATTERN)
@@ -39,6 +43,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_secret_scan": op4_secret_scan,
     "op6_pattern_packing": op6_pattern_packing,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_byte_bpe": op10_byte_bpe,
