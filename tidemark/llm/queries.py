@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, exact_dedup, langid, packing, secret_scan, simhash
+from tidemark.llm import bpe, exact_dedup, langid, packing, secret_scan, simhash, topk
 from tidemark.sources.tables import table_path
 
 
@@ -18,6 +18,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_documents(spark, sf_dir))
 
 
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(spark.read.parquet(table_path(sf_dir, "embeddings")))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir))
 
@@ -42,6 +46,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_exact_topk": op2_exact_topk,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_secret_scan": op4_secret_scan,
     "op6_pattern_packing": op6_pattern_packing,
@@ -62,7 +67,22 @@ WITH d AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM g
 """
 
+_OP2 = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, x -> x IS NOT NULL AND isfinite(x)))
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+), r AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
+    "op2_exact_topk": _OP2,
     "op8_exact_dedup": _OP8,
 }
