@@ -69,9 +69,9 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 
 _OP2 = """
 WITH v AS (
-    SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+    SELECT vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS v
     FROM embeddings
-    WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, x -> x IS NOT NULL AND isfinite(x)))
+    WHERE embedding IS NOT NULL AND list_bool_and([x IS NOT NULL AND isfinite(x) for x in embedding])
 ), s AS (
     SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
     FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
