@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, exact_dedup, langid, packing, secret_scan, simhash, topk
+from tidemark.llm import bpe, exact_dedup, html_extract, langid, packing, secret_scan, simhash, topk
 from tidemark.sources.tables import table_path
 
 
@@ -39,6 +39,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(_documents(spark, sf_dir))
 
 
+def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(spark.read.parquet(table_path(sf_dir, "pages")))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.round_trip(_documents(spark, sf_dir), path, public_tokenizers.PATTERN)
@@ -51,6 +55,7 @@ QUERIES = {
     "op4_secret_scan": op4_secret_scan,
     "op6_pattern_packing": op6_pattern_packing,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_html_extract": op9_html_extract,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
