@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, exact_dedup, html_extract, langid, packing, secret_scan, simhash, topk
+from tidemark.llm import bpe, exact_dedup, html_extract, langid, packing, pii, secret_scan, simhash, topk
 from tidemark.sources.tables import table_path
 
 
@@ -30,6 +30,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(_documents(spark, sf_dir))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(_documents(spark, sf_dir))
+
+
 def op6_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(_documents(spark, sf_dir), path, public_tokenizers.PATTERN)
@@ -53,6 +57,7 @@ QUERIES = {
     "op2_exact_topk": op2_exact_topk,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_secret_scan": op4_secret_scan,
+    "op5_pii": op5_pii,
     "op6_pattern_packing": op6_pattern_packing,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_html_extract": op9_html_extract,
