@@ -24,6 +24,7 @@ repeated rows each get a row; an empty table gives no rows.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import re
 from collections.abc import Iterator
@@ -41,29 +42,36 @@ from tidemark.llm.common import col, small_batches, text_or_empty, worker_cache
 #: Words contracted in one query, and the length from which one has its own.
 WORDS, LONG = 30_000, 256
 #: Words and text parts that a Python worker remembers.
-CACHED = 200_000
+CACHED = 400_000
 #: A space after something else than white space always begins a new match of
 #: the pattern, so a text may be cut there and its parts treated alone.
 PART = re.compile(r"(?<=\S) ")
 POSITION_BITS = 24
+POSITIONS = (1 << POSITION_BITS) - 1
 
+#: Positions stay dense, so a token's right neighbour is one equality join
+#: away.  A word without a pair left leaves the recursion as ``done``.
 CONTRACT = f"""
 WITH RECURSIVE step AS (
-    SELECT 0 AS round, word, pos, tok FROM start
+    SELECT false AS done, word, pos, tok FROM start
     UNION ALL
-    SELECT round + 1, word, pos,
-           CASE WHEN pos = least & {(1 << POSITION_BITS) - 1} THEN (least >> {POSITION_BITS})::INT ELSE tok END
-    FROM (
-        SELECT *, min(id::BIGINT << {POSITION_BITS} | pos) OVER (PARTITION BY word) AS least
-        FROM (
-            SELECT round, word, pos, tok, lead(tok) OVER o AS mate, lag(pos) OVER o AS before
-            FROM step WINDOW o AS (PARTITION BY word ORDER BY pos)
-        ) LEFT JOIN merges ON l = tok AND r = mate
-    )
-    WHERE least IS NOT NULL AND before IS DISTINCT FROM least & {(1 << POSITION_BITS) - 1}
+    SELECT least IS NULL, t.word,
+           CASE WHEN pos > least & {POSITIONS} THEN pos - 1 ELSE pos END,
+           CASE WHEN pos = least & {POSITIONS} THEN (least >> {POSITION_BITS})::INT ELSE tok END
+    FROM (SELECT word, pos, tok FROM step WHERE NOT done) t
+    LEFT JOIN (
+        SELECT a.word, min(id::BIGINT << {POSITION_BITS} | a.pos) AS least
+        FROM step a
+        JOIN step b ON a.word::BIGINT << {POSITION_BITS} | (a.pos + 1) = b.word::BIGINT << {POSITION_BITS} | b.pos
+        JOIN merges ON l = a.tok AND r = b.tok
+        WHERE NOT a.done AND NOT b.done
+        GROUP BY a.word
+    ) best ON best.word = t.word
+    WHERE least IS NULL OR pos <> (least & {POSITIONS}) + 1
 )
 SELECT word, count(*) AS n, string_agg(tok::VARCHAR, ' ' ORDER BY pos) AS ids, string_agg(text, '' ORDER BY pos) AS decoded
-FROM (SELECT * FROM step QUALIFY round = max(round) OVER (PARTITION BY word)) JOIN vocabulary ON id = tok
+FROM step JOIN vocabulary ON id = tok
+WHERE done
 GROUP BY word
 """
 
@@ -157,24 +165,30 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[tuple[int, str, bytes]]:
         """(number of ids, the ids as text, decoded bytes) of each text."""
-        if len(self.words) > CACHED or len(self.parts) > CACHED:
+        if len(self.words) > CACHED:
             self.words.clear()
+        if len(self.parts) > CACHED:
             self.parts.clear()
-        cut = []
-        for text in texts:
-            first, *rest = PART.split(text) if text else [""]
-            cut.append([first, *(" " + p for p in rest)] if text else [])
-        new = {p: self.pattern.findall(p) for p in {p for parts in cut for p in parts if p not in self.parts}}
-        self.learn(list({w for found in new.values() for w in found if w not in self.words}))
+        cut = [PART.split(text) for text in texts]
+        met = {p for parts in cut for p in parts[1:]}
+        # A part that is not a text's first has its space before it.
+        new = {p: self.pattern.findall(" " + p) for p in met - self.parts.keys()}
+        firsts = [self.pattern.findall(parts[0]) for parts in cut]
+        needed = {w for found in new.values() for w in found}.union(*firsts)
+        self.learn(list(needed - self.words.keys()))
         for part, found in new.items():
-            got = [self.words[w] for w in found]
-            self.parts[part] = (sum(g[0] for g in got), " ".join(g[1] for g in got), b"".join(g[2] for g in got))
-        out = []
-        for parts in cut:
-            got = [self.parts[p] for p in parts]
-            out.append((sum(g[0] for g in got), " ".join([g[1] for g in got]), b"".join([g[2] for g in got])))
-        return out
+            self.parts[part] = self._chain([self.words[w] for w in found])
+        known = self.parts.__getitem__
+        return [
+            self._chain([*(self.words[w] for w in first), *map(known, parts[1:])]) for first, parts in zip(firsts, cut)
+        ]
 
+    @staticmethod
+    def _chain(pieces: list[tuple[int, str, bytes]]) -> tuple[int, str, bytes]:
+        if not pieces:
+            return 0, "", b""
+        counts, ids, decoded = zip(*pieces)
+        return sum(counts), " ".join(ids), b"".join(decoded)
 
     def decode(self, lists: list) -> list[bytes]:
         """The bytes of each list of ids, by ordered aggregation."""
@@ -228,6 +242,7 @@ def round_trip(
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = encoder(path, pattern)
+        gc.disable()  # millions of small tuples and no cycles: reference counts suffice
         for block in _blocks(batches):
             encoded = own.encode(list(block["__llm_text"]))
             out = pd.DataFrame({

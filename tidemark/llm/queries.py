@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, exact_dedup, html_extract, langid, packing, pii, secret_scan, simhash, topk
+from tidemark.llm import bpe, exact_dedup, html_extract, langid, licenses, packing, pii, secret_scan, simhash, topk
 from tidemark.sources.tables import table_path
 
 
@@ -39,6 +39,10 @@ def op6_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), path, public_tokenizers.PATTERN)
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_documents(spark, sf_dir))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(_documents(spark, sf_dir))
 
@@ -59,6 +63,7 @@ QUERIES = {
     "op4_secret_scan": op4_secret_scan,
     "op5_pii": op5_pii,
     "op6_pattern_packing": op6_pattern_packing,
+    "op7_license_scan": op7_license_scan,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_html_extract": op9_html_extract,
     "op10_byte_bpe": op10_byte_bpe,
@@ -77,6 +82,39 @@ WITH d AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM g
 """
 
+
+
+def _canonical_sql(text: str) -> str:
+    out = f"regexp_replace(lower({text}), '{licenses.COPYRIGHT}', ' ', 'g')"
+    for found, same in licenses.SPELLINGS:
+        out = f"regexp_replace({out}, '{found}', '{same.replace('$', chr(92))}', 'g')"
+    return f"trim(regexp_replace({out}, '{licenses.OTHERS}', ' ', 'g'))"
+
+
+def _known_sql() -> str:
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    return ", ".join(f"({quoted(name)}, {quoted(text)})" for name, text in licenses.KNOWN)
+
+
+_OP7 = f"""
+WITH k AS (
+    SELECT {_canonical_sql('text')} AS form, min(licence) AS licence FROM (VALUES {_known_sql()}) v(licence, text) GROUP BY 1
+), u AS (
+    SELECT doc_id, true AS whole, coalesce(text, '') AS unit FROM documents
+    UNION ALL
+    SELECT doc_id, false, unnest(string_split(coalesce(text, ''), chr(10))) FROM documents
+), f AS (
+    SELECT u.doc_id, min(CASE WHEN whole THEN licence END) AS licence, count(*) FILTER (NOT whole) AS n_lines,
+           string_agg(DISTINCT licence, ',' ORDER BY licence) AS licences
+    FROM u JOIN k ON {_canonical_sql('unit')} = form AND form <> ''
+    GROUP BY u.doc_id
+)
+SELECT d.doc_id, f.licence, coalesce(f.n_lines, 0) AS n_lines, coalesce(f.licences, '') AS licences
+FROM documents d LEFT JOIN f USING (doc_id)
+"""
+
 _OP2 = """
 WITH v AS (
     SELECT vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS v
@@ -94,5 +132,6 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_topk": _OP2,
+    "op7_license_scan": _OP7,
     "op8_exact_dedup": _OP8,
 }
