@@ -1,73 +1,110 @@
-"""Bounded run (G2): the first ``n`` events by id."""
+"""Bounded run (G2): the first ``n`` rows by a key."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Up to this ``n`` the plan is a per-partition top-n plus one merge of at
-# most ``n`` rows per partition; above it the cutoff search is used.
-TOP_N_LIMIT = 1_000_000
-_QUANTILE_ACCURACY = 100_000
+#: Classes into which a level's range is cut in one pass.
+CLASSES = 1024
+#: Bytes of a text key that one level compares.
+TEXT_BYTES = 5
 
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
-def first_n(df: DataFrame, n: int, order_col: str = "id", top_n_limit: int = TOP_N_LIMIT) -> DataFrame:
-    """``ORDER BY order_col LIMIT n`` (nulls last).
 
-    Small ``n``: Spark's top-n (``TakeOrderedAndProject``), which never
-    sorts or moves the whole table.  Large ``n`` (the reference's default
-    budget is ten million events): the ``n``-th key is found with quantile
-    sketches and exact counts, so only scalars reach the driver and no task
-    merges ``n`` rows; the result is a filter on the key.  Among rows tied at
-    the cutoff key, as in SQL, any of them may be taken.
-    For streams use ``streaming.window_stream.stop_after``.
-    """
-    if n <= top_n_limit:
-        return df.orderBy(F.col(order_col).asc_nulls_last()).limit(n)
-    return _first_n_by_cutoff(df, n, order_col, top_n_limit)
+def _levels(df: DataFrame, order_col: str) -> list[Column]:
+    """Numbers whose order, one after the other, is the order of the key
+    (nulls last), then a hash of the whole row as the tie-breaker."""
+    c, kind = F.col(order_col), df.schema[order_col].dataType
+    if isinstance(kind, T.StringType):
+        longest = df.agg(F.max(F.octet_length(c))).first()[0] or 0
+        raw = c.cast("binary")
+        key = [
+            # each byte as 1xx in hexadecimal, so that a shorter text is first
+            F.conv(
+                F.rpad(F.regexp_replace(F.hex(F.substring(raw, at + 1, TEXT_BYTES)), "(..)", "1$1"), 3 * TEXT_BYTES, "0"), 16, 10
+            ).cast("long")
+            for at in range(0, longest, TEXT_BYTES)
+        ]
+    elif isinstance(kind, T.TimestampType):
+        key = [F.unix_micros(c)]
+    elif isinstance(kind, T.TimestampNTZType):
+        key = [F.unix_micros(c.cast("timestamp"))]
+    elif isinstance(kind, T.DateType):
+        key = [F.unix_date(c).cast("long")]
+    elif isinstance(kind, T.BooleanType):
+        key = [c.cast("int")]
+    elif isinstance(kind, _INTEGRAL):
+        key = [c.cast("long")]
+    else:
+        key = [c]
+    return [c.isNull().cast("long"), *key, F.xxhash64(F.to_json(F.struct(*df.columns)))]
 
 
-def _ranks(keys: DataFrame, c, cut) -> tuple[int, int]:
-    """(count of keys < cut, count of keys <= cut) in one pass."""
-    row = keys.agg(
-        F.count(F.when(c < cut, True)).alias("lt"), F.count(F.when(c <= cut, True)).alias("le")
-    ).first()
-    return row.lt, row.le
+def _kth(rows: DataFrame, level: Column, k: int):
+    """``(value, rows below it, rows at it)`` of the k-th smallest ``level``.
 
+    Each pass counts the rows in ``CLASSES`` classes of the range that holds
+    the k-th (one aggregate, combined before the shuffle, at most that many
+    rows), and goes on in that class until it holds one value.
+    """
+    values = rows.select(level.alias("x")).where("x IS NOT NULL")
+    below = 0
+    low, high = values.agg(F.min("x"), F.max("x")).first()
+    while True:
+        inside = values.where((F.col("x") >= F.lit(low)) & (F.col("x") <= F.lit(high)))
+        if low == high:
+            return low, below, inside.count()
+        integral = isinstance(low, int) and high - low < 1 << 62
+        place = (F.col("x") - F.lit(low)).cast("double") if integral else F.col("x").cast("double") - F.lit(float(low))
+        width = float(high) - float(low) if not integral else float(high - low)
+        classes = (
+            inside.groupBy(F.least(F.floor(place / F.lit(width) * CLASSES), F.lit(CLASSES - 1)).alias("class"))
+            .agg(F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
+            .orderBy("class").collect()
+        )
+        for own in classes:
+            if below + own["n"] >= k:
+                break
+            below += own["n"]
+        if (own["low"], own["high"]) == (low, high):  # as near as doubles can tell
+            seen = inside.groupBy("x").count().orderBy("x").collect()
+            for x, n in seen:
+                if below + n >= k:
+                    return x, below, n
+                below += n
+        low, high = own["low"], own["high"]
 
-def _kth_key(keys: DataFrame, col: str, k: int, step: int, m: int, max_rounds: int = 12):
-    """The k-th smallest key (1-based) among ``m`` non-null keys: the value
-    ``v`` with ``count(< v) < k <= count(<= v)``.  A tie group holding the
-    k-th rank satisfies this directly, so ties need no special case."""
-    c = F.col(col)
-    cut = keys.agg(F.percentile_approx(c, min(1.0, k / m), _QUANTILE_ACCURACY)).first()[0]
-    for _ in range(max_rounds):
-        lt, le = _ranks(keys, c, cut)
-        if lt < k <= le:
-            return cut
-        if le < k and k - le <= step:
-            # the k-th key is among the next few keys above the cut
-            return keys.where(c > cut).orderBy(c.asc()).limit(k - le).agg(F.max(c)).first()[0]
-        if lt >= k and lt - k + 1 <= step:
-            return keys.where(c < cut).orderBy(c.desc()).limit(lt - k + 1).agg(F.min(c)).first()[0]
-        # narrow the band on the side that holds the k-th key
-        if le < k:
-            band, q = keys.where(c > cut), (k - le) / (m - le)
-        else:
-            band, q = keys.where(c < cut), k / lt
-        cut = band.agg(F.percentile_approx(c, min(1.0, q), _QUANTILE_ACCURACY)).first()[0]
-    raise RuntimeError(f"k-th key search did not converge in {max_rounds} rounds")
 
+def first_n(df: DataFrame, n: int, order_col: str = "id") -> DataFrame:
+    """``ORDER BY order_col LIMIT n`` (nulls last), the same plan for any
+    ``n`` and any size.
 
-def _first_n_by_cutoff(df: DataFrame, n: int, col: str, step: int) -> DataFrame:
-    c = F.col(col)
-    keys = df.select(col).where(c.isNotNull())
-    m = keys.count()
-    if n >= m:
-        # every keyed row, then rows without a key up to n
-        return df.where(c.isNotNull()).unionByName(df.where(c.isNull()).limit(n - m))
-    kth = _kth_key(keys, col, n, step, m)
-    below = df.where(c < kth)
-    taken = below.count()
-    # rows tied at the k-th key fill the rest (SQL takes any of them)
-    return below.unionByName(df.where(c == kth).limit(n - taken))
+    The n-th key is found exactly by class counts on the key alone, so no task
+    merges candidates and only counts reach the driver; the result is a filter
+    on the key.  Rows tied at the n-th key are told apart by a hash of the
+    row; of rows alike in all columns, as many copies as are due are taken.
+    For streams use ``streaming.window_stream.stop_after``.
+    """
+    order = F.col(order_col).asc_nulls_last()
+    if n <= 0:
+        return df.where(F.lit(False))
+    if df.count() <= n:
+        return df.orderBy(order)
+    tied, taken, left = df, F.lit(False), n
+    same = F.lit(True)
+    for level in _levels(df, order_col):
+        if tied.select(level.alias("x")).where("x IS NOT NULL").isEmpty():
+            continue  # a null key has no further levels
+        value, below, here = _kth(tied, level, left)
+        taken = taken | (same & (level < F.lit(value)))
+        same = same & (level == F.lit(value))
+        left -= below
+        tied = df.where(same)
+        if left == here:
+            return df.where(taken | same).orderBy(order)
+    alike = tied.groupBy(*df.columns).agg(F.count("*").alias("__n"))
+    ties = alike.select("*", F.explode(F.sequence(F.lit(1), F.least(F.col("__n"), F.lit(left)).cast("int")))).select(*df.columns)
+    return df.where(taken).unionByName(ties).orderBy(order)
