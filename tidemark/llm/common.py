@@ -54,7 +54,7 @@ def worker_cache(name: str) -> dict:
 
 
 #: Names of the row-key columns that :func:`keyed` adds.
-ID, KEY_A, KEY_B = "__llm_id", "__llm_a", "__llm_b"
+ID, KEY_A, KEY_B, COPIES = "__llm_id", "__llm_a", "__llm_b", "__llm_copies"
 
 
 def keyed(text_col: str) -> list[Column]:
@@ -71,19 +71,19 @@ def keep_winners(docs: DataFrame, winners: DataFrame, id_col: str, text_col: str
     before the shuffle)."""
     columns = docs.columns
     rows = docs.withColumns({ID: col(id_col)}).select("*", *keyed(text_col)).alias("d")
-    w = winners.alias("w")
+    w = winners.withColumnRenamed("copies", COPIES).alias("w")
     kept = rows.join(
         w,
         F.col(f"d.{ID}").eqNullSafe(F.col(f"w.{ID}"))
         & (F.col(f"d.{KEY_A}") == F.col(f"w.{KEY_A}"))
         & (F.col(f"d.{KEY_B}") == F.col(f"w.{KEY_B}")),
-    ).select("d.*", "w.copies")
+    ).select("d.*", f"w.{COPIES}")
     whole = F.struct(*[col(c) for c in columns])
-    once = kept.filter(F.col("copies") == 1).select(*[col(c) for c in columns])
+    once = kept.filter(F.col(COPIES) == 1).select(*[col(c) for c in columns])
     several = (
-        kept.filter(F.col("copies") > 1)
+        kept.filter(F.col(COPIES) > 1)
         .groupBy(ID, KEY_A, KEY_B)
         .agg(F.min_by(whole, F.xxhash64(F.to_json(whole))).alias("row"))
-        .select(*[F.col("row")[c].alias(c) for c in columns])
+        .select(*[F.col("row").getField(c).alias(c) for c in columns])
     )
     return once.unionByName(several)
