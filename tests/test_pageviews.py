@@ -30,10 +30,17 @@ def test_flatten_replies_edges(spark):
         json.dumps({"2024-01-10": {"aa.site": 12, "bb.site": 7}}),
         json.dumps({"2024-01-10": {"cc.site": None}}),
         json.dumps({"2024-01-11": {}}),
+        '{"2024-01-14":{"a":5,"b":"oops"}}',
         "not json",
     ]
     df = spark.createDataFrame([(r,) for r in replies], "reply string")
-    out = sorted(tuple(r) for r in flatten_replies(df).collect())
+    for good in range(3):
+        flatten_replies(df.limit(good)).collect()
+    for bad in replies[3:]:
+        with pytest.raises(Exception):
+            flatten_replies(spark.createDataFrame([(bad,)], "reply string")).collect()
+    out = sorted(tuple(r) for r in flatten_replies(df, on_error="skip").collect())
+    assert out.pop() == ("2024-01-14", "a", 5)
     assert out == [("2024-01-10", "aa.site", 12), ("2024-01-10", "bb.site", 7), ("2024-01-10", "cc.site", None)]
 
 

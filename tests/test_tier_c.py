@@ -48,11 +48,11 @@ def test_histogram_counts_all_rows(spark):
 def test_bounded_broadcast_checks_size(spark):
     nation = spark.read.parquet(f"{SF}/nation.parquet")
     customer = spark.read.parquet(f"{SF}/customer.parquet")
-    small = lookups.lookup_join(customer, nation, customer["c_nationkey"] == nation["n_nationkey"], limit=100)
+    small = lookups.lookup_join(customer, nation, customer["c_nationkey"] == nation["n_nationkey"], max_bytes=1 << 20)
     assert "BroadcastHashJoin" in plan_text(small, "simple")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        big = lookups.lookup_join(customer, nation, customer["c_nationkey"] == nation["n_nationkey"], limit=10)
+        big = lookups.lookup_join(customer, nation, customer["c_nationkey"] == nation["n_nationkey"], max_bytes=10)
         assert "BroadcastHashJoin" not in plan_text(big, "simple")
         assert big.count() == small.count() == customer.count()
     finally:

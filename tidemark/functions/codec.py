@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.schemas import CORRUPT_COLUMN, EVENT_TIME_FORMAT
+from tidemark.schemas import EVENT_TIME_FORMAT
 
 # Topic payloads carry times as SQL text with milliseconds, UTC.
 JSON_OPTIONS = {"timestampFormat": EVENT_TIME_FORMAT, "timestampNTZFormat": EVENT_TIME_FORMAT}
@@ -27,18 +27,23 @@ def parse_json_value(col, schema: T.StructType) -> Column:
     return F.from_json(c.cast("string"), schema, options)
 
 
+def _field(value: Column, path: str, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StructType):
+        return F.struct(*[_field(value, f"{path}['{f.name}']", f.dataType).alias(f.name) for f in kind.fields])
+    return F.try_variant_get(value, path, kind.simpleString())
+
+
 def parse_json_or_skip(df: DataFrame, col: str, schema: T.StructType, keep=()) -> DataFrame:
-    """P14 with D5 ``skip``: records that are not JSON (or null) are dropped.
+    """P14 with D5 ``skip``: records that are not a JSON object (or are null)
+    are dropped, and no others: a field that is missing or of another type
+    than declared is null, and the rest of its record stays.
 
-    Malformed text is recognised by the corrupt-record column (PERMISSIVE
-    ``from_json`` returns all-null fields, not a null struct).  The record
-    is parsed once and tested inside a one-element array; the generator
-    keeps later filters from being pushed below the parse, which would parse
-    the text again per predicate.  ``keep`` columns of ``df`` are carried.
+    The record is parsed once, into a one-element array; the generator keeps
+    later filters from being pushed below the parse, which would parse the
+    text again per predicate.  ``keep`` columns of ``df`` are carried.
     """
-    with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
-    options = dict(JSON_OPTIONS)
-    options.update({"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN})
-    parsed = F.from_json(F.col(col).cast("string"), with_corrupt, options)
-    ok = F.filter(F.array(parsed), lambda e: e.isNotNull() & e[CORRUPT_COLUMN].isNull())
-    return df.select(*keep, F.inline(ok)).select(*keep, *[f.name for f in schema.fields])
+    parsed = F.try_parse_json(F.col(col).cast("string"))
+    ok = F.filter(F.array(parsed), lambda v: v.isNotNull() & F.schema_of_variant(v).startswith("OBJECT"))
+    return df.select(*keep, F.explode(ok).alias("_v")).select(
+        *keep, *[_field(F.col("_v"), f"$['{f.name}']", f.dataType).alias(f.name) for f in schema.fields]
+    )

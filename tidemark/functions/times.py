@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from tidemark.schemas import EVENT_TIME_FORMAT
 
 
+MOST_MILLIS = (2**63 - 1) // 1000
+
+
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
@@ -26,8 +29,11 @@ def time_auto(col) -> Column:
     """A time given either as ISO-8601 text or as epoch milliseconds
     (digits only) -> TIMESTAMP.  Anything else gives null."""
     c = _c(col).cast("string")
+    millis = c.try_cast("bigint")
+    # Beyond this, microseconds don't fit in a timestamp.
+    fits = millis.between(-MOST_MILLIS, MOST_MILLIS)
     return F.when(
-        c.rlike(r"^-?[0-9]+$"), F.timestamp_millis(c.try_cast("bigint"))
+        c.rlike(r"^-?[0-9]+$"), F.timestamp_millis(F.when(fits, millis))
     ).otherwise(F.try_to_timestamp(c))
 
 

@@ -7,23 +7,28 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.codec import parse_json_value
 
-# A lookup side is broadcast only below this many rows (checked, not assumed).
-BROADCAST_ROW_LIMIT = 1_000_000
+#: A lookup side is broadcast only up to this many bytes, as measured.
+BROADCAST_BYTES = 64 << 20
 
 
-def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``limit`` rows.
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of all rows, about as they would stand in memory: the text of
+    each column and 16 bytes beside it.  One aggregate, combined before its
+    shuffle; one number reaches the driver."""
+    width = sum((F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{c}`")))), F.lit(0)) + 16 for c in df.columns), F.lit(0))
+    return df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
 
-    The check reads at most ``limit + 1`` rows.  Above the bound the side
-    is returned unchanged and the join shuffles (AQE may still convert it
-    once real sizes are known).
-    """
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` only if its measured size is at most ``max_bytes``;
+    beyond it the side is returned unchanged and the join shuffles.  The
+    result is the same either way."""
+    return F.broadcast(df) if measured_bytes(df) <= max_bytes else df
 
 
-def lookup_join(df: DataFrame, lookup: DataFrame, on, how: str = "left", limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+def lookup_join(df: DataFrame, lookup: DataFrame, on, how: str = "left", max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Enrich ``df`` with columns of a small dimension at query time."""
-    return df.join(bounded_broadcast(lookup, limit), on=on, how=how)
+    return df.join(bounded_broadcast(lookup, max_bytes), on=on, how=how)
 
 
 def latest_per_key(df: DataFrame, key_col: str, value_cols, order_col: str) -> DataFrame:
@@ -42,12 +47,13 @@ def latest_per_key(df: DataFrame, key_col: str, value_cols, order_col: str) -> D
 
 def latest_from_topic(frames: DataFrame, schema, key_col: str, value_cols) -> DataFrame:
     """C4: a lookup kept current from a topic of updates (JSON values).  The
-    latest update per key wins, ordered by (record time, offset).  Like
-    ``latest_per_key`` this combines map-side before its one shuffle."""
+    latest update per key wins, ordered by record time, then partition and
+    offset where the topic has them, then the value itself, so the order is
+    total.  Like ``latest_per_key`` this combines before its one shuffle."""
     if isinstance(value_cols, str):
         value_cols = [value_cols]
     updates = frames.select(
-        F.struct(F.col("timestamp"), F.coalesce(F.col("offset"), F.lit(0))).alias("_order"),
+        F.struct(F.col("timestamp"), F.col("partition"), F.col("offset"), F.col("value")).alias("_order"),
         parse_json_value("value", schema).alias("_v"),
     ).select("_order", "_v.*")
     return updates.groupBy(key_col).agg(
@@ -55,8 +61,8 @@ def latest_from_topic(frames: DataFrame, schema, key_col: str, value_cols) -> Da
     )
 
 
-def enrich(events: DataFrame, lookup: DataFrame, key_col: str, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+def enrich(events: DataFrame, lookup: DataFrame, key_col: str, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Left join of events (batch or stream) with a lookup table;
     the lookup is broadcast only within the checked bound.  On a stream this
     is a stream-static join: each micro-batch probes the same lookup."""
-    return events.join(bounded_broadcast(lookup, limit), on=key_col, how="left")
+    return events.join(bounded_broadcast(lookup, max_bytes), on=key_col, how="left")

@@ -7,7 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.schemas import PAGEVIEW_REPLY, TRUSTED_LOOKBACK_DAYS
+from tidemark.operators.lookups import BROADCAST_BYTES, bounded_broadcast
+from tidemark.schemas import TRUSTED_LOOKBACK_DAYS
 
 
 def as_date(ds) -> dt.date:
@@ -18,20 +19,31 @@ def as_date(ds) -> dt.date:
     return dt.date.fromisoformat(str(ds))
 
 
-def flatten_replies(df: DataFrame, reply_col: str = "reply") -> DataFrame:
+def flatten_replies(df: DataFrame, reply_col: str = "reply", on_error: str = "fail") -> DataFrame:
     """Date -> domain -> views replies to one row per (date, domain).
 
-    Text replies are decoded first; a reply that is not JSON decodes to
-    null and yields no row (skipped, D5).  Null views are kept; an empty
+    ``on_error="fail"`` (default): a reply that is not such JSON, or a view
+    count that is not a whole number, stops the job, so that a bad reply never
+    looks like a good day.  ``"skip"``: bad replies and bad entries are left
+    out, good entries of the same reply stay.  Null views are kept; an empty
     inner map yields no row.  Pure per-row generators: no shuffle.
     """
+    if on_error not in ("fail", "skip"):
+        raise ValueError(f"on_error must be 'fail' or 'skip', not {on_error!r}")
     reply = F.col(reply_col)
-    if dict(df.dtypes)[reply_col] == "string":
-        reply = F.from_json(reply, PAGEVIEW_REPLY)
-    return (
-        df.select(F.explode(reply).alias("date", "_by_domain"))
-        .select("date", F.explode("_by_domain").alias("domain", "pageviews"))
-    )
+    if dict(df.dtypes)[reply_col] != "string":
+        by_domain = df.select(F.explode(reply).alias("date", "_by_domain"))
+        return by_domain.select("date", F.explode("_by_domain").alias("domain", "pageviews"))
+    days = F.from_json(reply, "map<string,string>", {"mode": "FAILFAST" if on_error == "fail" else "PERMISSIVE"})
+    entries = df.select(F.explode(days).alias("date", "_entries"))
+    by_domain = F.from_json("_entries", "map<string,string>", {"mode": "FAILFAST" if on_error == "fail" else "PERMISSIVE"})
+    flat = entries.select("date", F.explode(by_domain).alias("domain", "_views"))
+    views = F.col("_views").try_cast("bigint")
+    bad = F.col("_views").isNotNull() & views.isNull()
+    if on_error == "skip":
+        return flat.where(~bad).select("date", "domain", views.alias("pageviews"))
+    checked = F.when(bad, F.raise_error(F.concat(F.lit("not a view count: "), F.col("_views"))).cast("bigint")).otherwise(views)
+    return flat.select("date", "domain", checked.alias("pageviews"))
 
 
 def trusted_window(pageview_date: Column, run_date: Column, days: int = TRUSTED_LOOKBACK_DAYS) -> Column:
@@ -42,8 +54,8 @@ def trusted_window(pageview_date: Column, run_date: Column, days: int = TRUSTED_
 def trusted_transform(raw: DataFrame, ds, days: int = TRUSTED_LOOKBACK_DAYS) -> DataFrame:
     """P1-P7 for one run date ``ds``: typed date, 7-day window, run date column.
 
-    Bad date text becomes null (D4) and fails the filter.  The bounds are
-    typed date literals, so Parquet sources receive them as pushed filters.
+    Bad date text becomes null (D4) and fails the filter.  The date is parsed
+    from text, so the filter runs after the scan of the run's partition.
     """
     run = as_date(ds)
     lower = run - dt.timedelta(days=days)
@@ -100,17 +112,15 @@ def explode_run_dates(
     )
 
 
-def allowlist_filter(df: DataFrame, allowed, col: str = "domain", broadcast_limit: int = 100_000) -> DataFrame:
+def allowlist_filter(df: DataFrame, allowed, col: str = "domain", max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Keep rows whose ``col`` is allowed.
 
     A Python list becomes an ``IN`` set (hash probe in generated code).  A
-    DataFrame list becomes a left-semi join, broadcast only after checking
-    that it has at most ``broadcast_limit`` rows; otherwise a shuffled semi
-    join.
+    DataFrame list becomes a left-semi join, broadcast only up to
+    ``max_bytes`` as measured; otherwise a shuffled semi join.
     """
     if isinstance(allowed, DataFrame):
         keys = allowed.select(F.col(allowed.columns[0]).alias("_allowed")).distinct()
-        small = keys.limit(broadcast_limit + 1).count() <= broadcast_limit
-        right = F.broadcast(keys) if small else keys
+        right = bounded_broadcast(keys, max_bytes)
         return df.join(right, df[col] == right["_allowed"], "left_semi")
     return df.where(F.col(col).isin(list(allowed)))

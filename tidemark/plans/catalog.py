@@ -63,6 +63,13 @@ class Source:
     format: str
     path: str
     options: dict = field(default_factory=dict)
+    schema: str | None = None
+    partitions: tuple[str, ...] = ()
+
+
+def _plain(path: str) -> str:
+    """A path without the ways of writing a local scheme."""
+    return re.sub(r"^file:/+", "/", path).rstrip("/")
 
 
 @dataclass
@@ -73,34 +80,50 @@ class SourceRegistry:
 
     sources: list[Source] = field(default_factory=list)
 
-    def add(self, catalog: str, table: str, format: str, path: str, **options) -> "SourceRegistry":
-        self.sources.append(Source(catalog, table, format, path, options))
+    def add(self, catalog: str, table: str, format: str, path: str, schema: str | None = None,
+            partitions: tuple[str, ...] = (), **options) -> "SourceRegistry":
+        """``schema`` is the column list in DDL; without one it is inferred."""
+        self.sources.append(Source(catalog, table, format, path, options, schema, partitions))
         return self
 
     def register(self, spark: SparkSession, db_location_root: str | None = None) -> None:
+        """Create what is missing.  A table that exists stays as it is; one
+        that stands at another location is an error, never dropped."""
         for catalog in sorted({s.catalog for s in self.sources}):
             loc = f"{db_location_root}/{catalog}.db" if db_location_root else None
             create_database(spark, catalog, loc)
         for s in self.sources:
             name = f"{_ident(s.catalog)}.{_ident(s.table)}"
-            opts = "".join(f", {_literal(k)} {_literal(str(v))}" for k, v in s.options.items())
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
+            columns = f" ({s.schema})" if s.schema else ""
+            parts = f" PARTITIONED BY ({', '.join(map(_ident, s.partitions))})" if s.partitions else ""
+            opts = ", ".join(f"{_literal(k)} {_literal(str(v))}" for k, v in s.options.items())
             spark.sql(
-                f"CREATE TABLE {name} USING {s.format} "
-                f"OPTIONS (path {_literal(s.path)}{opts})"
+                f"CREATE TABLE IF NOT EXISTS {name}{columns} USING {s.format}"
+                + (f" OPTIONS ({opts})" if opts else "") + parts + f" LOCATION {_literal(s.path)}"
+            )
+            there = next(
+                r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect() if r["col_name"] == "Location"
             )
+            if _plain(there) != _plain(s.path):
+                raise ValueError(f"{name} already stands at {there}, not at {s.path}")
             # Partition folders already on storage become visible only
             # after discovery (Q2).
             if any(c.isPartition for c in spark.catalog.listColumns(name)):
                 repair_table(spark, name)
 
-    def listing(self, spark: SparkSession) -> DataFrame:
-        """One row per source: catalog, table and its row count."""
+    def listing(self, spark: SparkSession, counts: bool = False) -> DataFrame:
+        """One row per table that the registered catalogs hold, as the catalog
+        lists them; with ``counts`` also its number of rows (a scan)."""
+        found = sorted(
+            {(c, t.name) for c in {s.catalog for s in self.sources} for t in spark.catalog.listTables(c) if not t.isTemporary}
+        )
+        if not counts:
+            return spark.createDataFrame(found, "catalog string, table_name string")
         parts = [
-            spark.table(f"{s.catalog}.{s.table}").agg(F.count(F.lit(1)).alias("n_rows")).select(
-                F.lit(s.catalog).alias("catalog"), F.lit(s.table).alias("table_name"), "n_rows"
+            spark.table(f"{c}.{t}").agg(F.count(F.lit(1)).alias("n_rows")).select(
+                F.lit(c).alias("catalog"), F.lit(t).alias("table_name"), "n_rows"
             )
-            for s in self.sources
+            for c, t in found
         ]
         out = parts[0]
         for p in parts[1:]:

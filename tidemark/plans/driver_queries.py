@@ -8,6 +8,7 @@ the read-back DataFrame.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,16 +22,23 @@ from tidemark.operators import pageviews as pv
 from tidemark.operators.windows import tumbling_count
 from tidemark.plans import catalog, jobs
 from tidemark.plans import driver_tables as dtab
-from tidemark.schemas import DAY_SEGMENT, EDIT_EVENT, NAMESPACE_LABELS, TRUSTED_PAGEVIEW, WINDOW_COUNT
+from tidemark.schemas import (
+    DAY_SEGMENT,
+    EDIT_EVENT,
+    NAMESPACE_LABELS,
+    TRUSTED_PAGEVIEW,
+    TRUSTED_TABLE_DDL,
+    WINDOW_COUNT,
+)
 from tidemark.session import configure, scratch_path
 from tidemark.sinks.index import write_index_batch
 from tidemark.sinks.layers import write_raw
 from tidemark.sinks.segments import to_day_segments, write_segments
-from tidemark.sinks.topics import to_frames
+from tidemark.sinks.topics import to_frames, write_topic
 from tidemark.sources.index import read_index
 from tidemark.sources.rawjson import read_raw, read_raw_run
 from tidemark.sources.segments import read_segments
-from tidemark.sources.tables import read_table, spread, table_glob, table_path
+from tidemark.sources.tables import read_table, table_glob, table_path
 from tidemark.sources.topics import Topic, decode_topic, read_topic
 from tidemark.streaming import window_stream as ws
 from tidemark.streaming.normaliser_stream import start_normaliser
@@ -40,10 +48,13 @@ EVENTS_TOPIC = Topic("edit-events")
 COUNTS_TOPIC = Topic("edit-window-counts")
 
 
-def _events(spark: SparkSession, sf_dir: str, cols=None, per_row_work: bool = False) -> DataFrame:
+#: State partitions of the registered stream replays, fixed by their start.
+STATE_PARTITIONS = 16
+
+
+def _events(spark: SparkSession, sf_dir: str, cols=None) -> DataFrame:
     configure(spark)
-    ev = dtab.events(spark, sf_dir, cols)
-    return spread(ev) if per_row_work else ev
+    return dtab.events(spark, sf_dir, cols)
 
 
 def _window_input(spark: SparkSession, sf_dir: str, domain=None) -> DataFrame:
@@ -59,24 +70,32 @@ def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _edit_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events topic frames: JSON value of the 7-field event; record time =
     the event's full-precision ``ts``."""
-    edits = dtab.edit_events(_events(spark, sf_dir, EVENT_COLS, per_row_work=True), time_as_text=True,
+    edits = dtab.edit_events(_events(spark, sf_dir, EVENT_COLS), time_as_text=True,
                              with_record_time=True)
     return to_frames(edits, EVENTS_TOPIC, value_cols=[f.name for f in EDIT_EVENT.fields],
                      timestamp_col="_record_ts")
 
 
 def _normalised_edits(spark: SparkSession, sf_dir: str, with_broken: bool = True) -> DataFrame:
-    raw = dtab.raw_change_text(_events(spark, sf_dir, EVENT_COLS, per_row_work=True), with_broken=with_broken)
+    raw = dtab.raw_change_text(_events(spark, sf_dir, EVENT_COLS), with_broken=with_broken)
     return edit_ops.normalise_edits(edit_ops.parse_raw_edits(raw, "value", on_error="skip"))
 
 
 def _backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    daily = _daily(spark, sf_dir).withColumnRenamed("day", "pageview_date")
-    return pv.explode_run_dates(daily, dtab.BACKFILL_START, dtab.BACKFILL_END).select(
+    """Every run date since the start that the data have."""
+    daily = _daily(spark, sf_dir)
+    dates = dtab.run_dates(daily) or (dtab.RUN_DATE, dtab.RUN_DATE)
+    return pv.explode_run_dates(daily.withColumnRenamed("day", "pageview_date"), *dates).select(
         "domain", "pageviews", "pageview_date", "processing_date"
     )
 
 
+def _write_backfill(spark: SparkSession, sf_dir: str, root: str) -> None:
+    daily = _daily(spark, sf_dir)
+    dates = dtab.run_dates(daily) or (dtab.RUN_DATE, dtab.RUN_DATE)
+    jobs.backfill_from_pageviews(spark, *dates, daily.withColumnRenamed("day", "pageview_date"), root)
+
+
 # --------------------------------------------------------------------------
 # Window count: T2, G1, P3, P18 (batch) and T1-T4 (stream)
 # --------------------------------------------------------------------------
@@ -106,7 +125,7 @@ def q_stream_replay_closed(spark, sf_dir):
     """Windows the watermark has closed are written once to a Parquet sink
     and read back."""
     out = scratch_path(spark, "stream_replay_closed")
-    with ws.state_partitions(spark):
+    with ws.state_partitions(spark, STATE_PARTITIONS):
         q = ws.start_counts_to_files(_count_stream(spark, sf_dir), f"{out}/table", f"{out}/checkpoint")
     ws.drain(q)
     return ws.to_output_times(spark.read.schema(WINDOW_COUNT).parquet(f"{out}/table"))
@@ -117,7 +136,7 @@ def q_stream_fanout_index(spark, sf_dir):
     two queries; the index is read back (S6)."""
     out = scratch_path(spark, "stream_fanout")
     counts_topic = Topic(COUNTS_TOPIC.name, path=f"{out}/counts")
-    with ws.state_partitions(spark):
+    with ws.state_partitions(spark, STATE_PARTITIONS):
         to_topic, to_index = ws.start_fanout(_count_stream(spark, sf_dir), counts_topic, f"{out}/index",
                                              f"{out}/ckpt")
     ws.drain(to_topic)
@@ -131,7 +150,7 @@ def q_stream_day_segments(spark, sf_dir):
     checkpointed stream; rows per day of the table."""
     out = scratch_path(spark, "stream_segments")
     counts_topic = Topic(COUNTS_TOPIC.name, path=f"{out}/counts")
-    with ws.state_partitions(spark):
+    with ws.state_partitions(spark, STATE_PARTITIONS):
         q = ws.start_counts_to_topic(_count_stream(spark, sf_dir), counts_topic, f"{out}/ckpt/counts")
     ws.drain(q)
     ws.drain(ws.start_day_segments(spark, counts_topic, f"{out}/segments", f"{out}/ckpt/segments"))
@@ -178,7 +197,7 @@ def q_topic_metadata(spark, sf_dir):
 # --------------------------------------------------------------------------
 
 def q_edit_parse_skip_bad(spark, sf_dir):
-    raw = dtab.raw_change_text(_events(spark, sf_dir, EVENT_COLS, per_row_work=True), with_broken=True)
+    raw = dtab.raw_change_text(_events(spark, sf_dir, EVENT_COLS), with_broken=True)
     parsed = edit_ops.parse_raw_edits(raw, "value", on_error="skip")
     return parsed.select("id", "type", F.col("meta.domain").alias("domain"), "namespace", "title",
                          "timestamp", "user", "bot")
@@ -298,8 +317,7 @@ def q_external_table_sql(spark, sf_dir):
     """J3 backfill job writes the trusted layer; Q1 external table over it,
     Q2 partition discovery, Q4 SQL."""
     base = scratch_path(spark, "external_table")
-    daily = _daily(spark, sf_dir).withColumnRenamed("day", "pageview_date")
-    jobs.backfill_from_pageviews(spark, dtab.BACKFILL_START, dtab.BACKFILL_END, daily, f"{base}/trusted")
+    _write_backfill(spark, sf_dir, f"{base}/trusted")
     db = "tidemark_" + base.rsplit("-", 1)[-1]
     catalog.create_database(spark, db, f"{base}/db")
     table = f"{db}.trusted_pageviews"
@@ -323,27 +341,31 @@ def q_registry_list(spark, sf_dir):
     day-segmented table in ``olap``; row count per source."""
     configure(spark)
     base = scratch_path(spark, "registry")
-    daily = _daily(spark, sf_dir).withColumnRenamed("day", "pageview_date")
-    jobs.backfill_from_pageviews(spark, dtab.BACKFILL_START, dtab.BACKFILL_END, daily, f"{base}/trusted")
+    _write_backfill(spark, sf_dir, f"{base}/trusted")
     write_index_batch(tumbling_count(_window_input(spark, sf_dir)), 0, f"{base}/index")
     # The day table is fed from the written index, not from a second count.
     counts = read_index(spark, f"{base}/index").drop("doc_id")
     write_segments(to_day_segments(to_frames(counts, COUNTS_TOPIC, timestamp_col="ten_second_window")),
                    f"{base}/segments")
     reg = catalog.SourceRegistry()
-    reg.add("lake", "events", "parquet", table_path(sf_dir, "events"))
-    reg.add("lake", "trusted_pageviews", "parquet", f"{base}/trusted")
-    reg.add("search", "edit_window_counts", "parquet", f"{base}/index")
-    reg.add("olap", "edit_window_counts", "parquet", f"{base}/segments")
+    run = "_" + base.rsplit("-", 1)[-1]  # catalogs of this run only
+    reg.add(f"lake{run}", "events", "parquet", table_path(sf_dir, "events"))
+    reg.add(f"lake{run}", "trusted_pageviews", "parquet", f"{base}/trusted", TRUSTED_TABLE_DDL, ("processing_date",))
+    reg.add(f"search{run}", "edit_window_counts", "parquet", f"{base}/index")
+    reg.add(f"olap{run}", "edit_window_counts", "parquet", f"{base}/segments")
     reg.register(spark, f"{base}/catalogs")
-    return reg.listing(spark)
+    listed = reg.listing(spark, counts=True).withColumn("catalog", F.regexp_replace("catalog", f"{run}$", ""))
+    listed.write.parquet(f"{base}/listing")
+    for name in ("lake", "search", "olap"):
+        spark.sql(f"DROP DATABASE {name}{run} CASCADE")
+    return spark.read.schema(listed.schema).parquet(f"{base}/listing")
 
 
 def q_cross_source_daily(spark, sf_dir):
     edits = _normalised_edits(spark, sf_dir).select(
         "domain", parse_event_time("createTime").alias("createTime")
     )
-    edit_days = crosssource.daily_edits(tumbling_count(edits))
+    edit_days = crosssource.daily_event_counts(edits)
     views = crosssource.daily_pageviews(_backfill(spark, sf_dir))
     return crosssource.cross_source_daily(edit_days, views)
 
@@ -357,12 +379,63 @@ def q_approx_users(spark, sf_dir):
         F.col("event_type").alias("domain"), F.to_date("ts").alias("day"), "user_id"
     )
     daily = sketches.hll_sketches(ev, ["domain", "day"], "user_id")
-    return sketches.merge_hll(daily, ["domain"], "approx_users")
+    merged = sketches.merge_hll(daily, ["domain"], "approx_users")
+    exact = ev.groupBy("domain").agg(F.count_distinct("user_id").alias("users"))
+    near = F.abs(F.col("approx_users") - F.col("users")) <= F.greatest(F.lit(2), 0.05 * F.col("users"))
+    exact = exact.withColumnRenamed("domain", "_d")
+    return merged.join(exact, F.col("domain").eqNullSafe(F.col("_d"))).select("domain", "users", near.alias("within_bound"))
+
+
+def q_theta_overlap(spark, sf_dir):
+    """C1 set operations: users active on both halves of the day, by event
+    type: exact counts and whether the sketches' are within their bound."""
+    ev = _events(spark, sf_dir, ["event_type", "ts", "user_id"]).select(
+        F.col("event_type").alias("domain"), (F.hour("ts") < 12).alias("early"), "user_id"
+    ).where("domain IS NOT NULL")
+    halves = [sketches.theta_sketches(ev.where(F.col("early") == early), ["domain"], "user_id") for early in (True, False)]
+    seen = ev.groupBy("domain", "user_id").agg(F.max("early").alias("am"), F.min("early").alias("pm"))
+    exact = seen.groupBy("domain").agg(
+        F.count_if(F.col("am") & ~F.col("pm")).alias("in_both"), F.count("user_id").alias("in_either")
+    )
+    joined = sketches.theta_overlap(*halves, "domain").select(
+        "domain", F.col("in_both").alias("_both"), F.col("in_either").alias("_either")
+    ).join(exact, "domain")
+    bound = F.greatest(F.lit(2), 0.05 * F.col("in_either"))
+    near = (F.abs(F.col("_both") - F.col("in_both")) <= bound) & (F.abs(F.col("_either") - F.col("in_either")) <= bound)
+    return joined.select("domain", "in_both", "in_either", near.alias("within_bound"))
+
+
+def q_approx_histogram(spark, sf_dir):
+    """C2 histogram: rows per group, and whether the histogram's heights add
+    up to them."""
+    ev = _events(spark, sf_dir, ["event_type", "value"]).withColumnRenamed("event_type", "domain").where("value IS NOT NULL")
+    histogram = sketches.approx_histogram(ev, ["domain"], "value")
+    total = F.aggregate("histogram", F.lit(0.0), lambda a, b: a + b["y"].cast("double"))
+    exact = ev.groupBy("domain").agg(F.count("*").alias("n_rows"))
+    exact = exact.withColumnRenamed("domain", "_d")
+    return histogram.join(exact, F.col("domain").eqNullSafe(F.col("_d"))).select(
+        "domain", "n_rows", (F.abs(total - F.col("n_rows")) < 1e-6 * F.col("n_rows") + 1e-6).alias("heights_add_up")
+    )
 
 
 def q_approx_quantiles(spark, sf_dir):
     ev = _events(spark, sf_dir, ["event_type", "value"]).withColumnRenamed("event_type", "domain")
-    return sketches.approx_quantiles(ev, ["domain"], "value")
+    found = sketches.approx_quantiles(ev, ["domain"], "value")
+    # Ranks of the approximate quantiles, counted over the whole table.
+    pairs = ev.where("value IS NOT NULL").join(
+        lookups.bounded_broadcast(found.withColumnRenamed("domain", "_d")), F.col("domain").eqNullSafe(F.col("_d"))
+    )
+    names = [("p50", 0.5), ("p90", 0.9), ("p99", 0.99)]
+    counted = pairs.groupBy("domain").agg(
+        F.count("*").alias("n_rows"),
+        *[F.count_if(F.col("value") < F.col(p)).alias(f"lt_{p}") for p, _ in names],
+        *[F.count_if(F.col("value") <= F.col(p)).alias(f"le_{p}") for p, _ in names],
+    )
+    slack = 0.01 * F.col("n_rows") + 1
+    within = [
+        ((F.col(f"lt_{p}") - slack <= q * F.col("n_rows")) & (F.col(f"le_{p}") + slack >= q * F.col("n_rows"))) for p, q in names
+    ]
+    return counted.select("domain", "n_rows", (within[0] & within[1] & within[2]).alias("within_bound"))
 
 
 def q_lookup_join(spark, sf_dir):
@@ -380,6 +453,133 @@ def q_lookup_latest(spark, sf_dir):
     return lookups.latest_per_key(ev, "user_id", "value", "event_id")
 
 
+def q_latest_from_topic(spark, sf_dir):
+    """C4 from a topic of updates: the last value per user by record time,
+    read back from a written topic."""
+    out = scratch_path(spark, "lookup_topic")
+    topic = Topic("user-values", path=out)
+    ev = _events(spark, sf_dir, ["event_id", "ts", "user_id", "value"]).select(
+        "user_id", "event_id", "value", F.timestamp_seconds("event_id").alias("_record_ts")
+    )
+    write_topic(to_frames(ev, topic, value_cols=["user_id", "value"], timestamp_col="_record_ts"), topic)
+    schema = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("value", T.DoubleType())])
+    return lookups.latest_from_topic(read_topic(spark, topic), schema, "user_id", "value")
+
+
+# --------------------------------------------------------------------------
+# Reruns, replays and mixed input
+# --------------------------------------------------------------------------
+
+def q_edit_parse_mixed_types(spark, sf_dir):
+    """S8 on records whose namespace is text for errors and whose time is
+    fractional for signups: valid JSON all the same, so every record stays."""
+    ev = _events(spark, sf_dir, EVENT_COLS)
+    raw = dtab.raw_change_events(ev)
+    text = F.to_json(F.struct(
+        "id", "type", "meta",
+        F.when(F.col("type") == "log", F.lit('"x"')).otherwise(F.col("namespace").cast("string")).alias("namespace"),
+        "title", F.when(F.col("type") == "new", F.col("timestamp") + 0.5).otherwise(F.col("timestamp").cast("double")).alias("timestamp"),
+        "user", "bot",
+    ))
+    parsed = edit_ops.parse_raw_edits(raw.select(text.alias("value")), "value", on_error="skip")
+    return parsed.select("id", "type", F.col("meta.domain").alias("domain"), "timestamp")
+
+
+def q_trusted_empty_rerun(spark, sf_dir):
+    """The daily job for two run dates, then the second again with
+    a service that reports nothing: its rows go, the first day's stay."""
+    base = scratch_path(spark, "empty_rerun")
+    replies = dtab.pageview_replies(_daily(spark, sf_dir))
+    days = (dtab.RUN_DATE, dtab.RUN_DATE + dt.timedelta(days=1))
+    for day in days:
+        jobs.daily_job(spark, day, replies, f"{base}/raw", f"{base}/trusted", domains=None)
+    jobs.daily_job(spark, days[1], spark.createDataFrame([("{}",)], "reply string"), f"{base}/raw", f"{base}/trusted", domains=None)
+    return spark.read.schema(TRUSTED_PAGEVIEW).parquet(f"{base}/trusted")
+
+
+def q_daily_job(spark, sf_dir):
+    """Raw, then trusted, for one run date, from the service's replies."""
+    base = scratch_path(spark, "daily_job")
+    replies = dtab.pageview_replies(_daily(spark, sf_dir))
+    jobs.daily_job(spark, dtab.RUN_DATE, replies, f"{base}/raw", f"{base}/trusted", domains=list(dtab.ALLOWED_EVENT_DOMAINS))
+    return spark.read.schema(TRUSTED_PAGEVIEW).parquet(f"{base}/trusted")
+
+
+def q_backfill_from_raw(spark, sf_dir):
+    """J3 (a): every run date of the raw layer in one job."""
+    base = scratch_path(spark, "backfill_raw")
+    daily = _daily(spark, sf_dir)
+    write_raw(dtab.raw_layer_records(daily), f"{base}/raw")
+    dates = dtab.run_dates(daily) or (dtab.RUN_DATE, dtab.RUN_DATE)
+    jobs.backfill_from_raw(spark, *dates, f"{base}/raw", f"{base}/trusted")
+    return spark.read.schema(TRUSTED_PAGEVIEW).parquet(f"{base}/trusted")
+
+
+def q_insert_run(spark, sf_dir):
+    """INSERT INTO, then INSERT OVERWRITE of the same run: one copy."""
+    base = scratch_path(spark, "insert_run")
+    db = "tidemark_" + base.rsplit("-", 1)[-1]
+    catalog.create_database(spark, db, f"{base}/db")
+    table = f"{db}.trusted_pageviews"
+    catalog.create_trusted_table(spark, table, f"{base}/trusted")
+    rows = pv.trusted_transform(dtab.flat_raw_records(_daily(spark, sf_dir)), dtab.RUN_DATE)
+    catalog.insert_run(spark, table, rows, overwrite=False)
+    catalog.insert_run(spark, table, rows, overwrite=True)
+    result = spark.table(table)
+    result.write.parquet(f"{base}/result")
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+    return spark.read.schema(result.schema).parquet(f"{base}/result")
+
+
+def q_raw_json_array_scan(spark, sf_dir):
+    """S1 in the collector's own form: each file one JSON array over lines."""
+    root = scratch_path(spark, "raw_arrays")
+    record = F.to_json(F.struct("date", "domain", "pageviews"))
+    files = dtab.raw_layer_records(_daily(spark, sf_dir)).groupBy("processing_date", F.col("date")).agg(
+        F.concat(F.lit("[\n"), F.array_join(F.collect_list(record), ",\n"), F.lit("\n]")).alias("value")
+    )
+    # One row, and so one array, in each file.
+    files.select("value", "processing_date").write.option("maxRecordsPerFile", 1).partitionBy("processing_date").text(root)
+    return read_raw(spark, root, multiline=True)
+
+
+def q_index_replay(spark, sf_dir):
+    """K4: the same windows indexed by two writers with other batches: one
+    document per id all the same."""
+    target = scratch_path(spark, "index_replay")
+    counts = tumbling_count(_window_input(spark, sf_dir))
+    write_index_batch(counts, 0, target, load_id="first")
+    write_index_batch(counts.where("count_actions > 1"), 0, target, load_id="second")
+    write_index_batch(counts.where("count_actions <= 1"), 1, target, load_id="second")
+    write_index_batch(counts.where("count_actions <= 1"), 1, target, load_id="second")
+    return read_index(spark, target).select("domain", "ten_second_window", "count_actions").withColumn(
+        "ten_second_window", to_ntz("ten_second_window")
+    )
+
+
+def q_stream_late_drop(spark, sf_dir):
+    """T5 over two data batches: the later half of the days first, then the
+    earlier half, whose windows the watermark has closed: all late."""
+    base = scratch_path(spark, "late_drop")
+    ev = _events(spark, sf_dir, ["event_type", "ts"])
+    low, high = ev.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    if low is None:
+        return spark.createDataFrame([], WINDOW_COUNT)
+    middle = low + dt.timedelta(days=(high - low).days // 2)
+    rows = ev.select(F.col("event_type").alias("domain"), F.col("ts").alias("createTime"))
+    later = F.to_date("createTime") >= F.lit(middle)
+    # Two folders, read as one stream each in turn by one checkpointed query.
+    rows.where(later).write.parquet(f"{base}/in/k=0")
+    with ws.state_partitions(spark, STATE_PARTITIONS):
+        for k, part in enumerate((None, rows.where(~later))):
+            if part is not None:
+                part.write.parquet(f"{base}/in/k={k}")
+            stream = spark.readStream.schema(rows.schema).parquet(f"{base}/in/k=*")
+            q = ws.start_counts_to_files(ws.window_counts(stream), f"{base}/table", f"{base}/checkpoint")
+            ws.drain(q)
+    return ws.to_output_times(spark.read.schema(WINDOW_COUNT).parquet(f"{base}/table"))
+
+
 _QUERY_FUNCTIONS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tumbling_count": q_tumbling_count,
     "tumbling_count_null_key": q_tumbling_count_null_key,
@@ -411,6 +611,17 @@ _QUERY_FUNCTIONS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "approx_quantiles": q_approx_quantiles,
     "lookup_join": q_lookup_join,
     "lookup_latest": q_lookup_latest,
+    "latest_from_topic": q_latest_from_topic,
+    "theta_overlap": q_theta_overlap,
+    "approx_histogram": q_approx_histogram,
+    "edit_parse_mixed_types": q_edit_parse_mixed_types,
+    "trusted_empty_rerun": q_trusted_empty_rerun,
+    "daily_job": q_daily_job,
+    "backfill_from_raw": q_backfill_from_raw,
+    "insert_run": q_insert_run,
+    "raw_json_array_scan": q_raw_json_array_scan,
+    "index_replay": q_index_replay,
+    "stream_late_drop": q_stream_late_drop,
 }
 
 # Day columns of the registered results.  They are handed to the comparison
@@ -428,6 +639,11 @@ DAY_COLUMNS: dict[str, tuple[str, ...]] = {
     "stream_day_segments": ("segment_day",),
     "external_table_sql": ("processing_date",),
     "cross_source_daily": ("day",),
+    "trusted_empty_rerun": ("pageview_date", "processing_date"),
+    "daily_job": ("pageview_date", "processing_date"),
+    "backfill_from_raw": ("pageview_date", "processing_date"),
+    "insert_run": ("pageview_date", "processing_date"),
+    "raw_json_array_scan": ("processing_date",),
 }
 
 
@@ -476,8 +692,7 @@ _DAILY = "SELECT CAST(ts AS DATE) AS day, event_type AS domain, count(*) AS page
 _RUN = dtab.RUN_DATE.isoformat()
 _BACKFILL = (
     f"SELECT domain, pageviews, day AS pageview_date, CAST(day + CAST(k AS INTEGER) AS DATE) AS processing_date "
-    f"FROM (SELECT *, unnest(range(1, 8)) AS k FROM ({_DAILY})) "
-    f"WHERE day + CAST(k AS INTEGER) BETWEEN DATE '{dtab.BACKFILL_START}' AND DATE '{dtab.BACKFILL_END}'"
+    f"FROM (SELECT *, unnest(range(1, 8)) AS k FROM ({_DAILY}))"
 )
 _RAW_LAYER = (
     f"SELECT strftime(day, '%Y-%m-%d') AS date, domain, pageviews, "
@@ -534,7 +749,7 @@ _ORACLE_SQL: dict[str, str] = {
         f"SELECT event_id AS id, event_type AS domain, ts AS createTime, CAST(user_id AS VARCHAR) AS user_name "
         f"FROM events ORDER BY event_id LIMIT {dtab.FIRST_N}"
     ),
-    "pageviews_flatten": f"SELECT strftime(day, '%Y-%m-%d') AS date, domain, pageviews FROM ({_DAILY})",
+    "pageviews_flatten": f"SELECT strftime(day, '%Y-%m-%d') AS date, domain, pageviews FROM ({_DAILY}) WHERE domain IS NOT NULL",
     "domain_allowlist": (
         f"SELECT strftime(day, '%Y-%m-%d') AS date, domain, pageviews FROM ({_DAILY}) WHERE domain IN ({_ALLOWED})"
     ),
@@ -568,16 +783,44 @@ _ORACLE_SQL: dict[str, str] = {
     "cross_source_daily": (
         f"WITH e AS (SELECT event_type AS domain, CAST(ts AS DATE) AS day, count(*) AS edits FROM events "
         f"WHERE {_RAW_KIND} = 'edit' GROUP BY ALL), "
-        f"p AS (SELECT DISTINCT domain, pageview_date AS day, pageviews FROM ({_BACKFILL})) "
-        f"SELECT p.domain AS domain, p.day AS day, coalesce(e.edits, 0) AS edits, p.pageviews AS pageviews, "
+        f"p AS ({_DAILY}) "
+        f"SELECT coalesce(p.domain, e.domain) AS domain, coalesce(p.day, e.day) AS day, "
+        f"coalesce(e.edits, 0) AS edits, p.pageviews AS pageviews, "
         f"CASE WHEN p.pageviews > 0 THEN CAST(coalesce(e.edits, 0) AS DOUBLE) / p.pageviews END AS edit_ratio "
-        f"FROM p LEFT JOIN e ON e.domain = p.domain AND e.day = p.day"
+        f"FROM p FULL JOIN e ON e.domain = p.domain AND e.day = p.day"
     ),
     "lookup_join": (
         "SELECT c_custkey, c_name, n_name, r_name FROM customer "
         "LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey"
     ),
     "lookup_latest": "SELECT user_id, arg_max(value, event_id) AS value FROM events GROUP BY user_id",
+    "latest_from_topic": "SELECT user_id, arg_max(value, event_id) AS value FROM events GROUP BY user_id",
+    "approx_users": "SELECT event_type AS domain, count(DISTINCT user_id) AS users, true AS within_bound FROM events GROUP BY 1",
+    "approx_quantiles": (
+        "SELECT event_type AS domain, count(*) AS n_rows, true AS within_bound FROM events WHERE value IS NOT NULL GROUP BY 1"
+    ),
+    "approx_histogram": (
+        "SELECT event_type AS domain, count(*) AS n_rows, true AS heights_add_up FROM events WHERE value IS NOT NULL GROUP BY 1"
+    ),
+    "theta_overlap": (
+        "SELECT domain, count(*) FILTER (am AND pm) AS in_both, count(user_id) AS in_either, true AS within_bound FROM ("
+        "SELECT event_type AS domain, user_id, bool_or(hour(ts) < 12) AS am, bool_or(hour(ts) >= 12) AS pm "
+        "FROM events WHERE event_type IS NOT NULL GROUP BY ALL) GROUP BY domain"
+    ),
+    "edit_parse_mixed_types": (
+        f"SELECT event_id AS id, {_RAW_KIND} AS type, event_type || '.org' AS domain, "
+        f"epoch_us(ts) // 1000000 AS \"timestamp\" FROM events"
+    ),
+    "trusted_empty_rerun": _TRUSTED,
+    "daily_job": f"SELECT * FROM ({_TRUSTED}) WHERE domain IN ({_ALLOWED})",
+    "backfill_from_raw": _BACKFILL,
+    "insert_run": _TRUSTED,
+    "raw_json_array_scan": _RAW_LAYER,
+    "index_replay": _TUMBLING,
+    "stream_late_drop": (
+        f"SELECT * FROM ({_CLOSED}) WHERE ten_second_window - INTERVAL 10 SECOND >= "
+        f"(SELECT CAST(min(CAST(ts AS DATE)) + CAST((max(CAST(ts AS DATE)) - min(CAST(ts AS DATE))) // 2 AS INTEGER) AS DATE) FROM events)"
+    ),
 }
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.labels import namespace_label
 from tidemark.functions.times import unix_millis_of
 from tidemark.operators.pageviews import as_date
-from tidemark.schemas import EVENT_TIME_FORMAT, USER_TYPE_BOT, USER_TYPE_HUMAN
+from tidemark.schemas import EVENT_TIME_FORMAT, TRUSTED_LOOKBACK_DAYS, USER_TYPE_BOT, USER_TYPE_HUMAN
 from tidemark.sources.tables import read_table
 
 # Derivation rules for the fields ``events`` lacks.
@@ -32,8 +32,6 @@ ISO_TIME_EVENT_TYPES = ("click", "signup", "view")
 
 # Run parameters of the registered queries.
 RUN_DATE = dt.date(2024, 1, 15)
-BACKFILL_START = dt.date(2024, 1, 10)
-BACKFILL_END = dt.date(2024, 1, 19)
 # A raw reply for run ds holds the days ds-9 … ds (today still partial).
 RAW_REPLY_DAYS = 10
 ALLOWED_EVENT_DOMAINS = ("click", "purchase", "view")
@@ -128,7 +126,7 @@ def pageview_replies(daily: DataFrame, entries_per_reply: int = 1000) -> DataFra
     slices = daily.groupBy("day").agg(
         F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(entries_per_reply))).alias("_slices")
     )
-    keyed = daily.join(slices, on="day").withColumn(
+    keyed = daily.where("domain IS NOT NULL").join(slices, on="day").withColumn(
         "_slice", F.pmod(F.xxhash64("domain"), F.col("_slices"))
     )
     return (
@@ -167,5 +165,12 @@ def event_time_text(ev: DataFrame) -> DataFrame:
     )
 
 
+def run_dates(daily: DataFrame) -> tuple[dt.date, dt.date] | None:
+    """First and last run date that a backfill since the start has: the day
+    after the first day with pageviews, to the last that still sees one."""
+    first, last = daily.agg(F.min("day"), F.max("day")).first()
+    return None if first is None else (first + dt.timedelta(days=1), last + dt.timedelta(days=TRUSTED_LOOKBACK_DAYS))
+
+
 def run_date() -> dt.date:
     return as_date(RUN_DATE)

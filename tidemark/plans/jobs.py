@@ -8,28 +8,40 @@
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.pageviews import (
+    allowlist_filter,
     as_date,
     explode_run_dates,
     flatten_replies,
     trusted_from_raw_root,
     trusted_transform,
 )
+from tidemark.schemas import PAGEVIEW_DOMAINS
 from tidemark.session import CLUSTER_BATCH_CONF, build_session, configure
 from tidemark.sinks.layers import write_raw, write_trusted
 from tidemark.sources.rawjson import read_raw, read_raw_run
 
 
-def raw_job(spark: SparkSession, ds, replies: DataFrame, raw_root: str, reply_col: str = "reply") -> None:
-    """J1 raw step: service replies for run ``ds`` -> flat records under
-    ``processing_date=ds``; a rerun replaces that folder (K1)."""
+def _dates(start, end) -> list[dt.date]:
+    first, last = as_date(start), as_date(end)
+    return [first + dt.timedelta(days=k) for k in range((last - first).days + 1)]
+
+
+def raw_job(spark: SparkSession, ds, replies: DataFrame, raw_root: str, reply_col: str = "reply",
+            domains=PAGEVIEW_DOMAINS, on_error: str = "fail") -> None:
+    """J1 raw step: service replies for run ``ds`` -> flat records of the
+    collected domains (P17; ``None``: all) under ``processing_date=ds``; a
+    rerun replaces that folder, even with nothing (K1)."""
     configure(spark)
-    records = flatten_replies(replies, reply_col).withColumn("processing_date", F.lit(as_date(ds)))
-    write_raw(records, raw_root)
+    records = flatten_replies(replies, reply_col, on_error)
+    if domains is not None:
+        records = allowlist_filter(records, domains)
+    write_raw(records.withColumn("processing_date", F.lit(as_date(ds))), raw_root, runs=[as_date(ds)])
 
 
 def trusted_job(spark: SparkSession, ds, raw_root: str, trusted_root: str, mode: str = "overwrite",
@@ -39,12 +51,13 @@ def trusted_job(spark: SparkSession, ds, raw_root: str, trusted_root: str, mode:
     retry (J4)."""
     configure(spark)
     raw = read_raw_run(spark, raw_root, ds, multiline=multiline).drop("processing_date")
-    write_trusted(trusted_transform(raw, ds), trusted_root, mode=mode)
+    write_trusted(trusted_transform(raw, ds), trusted_root, mode=mode, runs=[as_date(ds)])
 
 
-def daily_job(spark: SparkSession, ds, replies: DataFrame, raw_root: str, trusted_root: str, **kw) -> None:
+def daily_job(spark: SparkSession, ds, replies: DataFrame, raw_root: str, trusted_root: str,
+              domains=PAGEVIEW_DOMAINS, on_error: str = "fail", **kw) -> None:
     """Raw, then trusted, for one run date."""
-    raw_job(spark, ds, replies, raw_root)
+    raw_job(spark, ds, replies, raw_root, domains=domains, on_error=on_error)
     trusted_job(spark, ds, raw_root, trusted_root, **kw)
 
 
@@ -52,36 +65,42 @@ def backfill_from_raw(spark: SparkSession, start, end, raw_root: str, trusted_ro
     """J3 (a): every run date in [start, end] in one job from the raw root."""
     configure(spark)
     rows = trusted_from_raw_root(read_raw(spark, raw_root), start, end)
-    write_trusted(rows, trusted_root)
+    write_trusted(rows, trusted_root, runs=_dates(start, end))
 
 
 def backfill_from_pageviews(spark: SparkSession, start, end, pageviews: DataFrame, trusted_root: str) -> None:
     """J3 (b): every run date in [start, end] from one pageview table
     (columns domain, pageviews, pageview_date)."""
     configure(spark)
-    write_trusted(explode_run_dates(pageviews, start, end), trusted_root)
+    write_trusted(explode_run_dates(pageviews, start, end), trusted_root, runs=_dates(start, end))
 
 
 def run_cli(argv=None, spark: SparkSession | None = None) -> None:
     p = argparse.ArgumentParser(description="pageview batch jobs")
-    p.add_argument("step", choices=["daily", "trusted", "backfill"])
-    p.add_argument("--replies", help="daily: service replies, one JSON object per line")
-    p.add_argument("--date", help="run date yyyy-MM-dd (daily, trusted)")
+    p.add_argument("step", choices=["raw", "daily", "trusted", "backfill"])
+    p.add_argument("--replies", help="raw, daily: service replies, one JSON object per line")
+    p.add_argument("--date", help="run date yyyy-MM-dd (raw, daily, trusted)")
     p.add_argument("--start")
     p.add_argument("--end")
     p.add_argument("--raw-root", required=True)
     p.add_argument("--trusted-root", required=True)
     p.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
     p.add_argument("--multiline", action="store_true", help="raw files are JSON arrays, one per file")
+    p.add_argument("--domains", nargs="*", help="raw, daily: domains to collect (default: the fixed list)")
+    p.add_argument("--on-error", default="fail", choices=["fail", "skip"], help="raw, daily: bad replies and entries")
     a = p.parse_args(argv)
-    needed = {"daily": ["date", "replies"], "trusted": ["date"], "backfill": ["start", "end"]}[a.step]
+    needed = {"raw": ["date", "replies"], "daily": ["date", "replies"], "trusted": ["date"], "backfill": ["start", "end"]}[a.step]
     missing = [f"--{name}" for name in needed if getattr(a, name) is None]
     if missing:
         p.error(f"{a.step} needs {' '.join(missing)}")
     spark = spark or build_session(app_name=f"tidemark-{a.step}", extra=CLUSTER_BATCH_CONF)
-    if a.step == "daily":
+    domains = PAGEVIEW_DOMAINS if a.domains is None else a.domains
+    if a.step in ("raw", "daily"):
         replies = spark.read.text(a.replies).withColumnRenamed("value", "reply")
-        daily_job(spark, a.date, replies, a.raw_root, a.trusted_root, mode=a.mode)
+        if a.step == "raw":
+            raw_job(spark, a.date, replies, a.raw_root, domains=domains, on_error=a.on_error)
+        else:
+            daily_job(spark, a.date, replies, a.raw_root, a.trusted_root, domains, a.on_error, mode=a.mode)
     elif a.step == "trusted":
         trusted_job(spark, a.date, a.raw_root, a.trusted_root, a.mode, multiline=a.multiline)
     else:

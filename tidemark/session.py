@@ -1,8 +1,8 @@
 """Session settings and the shared scratch area.
 
-Every job and query calls :func:`configure` on the session it is given.  Only
-runtime SQL settings are touched there, so a session built by a cluster
-launcher keeps its executor, memory and checkpoint configuration.
+Every job and query calls :func:`configure` on the session it is given.  It
+sets runtime SQL settings that the session's owner has not set, so a session
+built by a cluster launcher keeps its own configuration.
 
 Scratch output (stream checkpoints, written tables, read-back copies) lives
 under the folder the cluster names in ``spark.checkpoint.dir``.  Only when the
@@ -14,6 +14,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings every entry point relies on.
@@ -37,6 +38,9 @@ RUNTIME_CONF = {
 }
 
 
+#: Session setting that says the defaults have been applied.
+APPLIED = "spark.tidemark.configured"
+
 # Starting points for a large cluster, used by the batch job entry points.
 # AQE starts from many shuffle partitions and coalesces them toward the
 # advisory size, so one setting serves a small day and a 100 TB backfill;
@@ -49,18 +53,27 @@ CLUSTER_BATCH_CONF = {
 }
 
 # Stream jobs: the number of state partitions is the shuffle partition count
-# at the first start of a checkpoint and cannot change later.  The state
-# (open windows per domain) is small, so a modest fixed number is used.
+# at the first start of a checkpoint and cannot change later, so a fixed
+# number is used.  State lives in RocksDB on the executors' disks, with its
+# changes in the checkpoint, so a large replay doesn't have to fit in memory.
 CLUSTER_STREAM_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.shuffle.partitions": "400",
     "spark.sql.files.maxPartitionBytes": "256m",
 }
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    for key, value in RUNTIME_CONF.items():
-        if spark.conf.get(key, None) != value:
-            spark.conf.set(key, value)
+    """Defaults for a session that others made.  What was set when it was
+    started (``--conf``) stays, and what is changed afterwards too: the
+    defaults are applied once per session."""
+    if spark.conf.get(APPLIED, None) is None:
+        given = spark.sparkContext.getConf()
+        for key, value in RUNTIME_CONF.items():
+            if not given.contains(key):
+                spark.conf.set(key, value)
+        spark.conf.set(APPLIED, "true")
     return spark
 
 
@@ -71,28 +84,20 @@ def build_session(
     extra: dict | None = None,
 ) -> SparkSession:
     """Session for jobs and tests.  On a cluster, leave ``master`` unset and
-    let spark-submit supply it."""
+    let spark-submit supply it.  ``extra`` holds defaults as well: a setting
+    given to spark-submit with ``--conf`` comes first."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(RUNTIME_CONF)
-    conf.update(
-        {
-            "spark.ui.enabled": "false",
-            "spark.ui.showConsoleProgress": "false",
-            # Stream state is bounded by the watermark: about two open
-            # 10 s windows per domain.  The default state store keeps that
-            # in memory; for a very large key space pass
-            # spark.sql.streaming.stateStore.providerClass =
-            # org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider
-            # in ``extra``.
-        }
-    )
+    conf.update({"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
+    given = SparkConf()
     for key, value in conf.items():
-        builder = builder.config(key, value)
+        if not given.contains(key):
+            builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
     return configure(spark)

@@ -3,8 +3,9 @@
 Streams write through ``foreachBatch``.  Every document gets a
 deterministic id ``sha2(domain $ window end)`` so a replayed micro-batch
 rewrites the same documents instead of adding copies.  The local form keeps
-one Parquet partition per micro-batch (``batch_id``) and overwrites it on
-replay; an external index format receives the id as its document key.
+one Parquet partition per writer and micro-batch and overwrites it on replay;
+its reader folds documents by id.  An external index format receives the id as
+its document key.
 """
 
 from __future__ import annotations
@@ -22,14 +23,20 @@ def with_doc_id(df: DataFrame) -> DataFrame:
     return df.select(F.sha2(key, 256).alias("doc_id"), "domain", "ten_second_window", "count_actions")
 
 
-def write_index_batch(df: DataFrame, batch_id: int, target: str, format: str = "parquet", options: dict | None = None) -> None:
+def write_index_batch(df: DataFrame, batch_id: int, target: str, format: str = "parquet", options: dict | None = None,
+                      load_id: str = "batch") -> None:
+    """``load_id`` names the writer (a stream's own id, which its checkpoint
+    keeps): a replayed micro-batch replaces itself, and batches of another
+    checkpoint are never taken for it."""
     docs = with_doc_id(df)
     if format == "parquet":
         (
-            docs.withColumn("batch_id", F.lit(batch_id))
+            docs.withColumns({
+                "written_at": F.current_timestamp(), "load_id": F.lit(load_id), "batch_id": F.lit(batch_id).cast("bigint")
+            })
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
+            .partitionBy("load_id", "batch_id")
             .parquet(target)
         )
     else:
@@ -48,6 +55,7 @@ def index_writer(target: str, format: str = "parquet", options: dict | None = No
     """The ``foreachBatch`` function for a window-count stream."""
 
     def _write(df: DataFrame, batch_id: int) -> None:
-        write_index_batch(df, batch_id, target, format, options)
+        query = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+        write_index_batch(df, batch_id, target, format, options, load_id=query)
 
     return _write

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 
 PARTITION_COL = "processing_date"
@@ -18,32 +20,35 @@ def _balanced(df: DataFrame, *cols: str) -> DataFrame:
     return df.hint("rebalance", *cols)
 
 
-def write_raw(df: DataFrame, root: str, mode: str = "overwrite") -> None:
+def _write(df: DataFrame, root: str, format: str, mode: str, runs: Iterable | None) -> None:
+    writer = _balanced(df, PARTITION_COL).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(PARTITION_COL).format(format).save(root)
+    if mode == "overwrite" and runs is not None:
+        # Dynamic overwrite leaves a run without rows as it was: empty it.
+        there = {r[0] for r in df.select(PARTITION_COL).distinct().collect()}
+        empty = df.limit(0).drop(PARTITION_COL)
+        for run in sorted(set(runs) - there):
+            empty.write.mode("overwrite").option("partitionOverwriteMode", "static").format(format).save(
+                f"{root}/{PARTITION_COL}={run.isoformat()}"
+            )
+
+
+def write_raw(df: DataFrame, root: str, mode: str = "overwrite", runs: Iterable | None = None) -> None:
     """K1: raw records as JSON lines under ``processing_date=<ds>/``.
 
-    ``overwrite`` replaces only the run dates present in ``df`` (dynamic
-    partition overwrite), so a rerun of one day leaves the others alone.
+    ``overwrite`` replaces the run dates present in ``df`` and those in
+    ``runs``, the dates the job answers for: one of them without rows becomes
+    empty.  Other days are left alone.
     """
-    (
-        _balanced(df, PARTITION_COL)
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PARTITION_COL)
-        .json(root)
-    )
+    _write(df, root, "json", mode, runs)
 
 
-def write_trusted(df: DataFrame, root: str, mode: str = "overwrite") -> None:
+def write_trusted(df: DataFrame, root: str, mode: str = "overwrite", runs: Iterable | None = None) -> None:
     """K2: trusted rows as Parquet partitioned by run date.
 
     ``mode="append"`` behaves like the original job (a repeated run adds its
     rows again); ``"overwrite"`` (default, D6/J4) replaces the run's
-    partitions only and is safe to retry.
+    partitions only (those in ``runs`` even if they come out empty) and is
+    safe to retry.
     """
-    (
-        _balanced(df, PARTITION_COL)
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PARTITION_COL)
-        .parquet(root)
-    )
+    _write(df, root, "parquet", mode, runs)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,8 +35,9 @@ def to_day_segments(frames: DataFrame, on_error: str = "fail") -> DataFrame:
     ).withColumn("segment_day", F.to_date("__time"))
 
 
-def write_segments(rows: DataFrame, root: str) -> None:
-    """Batch load of whole days: each day present is replaced."""
+def write_segments(rows: DataFrame, root: str, days: Iterable | None = None) -> None:
+    """Batch load of whole days: each day present is replaced, and each of
+    ``days``, the days the load answers for, even if it has no rows."""
     (
         rows.hint("rebalance", "segment_day")
         .write.mode("overwrite")
@@ -42,6 +45,13 @@ def write_segments(rows: DataFrame, root: str) -> None:
         .partitionBy("segment_day")
         .parquet(root)
     )
+    if days is not None:
+        there = {r[0] for r in rows.select("segment_day").distinct().collect()}
+        empty = rows.limit(0).drop("segment_day")
+        for day in sorted(set(days) - there):
+            empty.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+                f"{root}/segment_day={day.isoformat()}"
+            )
 
 
 def write_segments_stream(rows: DataFrame, root: str, checkpoint: str, trigger: dict | None = None):

@@ -31,7 +31,7 @@ def read_segments(spark: SparkSession, root: str, start=None, end=None) -> DataF
         df = df.where((F.col("__time") >= _session_time(lo)) & (F.col("segment_day") >= F.lit(lo.date())))
     if end is not None:
         hi = _as_datetime(end)
-        df = df.where((F.col("__time") < _session_time(hi)) & (F.col("segment_day") <= F.lit(hi.date())))
+        df = df.where((F.col("__time") < _session_time(hi)) & (F.col("segment_day") <= F.lit((hi - dt.timedelta(microseconds=1)).date())))
     return df
 
 

@@ -20,15 +20,6 @@ def table_glob(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{{{name}.parquet}}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that is far coarser than the cluster (fewer splits
-    than a quarter of its cores, e.g. a table stored as one row group) before
-    per-row CPU work such as JSON encoding.  A scan with more splits keeps
-    them: the shuffle would cost more than the idle cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 4 < cores else df
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> DataFrame:
     """Parquet scan; a column list is applied right away so the scan's
     ``ReadSchema`` holds only what the query uses."""

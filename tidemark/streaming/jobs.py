@@ -17,7 +17,13 @@ import argparse
 from tidemark.session import CLUSTER_STREAM_CONF, build_session
 from tidemark.sources.topics import Topic
 from tidemark.streaming import window_stream as ws
-from tidemark.streaming.normaliser_stream import raw_topic_stream, start_normaliser
+from tidemark.streaming.normaliser_stream import raw_topic_stream, start_normaliser, wait
+
+
+#: The reference run's event budget (fixed value).
+MAX_EVENTS = 10_000_000
+#: State partitions of a window count on a cluster.
+STATE_PARTITIONS = 400
 
 
 def _topic(name_or_path: str, args) -> Topic:
@@ -48,7 +54,11 @@ def run(argv=None, spark=None) -> list:
     p.add_argument("--min-partitions", type=int, default=None,
                    help="Kafka: split few topic partitions over at least this many tasks")
     p.add_argument("--max-events", type=int, default=None,
-                   help="normalise: stop after this many published events (G2, per micro-batch)")
+                   help=f"normalise: stop after exactly this many published events (G2; default {MAX_EVENTS}, 0: no end)")
+    p.add_argument("--kind-column", default=None, help="normalise: column of the record kind, of which 'message' is read")
+    p.add_argument("--state-partitions", type=int, default=STATE_PARTITIONS, help="counts: fixed by the first start")
+    p.add_argument("--index-format", default="parquet", help="counts: data source of the index")
+    p.add_argument("--index-option", action="append", default=[], metavar="KEY=VALUE", help="counts: option of the index")
     a = p.parse_args(argv)
     if a.max_events is not None and a.job != "normalise":
         p.error("--max-events applies to the normalise job only")
@@ -56,31 +66,25 @@ def run(argv=None, spark=None) -> list:
     trigger = _trigger(a.trigger)
     if a.job == "normalise":
         raw = raw_topic_stream(spark, _topic(a.raw, a), a.max_per_trigger, a.min_partitions)
-        return [start_normaliser(raw, _topic(a.events, a), a.checkpoint, trigger)]
+        budget = MAX_EVENTS if a.max_events is None else a.max_events
+        return [start_normaliser(raw, _topic(a.events, a), a.checkpoint, trigger, a.kind_column, budget or None)]
     if a.job == "counts":
         counts = ws.window_count_stream(spark, _topic(a.events, a), a.max_per_trigger,
                                         min_partitions=a.min_partitions)
-        queries = [ws.start_counts_to_topic(counts, _topic(a.counts, a), f"{a.checkpoint}/to_topic", trigger)]
-        if a.index:
-            queries.append(ws.start_counts_to_index(counts, a.index, f"{a.checkpoint}/to_index", trigger))
+        options = dict(x.split("=", 1) for x in a.index_option)
+        with ws.state_partitions(spark, a.state_partitions):
+            queries = [ws.start_counts_to_topic(counts, _topic(a.counts, a), f"{a.checkpoint}/to_topic", trigger)]
+            if a.index:
+                queries.append(
+                    ws.start_counts_to_index(counts, a.index, f"{a.checkpoint}/to_index", trigger, a.index_format, options)
+                )
         return queries
     return [ws.start_day_segments(spark, _topic(a.counts, a), a.table, a.checkpoint, trigger, a.max_per_trigger)]
 
 
 def main(argv=None) -> None:
-    queries = run(argv)
-    max_events = _max_events(argv)
-    if max_events is not None:
-        # normalise only (checked in run): stop once that many are published
-        ws.stop_after(queries[0], max_events)
-    for q in queries:
-        q.awaitTermination()
-
-
-def _max_events(argv) -> int | None:
-    p = argparse.ArgumentParser(add_help=False)
-    p.add_argument("--max-events", type=int, default=None)
-    return p.parse_known_args(argv)[0].max_events
+    for q in run(argv):
+        wait(q)
 
 
 if __name__ == "__main__":

@@ -10,34 +10,76 @@ so a restarted run publishes every record exactly once.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.events import normalise_edits, parse_raw_edits
-from tidemark.sinks.topics import to_frames, write_topic_stream
+from tidemark.operators.limits import first_n
+from tidemark.sinks.topics import to_frames, write_topic, write_topic_stream
 from tidemark.sources.topics import Topic, read_topic
 
 
-def normalised_edits(raw_text: DataFrame, text_col: str = "value") -> DataFrame:
-    return normalise_edits(parse_raw_edits(raw_text, text_col, on_error="skip"))
+def normalised_edits(raw_text: DataFrame, text_col: str = "value", kind_col: str | None = None) -> DataFrame:
+    return normalise_edits(parse_raw_edits(raw_text, text_col, on_error="skip", kind_col=kind_col))
 
 
 def raw_topic_stream(spark: SparkSession, raw: Topic, max_per_trigger: int | None = None,
                      min_partitions: int | None = None) -> DataFrame:
     """Raw event text as it arrives on a topic (the ``value`` bytes)."""
     frames = read_topic(spark, raw, streaming=True, max_per_trigger=max_per_trigger, min_partitions=min_partitions)
-    return frames.select("value")
+    return frames.select("value", *[c for c in frames.columns if c != "value"])
 
 
 # Name of the observed per-batch metric with the number of published events.
 PUBLISHED_METRIC = "published"
 
 
-def start_normaliser(raw_text: DataFrame, events_topic: Topic, checkpoint: str,
-                     trigger: dict | None = None) -> StreamingQuery:
+def start_normaliser(raw_text: DataFrame, events_topic: Topic, checkpoint: str, trigger: dict | None = None,
+                     kind_col: str | None = None, max_events: int | None = None) -> StreamingQuery:
     """Publish normalised edits; the record time is the publish time.  Each
-    micro-batch reports ``observedMetrics["published"]["rows"]``."""
-    edits = normalised_edits(raw_text).observe(PUBLISHED_METRIC, F.count(F.lit(1)).alias("rows"))
-    frames = to_frames(edits, events_topic)
-    return write_topic_stream(frames, events_topic, checkpoint, trigger)
+    micro-batch reports ``observedMetrics["published"]["rows"]``.
+
+    With ``max_events`` exactly that many are published (G2): the micro-batch
+    that reaches the budget publishes the first of its events by id, later
+    ones nothing, and :func:`wait` stops the query.  What earlier
+    runs published counts, as read from the topic.
+    """
+    edits = normalised_edits(raw_text, kind_col=kind_col)
+    if max_events is None:
+        observed = edits.observe(PUBLISHED_METRIC, F.count(F.lit(1)).alias("rows"))
+        return write_topic_stream(to_frames(observed, events_topic), events_topic, checkpoint, trigger)
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        left = max_events - published(batch.sparkSession, events_topic)
+        if left > 0:
+            write_topic(to_frames(first_n(batch, left, "id"), events_topic), events_topic)
+
+    query = (
+        edits.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint).outputMode("append")
+        .trigger(**(trigger or {"availableNow": True})).start()
+    )
+    BUDGETS[query.id] = (events_topic, max_events)
+    return query
+
+
+#: Topic and budget of the bounded queries that this process started.
+BUDGETS: dict[str, tuple[Topic, int]] = {}
+
+
+def published(spark: SparkSession, topic: Topic) -> int:
+    """Records on a topic; a topic that is not there yet has none."""
+    try:
+        return read_topic(spark, topic).count()
+    except AnalysisException:
+        return 0
+
+
+def wait(query: StreamingQuery, poll_s: float = 5.0) -> None:
+    """Until the query ends, or its budget is spent."""
+    topic, most = BUDGETS.get(query.id, (None, None))
+    while not query.awaitTermination(poll_s):
+        if topic is not None and published(SparkSession.active(), topic) >= most:
+            query.stop()
+

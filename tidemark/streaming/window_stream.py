@@ -30,15 +30,12 @@ AVAILABLE_NOW = {"availableNow": True}
 
 
 @contextmanager
-def state_partitions(spark: SparkSession, n: int | None = None):
-    """Start stateful queries with ``n`` state partitions (default: at most
-    one per core).  A query fixes this number from
-    ``spark.sql.shuffle.partitions`` when it starts and keeps it in its
-    checkpoint; the session's own value is restored afterwards."""
+def state_partitions(spark: SparkSession, n: int):
+    """Start stateful queries with ``n`` state partitions.  A query fixes this
+    number from ``spark.sql.shuffle.partitions`` when it starts and keeps it
+    in its checkpoint; the session's own value is restored afterwards."""
     key = "spark.sql.shuffle.partitions"
     old = spark.conf.get(key)
-    if n is None:
-        n = min(int(old), spark.sparkContext.defaultParallelism)
     spark.conf.set(key, str(n))
     try:
         yield n
@@ -137,12 +134,10 @@ def start_day_segments(spark: SparkSession, counts_topic: Topic, root: str, chec
     return write_segments_stream(to_day_segments(frames), root, checkpoint, trigger or AVAILABLE_NOW)
 
 
-def drain(query: StreamingQuery, timeout_s: int = 600) -> dict | None:
-    """Wait for an ``availableNow`` query to finish; re-raise its error."""
-    finished = query.awaitTermination(timeout_s)
-    if not finished:
-        query.stop()
-        raise TimeoutError(f"stream {query.name or query.id} did not finish in {timeout_s}s")
+def drain(query: StreamingQuery) -> dict | None:
+    """Wait for an ``availableNow`` query to finish, however long it takes;
+    re-raise its error."""
+    query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
     return query.lastProgress
