@@ -73,7 +73,14 @@ def _edit_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     edits = dtab.edit_events(_events(spark, sf_dir, EVENT_COLS), time_as_text=True,
                              with_record_time=True)
     return to_frames(edits, EVENTS_TOPIC, value_cols=[f.name for f in EDIT_EVENT.fields],
-                     timestamp_col="_record_ts")
+                     key_col="domain", timestamp_col="_record_ts")
+
+
+def _through_topic(spark: SparkSession, frames: DataFrame, name: str) -> DataFrame:
+    """Frames published to a topic of this run and read back from it."""
+    topic = Topic(name, path=scratch_path(spark, name))
+    write_topic(frames, topic)
+    return read_topic(spark, topic)
 
 
 def _normalised_edits(spark: SparkSession, sf_dir: str, with_broken: bool = True) -> DataFrame:
@@ -176,20 +183,22 @@ def q_stream_edit_normalise(spark, sf_dir):
 # --------------------------------------------------------------------------
 
 def q_topic_json_parse(spark, sf_dir):
-    parsed = decode_topic(_edit_frames(spark, sf_dir), EDIT_EVENT)
+    parsed = decode_topic(_through_topic(spark, _edit_frames(spark, sf_dir), EVENTS_TOPIC.name), EDIT_EVENT)
     return parsed.withColumn("createTime", to_ntz("createTime"))
 
 
 def q_topic_json_serialise(spark, sf_dir):
     counts = tumbling_count(_window_input(spark, sf_dir))
     frames = to_frames(counts, COUNTS_TOPIC, timestamp_col="ten_second_window")
+    frames = _through_topic(spark, frames, COUNTS_TOPIC.name)
     return decode_topic(frames, WINDOW_COUNT).withColumn("ten_second_window", to_ntz("ten_second_window"))
 
 
 def q_topic_metadata(spark, sf_dir):
     schema = T.StructType([EDIT_EVENT["id"], EDIT_EVENT["domain"], EDIT_EVENT["createTime"], EDIT_EVENT["user_name"]])
-    out = decode_topic(_edit_frames(spark, sf_dir), schema, with_metadata=True)
-    return out.withColumn("createTime", to_ntz("createTime"))
+    frames = _through_topic(spark, _edit_frames(spark, sf_dir), EVENTS_TOPIC.name)
+    out = decode_topic(frames, schema, with_metadata=True, record_columns=("topic", "key"))
+    return out.withColumns({"createTime": to_ntz("createTime"), "kafka_key": F.col("kafka_key").cast("string")})
 
 
 # --------------------------------------------------------------------------
@@ -731,7 +740,8 @@ _ORACLE_SQL: dict[str, str] = {
     "topic_json_serialise": _TUMBLING,
     "topic_metadata": (
         "SELECT CAST(event_id AS VARCHAR) AS id, event_type AS domain, date_trunc('millisecond', ts) AS createTime, "
-        "CAST(user_id AS VARCHAR) AS user_name, epoch_us(ts) // 1000 AS kafka_timestamp FROM events"
+        "CAST(user_id AS VARCHAR) AS user_name, epoch_us(ts) // 1000 AS kafka_timestamp, "
+        f"{_sql_str(EVENTS_TOPIC.name)} AS kafka_topic, event_type AS kafka_key FROM events"
     ),
     "edit_parse_skip_bad": (
         f"SELECT event_id AS id, {_RAW_KIND} AS type, event_type || '.org' AS domain, {_NS_CODE} AS namespace, "

@@ -66,17 +66,21 @@ def read_topic(spark: SparkSession, topic: Topic, streaming: bool = False, max_p
     return spark.read.schema(TOPIC_FRAME).parquet(topic.path)
 
 
-def decode_topic(frames: DataFrame, schema: T.StructType, on_error: str = "fail", with_metadata: bool = False) -> DataFrame:
+def decode_topic(frames: DataFrame, schema: T.StructType, on_error: str = "fail", with_metadata: bool = False,
+                 record_columns=()) -> DataFrame:
     """JSON ``value`` -> declared columns; with ``with_metadata`` the
-    record timestamp is kept as epoch ms in ``kafka_timestamp``.
+    record timestamp is kept as epoch ms in ``kafka_timestamp``, and each of
+    ``record_columns`` (``key``, ``topic``, ``partition``, ``offset`` or, where
+    the source reads them, ``headers``) as ``kafka_<name>``.
     ``on_error``: ``"fail"`` (D5 default) or ``"skip"``."""
     meta = [unix_millis_of("timestamp").alias("kafka_timestamp")] if with_metadata else []
+    meta += [F.col(c).alias(f"kafka_{c}") for c in record_columns]
+    keep = ["kafka_timestamp"] * with_metadata + [f"kafka_{c}" for c in record_columns]
     if on_error == "skip":
-        keep = ["kafka_timestamp"] if with_metadata else []
         return parse_json_or_skip(frames.select("value", *meta), "value", schema, keep=keep).select(
             *[f.name for f in schema.fields], *keep
         )
     if on_error != "fail":
         raise ValueError(f"on_error must be 'fail' or 'skip', not {on_error!r}")
     out = frames.select(parse_json_value("value", schema).alias("_v"), *meta)
-    return out.select(*[f"_v.{f.name}" for f in schema.fields], *(["kafka_timestamp"] if with_metadata else []))
+    return out.select(*[f"_v.{f.name}" for f in schema.fields], *keep)
