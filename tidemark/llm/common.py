@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import types
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +54,22 @@ def worker_cache(name: str) -> dict:
     return module.__dict__.setdefault(name, {})
 
 
+def shared(spark: SparkSession, value):
+    """A broadcast of ``value`` that workers can read without this package
+    (its classes travel with it); the size of ``value`` must be bounded."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def value_of(broadcast):
+    """The value of :func:`shared`, unpacked once per worker process."""
+    cache, packed = worker_cache("shared"), broadcast.value
+    key = (len(packed), hash(packed))
+    if key not in cache:
+        cache.clear()
+        cache[key] = cloudpickle.loads(packed)
+    return cache[key]
+
+
 #: Names of the row-key columns that :func:`keyed` adds.
 ID, KEY_A, KEY_B, COPIES = "__llm_id", "__llm_a", "__llm_b", "__llm_copies"
 

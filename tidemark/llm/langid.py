@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import col, small_batches, text_or_empty, worker_cache
+from tidemark.llm.common import col, shared, small_batches, text_or_empty, value_of, worker_cache
 
 UNDETERMINED = "und"
 ORDERS = (4, 3, 2, 1)
@@ -219,11 +219,11 @@ class _Scorer:
 def predictor(model: Model | None, spark) -> callable:
     """A vectorised function: text -> struct(lang, score)."""
     small_batches(spark)
-    shared = spark.sparkContext.broadcast(model)
+    sent = shared(spark, model)
 
     @F.pandas_udf("lang string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        learned = shared.value
+        learned = value_of(sent)
         cache = worker_cache("langid")
         if cache.get("model") is not learned:
             cache.clear()

@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import col, written
+from tidemark.llm.common import col, shared, value_of, written
 
 #: Rows of a data block and queries of a query block.
 BLOCK, ASKED = 2048, 512
@@ -194,12 +194,11 @@ def top_k(
     width = max(1, facts["width"])
     kind = "<i2" if facts["largest"] < 1 << 15 else "<f8"  # a component's bytes, where vectors are moved
     picked = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toPandas()
-    index = spark.sparkContext.broadcast(
-        Index(_matrix(list(picked["v"]), width), width, facts["longest"], pivots, rings)
-    )
+    fitted = Index(_matrix(list(picked["v"]), width), width, facts["longest"], pivots, rings)
+    index = shared(spark, fitted)
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = index.value
+        own = value_of(index)
         for batch in batches:
             if len(batch):
                 whole = _matrix(list(batch["v"]), width)
@@ -220,7 +219,7 @@ def top_k(
     )
     cells = keyed.groupBy("cell").agg(F.min("distance").alias("near"), F.max("distance").alias("far"), F.count("*").alias("n")).toPandas()
     cells = cells.sort_values("cell", ignore_index=True)
-    table = spark.sparkContext.broadcast(cells)
+    table = shared(spark, (fitted, cells))
 
     queries = written(
         keyed.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("code").alias("code")), "queries"
@@ -231,7 +230,7 @@ def top_k(
         in a query's order of bounds, as far as its k-th distance allows."""
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            own, ring = index.value, table.value
+            own, ring = value_of(table)
             cell, near, far = (ring[x].to_numpy() for x in ("cell", "near", "far"))
             for batch in batches:
                 if not len(batch):
