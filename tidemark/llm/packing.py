@@ -17,6 +17,7 @@ repeated rows are packed once for each row; an empty table gives no rows.
 
 from __future__ import annotations
 
+import gc
 import re
 import zlib
 from collections import defaultdict
@@ -32,9 +33,9 @@ from tokenizers import Tokenizer
 from tidemark.llm.common import col, small_batches, text_or_empty, worker_cache, written
 
 #: Pieces in a bucket of a length's ranking, on average at most.
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 500
 #: Text parts that a Python worker remembers.
-CACHED = 250_000
+CACHED = 400_000
 #: A space after something else than white space always begins a new word of
 #: the tokenizer's pattern, so a text may be cut there.
 PART = re.compile(r"(?<=\S) ")
@@ -70,18 +71,15 @@ class Ids:
         return found
 
     def text(self, text: str) -> bytes:
-        if not text:
-            return b""
         first, *rest = PART.split(text)
-        parts = [first, *[" " + p for p in rest]]
         if len(self.parts) >= CACHED:
             self.parts.clear()
-        known, get = self.parts, self.parts.get
-        out = [get(p) for p in parts]
+        known = self.parts
+        out = list(map(known.get, rest))
         for i, got in enumerate(out):
-            if got is None:
-                out[i] = known[parts[i]] = b"".join([self.word(w) for w in self.pattern.findall(parts[i])])
-        return b"".join(out)
+            if got is None:  # a part that is not the first has its space before it
+                out[i] = known[rest[i]] = b"".join([self.word(w) for w in self.pattern.findall(" " + rest[i])])
+        return b"".join([*map(self.word, self.pattern.findall(first)), *out])
 
 
 def pieces(
@@ -105,6 +103,7 @@ def pieces(
         if (path, pattern) not in cache:
             cache[path, pattern] = Ids(path, pattern)
         ids = cache[path, pattern]
+        gc.disable()  # large caches and no cycles: reference counts suffice
         for batch in batches:
             out = []
             for key, text in zip(batch["__llm_id"], batch["text"]):
