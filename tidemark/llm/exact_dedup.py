@@ -107,7 +107,9 @@ def _wins() -> Column:
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", identify: Identify = chunk_id) -> DataFrame:
     """One row per document: id, keep_id, group_size, kept, text_sha256."""
     rows = recipes(docs, id_col, text_col, identify)
-    joined = rows.join(_best(rows), "recipe")
+    # Written, so that both sides of the join are plain exchanges and adaptive
+    # execution can split a hot recipe.
+    joined = rows.join(written(_best(rows), "best"), "recipe")
     each = joined.select("*", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
     return each.select(
         F.col(ID).alias(id_col),
