@@ -249,7 +249,10 @@ def near_duplicates(
     light = _light(docs, id_col, text_col, shingle_words)
     label = written(_linked(light, max_bits, leaf), "labels")
     least = light.groupBy("fp").agg(F.min(ID).alias("least")).join(label, "fp")
-    component = label.join(least.groupBy("label").agg(F.min("least").alias("component_id")), "label")
+    component = written(
+        label.join(least.groupBy("label").agg(F.min("least").alias("component_id")), "label").select("fp", "component_id"),
+        "component",
+    )  # written, so that adaptive execution can split a hot fingerprint in the join
     return light.join(component, "fp").select(
         F.col(ID).alias(id_col),
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
