@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -366,6 +367,30 @@ def test_licences(spark, no_docs):
     assert licenses.scan(no_docs).collect() == []
 
 
+def rewrapped(text, width, comment=""):
+    paragraphs = [" ".join(x.split()) for x in text.split("\n\n")]
+    return "\n\n".join(textwrap.fill(x, width, initial_indent=comment, subsequent_indent=comment) for x in paragraphs)
+
+
+def test_licences_however_wrapped(spark):
+    head = "Copyright (c) 2019-2024 J. R. Smith, Some Firm Inc. and others"
+    docs = []
+    for name, text in (("MIT", licenses._MIT), ("ISC", licenses._ISC)):
+        for width in (40, 60, 70, 72, 76, 78, 79, 80, 100, 120):
+            docs += [(name, rewrapped(text, width)), (name, f"{head}\n\n{rewrapped(text, width)}"), (name, f"{head}\n{rewrapped(text, width)}"),
+                     (name, rewrapped(f"{head}. All rights reserved.\n\n{text}", width, " * ")), (name, rewrapped(text, width).replace("\n", "\r\n"))]
+        whole = " ".join(text.split())
+        docs += [(name, whole), (name, f"{head} {whole}"), (name, f"Copyright Some One\n{rewrapped(text, 72)}")]
+    lines = [
+        ("Copyright 2024 X. Licensed under the MIT License.", "MIT"), ("(c) 2024 Some One, Ltd. Released under the MIT License.", "MIT"),
+        ("© Some One. Licensed under CC BY 4.0.", "CC-BY-4.0"), ("Copyright Some One", None), ("Copyright holders are not liable.", None),
+    ]
+    rows = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(docs + [(None, x) for x, _ in lines])], "doc_id long, text string")
+    got = {r.doc_id: r.licence for r in licenses.scan(rows).collect()}
+    assert [got[i] for i in range(len(docs))] == [name for name, _ in docs]
+    assert [got[len(docs) + i] for i in range(len(lines))] == [name for _, name in lines]
+
+
 # --- 10: BPE -----------------------------------------------------------------
 
 @pytest.fixture(scope="module")

@@ -1,9 +1,11 @@
 """Operator 7: licence scan by canonical digests of entire texts.
 
-A text is brought to a canonical form (lower case, without copyright lines,
-equivalent spellings made one, every run of other signs than letters and
-digits one space), and its digest is joined by hash with those of the known
-licences in the same form.  The texts that are looked up are each document as
+A text is brought to a canonical form (lower case, its paragraphs unwrapped,
+without copyright notices, equivalent spellings made one, every run of other
+signs than letters and digits one space), and its digest is joined by hash
+with those of the known licences in the same form.  A notice is a copyright
+word with a year, a sign or a holder, up to the end of its sentence or
+paragraph or to the licence's own first words.  The texts that are looked up are each document as
 a whole and each of its lines, so a licence statement inside a document is
 found if it makes up a line of its own.
 
@@ -23,8 +25,31 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import ID, KEY_A, KEY_B, col, keyed, text_or_empty
 
-#: A line that only says whose the copyright is.
+#: What begins a line that the query's SQL leaves out; the operator leaves out
+#: notices instead, with equal results on tables whose lines are unwrapped.
 COPYRIGHT = r"(?m)^[ \t#*/;-]*(copyright|\(c\)|©)[^\n]*$"
+#: A line's end, with blanks before it and comment signs after it.
+LINE_END = r"[ \t\r]*\n[ \t\r#*/;>%-]*"
+#: Where a notice ends: at the paragraph's or sentence's end (not at an initial
+#: or a firm's short form), or before words that a licence begins with.
+_NOTICE_END = (
+    r"[^\n]*?(?:(?<!\b[a-z]|\b(?:inc|ltd|llc|corp|co|jr|sr|dr|st|al))[.!?](?=\s|$)|(?=\n|$)"
+    r"|(?=\b(?:all rights reserved|permission (?:is|to)|redistribution and|licen[cs]ed under|released under|everyone is permitted"
+    r"|this (?:program|library|work|software|file|code|project|document|is free|source)|the above copyright"
+    r"|(?:mit|isc|bsd|apache) licen[cs]e|the (?:mit|isc|bsd) licen[cs]e|use of this|use, modification|you may)\b))"
+    r"(?:\s*all rights reserved\b\.?)?"
+)
+#: A notice by sign, year or placeholder, wherever it stands.
+NOTICE = (
+    r"(?:\bcopyright\b[ :]*(?:\(c\)|©|&copy;|(?:by )?[0-9]{4}\b|[<\[{])|(?:\(c\)|©|&copy;) *(?:copyright *)?[0-9]{4}\b|©|&copy;)" + _NOTICE_END
+)
+#: A notice by its holder alone begins a line; after these words "copyright"
+#: begins no notice but belongs to a licence's own text.
+HELD = (
+    r"(?m)^[ \t#*/;>%-]*copyright[ :]+(?=[a-z])(?!(?:holder|owner|notice|law|licen[cs]e|act|statement|right|interest|permission|protection"
+    r"|disclaimer|infringement|treat|material|work|claim|status|year|grant|condition|and|or|in|on|of|to|for|is|are|as|under|applicable"
+    r"|by applicable|the software|the library|the program)(?:s|y|ies)?\b)"
+)
 #: Equivalent spellings, applied in this order (fixed values).
 SPELLINGS = (
     (r"licen[cs]e", "license"),
@@ -81,16 +106,27 @@ KNOWN = (
 )
 
 
-def canonical(text: Column) -> Column:
-    out = F.regexp_replace(F.lower(text), COPYRIGHT, " ")
+def _unwrapped(text: Column, sign: Column) -> Column:
+    """One line for each paragraph; a notice by its holder becomes one."""
+    out = F.regexp_replace(text, LINE_END, "\n")
+    out = F.when(sign, F.regexp_replace(out, HELD, "\n\ncopyright ")).otherwise(out)
+    return F.regexp_replace(F.regexp_replace(out, r"(?<=[a-z])-\n(?=[a-z])", "-"), r"(?<!\n)\n(?!\n)", " ")
+
+
+def canonical(text: Column, one_line: bool = False) -> Column:
+    """``one_line``: the text is known to have no line ends."""
+    lower = F.lower(text)
+    sign = lower.contains("copyright") | lower.contains("(c)") | lower.contains("©") | lower.contains("&copy;")
+    out = lower if one_line else _unwrapped(lower, sign)
+    out = F.when(sign, F.regexp_replace(F.regexp_replace(out, HELD + _NOTICE_END, " "), NOTICE, " ")).otherwise(out)
     for found, same in SPELLINGS:
         out = F.regexp_replace(out, found, same)
     return F.trim(F.regexp_replace(out, OTHERS, " "))
 
 
-def digest(text: Column) -> Column:
+def digest(text: Column, one_line: bool = False) -> Column:
     """Digest of the canonical form; null if nothing is left of the text."""
-    form = canonical(text)
+    form = canonical(text, one_line)
     return F.when(form != "", F.sha2(form, 256))
 
 
@@ -117,7 +153,7 @@ def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id"
     # One digest for the text and one for each line, and nothing else of it.
     units = F.concat(
         F.array(F.struct(F.lit(True).alias("whole"), digest(text).alias("digest"))),
-        F.transform(F.split(text, "\n"), lambda line: F.struct(F.lit(False).alias("whole"), digest(line).alias("digest"))),
+        F.transform(F.split(text, "\n"), lambda line: F.struct(F.lit(False).alias("whole"), digest(line, True).alias("digest"))),
     )
     found = (
         docs.select(*key, F.explode(units).alias("u")).select(ID, KEY_A, KEY_B, "u.*").filter("digest IS NOT NULL")
