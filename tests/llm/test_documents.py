@@ -283,6 +283,21 @@ def test_pii_skip_links_carry_labels(spark):
     assert linked[at][4] > alone[at][4]
 
 
+def test_pii_labels_reach_all_occurrences(spark):
+    model = pii.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    between = " Some words stand here in between and end. "
+    for known, bare, kind in (("+1 (988) 555-2485", "988-555-2485", 3), ("+1-988-555-2485", "9885552485", 3)):
+        for place in (0, 50, 100):  # where the recognised one stands
+            text = between.join([*[bare] * place, f"call {known} today", *[bare] * (100 - place)])
+            g = pii.graph(text, pii.base_spans(text))
+            found = pii.added_spans(text, g, model.marginals([g])[0])
+            assert len(found) == 100 and all(k == kind and text[a:b] == bare for k, a, b in found), (known, bare, place)
+            assert len(g.skip) + len(g.far) <= 6 * len(g.spans)
+    # A document's marginals don't depend on those read with it.
+    other = pii.graph("Version 4.0 of 2024 has 12 parts.", [])
+    assert np.allclose(model.marginals([g])[0], model.marginals([other, g])[1])
+
+
 def test_pii_linear_on_long_runs():
     for text in ("1" * 200_000, "a" * 200_000 + "@", "+1" + "(" * 100_000, "1.1" * 60_000, "@" * 50_000):
         pii.graph(text, pii.base_spans(text))

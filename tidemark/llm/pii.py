@@ -8,12 +8,16 @@ tie neighbouring tokens; skip potentials tie tokens far apart in a document
 that repeat or resemble each other (the same text, the same last digits, the
 same mailbox).  Tokens inside base spans are observed.  Loopy sum-product
 messages carry labels along these links, so a number that once stands in a
-recognised form is found again in another one.  A token whose marginal favours
+recognised form is found again in another one, however often and however far
+away: where no linked occurrence is observed as a kind, the key's first one so
+observed is linked directly.  A document's messages are passed until none
+moves (``ROUNDS`` only ends those whose loops have no fixed point).  A token whose marginal favours
 a kind becomes a span, joined with its neighbours of that kind.
 
 Potentials are smoothed counts over a bounded hash sample of the documents
-(``max_train_docs``) labelled by the base patterns.  Links join consecutive
-occurrences only, so their number is linear in a document's tokens.
+(``max_train_docs``) labelled by the base patterns; skip potentials are
+counted on consecutive occurrences.  Links join these and, for each kind, an
+occurrence with one observed, so their number is linear in a document's tokens.
 
 Defined results: a null text counts as empty; no match gives zero counts and
 the digest of an empty string; repeated rows are read alike; an empty table
@@ -49,7 +53,7 @@ SIGN = re.compile(r"[0-9@]")
 SPACE = re.compile(r"\s")
 EDGE = ".,;:!?()[]{}\"'<>«»“”"
 NOT_DIGIT = re.compile(r"[^0-9]")
-ROUNDS, CLOSE = 20, 1e-4
+ROUNDS, CLOSE = 1000, 1e-4
 
 
 def luhn(digits: str) -> bool:
@@ -149,6 +153,8 @@ class Graph:
     observed: list[int]
     chain: list[tuple[int, int]]
     skip: list[tuple[int, int]]
+    #: Skip links from a key's first observed occurrence.
+    far: list[tuple[int, int]]
 
 
 def graph(text: str, base: list[tuple[int, int, int]]) -> Graph:
@@ -165,12 +171,27 @@ def graph(text: str, base: list[tuple[int, int, int]]) -> Graph:
     last: dict[str, int] = {}
     skip = set()
     cores = [text[a:b] for a, b, _ in found]
-    for i, core in enumerate(cores):
-        for key in keys(core):
+    known = [keys(core) for core in cores]
+    seen: dict[str, dict[int, int]] = {}  # key -> kind -> the first token observed as it
+    for i, own in enumerate(known):
+        for key in own:
             if key in last:
                 skip.add((last[key], i))
             last[key] = i
-    return Graph([(a, b) for a, b, _ in found], [shape(c) for c in cores], observed, chain, sorted(skip))
+            if observed[i]:
+                seen.setdefault(key, {}).setdefault(observed[i], i)
+    near: dict[int, set[int]] = {}
+    for i, j in skip:
+        near.setdefault(i, set()).add(observed[j])
+        near.setdefault(j, set()).add(observed[i])
+    far = []
+    for i, own in enumerate(known):
+        if not observed[i]:
+            for kind, first in sorted((x for key in own for x in seen.get(key, {}).items())):
+                if kind not in near[i]:
+                    near[i].add(kind)
+                    far.append((first, i))
+    return Graph([(a, b) for a, b, _ in found], [shape(c) for c in cores], observed, chain, sorted(skip), far)
 
 
 @dataclass
@@ -197,25 +218,38 @@ class Field:
         known = np.flatnonzero(observed)
         local[known] = -50.0
         local[known, observed[known]] = 0.0
-        edges = [(first[k] + a, first[k] + b, kind) for k, g in enumerate(graphs) for kind, pairs in enumerate((g.chain, g.skip)) for a, b in pairs]
+        edges = [
+            (first[k] + a, first[k] + b, kind, k)
+            for k, g in enumerate(graphs) for kind, pairs in ((0, g.chain), (1, g.skip), (1, g.far)) for a, b in pairs
+        ]
         belief = local
         if edges:
-            a, b, kind = np.array(edges, np.int64).T
+            a, b, kind, part = np.array(edges, np.int64).T
             tables = np.stack([self.chain, self.skip])
             source, target = np.concatenate([a, b]), np.concatenate([b, a])
             table = np.concatenate([tables[kind], tables[kind].transpose(0, 2, 1)])
             back = np.concatenate([np.arange(len(a)) + len(a), np.arange(len(a))])
+            part = np.concatenate([part, part])
             message = np.zeros((len(source), LABELS))
+            # What observed tokens say is there from the start; otherwise many
+            # unsure ones could settle on another kind among themselves.
+            sure = np.flatnonzero(observed[source])
+            message[sure] = table[sure, observed[source[sure]]]
+            message[sure] -= _log_sum(message[sure], 1)[:, None]
+            live = np.arange(len(source))  # messages of the documents that still move
             for _ in range(ROUNDS):
                 belief = local.copy()
-                np.add.at(belief, target, message)
-                sent = belief[source] - message[back]
-                new = _log_sum(sent[:, :, None] + table, 1)
+                np.add.at(belief, target[live], message[live])
+                sent = belief[source[live]] - message[back[live]]
+                new = _log_sum(sent[:, :, None] + table[live], 1)
                 new -= _log_sum(new, 1)[:, None]
-                new = 0.5 * (new + message)  # damped, as there are loops
-                moved = float(np.abs(new - message).max())
-                message = new
-                if moved < CLOSE:
+                new = 0.5 * (new + message[live])  # damped, as there are loops
+                moved = np.abs(new - message[live]).max(axis=1) >= CLOSE
+                message[live] = new
+                moving = np.zeros(len(graphs), bool)
+                moving[part[live][moved]] = True
+                live = live[moving[part[live]]]
+                if not len(live):
                     break
             belief = local.copy()
             np.add.at(belief, target, message)
