@@ -37,8 +37,8 @@ def secret_scan_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences of at most 1,024 ids, one row per piece."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    """Token sequences of at most 1,024 ids, one row per piece, with its ids."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, with_ids=True)
 
 
 STAGES = [

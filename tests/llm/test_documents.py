@@ -330,6 +330,18 @@ def test_packing(docs, odd_docs):
     assert len(sequences) <= 1.05 * math.ceil(sum(r.length for r in got) / 1024) + 1
 
 
+def test_packing_with_ids(docs, odd_docs):
+    rows = both(docs, odd_docs)
+    got = packing.pack(rows, JSON, PATTERN, with_ids=True).collect()
+    for r in got:
+        assert len(r.ids) == r.length and zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32
+    light = packing.pack(rows, JSON, PATTERN).collect()
+    assert collections.Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == collections.Counter(
+        (r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in light
+    )
+    assert len({(r.sequence_id, r.offset) for r in got}) == len(got)
+
+
 def test_packing_empty(no_docs):
     assert packing.pack(no_docs, JSON, PATTERN).collect() == []
 

@@ -6,8 +6,10 @@ import random
 import re
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -184,6 +186,17 @@ def test_pipeline_against_brute_force(spark):
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == set(first.values())
 
 
+def test_pipeline_returns_the_token_sequences(spark, odd_docs, no_docs):
+    out = corpus_pipeline.STAGES[-1][1](spark, odd_docs, SMALL).collect()
+    assert out and all(len(r.ids) == r.length for r in out)
+    texts = {r.doc_id: r.text or "" for r in odd_docs.collect()}
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for key in (1, 3, 7):
+        ids = [x for r in sorted(out, key=lambda r: r.piece) if r.doc_id == key for x in r.ids]
+        assert ids == tokenizer.encode(texts[key], add_special_tokens=False).ids + [2]
+    assert "ids" in corpus_pipeline.STAGES[-1][1](spark, no_docs, SMALL).columns
+
+
 def test_entry_registers_the_queries():
     names = entry.queries()
     assert "pipeline" in names and {f"op{n}" for n in range(1, 11)} <= {n.split("_")[0] for n in names}

@@ -257,7 +257,10 @@ def pack(
     """One row per piece: id, piece, start, length, ids_crc32, sequence_id,
     offset (and the ids, with ``with_ids``)."""
     spark = docs.sparkSession
-    cut = written(pieces(docs, path, pattern, id_col, text_col, size, end_id, with_ids), "pieces")
+    made = pieces(docs, path, pattern, id_col, text_col, size, end_id, with_ids)
+    # A number that stays with a piece once written: it tells equal pieces apart.
+    whole = written(made.withColumn("__llm_row", F.monotonically_increasing_id()) if with_ids else made, "pieces")
+    cut = whole.drop("ids")
     histogram = {r[0]: r[1] for r in cut.groupBy("length").count().collect()}
     most = max(histogram.values(), default=0)
     keys = ["__llm_id", "piece", "start", "ids_crc32"]
@@ -278,8 +281,10 @@ def pack(
         slots,
         (F.col("r.length") == F.col("s.length")) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high")),
     )
-    return placed.select(
+    out = placed.select(
         F.col("__llm_id").alias(id_col), "piece", "start", F.col("r.length").alias("length"), "ids_crc32",
         (F.col("s.sequence") + F.col("rank") - F.col("low")).alias("sequence_id"),
-        "offset", *(["ids"] if with_ids else []),
+        "offset", *(["__llm_row"] if with_ids else []),
     )
+    # Ranks are found on light rows; the ids move once, to their places.
+    return out.join(whole.select("__llm_row", "ids"), "__llm_row").drop("__llm_row") if with_ids else out
