@@ -125,6 +125,31 @@ def test_page_furniture(potentials):
     assert isinstance(html_extract.main_text(deep, potentials), str)
 
 
+@pytest.mark.parametrize("silent", [
+    "<script>var x = '<p>';</script>", "<style>p{}</style>", "<svg><title>icon</title><path d='M0'/></svg>", "<button>press</button>",
+    "<iframe src='x'></iframe>", "<noscript><div>without</div></noscript>", "<select><option>a<option>b</select>",
+    "<button><p>press</p> <b>now</b></button>", "<svg/>", "<script>a</script><script>b</script><script>c</script>", "<BUTTON >press</BUTTON >",
+])
+def test_silent_elements_inside_a_block(potentials, silent):
+    line = "Some words that make a sentence of the story here."
+    page = f'<html><head><title>T</title><script>h</script></head><body><article><h1>Title</h1><p>Alpha words {silent} beta.</p><p>{line}</p></article><div>after it</div></body></html>'
+    texts = list(html_extract.read(page).texts.values())
+    if silent != "<svg/>":
+        assert texts == ["Title", "Alpha words beta.", line, "after it"]
+        assert html_extract.main_text(page, potentials) == f"Title\n\nAlpha words beta.\n\n{line}"
+    plain = html_extract.read(page.replace(silent, ""))
+    tree = html_extract.read(page)
+    if silent != "<svg/>":
+        assert (tree.parents, tree.features) == (plain.parents, plain.features)
+
+
+def test_silent_elements_without_an_end(potentials):
+    page = "<body><article><p>Alpha words <button>press</article><article><p>A second one.</p></article></body>"
+    assert list(html_extract.read(page).texts.values()) == ["Alpha words", "A second one."]
+    page = "<head><title>T</title><noscript><body><article><p>Words of the text.</p></article>"
+    assert list(html_extract.read(page).texts.values()) == ["Words of the text."]
+
+
 def test_marginals_are_exact(potentials):
     """Sum-product against the sum over all labellings of a small tree."""
     import itertools

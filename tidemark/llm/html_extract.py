@@ -1,6 +1,8 @@
 """Operator 9: main text of web pages by a tree-structured graphical model.
 
 A page becomes a tree: its block elements, and a leaf for each block of text.
+Elements whose text is never shown are no part of it; the text around one that
+stands inside a block is one leaf.
 Every node has a hidden label, content or not.  Unary potentials come from the
 element's tag, class and id words, or from the leaf's length and share of link
 text; pairwise potentials tie a child's label to its parent's.  Sum-product
@@ -42,6 +44,7 @@ BLOCKS = frozenset(
 )
 #: Elements whose text is never page text.
 SILENT = frozenset("head title script style noscript template svg math iframe object canvas select textarea button audio video".split())
+SILENT_END = re.compile(rf"(?i)</({'|'.join(sorted(SILENT))})(?=[\s/>])")
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: An opening tag that ends these open ones.
 ENDS = {
@@ -84,6 +87,8 @@ class Tree(HTMLParser):
         self.linked = 0
         self.in_link = False
         self.silent = 0
+        #: End tags of silent elements that are still to come.
+        self.ending: Counter = Counter()
         self.add(-1, ["tag=root"], False)
 
     def add(self, parent: int, features: list[str], marked: bool) -> int:
@@ -106,9 +111,10 @@ class Tree(HTMLParser):
         self.parts, self.linked = [], 0
 
     def close_to(self, depth: int) -> None:
-        self.flush()
-        for tag, _ in self.stack[depth:]:
-            self.silent -= tag in SILENT
+        within = self.silent - sum(tag in SILENT for tag, _ in self.stack[depth:])
+        if not within and self.stack[depth][0] not in SILENT:  # the text around a silent element goes on after it
+            self.flush()
+        self.silent = within
         del self.stack[depth:]
 
     def implied(self, tag: str) -> None:
@@ -120,7 +126,7 @@ class Tree(HTMLParser):
                 if name == "p" or tag not in ENDS:
                     continue
                 return
-            if name in FENCES:
+            if name in FENCES or name in SILENT and self.ending[name] > 0 and tag != "body":
                 return
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -131,6 +137,12 @@ class Tree(HTMLParser):
         if tag in VOID and tag != "hr" or tag not in BLOCKS and tag not in SILENT:
             return
         self.implied(tag)
+        if self.silent > 0 or tag in SILENT:
+            # Without text, so without a node: what is pending stays its block's.
+            if tag != "hr":
+                self.stack.append((tag, self.place()))
+                self.silent += tag in SILENT
+            return
         if tag in BLOCKS:
             self.flush()
         if tag == "hr":
@@ -139,7 +151,6 @@ class Tree(HTMLParser):
         words = WORDS.findall(f"{given.get('class') or ''} {given.get('id') or ''} {given.get('role') or ''}".lower())
         at = self.add(self.place(), [f"tag={tag}", *sorted({f"word={w}" for w in words})], MARK in given)
         self.stack.append((tag, at))
-        self.silent += tag in SILENT
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -147,6 +158,8 @@ class Tree(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag == "a":
             self.in_link = False
+        if tag in SILENT:
+            self.ending[tag] -= 1
         if tag in BLOCKS or tag in SILENT:
             depth = next((d for d in range(len(self.stack) - 1, -1, -1) if self.stack[d][0] == tag), None)
             if depth is not None:
@@ -161,6 +174,7 @@ class Tree(HTMLParser):
 
 def read(html: str) -> Tree:
     tree = Tree()
+    tree.ending.update(map(str.lower, SILENT_END.findall(html)))
     tree.feed(html)
     tree.close()
     tree.flush()
