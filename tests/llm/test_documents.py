@@ -418,6 +418,33 @@ def test_licences_however_wrapped(spark):
     assert [got[len(docs) + i] for i in range(len(lines))] == [name for _, name in lines]
 
 
+WHOLE = {
+    "Apache-2.0": "http://www.apache.org/licenses/", "GPL-2.0": "Version 2, June 1991", "GPL-3.0": "Version 3, 29 June 2007",
+    "LGPL-2.1": "Version 2.1, February 1999", "LGPL-3.0": "GNU LESSER GENERAL PUBLIC LICENSE", "MPL-2.0": "Mozilla Public License Version 2.0",
+    "CC0-1.0": "CC0 1.0 Universal", "CC-BY-SA-4.0": "Attribution-ShareAlike 4.0 International", "Unlicense": "free and unencumbered",
+    "BSD-2-Clause": "Redistributions in binary form", "BSD-3-Clause": "Neither the name",
+}
+
+
+def test_whole_texts_of_common_licences(spark):
+    docs = []
+    for name, sign in WHOLE.items():
+        text = next(t for n, t in licenses.default_texts() if n == name and sign in t and len(t) > 1000)
+        wraps = [text, *[rewrapped(text, width) for width in (60, 72, 80, 100)], rewrapped(text, 76, "# ")]
+        docs += [(name, x) for y in wraps for x in (y, f"Copyright (c) 2021, The Authors\n\n{y}")]
+    lines = [
+        ("SPDX-License-Identifier: BSD-3-Clause", "BSD-3-Clause"), ("Licensed under CC BY-SA 4.0.", "CC-BY-SA-4.0"), ("Released under the BSD 3-Clause License.", "BSD-3-Clause"),
+        ("# SPDX-License-Identifier: GPL-2.0-only", "GPL-2.0"), ("This project is licensed under the Mozilla Public License, version 2.0.", "MPL-2.0"),
+        ("This work is licensed under the GNU Affero General Public License, version 3.", "AGPL-3.0"),
+    ]
+    notice = next(t for n, t in licenses.default_texts() if n == "Apache-2.0" and t.startswith('Licensed under the Apache License, Version 2.0 (the "License");\n'))
+    lines += [("Copyright 2020 Some One\n\n" + rewrapped(notice, 66, "// "), "Apache-2.0")]
+    rows = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(docs + [(n, x) for x, n in lines])], "doc_id long, text string")
+    got = {r.doc_id: r.licence for r in licenses.scan(rows).collect()}
+    want = [n for n, _ in docs] + [n for _, n in lines]
+    assert [(i, got[i], w) for i, w in enumerate(want) if got[i] != w] == []
+
+
 # --- 10: BPE -----------------------------------------------------------------
 
 @pytest.fixture(scope="module")

@@ -20,6 +20,9 @@ an empty table gives no rows.
 
 from __future__ import annotations
 
+import json
+import pkgutil
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,7 +51,8 @@ NOTICE = (
 HELD = (
     r"(?m)^[ \t#*/;>%-]*copyright[ :]+(?=[a-z])(?!(?:holder|owner|notice|law|licen[cs]e|act|statement|right|interest|permission|protection"
     r"|disclaimer|infringement|treat|material|work|claim|status|year|grant|condition|and|or|in|on|of|to|for|is|are|as|under|applicable"
-    r"|by applicable|the software|the library|the program)(?:s|y|ies)?\b)"
+    r"|by applicable|the software|the library|the program|if|doctrine|ownership|including|resulting"
+    r"|subsist|protected|that|which|with|where|may|shall|will|it)(?:s|y|ies)?\b)"
 )
 #: Equivalent spellings, applied in this order (fixed values).
 SPELLINGS = (
@@ -87,7 +91,8 @@ INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS
 ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF
 THIS SOFTWARE."""
 
-#: Known licences and notices (fixed values).
+#: Known licences and notices (fixed values), those that the SQL knows;
+#: ``default_texts`` has more.
 KNOWN = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License");'),
@@ -137,8 +142,14 @@ def known_digests(known: DataFrame) -> DataFrame:
     )
 
 
+def default_texts() -> list[tuple[str, str]]:
+    """(licence, text) of ``KNOWN`` and of the data file beside this module:
+    the common licences whole, and their usual notices."""
+    return [*KNOWN, *map(tuple, json.loads(pkgutil.get_data(__package__, "known_licences.json")))]
+
+
 def default_known(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(KNOWN), "licence string, text string")
+    return spark.createDataFrame(default_texts(), "licence string, text string")
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
