@@ -27,8 +27,3 @@ def scratch(spark, request):
     from tidemark.session import scratch_path
 
     return scratch_path(spark, request.node.name.replace("[", "_").replace("]", "_"))
-
-
-def local_path(uri: str) -> str:
-    """``file:/x`` -> ``/x`` for plain file operations in tests."""
-    return uri[len("file:"):] if uri.startswith("file:") else uri

@@ -19,7 +19,7 @@ from tidemark.schemas import PAGEVIEW_DOMAINS, TRUSTED_PAGEVIEW
 from tidemark.sinks.layers import write_raw, write_trusted
 from tidemark.sources.rawjson import read_raw, read_raw_run
 
-from conftest import local_path
+from paths import local_path
 from plans import plan_text
 
 DS = dt.date(2024, 1, 15)
