@@ -1,0 +1,105 @@
+"""Operator 13 against brute force, its slot map, and odd input."""
+
+import collections
+import random
+import zlib
+
+from pyspark.sql import functions as F
+
+from tidemark.llm import sharding
+from tidemark.session import scratch_path
+
+
+def checked(rows, docs):
+    """Every record once, places gapless, sizes and checksums right; bytes of each shard."""
+    want = collections.Counter((r.doc_id, len((r.text or "").encode()) + 1, zlib.crc32((r.text or "").encode())) for r in docs)
+    assert collections.Counter((r.doc_id, r.size, r.text_crc32) for r in rows) == want
+    places, load = collections.defaultdict(list), collections.Counter()
+    for r in rows:
+        places[r.shard].append(r.slot)
+        load[r.shard] += r.size
+    assert all(sorted(x) == list(range(len(x))) for x in places.values())
+    assert {r.law for r in rows} <= {"bytes"} and {r.grown_shard for r in rows} <= {None}
+    assert all(0 <= s < 16 for s in places)
+    return load
+
+
+def test_shards_have_near_equal_bytes(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = sharding.shard(docs).collect()
+    load = checked(rows, docs.collect())
+    assert len(load) == 16 and max(load.values()) - min(load.values()) <= 0.002 * sum(load.values()) / 16
+    shards = collections.defaultdict(set)  # a virtual slot lies in one shard
+    for r in rows:
+        shards[r.virtual_slot].add(r.shard)
+    assert all(len(x) == 1 for x in shards.values())
+
+
+def test_sharding_odd_input(odd_docs, no_docs):
+    checked(sharding.shard(odd_docs).collect(), odd_docs.collect())
+    assert sharding.shard(no_docs).collect() == []
+
+
+def test_hot_records_are_split(spark):
+    """A third of all rows is one record; it lies in many shards and slots."""
+    docs = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, "hot " * 50).otherwise(F.concat(F.lit("text "), F.col("id").cast("string"))).alias("text"),
+    )
+    rows = sharding.shard(docs).collect()
+    load = checked(rows, docs.collect())
+    assert max(load.values()) - min(load.values()) <= 0.01 * sum(load.values()) / 16
+    hot = collections.Counter(r.virtual_slot for r in rows if r.doc_id == 7)
+    assert len(hot) > 500 and max(hot.values()) < 40
+
+
+def test_map_versions_are_edited(spark, docs):
+    root = scratch_path(spark, "slot-map-test")
+    first = sharding.shard(docs, map_root=root).collect()
+    store = sharding.SlotMap(spark, root)
+    assert store.versions() == [1, 2]
+    assert all(s % 16 == x for s, x in store.load(1).items())
+    again = sharding.shard(docs, map_root=root).collect()  # nothing to move
+    assert store.versions() == [1, 2, 3] and store.load(3) == store.load(2)
+    assert sorted((r.doc_id, r.shard, r.slot) for r in first) == sorted((r.doc_id, r.shard, r.slot) for r in again)
+    more = docs.unionByName(docs.limit(40).withColumn("doc_id", F.col("doc_id") + 10_000))
+    rows = sharding.shard(more, map_root=root).collect()
+    checked(rows, more.collect())
+    before, after = store.load(3), store.load(4)
+    moved = sum(after[s] != x for s, x in before.items() if s in after)
+    assert 0 < moved < len(before) / 3 and len(after) > len(before)
+
+
+def test_growth_moves_into_the_new_shard_only():
+    rnd = random.Random(1)
+    weight = {s: rnd.choice((1, 5, 50, 3000)) for s in range(5000)}
+    old = sharding.edit({s: s % 16 for s in weight}, weight, 16)
+    new = sharding.grow(old, weight, 17)
+    assert all(new[s] in (old[s], 16) for s in weight)
+    load = collections.Counter()
+    for s, x in new.items():
+        load[x] += weight[s]
+    assert max(load.values()) - min(load.values()) <= 3100
+    back = sharding.edit(new, weight, 16)  # a shard that is gone
+    assert set(back.values()) == set(range(16))
+    assert sum(back[s] != new[s] for s in weight if new[s] < 16) < 200  # those of the gone shard moved, hardly any other
+    assert sharding.edit({}, {}, 16) == {}
+
+
+def test_edit_is_near_the_best_split():
+    rnd = random.Random(2)
+    for weights in ([rnd.randint(1, 100_000) for _ in range(1000)], [1] * 33, [10**9] + [1] * 100):
+        weight = dict(enumerate(weights))
+        load = collections.Counter({s: 0 for s in range(16)})
+        for s, x in sharding.edit({s: s % 16 for s in weight}, weight, 16).items():
+            load[x] += weight[s]
+        spread = max(load.values()) - min(load.values())
+        assert spread <= max(1, min(weights)) or max(weights) > sum(weights) / 16
+
+
+def test_write_shards_keeps_all_columns(spark, odd_docs):
+    root, out = scratch_path(spark, "slot-map-test"), scratch_path(spark, "shards-test")
+    sharding.shard(odd_docs, shards=4, map_root=root).collect()
+    sharding.write_shards(odd_docs, out, sharding.SlotMap(spark, root))
+    back = spark.read.schema(odd_docs.schema).parquet(out).select(odd_docs.columns and [F.col(f"`{c}`") for c in odd_docs.columns])
+    assert collections.Counter(map(tuple, back.collect())) == collections.Counter(map(tuple, odd_docs.collect()))

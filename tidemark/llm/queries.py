@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, exact_dedup, html_extract, langid, licenses, packing, pii, secret_scan, simhash, topk
+from tidemark.llm import bpe, exact_dedup, html_extract, langid, licenses, packing, pii, secret_scan, sharding, simhash, topk
 from tidemark.sources.tables import table_path
 
 
@@ -56,6 +56,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_documents(spark, sf_dir), path, public_tokenizers.PATTERN)
 
 
+def op13_slot_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(_documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_exact_topk": op2_exact_topk,
@@ -67,6 +71,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_html_extract": op9_html_extract,
     "op10_byte_bpe": op10_byte_bpe,
+    "op13_slot_sharding": op13_slot_sharding,
 }
 
 _OP8 = r"""
