@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, exact_dedup, html_extract, langid, licenses, packing, pii, secret_scan, sharding, simhash, topk
+from tidemark.llm import bpe, exact_dedup, html_extract, langid, licenses, packing, pii, prefix_trie, secret_scan, sharding, simhash, topk
 from tidemark.sources.tables import table_path
 
 
@@ -56,6 +56,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_documents(spark, sf_dir), path, public_tokenizers.PATTERN)
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(spark.read.parquet(table_path(sf_dir, "conversations")))
+
+
 def op13_slot_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_documents(spark, sf_dir))
 
@@ -71,6 +75,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_html_extract": op9_html_extract,
     "op10_byte_bpe": op10_byte_bpe,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_slot_sharding": op13_slot_sharding,
 }
 
@@ -134,9 +139,42 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+#: CRC-32 of a decimal number: bit by bit, over the codes of its digits.
+_CRC = """list_reduce([4294967295::UBIGINT] || [ord(x)::UBIGINT for x in string_split(c::VARCHAR, '')],
+        lambda v, b: list_reduce([xor(v, b)] || [0::UBIGINT for i in range(8)], lambda r, z: xor(r >> 1, 3988292384 * (r & 1))))"""
+_OP12 = f"""
+WITH t AS (
+    SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+    FROM conversations WHERE conv_id IS NOT NULL
+), o AS (
+    SELECT c, list({{'d': digest, 'n': strlen(text)}} ORDER BY turn NULLS FIRST, digest) AS own FROM t GROUP BY c
+), h AS (
+    SELECT *, (xor({_CRC}, 4294967295) % 9)::INT AS h FROM o
+), r AS (
+    SELECT h.c, coalesce(list_slice(b.own, 1, h.h), []) || coalesce(list_slice(h.own, h.h + 1, len(h.own)), []) AS seq
+    FROM h LEFT JOIN o b ON b.c = h.c - h.c % 5
+), n AS (
+    SELECT [x.d for x in list_slice(seq, 1, d)] AS path, d, min(c) AS conv_id, count(*) AS n_convs,
+           any_value(CASE WHEN d > 0 THEN seq[d].n ELSE 0 END) AS size,
+           sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len(seq) = d), '')) AS ends_sha256
+    FROM (SELECT *, unnest(range(len(seq) + 1)) AS d FROM r) GROUP BY 1, 2
+), k AS (
+    SELECT p.path, count(x.path) AS n_children
+    FROM n p LEFT JOIN n x ON x.d = p.d + 1 AND list_slice(x.path, 1, p.d) = p.path GROUP BY p.path
+), a AS (
+    SELECT list_slice(n.path, 1, d0) AS path, count(*) FILTER (k.n_children = 0) AS n_leaves, sum((n_convs - 1) * size) AS saved
+    FROM n JOIN k USING (path), LATERAL (SELECT unnest(range(n.d + 1)) AS d0) GROUP BY 1
+)
+SELECT n.conv_id, n.d::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, k.n_children, a.n_leaves,
+       a.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM n JOIN k USING (path) JOIN a USING (path) LEFT JOIN n p ON n.d > 0 AND p.d = n.d - 1 AND p.path = list_slice(n.path, 1, n.d - 1)
+"""
+
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_topk": _OP2,
     "op7_license_scan": _OP7,
     "op8_exact_dedup": _OP8,
+    "op12_prefix_trie": _OP12,
 }
