@@ -79,7 +79,7 @@ def test_trie_odd_input(spark, blocks):
         (None, 0, "user", "x"), (0, None, "user", None), (0, 1, None, "b"), (0, 1, None, "b"), (0, 1, "user", "é"), (1, 0, "user", "own"),
         (2, 5, "user", ""), (3, 0, "", "user"), (4, 0, "user", "y" * 100_000), (-3, 0, "user", "x"), (-3, 1, "user", "y"), (-7, 0, "u", "z"),
         (9, 0, "user", "turnless when its head is longer"), (14, 0, "user", "q"), (14, 1, "user", "q"),
-        *[(50, t, "user", f"long {t}") for t in range(3000)], *[(55, t, "user", f"long {t}") for t in range(3000)], *[(51, t, "user", f"long {t}") for t in range(3000)],
+        *[(c, t, "user", f"long {t}") for c in (50, 51, 55) for t in range(60)],
     ]
     df = conversations(spark, rows)
     clash = df.selectExpr("*", "1 AS path", "2 AS depth", "3 AS size", "4 AS `a.b`", "5 AS base", "6 AS own")
@@ -88,6 +88,15 @@ def test_trie_odd_input(spark, blocks):
     assert got(conversations(spark, [])) == {}
 
 
+def test_trie_of_a_long_conversation(spark):
+    df = spark.range(40_000).selectExpr("id % 2 * 5 AS conv_id", "id div 2 AS turn", "'user' AS role", "concat('turn ', id div 2) AS text")
+    rows = {r.depth: r for r in prefix_trie.trie(df).collect()}
+    assert len(rows) == 20_001 and all((r.n_convs, r.n_leaves, r.conv_id) == (2, 1, 0) for r in rows.values())
+    sizes = [len(f"turn {t}") for t in range(20_000)]
+    assert rows[0].saved_tokens == sum(sizes) and rows[20_000].saved_tokens == sizes[-1] and rows[20_000].n_children == 0
+    assert rows[20_000].ends_sha256 == sha("0,5") and rows[7].ends_sha256 == sha("")
+
+
 def test_parentheses_against_a_stack():
     rnd = random.Random(4)
     shapes = [[1, 0], [1] * 500 + [0] * 500, [1, *[1, 0] * 700, 0]]

@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, exact_dedup, html_extract, langid, licenses, packing, pii, prefix_trie, secret_scan, sharding, simhash, topk
+from tidemark.llm import bpe, divergence, exact_dedup, html_extract, langid, licenses, packing, pii, prefix_trie, secret_scan, sharding, simhash, topk
 from tidemark.sources.tables import table_path
 
 
@@ -56,6 +56,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_documents(spark, sf_dir), path, public_tokenizers.PATTERN)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_documents(spark, sf_dir))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(spark.read.parquet(table_path(sf_dir, "conversations")))
 
@@ -75,6 +79,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_html_extract": op9_html_extract,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_source_divergence": op11_source_divergence,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_slot_sharding": op13_slot_sharding,
 }
@@ -139,6 +144,43 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+_OP11 = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents
+), t AS (
+    SELECT i, lang, source, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM d
+), c AS (
+    SELECT lang, source, term, count(*)::HUGEINT AS n, count(DISTINCT i) AS docs FROM t GROUP BY ALL
+), k AS (
+    SELECT lang, term, sum(n) AS total FROM c GROUP BY ALL HAVING sum(docs) >= 10
+), l AS (
+    SELECT lang, count(*)::HUGEINT AS v, sum(total) AS m FROM k GROUP BY lang
+), g AS (
+    SELECT DISTINCT lang, source FROM d
+), x AS (
+    SELECT g.lang, g.source, k.term, k.total, coalesce(c.n, 0) AS n, sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS own
+    FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), p AS (
+    SELECT x.*, 1 + (1000000000 * (n + 2)) // (own + 2 * v) AS p, 1 + (1000000000 * (total + 2)) // (m + 2 * v) AS q
+    FROM x JOIN l USING (lang)
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item, coalesce(sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)), 0)::BIGINT AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+    LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+    GROUP BY ALL
+), terms AS (
+    SELECT lang, source, term AS item, (((p - q) * (p - q)) // (p + q))::BIGINT AS value FROM p WHERE n > 0 AND p > q
+)
+SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INT AS rank FROM pairs
+UNION ALL
+SELECT * FROM (
+    SELECT lang, source, 'term' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INT AS rank FROM terms
+) WHERE rank <= 10
+"""
+
 #: CRC-32 of a decimal number: bit by bit, over the codes of its digits.
 _CRC = """list_reduce([4294967295::UBIGINT] || [ord(x)::UBIGINT for x in string_split(c::VARCHAR, '')],
         lambda v, b: list_reduce([xor(v, b)] || [0::UBIGINT for i in range(8)], lambda r, z: xor(r >> 1, 3988292384 * (r & 1))))"""
@@ -176,5 +218,6 @@ ORACLE_SQL: dict[str, str] = {
     "op2_exact_topk": _OP2,
     "op7_license_scan": _OP7,
     "op8_exact_dedup": _OP8,
+    "op11_source_divergence": _OP11,
     "op12_prefix_trie": _OP12,
 }
