@@ -5,9 +5,15 @@ without copyright notices, equivalent spellings made one, every run of other
 signs than letters and digits one space), and its digest is joined by hash
 with those of the known licences in the same form.  A notice is a copyright
 word with a year, a sign or a holder, up to the end of its sentence or
-paragraph or to the licence's own first words.  The texts that are looked up are each document as
-a whole and each of its lines, so a licence statement inside a document is
-found if it makes up a line of its own.
+paragraph or to the licence's own first words.  The texts that are looked up
+are each document as a whole and each of its lines, so a licence statement
+inside a document is found if it makes up a line of its own.
+
+Most lines are no licence, and that can be seen without bringing them to form:
+of a few words found from the known forms, each form holds at least one
+(:func:`signs_of`).  No step of the canonical form makes such a word out of
+something else, so a text or line without any of them has no known form,
+whatever the table; only the others are brought to form.
 
 The known licences are a parameter (licence, text); the digests of the default
 ones are a table of fixed size.  DataFrame functions only.
@@ -129,6 +135,43 @@ def canonical(text: Column, one_line: bool = False) -> Column:
     return F.trim(F.regexp_replace(out, OTHERS, " "))
 
 
+#: What the spellings make out of other text, and how that text shows: a form's
+#: word with the left side in it stands for a text with the right side in it.
+MADE = (("license", "licen"),)
+#: Words that a spelling may make, or take a part from, in another way.
+NEVER = frozenset(("noncommercial", "noninfringement", "percent", "gpl", "and", "http", "https", "www"))
+
+
+def signs_of(forms: list[str]) -> list[str]:
+    """A few pieces of lower-case text such that each text with one of the
+    canonical ``forms`` holds at least one of them: a greedy cover by words of
+    five letters or more.  Empty if some form has no such word."""
+    holders: dict[str, set[int]] = {}
+    for i, form in enumerate(forms):
+        for word in set(form.split(" ")):
+            if len(word) >= 5 and word.isalpha() and word not in NEVER:
+                shown = next((b for a, b in MADE if a in word), word)
+                holders.setdefault(shown, set()).add(i)
+    left, out = set(range(len(forms))), []
+    while left:
+        best = max(holders, key=lambda w: (len(holders[w] & left), w), default=None)
+        if best is None or not holders[best] & left:
+            return []
+        out.append(best)
+        left -= holders[best]
+    return out
+
+
+def _any_of(text: Column, signs: list[str]) -> Column:
+    """Whether a lower-case text holds one of the signs.  An address's
+    beginning is dropped without a space, which might join two parts of a
+    word, so a text with one is always looked at."""
+    found = F.lit(not signs) | text.contains("http://") | text.contains("https://") if signs else F.lit(True)
+    for sign in signs:
+        found = found | text.contains(sign)
+    return found
+
+
 def digest(text: Column, one_line: bool = False) -> Column:
     """Digest of the canonical form; null if nothing is left of the text."""
     form = canonical(text, one_line)
@@ -152,22 +195,32 @@ def default_known(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(default_texts(), "licence string, text string")
 
 
+def known_forms(spark: SparkSession) -> list[str]:
+    """The canonical forms of the default texts (a fixed, small table)."""
+    return [r[0] for r in default_known(spark).select(canonical(F.col("text"))).distinct().collect() if r[0]]
+
+
 def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, licence (the whole text's), n_lines (lines
     that are a known text), licences (of text and lines, comma-joined).
 
     The default table's few digests are broadcast; a given table is joined by
-    hash, and adaptive execution decides from its measured size."""
-    digests = F.broadcast(known_digests(default_known(docs.sparkSession))) if known is None else known_digests(known)
+    hash, adaptive execution decides from its measured size, and all lines are
+    brought to form, as its forms may be too many to look for words in."""
+    spark = docs.sparkSession
+    digests = F.broadcast(known_digests(default_known(spark))) if known is None else known_digests(known)
+    signs = signs_of(known_forms(spark)) if known is None else []
     text = text_or_empty(text_col)
+    lower = F.lower(text)
     key = [col(id_col).alias(ID), *keyed(text_col)]
-    # One digest for the text and one for each line, and nothing else of it.
+    # One digest for the text and one for each line, of those that show a sign.
+    lines = F.filter(F.split(lower, "\n"), lambda line: _any_of(line, signs))
     units = F.concat(
-        F.array(F.struct(F.lit(True).alias("whole"), digest(text).alias("digest"))),
-        F.transform(F.split(text, "\n"), lambda line: F.struct(F.lit(False).alias("whole"), digest(line, True).alias("digest"))),
+        F.array(F.struct(F.lit(True).alias("whole"), digest(lower).alias("digest"))),
+        F.transform(lines, lambda line: F.struct(F.lit(False).alias("whole"), digest(line, True).alias("digest"))),
     )
     found = (
-        docs.select(*key, F.explode(units).alias("u")).select(ID, KEY_A, KEY_B, "u.*").filter("digest IS NOT NULL")
+        docs.filter(_any_of(lower, signs)).select(*key, F.explode(units).alias("u")).select(ID, KEY_A, KEY_B, "u.*").filter("digest IS NOT NULL")
         # Copies of a document share id and text; lines are counted per copy.
         .join(digests, "digest")
         .groupBy(ID, KEY_A, KEY_B)
