@@ -25,30 +25,43 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm.common import col, small_batches, text_or_empty, worker_cache, written
+from tidemark.llm.parts import Parts, text_blocks
 
 #: Pieces in a bucket of a length's ranking, on average at most.
 BUCKET_ROWS = 500
-#: Text parts that a Python worker remembers.
+#: Words that a Python worker remembers.
 CACHED = 400_000
-#: A space after something else than white space always begins a new word of
-#: the tokenizer's pattern, so a text may be cut there.
-PART = re.compile(r"(?<=\S) ")
+#: Buckets of a length whose counts are added up together.
+GROUP = 1_000
+#: Most bytes of the table of rank intervals that is broadcast, 40 a row; the
+#: 87,893 patterns of two or three lengths under 1,024 make 10 MB of them.
+SLOT_BYTES = 64 << 20
 
 
 class Ids:
-    """Token ids as little-endian bytes.  The tokenizer's model is asked once
-    for each different word; its own pattern does the split into words, and
-    the strings of special tokens are ordinary text."""
+    """Token ids of texts, as the tokenizer's file gives them: its added tokens
+    stand for their own strings, its pattern splits the rest into words, and
+    its model is asked once for each different word."""
 
     def __init__(self, path: str, pattern: str):
-        self.model = Tokenizer.from_file(path).model
+        tokenizer = Tokenizer.from_file(path)
+        self.model = tokenizer.model
         self.pattern = regex.compile(pattern)
+        added = {t.content: (i, t) for i, t in tokenizer.get_added_tokens_decoder().items()}
+        self.added = {content: i for content, (i, _) in added.items()}
+        # Longest first: of added tokens that begin at one place, the longest counts.
+        self.split = re.compile("(" + "|".join(
+            (r"\s*" if t.lstrip else "") + (r"\b" if t.single_word else "") + re.escape(x) + (r"\b" if t.single_word else "") + (r"\s*" if t.rstrip else "")
+            for x, (_, t) in sorted(added.items(), key=lambda item: -len(item[0]))
+        ) + ")") if added else None
+        self.shown = [x.encode() for x in self.added]
         printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         others = [b for b in range(256) if b not in printable]
         # The model's signs for bytes: printable ones for themselves.
@@ -57,29 +70,40 @@ class Ids:
             self.signs[b] = chr(b)
         for n, b in enumerate(others):
             self.signs[b] = chr(256 + n)
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.words: dict[str, list[int]] = {}
+        self.parts = Parts(self._learn)
 
-    def word(self, word: str) -> bytes:
+    def word(self, word: str) -> list[int]:
         found = self.words.get(word)
         if found is None:
             signs = "".join([self.signs[b] for b in word.encode()])
-            found = np.array([t.id for t in self.model.tokenize(signs)], "<u4").tobytes()
+            found = [t.id for t in self.model.tokenize(signs)]
             if len(self.words) >= CACHED:
                 self.words.clear()
             self.words[word] = found
         return found
 
-    def text(self, text: str) -> bytes:
-        first, *rest = PART.split(text)
-        if len(self.parts) >= CACHED:
-            self.parts.clear()
-        known = self.parts
-        out = list(map(known.get, rest))
-        for i, got in enumerate(out):
-            if got is None:  # a part that is not the first has its space before it
-                out[i] = known[rest[i]] = b"".join([self.word(w) for w in self.pattern.findall(" " + rest[i])])
-        return b"".join([*map(self.word, self.pattern.findall(first)), *out])
+    def _learn(self, parts: list[str]) -> list[np.ndarray]:
+        return [np.array([i for w in self.pattern.findall(p) for i in self.word(w)], np.int32) for p in parts]
+
+    def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids end to end, bounds of each text's)."""
+        raw = texts.buffers()[2]
+        if self.split is None or raw is None or not any(memoryview(raw).tobytes().find(x) >= 0 for x in self.shown):
+            return self.parts.encode(texts)
+        # Added tokens cut a text; what lies between is encoded as texts of its own.
+        pieces, owner, ids_of = [], [], []
+        for i, text in enumerate(texts.to_pylist()):
+            for k, piece in enumerate(self.split.split(text)):
+                owner.append(i)
+                ids_of.append(self.added[piece.strip() if piece not in self.added else piece] if k % 2 else -1)
+                pieces.append("" if k % 2 else piece)
+        flat, bounds = self.parts.encode(pa.array(pieces, pa.string()))
+        out = [[] for _ in range(len(texts))]
+        for i, own, low, high in zip(owner, ids_of, bounds, bounds[1:]):
+            out[i].append(np.array([own], np.int32) if own >= 0 else flat[low:high])
+        joined = [np.concatenate(x) for x in out]
+        return np.concatenate(joined), np.concatenate([[0], np.cumsum([len(x) for x in joined])])
 
 
 def pieces(
@@ -96,30 +120,38 @@ def pieces(
     ``with_ids``, the ids."""
     small_batches(docs.sparkSession)
     rows = docs.select(col(id_col).alias("__llm_id"), text_or_empty(text_col).alias("text"))
-    closing = np.array([end_id], "<u4").tobytes()
+    kind = rows.schema["__llm_id"].dataType.simpleString()
+    schema = f"__llm_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
+    names = ["__llm_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = worker_cache("packing")
         if (path, pattern) not in cache:
             cache[path, pattern] = Ids(path, pattern)
         ids = cache[path, pattern]
         gc.disable()  # large caches and no cycles: reference counts suffice
-        for batch in batches:
-            out = []
-            for key, text in zip(batch["__llm_id"], batch["text"]):
-                raw = memoryview(ids.text(text) + closing)
-                total = len(raw) // 4
-                at, first = 0, total % size or size
-                for piece in range(-(-total // size)):
-                    n = size if piece else min(first, total)
-                    own = raw[4 * at:4 * (at + n)]
-                    out.append((key, piece, at, n, zlib.crc32(own), *([np.frombuffer(own, "<u4").astype(np.int32)] if with_ids else [])))
-                    at += n
-            yield pd.DataFrame(out, columns=["__llm_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids)
-
-    kind = rows.schema["__llm_id"].dataType.simpleString()
-    schema = f"__llm_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return rows.mapInPandas(run, schema)
+        for block in text_blocks(batches, "text"):
+            flat, bounds = ids.texts(block.column("text"))
+            # Each text's ids and the closing one, end to end.
+            flat = np.insert(flat, bounds[1:], end_id).astype("<i4")
+            first = bounds[:-1] + np.arange(len(bounds) - 1)
+            total = np.diff(bounds) + 1
+            # Only longer texts are cut, into pieces of ``size``, the rest first.
+            count = -(-total // size)
+            row = np.repeat(np.arange(len(total)), count)
+            piece = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+            rest = np.where(total % size == 0, size, total % size)[row]
+            start = np.where(piece == 0, 0, rest + (piece - 1) * size)
+            length = np.where(piece == 0, rest, size)
+            raw = memoryview(flat.tobytes())
+            low = first[row] + start
+            crc = [zlib.crc32(raw[4 * a:4 * (a + n)]) for a, n in zip(low.tolist(), length.tolist())]
+            made = [block.column("__llm_id").take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
+            if with_ids:
+                made.append(pa.ListArray.from_arrays(pa.array(np.append(low, len(flat)), pa.int32()), pa.array(flat, pa.int32())))
+            yield pa.RecordBatch.from_arrays(made, names=names)
+
+    return rows.mapInArrow(run, schema)
 
 
 def exact_patterns(lengths: list[int], size: int) -> np.ndarray:
@@ -229,9 +261,24 @@ def plan(histogram: dict[int, int], size: int) -> list[tuple[tuple[int, ...], in
     return out + best_fit(left, size)
 
 
-def _slots(spark: SparkSession, planned: list[tuple[tuple[int, ...], int]]) -> DataFrame:
-    """Rank intervals: (length, low, high, sequence, offset).  Their number
-    depends on the sequence size, not on the corpus."""
+def _first_ranks(counts: DataFrame) -> DataFrame:
+    """(length, bucket, first): how many pieces of a length lie in earlier
+    buckets.  Two levels, groups of ``GROUP`` buckets and buckets in a group,
+    so the buckets of a common length don't meet in one task."""
+    counts = counts.withColumn("group", F.floor(F.col("bucket") / GROUP))
+
+    def earlier(window):
+        return F.coalesce(F.sum("n").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    groups = counts.groupBy("length", "group").agg(F.sum("n").alias("n"))
+    groups = groups.select("length", "group", earlier(Window.partitionBy("length").orderBy("group")).alias("group_first"))
+    own = counts.select("length", "group", "bucket", earlier(Window.partitionBy("length", "group").orderBy("bucket")).alias("own_first"))
+    return own.join(groups, ["length", "group"]).select("length", "bucket", (F.col("group_first") + F.col("own_first")).alias("first"))
+
+
+def _slots(spark: SparkSession, planned: list[tuple[tuple[int, ...], int]]) -> tuple[DataFrame, int]:
+    """Rank intervals (length, low, high, sequence, offset), and how many.
+    Their number depends on the sequence size, not on the corpus."""
     rows, used, sequence = [], defaultdict(int), 0
     for content, n in planned:
         offset = 0
@@ -241,7 +288,7 @@ def _slots(spark: SparkSession, planned: list[tuple[tuple[int, ...], int]]) -> D
             offset += length
         sequence += n
     schema = "length long, low long, high long, sequence long, offset long"
-    return spark.createDataFrame(pd.DataFrame(rows, columns=["length", "low", "high", "sequence", "offset"]), schema)
+    return spark.createDataFrame(pd.DataFrame(rows, columns=["length", "low", "high", "sequence", "offset"]), schema), len(rows)
 
 
 def pack(
@@ -267,15 +314,15 @@ def pack(
     bucket = F.pmod(F.xxhash64(*keys), F.lit(-(-most // BUCKET_ROWS) or 1)).cast("long")
     dealt = cut.withColumn("bucket", bucket)
     counts = dealt.groupBy("length", "bucket").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = counts.select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    firsts = _first_ranks(counts)
     within = Window.partitionBy("length", "bucket").orderBy(*keys)
     ranked = (
         dealt.withColumn("nth", F.row_number().over(within))
         .join(firsts, ["length", "bucket"])
         .withColumn("rank", F.col("first") + F.col("nth") - 1)
     )
-    slots = F.broadcast(_slots(spark, plan(histogram, size))).alias("s")
+    slots, n_slots = _slots(spark, plan(histogram, size))
+    slots = (F.broadcast(slots) if 40 * n_slots <= SLOT_BYTES else slots).alias("s")
     r = ranked.alias("r")
     placed = r.join(
         slots,
