@@ -10,13 +10,15 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+import regex
 import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm import bpe, exact_dedup, langid, licenses, packing, pii, secret_scan, simhash
+from tidemark.llm import bpe, exact_dedup, langid, licenses, packing, parts, pii, secret_scan, simhash
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -306,9 +308,9 @@ def test_pii_linear_on_long_runs():
 # --- 6: packing --------------------------------------------------------------
 
 def test_packing(docs, odd_docs):
-    rows = both(docs, odd_docs)
+    added = docs.limit(9).withColumn("text", F.concat("text", F.lit(" <|endoftext|> and<|endoftext|><|endoftext|>\n"), "text"))
+    rows = both(docs, odd_docs).unionByName(added.select("doc_id", "text"))
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
     want = collections.Counter()
     for r in rows.collect():
         ids = tokenizer.encode(r.text or "", add_special_tokens=False).ids + [2]
@@ -368,10 +370,27 @@ def test_non_negative_least_squares():
 
 def test_ids_equal_the_tokenizers_own():
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
     own = packing.Ids(JSON, PATTERN)
-    for text in ("", " ", "a  b   c\n\n d\t e", "it's we'll  x", "\U0001f389 　wide", "a\x1c b", "x" * 3000, "<|endoftext|> a", "\n \n a \n"):
-        assert np.frombuffer(own.text(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    texts = ["", " ", "a  b   c\n\n d\t e", "it's we'll  x", "\U0001f389 \u3000wide", "a\x1c b", "x" * 3000, "a <|endoftext|> b", "<|endoftext|>", "\n \n a \n",
+             "<|endoftext|><|endoftext|>x", "<|endoftext", "\u00a0 a \u2003 b\u0085 c \u00e9 d", "\u4e2d \u6587 \u1680 x", " <|endoftext|> "]
+    for block in (texts, [x for x in texts if "|>" not in x], texts[::-1]):
+        flat, bounds = own.texts(pa.array(block, pa.string()))
+        got = [flat[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
+        assert got == [tokenizer.encode(x, add_special_tokens=False).ids for x in block]
+    assert tokenizer.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+
+
+def test_parts_are_cut_before_words_only():
+    """The parts of any text, tokenised alone, give the words of the whole."""
+    pattern = regex.compile(PATTERN)
+    rnd = random.Random(9)
+    signs = ["a", "B", "1", " ", "  ", "\n", "\t", "\u00a0", "\u3000", "\u2003", "\u0085", "\x1c", "\u00e9", "\u4e2d", "'s", ".", "\U0001f389", "\u1680", "\u200b", "\x7f"]
+    for _ in range(2000):
+        text = "".join(rnd.choice(signs) for _ in range(rnd.randint(0, 25)))
+        raw = text.encode()
+        at = [0, *parts.cuts(np.frombuffer(raw, np.uint8)).tolist(), len(raw)]
+        cut = [raw[a:b].decode() for a, b in zip(at, at[1:])]
+        assert [w for p in cut for w in pattern.findall(p)] == pattern.findall(text), ascii(text)
 
 
 # --- 7: licences -------------------------------------------------------------
@@ -467,8 +486,33 @@ def test_bpe_odd_words(library):
     own = bpe.Encoder(RANKS, PATTERN)
     rnd = random.Random(5)
     for text in ("a" * 3000, "ab" * 700, "".join(rnd.choice("abcdefgh") for _ in range(1500)), "  x   y\n\n z", "日本語" * 120, "é" * 300, "1234567890" * 40, " " * 400 + "x"):
-        n, ids, decoded = own.encode([text])[0]
-        assert list(map(int, ids.split())) == library.encode_ordinary(text) and n == len(ids.split()) and decoded == text.encode()
+        ids = own.encode(pa.array([text]))[0]
+        assert ids.tolist() == library.encode_ordinary(text) and own.decode([ids]) == [text.encode()]
+        assert own.digest(ids) == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+
+
+def test_bpe_unsafe_tokens_by_brute_force():
+    own = bpe.Encoder(RANKS, PATTERN)
+    merges = own.db.execute("SELECT l, r, id FROM merges").fetchall()
+    least = {}
+    for l, r, i in merges:
+        for part in (l, r):
+            least[part] = min(least.get(part, i), i)
+    want = {i for _, _, i in merges if least.get(i, i) < i}
+    assert {r[0] for r in own.db.execute("SELECT id FROM unsafe").fetchall()} == want
+
+
+def test_bpe_digest_is_that_of_the_decoded_ids(monkeypatch, library):
+    """A wrong id shows in the decoded bytes; blocks cut ids anywhere."""
+    own = bpe.Encoder(RANKS, PATTERN)
+    texts = ["the cat sat on the mat é日本", "", "x" * 500, "the dog sat"]
+    ids = [np.array(library.encode_ordinary(t), np.int32) for t in texts]
+    for size in (500_000, 7, 1):
+        monkeypatch.setattr(bpe, "DECODED", size)
+        assert own.decode(ids) == [t.encode() for t in texts]
+        wrong = [x.copy() for x in ids]
+        wrong[0][1] += 1
+        assert own.decode(wrong)[0] != texts[0].encode() and own.decode(wrong)[1:] == own.decode(ids)[1:]
 
 
 def test_bpe_decode(spark, docs, library):

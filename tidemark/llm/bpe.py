@@ -4,9 +4,10 @@ A text is split by the vocabulary's pattern.  The words that a partition has
 not met yet become rows (word, position, token), one for each byte.  A
 recursive query joins adjacent tokens with the merge table, contracts each
 word's leftmost pair of least rank, and ends when no word has a pair left.
-Ordered aggregation then gives each word's ids and, from the vocabulary's
-token texts, its decoded bytes; a document's are its words' in order.  As in
-the library whose ranks are read, a word that is itself a token stays whole.
+A document's ids are its words' in order.  As in the library whose ranks are
+read, a word that is itself a token stays whole.  Ids are decoded on their own,
+whatever text they came from: rows (document, position, id) join the
+vocabulary, and ordered aggregation strings the tokens' bytes together.
 
 A word of over ``LONG`` bytes has a query of its own, over a keyed state that
 keeps one row for each byte however many rounds it takes; there, all
@@ -26,7 +27,6 @@ from __future__ import annotations
 import base64
 import gc
 import hashlib
-import re
 from collections.abc import Iterator
 
 import duckdb
@@ -38,14 +38,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import col, small_batches, text_or_empty, worker_cache
+from tidemark.llm.parts import Parts, text_blocks
 
 #: Words contracted in one query, and the length from which one has its own.
 WORDS, LONG = 30_000, 256
-#: Words and text parts that a Python worker remembers.
+#: Ids decoded in one query.
+DECODED = 500_000
+#: Words that a Python worker remembers.
 CACHED = 400_000
-#: A space after something else than white space always begins a new match of
-#: the pattern, so a text may be cut there and its parts treated alone.
-PART = re.compile(r"(?<=\S) ")
 POSITION_BITS = 24
 POSITIONS = (1 << POSITION_BITS) - 1
 
@@ -69,10 +69,7 @@ WITH RECURSIVE step AS (
     ) best ON best.word = t.word
     WHERE least IS NULL OR pos <> (least & {POSITIONS}) + 1
 )
-SELECT word, count(*) AS n, string_agg(tok::VARCHAR, ' ' ORDER BY pos) AS ids, string_agg(text, '' ORDER BY pos) AS decoded
-FROM step JOIN vocabulary ON id = tok
-WHERE done
-GROUP BY word
+SELECT word, tok FROM step WHERE done ORDER BY word, pos
 """
 
 CONTRACT_LONG = """
@@ -96,9 +93,17 @@ WITH RECURSIVE step(pos, tok) USING KEY (pos) AS (
     )
     WHERE CASE WHEN least IN (SELECT id FROM unsafe) THEN pos = leftmost ELSE in_run % 2 = 1 END
 )
-SELECT 0 AS word, count(*) AS n, string_agg(tok::VARCHAR, ' ' ORDER BY pos) AS ids, string_agg(text, '' ORDER BY pos) AS decoded
-FROM step JOIN vocabulary ON id = tok
-WHERE tok >= 0
+SELECT 0::INT AS word, tok FROM step WHERE tok >= 0 ORDER BY pos
+"""
+
+#: The vocabulary's texts have a sign for each byte.
+DECODE = "SELECT row, string_agg(text, '' ORDER BY pos) FROM given JOIN vocabulary ON id = tok GROUP BY row"
+
+#: Merged tokens that can be part of a pair of lower rank than their own.
+UNSAFE = """
+SELECT a.id FROM merges a JOIN merges b ON b.l = a.id WHERE b.id < a.id
+UNION
+SELECT a.id FROM merges a JOIN merges b ON b.r = a.id WHERE b.id < a.id
 """
 
 
@@ -128,10 +133,10 @@ class Encoder:
             "id": pa.array(list(self.ranks.values()), pa.int32()),
             "text": [token.decode("latin-1") for token in self.ranks],  # a sign for each byte
         }))
-        # Merged tokens that can be part of a pair of lower rank than their own.
-        self.db.execute("CREATE TABLE unsafe AS SELECT DISTINCT a.id FROM merges a JOIN merges b ON (b.l = a.id OR b.r = a.id) AND b.id < a.id")
-        self.words: dict[str, tuple[int, str, bytes]] = {}
-        self.parts: dict[str, tuple[int, str, bytes]] = {}
+        self.db.execute(f"CREATE TABLE unsafe AS {UNSAFE}")
+        self.names = [str(i) for i in range(max(self.ranks.values()) + 1)]
+        self.words: dict[str, np.ndarray] = {}
+        self.parts = Parts(self._part_ids)
 
     def _table(self, name: str, rows: pa.Table) -> None:
         self.db.register("given", rows)
@@ -145,9 +150,12 @@ class Encoder:
         pos = np.arange(len(tokens)) - np.repeat(np.cumsum(size) - size, size)
         word = np.repeat(np.arange(len(raw), dtype=np.int32), size)
         self.db.register("start", pa.table({"word": word, "pos": pos.astype(np.int32), "tok": tokens}))
-        for at, n, ids, decoded in self.db.execute(query).fetchall():
-            self.words[words[at]] = (n, ids, decoded.encode("latin-1"))
+        found = self.db.execute(query).fetchnumpy()
         self.db.unregister("start")
+        of, ids = np.asarray(found["word"]), np.asarray(found["tok"]).astype("<i4")
+        cuts = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
+        for low, high in zip(cuts, cuts[1:]):
+            self.words[words[of[low]]] = ids[low:high].copy()
 
     def learn(self, words: list[str]) -> None:
         short, long = [], []
@@ -155,7 +163,7 @@ class Encoder:
             raw = w.encode()
             whole = self.ranks.get(raw)
             if whole is not None:
-                self.words[w] = (1, str(whole), raw)
+                self.words[w] = np.array([whole], np.int32)
             else:
                 (long if len(raw) > LONG else short).append(w)
         for at in range(0, len(short), WORDS):
@@ -163,48 +171,37 @@ class Encoder:
         for w in long:
             self._contract([w], CONTRACT_LONG)
 
-    def encode(self, texts: list[str]) -> list[tuple[int, str, bytes]]:
-        """(number of ids, the ids as text, decoded bytes) of each text."""
+    def _part_ids(self, parts: list[str]) -> list[np.ndarray]:
         if len(self.words) > CACHED:
             self.words.clear()
-        if len(self.parts) > CACHED:
-            self.parts.clear()
-        cut = [PART.split(text) for text in texts]
-        met = {p for parts in cut for p in parts[1:]}
-        # A part that is not a text's first has its space before it.
-        new = {p: self.pattern.findall(" " + p) for p in met - self.parts.keys()}
-        firsts = [self.pattern.findall(parts[0]) for parts in cut]
-        needed = {w for found in new.values() for w in found}.union(*firsts)
-        self.learn(list(needed - self.words.keys()))
-        for part, found in new.items():
-            self.parts[part] = self._chain([self.words[w] for w in found])
-        known = self.parts.__getitem__
-        return [
-            self._chain([*(self.words[w] for w in first), *map(known, parts[1:])]) for first, parts in zip(firsts, cut)
-        ]
-
-    @staticmethod
-    def _chain(pieces: list[tuple[int, str, bytes]]) -> tuple[int, str, bytes]:
-        if not pieces:
-            return 0, "", b""
-        counts, ids, decoded = zip(*pieces)
-        return sum(counts), " ".join(ids), b"".join(decoded)
-
-    def decode(self, lists: list) -> list[bytes]:
-        """The bytes of each list of ids, by ordered aggregation."""
-        size = np.array([len(x) for x in lists], np.int64)
-        out = [b""] * len(lists)
-        tokens = np.concatenate([np.empty(0, np.int32), *[np.asarray(x, np.int32) for x in lists]])
-        self.db.register("given", pa.table({
-            "row": np.repeat(np.arange(len(lists)), size),
-            "pos": np.arange(len(tokens)),
-            "tok": tokens,
-        }))
-        query = "SELECT row, string_agg(text, '' ORDER BY pos) FROM given JOIN vocabulary ON id = tok GROUP BY row"
-        for row, text in self.db.execute(query).fetchall():
-            out[row] = text.encode("latin-1")
-        self.db.unregister("given")
-        return out
+        found = [self.pattern.findall(p) for p in parts]
+        self.learn(list({w for words in found for w in words} - self.words.keys()))
+        known, none = self.words.__getitem__, np.empty(0, np.int32)
+        return [known(w[0]) if len(w) == 1 else np.concatenate([none, *map(known, w)]) for w in found]
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text."""
+        flat, bounds = self.parts.encode(texts)
+        return [flat[low:high] for low, high in zip(bounds, bounds[1:])]
+
+    def digest(self, ids: np.ndarray) -> str:
+        """SHA-256 of the ids' decimal text."""
+        return hashlib.sha256(" ".join([self.names[i] for i in ids.tolist()]).encode()).hexdigest()
+
+    def decode(self, lists: list[np.ndarray]) -> list[bytes]:
+        """The bytes of each array of ids, by ordered aggregation over blocks
+        of ids; an array may go on in the next block."""
+        out: list[list[bytes]] = [[] for _ in lists]
+        row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+        tokens = np.concatenate([np.empty(0, np.int32), *lists])
+        for at in range(0, len(tokens), DECODED):
+            own = slice(at, at + DECODED)
+            pos = np.arange(len(tokens[own]), dtype=np.int32)
+            self.db.register("given", pa.table({"row": row[own], "pos": pos, "tok": tokens[own]}))
+            for k, text in self.db.execute(DECODE).fetchall():
+                out[k].append(text.encode("latin-1"))
+            self.db.unregister("given")
+        return [b"".join(x) for x in out]
 
 
 def encoder(path: str, pattern: str) -> Encoder:
@@ -214,19 +211,6 @@ def encoder(path: str, pattern: str) -> Encoder:
     return cache[path, pattern]
 
 
-def _blocks(batches: Iterator[pd.DataFrame], chars: int = 6_000_000) -> Iterator[pd.DataFrame]:
-    """Rows gathered up to about ``chars`` characters."""
-    held, size = [], 0
-    for batch in batches:
-        held.append(batch)
-        size += int(batch["__llm_text"].str.len().sum())
-        if size >= chars:
-            yield pd.concat(held, ignore_index=True)
-            held, size = [], 0
-    if held:
-        yield pd.concat(held, ignore_index=True)
-
-
 def round_trip(
     docs: DataFrame,
     path: str,
@@ -240,25 +224,25 @@ def round_trip(
     small_batches(docs.sparkSession)
     rows = docs.select(col(id_col).alias("__llm_id"), text_or_empty(text_col).alias("__llm_text"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ["__llm_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids", "decoded"] * with_ids
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, pattern)
-        gc.disable()  # millions of small tuples and no cycles: reference counts suffice
-        for block in _blocks(batches):
-            encoded = own.encode(list(block["__llm_text"]))
-            out = pd.DataFrame({
-                "__llm_id": block["__llm_id"],
-                "n_tokens": [n for n, _, _ in encoded],
-                "ids_sha256": [hashlib.sha256(ids.encode()).hexdigest() for _, ids, _ in encoded],
-                "decoded_sha256": [hashlib.sha256(decoded).hexdigest() for _, _, decoded in encoded],
-            })
+        gc.disable()  # large caches and no cycles: reference counts suffice
+        for block in text_blocks(batches, "__llm_text"):
+            ids = own.encode(block.column("__llm_text"))
+            decoded = own.decode(ids)
+            made = [
+                block.column("__llm_id"), pa.array([len(x) for x in ids], pa.int64()), pa.array([own.digest(x) for x in ids], pa.string()),
+                pa.array([hashlib.sha256(x).hexdigest() for x in decoded], pa.string()),
+            ]
             if with_ids:
-                out["ids"] = [list(map(int, ids.split())) for _, ids, _ in encoded]
-                out["decoded"] = [decoded for _, _, decoded in encoded]
-            yield out
+                made += [pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.binary())]
+            yield pa.RecordBatch.from_arrays(made, names=names)
 
     kind = rows.schema["__llm_id"].dataType.simpleString()
     schema = f"__llm_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded binary" * with_ids
-    found = rows.mapInPandas(run, schema)
+    found = rows.mapInArrow(run, schema)
     return found.withColumnRenamed("__llm_id", id_col)
 
 
@@ -270,7 +254,7 @@ def decode(rows: DataFrame, path: str, pattern: str, id_col: str = "doc_id", ids
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = encoder(path, pattern)
         for batch in batches:
-            yield pd.DataFrame({"__llm_id": batch["__llm_id"], "decoded": own.decode(list(batch["ids"]))})
+            yield pd.DataFrame({"__llm_id": batch["__llm_id"], "decoded": own.decode([np.asarray(x, np.int32) for x in batch["ids"]])})
 
     kind = rows.schema["__llm_id"].dataType.simpleString()
     return rows.mapInPandas(run, f"__llm_id {kind}, decoded binary").withColumnRenamed("__llm_id", id_col)
