@@ -18,7 +18,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tidemark.plans.driver_queries import QUERIES  # noqa: E402
+from tidemark.plans.registered import QUERIES  # noqa: E402
 from tidemark.session import build_session  # noqa: E402
 
 

@@ -10,7 +10,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tidemark.operators import sketches
-from tidemark.plans.driver_queries import QUERIES
+from tidemark.plans.registered import QUERIES
 from tidemark.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"

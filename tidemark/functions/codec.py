@@ -38,12 +38,40 @@ def parse_json_or_skip(df: DataFrame, col: str, schema: T.StructType, keep=()) -
     are dropped, and no others: a field that is missing or of another type
     than declared is null, and the rest of its record stays.
 
-    The record is parsed once, into a one-element array; the generator keeps
-    later filters from being pushed below the parse, which would parse the
-    text again per predicate.  ``keep`` columns of ``df`` are carried.
+    A record whose declared fields are all there and of their types, nearly
+    every one, is parsed once, by the declared schema.  Parsing it as the one
+    element of an array makes sure that nothing follows the object.  Only the
+    others (a field that is null, missing or of another type) are parsed
+    again, as a variant, which tells them from text that is no JSON.  The
+    one-element arrays under generators keep later projections and filters
+    from repeating a parse.  ``keep`` columns of ``df`` are carried.
     """
-    parsed = F.try_parse_json(F.col(col).cast("string"))
-    ok = F.filter(F.array(parsed), lambda v: v.isNotNull() & F.schema_of_variant(v).startswith("OBJECT"))
-    return df.select(*keep, F.explode(ok).alias("_v")).select(
-        *keep, *[_field(F.col("_v"), f"$['{f.name}']", f.dataType).alias(f.name) for f in schema.fields]
+    text = F.col(col).cast("string")
+    # An object begins and ends with braces; other text isn't parsed at all.
+    bare = F.trim(F.translate(text, "\t\r\n", "   "))
+    object_text = F.filter(F.array(text), lambda t: bare.startswith("{") & bare.endswith("}"))
+    candidates = df.select(*keep, F.explode(object_text).alias("_t"))
+    options = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+    alone = F.from_json(F.concat(F.lit("["), F.col("_t"), F.lit("]")), T.ArrayType(schema), options)
+    read = candidates.select(*keep, "_t", F.explode(F.array(F.struct(alone.alias("a")))).alias("_r")).select(
+        *keep, "_t", (F.size("_r.a") == 1).alias("_one"), F.try_element_at("_r.a", F.lit(1)).alias("_o")
     )
+    whole = F.coalesce(F.col("_one") & _all_there(F.col("_o"), schema), F.lit(False))
+    again = F.when(~F.col("_whole"), F.try_parse_json("_t"))
+    ok = F.filter(F.array(again), lambda v: F.col("_whole") | (v.isNotNull() & F.schema_of_variant(v).startswith("OBJECT")))
+    return read.select(*keep, "_t", "_o", whole.alias("_whole")).select(*keep, "_o", "_whole", F.explode(ok).alias("_v")).select(
+        *keep,
+        *[
+            F.when(F.col("_whole"), F.col("_o").getField(f.name)).otherwise(_field(F.col("_v"), f"$['{f.name}']", f.dataType)).alias(f.name)
+            for f in schema.fields
+        ],
+    )
+
+
+def _all_there(value: Column, schema: T.StructType) -> Column:
+    """No declared field, nested ones too, is null."""
+    there = value.isNotNull()
+    for f in schema.fields:
+        own = value.getField(f.name)
+        there = there & (_all_there(own, f.dataType) if isinstance(f.dataType, T.StructType) else own.isNotNull())
+    return there

@@ -6,105 +6,82 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Classes into which a level's range is cut in one pass.
-CLASSES = 1024
-#: Bytes of a text key that one level compares.
-TEXT_BYTES = 5
 
-_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+#: Ranges that keys are dealt to, and keys that may reach the driver.
+RANGES, FEW = 64, 10_000
 
 
-def _levels(df: DataFrame, order_col: str) -> list[Column]:
-    """Numbers whose order, one after the other, is the order of the key
-    (nulls last), then a hash of the whole row as the tie-breaker."""
-    c, kind = F.col(order_col), df.schema[order_col].dataType
-    if isinstance(kind, T.StringType):
-        longest = df.agg(F.max(F.octet_length(c))).first()[0] or 0
-        raw = c.cast("binary")
-        key = [
-            # each byte as 1xx in hexadecimal, so that a shorter text is first
-            F.conv(
-                F.rpad(F.regexp_replace(F.hex(F.substring(raw, at + 1, TEXT_BYTES)), "(..)", "1$1"), 3 * TEXT_BYTES, "0"), 16, 10
-            ).cast("long")
-            for at in range(0, longest, TEXT_BYTES)
-        ]
-    elif isinstance(kind, T.TimestampType):
-        key = [F.unix_micros(c)]
-    elif isinstance(kind, T.TimestampNTZType):
-        key = [F.unix_micros(c.cast("timestamp"))]
-    elif isinstance(kind, T.DateType):
-        key = [F.unix_date(c).cast("long")]
-    elif isinstance(kind, T.BooleanType):
-        key = [c.cast("int")]
-    elif isinstance(kind, _INTEGRAL):
-        key = [c.cast("long")]
-    else:
-        key = [c]
-    return [c.isNull().cast("long"), *key, F.xxhash64(F.to_json(F.struct(*df.columns)))]
+def _comparable(c: Column, kind: T.DataType) -> Column:
+    """A key whose values mean the same on the driver, whatever its zone."""
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp"))
+    return F.unix_date(c) if isinstance(kind, T.DateType) else c
 
 
-def _kth(rows: DataFrame, level: Column, k: int):
-    """``(value, rows below it, rows at it)`` of the k-th smallest ``level``.
+def _before(key: list[Column], bound: list, inclusive: bool) -> Column:
+    """Whether the key columns, in order, come before the bound's values (or
+    are equal to them)."""
+    out = F.lit(inclusive)
+    for c, b in reversed(list(zip(key, bound))):
+        if b is None:  # only the order column, whose flag before it is equal then
+            continue
+        out = (c < F.lit(b)) | ((c == F.lit(b)) & out)
+    return out
 
-    Each pass counts the rows in ``CLASSES`` classes of the range that holds
-    the k-th (one aggregate, combined before the shuffle, at most that many
-    rows), and goes on in that class until it holds one value.
-    """
-    values = rows.select(level.alias("x")).where("x IS NOT NULL")
-    below = 0
-    low, high = values.agg(F.min("x"), F.max("x")).first()
+
+def _cut(keys: DataFrame, names: list[str], n: int):
+    """(key of the n-th row, how many rows with that key belong to the first
+    n, how many there are), or None if there are at most n rows.
+
+    Spark's range partitioning deals the keys; each range's row count, least
+    and greatest key reach the driver, and the range that holds the n-th row
+    is dealt again until it is small or holds one key."""
+    bound, order = F.struct(*names), [F.col(x).asc_nulls_last() for x in names]
     while True:
-        inside = values.where((F.col("x") >= F.lit(low)) & (F.col("x") <= F.lit(high)))
-        if low == high:
-            return low, below, inside.count()
-        integral = isinstance(low, int) and high - low < 1 << 62
-        place = (F.col("x") - F.lit(low)).cast("double") if integral else F.col("x").cast("double") - F.lit(float(low))
-        width = float(high) - float(low) if not integral else float(high - low)
-        classes = (
-            inside.groupBy(F.least(F.floor(place / F.lit(width) * CLASSES), F.lit(CLASSES - 1)).alias("class"))
-            .agg(F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
-            .orderBy("class").collect()
+        ranges = (
+            keys.repartitionByRange(RANGES, *order).groupBy(F.spark_partition_id().alias("part"))
+            .agg(F.count(F.lit(1)).alias("n"), F.min(bound).alias("low"), F.max(bound).alias("high")).orderBy("low").collect()
         )
-        for own in classes:
-            if below + own["n"] >= k:
+        for own in ranges:
+            if n <= own["n"]:
                 break
-            below += own["n"]
-        if (own["low"], own["high"]) == (low, high):  # as near as doubles can tell
-            seen = inside.groupBy("x").count().orderBy("x").collect()
-            for x, n in seen:
-                if below + n >= k:
-                    return x, below, n
-                below += n
-        low, high = own["low"], own["high"]
+            n -= own["n"]
+        else:
+            return None
+        low, high = list(own["low"]), list(own["high"])
+        if low == high:
+            return low, n, own["n"]
+        columns = [F.col(x) for x in names]
+        keys = keys.where(~_before(columns, low, False) & _before(columns, high, True))
+        if own["n"] <= FEW:
+            seen = [list(r) for r in keys.orderBy(*order).collect()]
+            key = seen[n - 1]
+            return key, n - seen.index(key), seen.count(key)
 
 
 def first_n(df: DataFrame, n: int, order_col: str = "id") -> DataFrame:
     """``ORDER BY order_col LIMIT n`` (nulls last), the same plan for any
     ``n`` and any size.
 
-    The n-th key is found exactly by class counts on the key alone, so no task
-    merges candidates and only counts reach the driver; the result is a filter
-    on the key.  Rows tied at the n-th key are told apart by a hash of the
-    row; of rows alike in all columns, as many copies as are due are taken.
-    For streams use ``streaming.window_stream.stop_after``.
+    The key is the order column and a hash of the row, to tell ties apart.
+    The n-th key is found by range partitions (:func:`_cut`); the result is a
+    filter on the key, so no task merges candidates.  Of rows alike in all
+    columns as many copies as are due are taken.  For streams use
+    ``streaming.window_stream.stop_after``.
     """
     order = F.col(order_col).asc_nulls_last()
     if n <= 0:
         return df.where(F.lit(False))
-    if df.count() <= n:
+    key = [
+        F.col(order_col).isNull().cast("int"), _comparable(F.col(order_col), df.schema[order_col].dataType),
+        F.xxhash64(F.to_json(F.struct(*df.columns))),
+    ]
+    names = ["_flag", "_key", "_hash"]
+    found = _cut(df.select(*[c.alias(x) for c, x in zip(key, names)]), names, n)
+    if found is None:
         return df.orderBy(order)
-    tied, taken, left = df, F.lit(False), n
-    same = F.lit(True)
-    for level in _levels(df, order_col):
-        if tied.select(level.alias("x")).where("x IS NOT NULL").isEmpty():
-            continue  # a null key has no further levels
-        value, below, here = _kth(tied, level, left)
-        taken = taken | (same & (level < F.lit(value)))
-        same = same & (level == F.lit(value))
-        left -= below
-        tied = df.where(same)
-        if left == here:
-            return df.where(taken | same).orderBy(order)
-    alike = tied.groupBy(*df.columns).agg(F.count("*").alias("__n"))
-    ties = alike.select("*", F.explode(F.sequence(F.lit(1), F.least(F.col("__n"), F.lit(left)).cast("int")))).select(*df.columns)
-    return df.where(taken).unionByName(ties).orderBy(order)
+    cut, due, there = found
+    if due == there:
+        return df.where(_before(key, cut, True)).orderBy(order)
+    before = _before(key, cut, False)
+    return df.where(before).unionByName(df.where(~before & _before(key, cut, True)).limit(due)).orderBy(order)

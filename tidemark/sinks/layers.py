@@ -6,6 +6,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 
+from tidemark.sinks.partitions import write_partitions
+
 PARTITION_COL = "processing_date"
 
 
@@ -21,16 +23,7 @@ def _balanced(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def _write(df: DataFrame, root: str, format: str, mode: str, runs: Iterable | None) -> None:
-    writer = _balanced(df, PARTITION_COL).write.mode(mode).option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(PARTITION_COL).format(format).save(root)
-    if mode == "overwrite" and runs is not None:
-        # Dynamic overwrite leaves a run without rows as it was: empty it.
-        there = {r[0] for r in df.select(PARTITION_COL).distinct().collect()}
-        empty = df.limit(0).drop(PARTITION_COL)
-        for run in sorted(set(runs) - there):
-            empty.write.mode("overwrite").option("partitionOverwriteMode", "static").format(format).save(
-                f"{root}/{PARTITION_COL}={run.isoformat()}"
-            )
+    write_partitions(_balanced(df, PARTITION_COL), root, format, PARTITION_COL, mode, runs)
 
 
 def write_raw(df: DataFrame, root: str, mode: str = "overwrite", runs: Iterable | None = None) -> None:

@@ -59,11 +59,12 @@ def read_topic(spark: SparkSession, topic: Topic, streaming: bool = False, max_p
     if topic.format != "files":
         raise ValueError(f"unknown topic format {topic.format!r}")
     if streaming:
-        reader = spark.readStream.schema(TOPIC_FRAME)
+        reader = spark.readStream.schema(TOPIC_FRAME).option("recursiveFileLookup", True)
         if max_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_per_trigger)
         return reader.parquet(topic.path)
-    return spark.read.schema(TOPIC_FRAME).parquet(topic.path)
+    # Bounded publishers write a folder for each of their batches.
+    return spark.read.schema(TOPIC_FRAME).option("recursiveFileLookup", True).parquet(topic.path)
 
 
 def decode_topic(frames: DataFrame, schema: T.StructType, on_error: str = "fail", with_metadata: bool = False,

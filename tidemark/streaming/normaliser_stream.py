@@ -10,8 +10,7 @@ so a restarted run publishes every record exactly once.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,6 +18,7 @@ from tidemark.operators.events import normalise_edits, parse_raw_edits
 from tidemark.operators.limits import first_n
 from tidemark.sinks.topics import to_frames, write_topic, write_topic_stream
 from tidemark.sources.topics import Topic, read_topic
+from tidemark.streaming.budget import Budget, publish_once
 
 
 def normalised_edits(raw_text: DataFrame, text_col: str = "value", kind_col: str | None = None) -> DataFrame:
@@ -43,43 +43,48 @@ def start_normaliser(raw_text: DataFrame, events_topic: Topic, checkpoint: str,
 
     With ``max_events`` exactly that many are published (G2): the micro-batch
     that reaches the budget publishes the first of its events by id, later
-    ones nothing, and :func:`wait` stops the query.  What earlier
-    runs published counts, as read from the topic.
+    ones nothing, and :func:`wait` stops the query.  The budget is the
+    checkpoint's: a restarted query goes on where it was, and a batch replayed
+    after a crash replaces its own records (a file topic; a Kafka topic, which
+    cannot be overwritten, may get that one batch twice).
     """
     edits = normalised_edits(raw_text, kind_col=kind_col)
     if max_events is None:
         observed = edits.observe(PUBLISHED_METRIC, F.count(F.lit(1)).alias("rows"))
         return write_topic_stream(to_frames(observed, events_topic), events_topic, checkpoint, trigger)
 
+    budget = Budget(checkpoint, max_events)
+
     def publish(batch: DataFrame, batch_id: int) -> None:
-        left = max_events - published(batch.sparkSession, events_topic)
-        if left > 0:
-            write_topic(to_frames(first_n(batch, left, "id"), events_topic), events_topic)
+        spark = batch.sparkSession
+        left = budget.left(spark, batch_id)
+        if left <= 0:
+            return
+        frames = to_frames(first_n(batch, left, "id"), events_topic)
+        if events_topic.format == "files":
+            query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+            n = publish_once(frames, events_topic.path, query, batch_id)
+        else:
+            seen = Observation()
+            write_topic(frames.observe(seen, F.count(F.lit(1)).alias("n")), events_topic)
+            n = seen.get["n"]
+        budget.record(spark, batch_id, budget.published(spark, batch_id) + n)
 
     query = (
         edits.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint).outputMode("append")
         .trigger(**(trigger or {"availableNow": True})).start()
     )
-    BUDGETS[query.id] = (events_topic, max_events)
+    BUDGETS[query.id] = budget
     return query
 
 
-#: Topic and budget of the bounded queries that this process started.
-BUDGETS: dict[str, tuple[Topic, int]] = {}
-
-
-def published(spark: SparkSession, topic: Topic) -> int:
-    """Records on a topic; a topic that is not there yet has none."""
-    try:
-        return read_topic(spark, topic).count()
-    except AnalysisException:
-        return 0
+#: Budgets of the bounded queries that this process started.
+BUDGETS: dict[str, Budget] = {}
 
 
 def wait(query: StreamingQuery, poll_s: float = 5.0) -> None:
     """Until the query ends, or its budget is spent."""
-    topic, most = BUDGETS.get(query.id, (None, None))
+    budget = BUDGETS.get(query.id)
     while not query.awaitTermination(poll_s):
-        if topic is not None and published(SparkSession.active(), topic) >= most:
+        if budget is not None and budget.spent(SparkSession.active()):
             query.stop()
-
