@@ -171,13 +171,18 @@ class Encoder:
         for w in long:
             self._contract([w], CONTRACT_LONG)
 
-    def _part_ids(self, parts: list[str]) -> list[np.ndarray]:
+    def _part_ids(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if len(self.words) > CACHED:
             self.words.clear()
-        found = [self.pattern.findall(p) for p in parts]
+        found = [self.pattern.findall(p.decode()) for p in parts]
         self.learn(list({w for words in found for w in words} - self.words.keys()))
-        known, none = self.words.__getitem__, np.empty(0, np.int32)
-        return [known(w[0]) if len(w) == 1 else np.concatenate([none, *map(known, w)]) for w in found]
+        known = self.words.__getitem__
+        ids = [known(w) for words in found for w in words]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        words = np.fromiter(map(len, found), np.int64, len(found))
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(words)]
+        size = np.diff(ends, prepend=0)
+        return np.concatenate([np.empty(0, np.int32), *ids]), ends - size, size
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text."""

@@ -18,6 +18,7 @@ repeated rows are packed once for each row; an empty table gives no rows.
 from __future__ import annotations
 
 import gc
+import json
 import re
 import zlib
 from collections import defaultdict
@@ -26,18 +27,18 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
+import tiktoken
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm.common import col, small_batches, text_or_empty, worker_cache, written
-from tidemark.llm.parts import Parts, text_blocks
+from tidemark.llm.parts import Parts, joined, text_blocks
 
 #: Pieces in a bucket of a length's ranking, on average at most.
 BUCKET_ROWS = 500
-#: Words that a Python worker remembers.
-CACHED = 400_000
+#: Bytes of parts that are tokenised in one call.
+JOINED = 200_000
 #: Buckets of a length whose counts are added up together.
 GROUP = 1_000
 #: Most bytes of the table of rank intervals that is broadcast, 40 a row; the
@@ -45,15 +46,46 @@ GROUP = 1_000
 SLOT_BYTES = 64 << 20
 
 
+def ranks_of(path: str) -> dict[bytes, int] | None:
+    """Bytes of each token -> id, if the file is a plain byte-level vocabulary
+    whose merges, in order, make tokens of rising ids; else None."""
+    with open(path, encoding="utf-8") as lines:
+        given = json.load(lines)
+    model, before = given["model"], given.get("pre_tokenizer") or {}
+    plain = (
+        model.get("type") == "BPE" and not any(model.get(x) for x in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+        and given.get("normalizer") is None and before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True)
+    )
+    if not plain:
+        return None
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    # The model's signs for bytes: printable ones for themselves.
+    sign = {chr(b): b for b in printable} | {chr(256 + n): b for n, b in enumerate(b for b in range(256) if b not in printable)}
+    added = {t["content"] for t in given.get("added_tokens", [])}
+    vocabulary = {token: i for token, i in model["vocab"].items() if token not in added}
+    made = [vocabulary["".join(pair if isinstance(pair, list) else pair.split(" "))] for pair in model["merges"]]
+    if not all(set(t) <= sign.keys() for t in vocabulary) or any(a >= b for a, b in zip(made, made[1:])):
+        return None
+    if len(made) + 256 != len(vocabulary) or any(c not in vocabulary for c in sign):
+        return None
+    return {bytes(sign[c] for c in token): i for token, i in vocabulary.items()}
+
+
 class Ids:
-    """Token ids of texts, as the tokenizer's file gives them: its added tokens
-    stand for their own strings, its pattern splits the rest into words, and
-    its model is asked once for each different word."""
+    """Token ids of texts, as the tokenizer's file gives them, asked once for
+    each different part.  Added tokens stand for their own strings.
+
+    Where the file's merges make tokens in the order of their ids, as byte-level
+    vocabularies do, a pair's rank is the id of what it makes, and the file's
+    own vocabulary is run by the faster of the two libraries, with the same
+    ids; any other file is run by the tokenizer itself."""
 
     def __init__(self, path: str, pattern: str):
-        tokenizer = Tokenizer.from_file(path)
-        self.model = tokenizer.model
-        self.pattern = regex.compile(pattern)
+        self.tokenizer = tokenizer = Tokenizer.from_file(path)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        ranks = ranks_of(path)
+        self.ranked = tiktoken.Encoding("ranked", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}) if ranks else None
         added = {t.content: (i, t) for i, t in tokenizer.get_added_tokens_decoder().items()}
         self.added = {content: i for content, (i, _) in added.items()}
         # Longest first: of added tokens that begin at one place, the longest counts.
@@ -62,29 +94,40 @@ class Ids:
             for x, (_, t) in sorted(added.items(), key=lambda item: -len(item[0]))
         ) + ")") if added else None
         self.shown = [x.encode() for x in self.added]
-        printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-        others = [b for b in range(256) if b not in printable]
-        # The model's signs for bytes: printable ones for themselves.
-        self.signs = [""] * 256
-        for b in printable:
-            self.signs[b] = chr(b)
-        for n, b in enumerate(others):
-            self.signs[b] = chr(256 + n)
-        self.words: dict[str, list[int]] = {}
+        # A token's signs stand for one byte each.
+        vocabulary = tokenizer.get_vocab()
+        self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.bytes[i] = len(token)
         self.parts = Parts(self._learn)
 
-    def word(self, word: str) -> list[int]:
-        found = self.words.get(word)
-        if found is None:
-            signs = "".join([self.signs[b] for b in word.encode()])
-            found = [t.id for t in self.model.tokenize(signs)]
-            if len(self.words) >= CACHED:
-                self.words.clear()
-            self.words[word] = found
-        return found
-
-    def _learn(self, parts: list[str]) -> list[np.ndarray]:
-        return [np.array([i for w in self.pattern.findall(p) for i in self.word(w)], np.int32) for p in parts]
+    def _learn(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Parts are tokenised many at a time, laid end to end; the tokens'
+        lengths in bytes tell where one part's end.  A part whose bounds are
+        no sure cuts is tokenised alone."""
+        flat, done = [], 0
+        first, size = np.zeros(len(parts), np.int64), np.full(len(parts), -1, np.int64)
+        for which, text, bounds, sure in joined(parts, JOINED):
+            ids = np.array(self.encode(text.decode()), np.int32)
+            ends = np.concatenate([[0], np.cumsum(self.bytes[ids])])
+            at = np.searchsorted(ends, bounds)
+            sure &= ends[np.minimum(at, len(ends) - 1)] == bounds
+            own = sure[:-1] & sure[1:]
+            first[which[own]] = done + at[:-1][own]
+            size[which[own]] = np.diff(at)[own]
+            flat.append(ids)
+            done += len(ids)
+        for i in np.flatnonzero(size < 0).tolist():
+            ids = np.array(self.encode(parts[i].decode()), np.int32)
+            first[i], size[i] = done, len(ids)
+            flat.append(ids)
+            done += len(ids)
+        return np.concatenate([np.empty(0, np.int32), *flat]), first, size
+
+    def encode(self, text: str) -> list[int]:
+        if self.ranked is not None:
+            return self.ranked.encode_ordinary(text)
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids end to end, bounds of each text's)."""

@@ -32,9 +32,10 @@ def cuts(data: np.ndarray) -> np.ndarray:
 
 
 class Parts:
-    """Ids of texts; ``learn`` gives the ids (int32) of each of some parts."""
+    """Ids of texts; ``learn`` gives the ids (int32) of some parts: all of them
+    in one array, and where each part's begin and how many they are."""
 
-    def __init__(self, learn: Callable[[list[str]], list[np.ndarray]]):
+    def __init__(self, learn: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray, np.ndarray]]):
         self.learn = learn
         self._clear()
 
@@ -50,11 +51,10 @@ class Parts:
             self._clear()
         new = [p for p in parts if p not in self.index]
         if new:
-            ids = self.learn([p.decode() for p in new])
-            sizes = np.array([len(x) for x in ids], np.int64)
-            first = len(self.flat) + np.cumsum(sizes) - sizes
+            ids, first, sizes = self.learn(new)
+            first = first + len(self.flat)
             self.index.update(zip(new, range(len(self.start), len(self.start) + len(new))))
-            self.flat = np.concatenate([self.flat, *ids])
+            self.flat = np.concatenate([self.flat, ids])
             self.start = np.concatenate([self.start, first])
             self.size = np.concatenate([self.size, sizes])
         return np.fromiter(map(self.index.__getitem__, parts), np.int64, len(parts))
@@ -68,7 +68,10 @@ class Parts:
         raw = texts.buffers()[2]
         data = np.frombuffer(raw, np.uint8)[offsets[0]:offsets[-1]] if raw is not None else np.empty(0, np.uint8)
         offsets = offsets - offsets[0]
-        bounds = np.union1d(offsets, cuts(data))
+        begins = np.zeros(len(data) + 1, bool)
+        begins[cuts(data)] = True
+        begins[offsets] = True
+        bounds = np.flatnonzero(begins)
         parts = pa.Array.from_buffers(
             pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)]
         ).dictionary_encode()
@@ -82,6 +85,23 @@ class Parts:
         return self.flat[place], np.concatenate([[0], end])[np.searchsorted(bounds, offsets)]
 
 
+def joined(parts: list[bytes], most: int) -> Iterator[tuple[np.ndarray, bytes, np.ndarray, np.ndarray]]:
+    """Parts that begin with a space, laid end to end in texts of about
+    ``most`` bytes: (which parts, the text, where each part begins and the
+    last one's end, which of these places are sure cuts)."""
+    spaced = np.flatnonzero([p[:1] == b" " for p in parts])
+    size = np.array([len(parts[i]) for i in spaced], np.int64)
+    number = (np.cumsum(size) - size) // most
+    for own in np.split(np.arange(len(spaced)), np.flatnonzero(np.diff(number)) + 1):
+        if len(own):
+            text = b"".join([parts[i] for i in spaced[own]])
+            bounds = np.concatenate([[0], np.cumsum(size[own])])
+            sure = np.zeros(len(text) + 1, bool)
+            sure[cuts(np.frombuffer(text, np.uint8))] = True
+            sure[[0, len(text)]] = True
+            yield spaced[own], text, bounds, sure[bounds]
+
+
 def text_blocks(batches: Iterator[pa.RecordBatch], column: str, most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Record batches joined up to about ``most`` bytes of text."""
     held: list[pa.RecordBatch] = []
