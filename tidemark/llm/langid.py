@@ -7,9 +7,9 @@ adds the mean over its positions.  The language with the highest sum wins;
 ``score`` is its share after a softmax over the languages.
 
 The model is fitted on a bounded, hash-chosen sample of labelled rows
-(``max_train_docs``, dealt evenly over the languages) and keeps the most
-frequent ``max_words`` words and ``max_grams`` n-grams, so its size does not
-grow with the corpus and it may be broadcast.  Every text is predicted whole.
+(``max_train_docs``, dealt evenly over the languages) and keeps all of its
+words and n-grams, so its size does not grow with the corpus and it may be
+broadcast.  Every text is predicted whole.
 
 Defined results: a null text, an empty text and a text without letters give
 ``und`` with score 0.0; equal scores go to the smaller language code; with no
@@ -68,14 +68,19 @@ def _sample(train: DataFrame, id_col: str, lang_col: str, max_train_docs: int) -
     return train.filter(dealt < rates[col(lang_col)])
 
 
-def _table(counts: DataFrame, key: str, langs: list[str], limit: int) -> tuple[dict[str, int], np.ndarray]:
-    """The ``limit`` most frequent keys and their counts by language."""
+def _table(counts: DataFrame, key: str, langs: list[str]) -> tuple[dict[str, int], np.ndarray]:
+    """The keys and their counts by language, of the bounded sample."""
     wide = counts.groupBy(key).agg(
-        F.sum("n").alias("n"),
         *[F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"n{i}") for i, lang in enumerate(langs)],
     )
-    rows = wide.orderBy(F.desc("n"), key).limit(limit).collect()
-    return {r[0]: i for i, r in enumerate(rows)}, np.array([list(r[2:]) for r in rows], float).reshape(-1, len(langs))
+    rows = wide.toPandas().sort_values(key, ignore_index=True)
+    return {k: i for i, k in enumerate(rows[key])}, rows[[f"n{i}" for i in range(len(langs))]].to_numpy(float).reshape(-1, len(langs))
+
+
+def _pieces(padded: Column, k: int) -> Column:
+    """The n-grams of ``k`` letters of a word, none if it is shorter."""
+    at = F.filter(F.sequence(F.lit(1), F.length(padded)), lambda i: i <= F.length(padded) - k + 1)
+    return F.transform(at, lambda i: F.substring(padded, i, F.lit(k)))
 
 
 def fit(
@@ -83,13 +88,11 @@ def fit(
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
-    max_train_docs: int = 8_000,
-    max_words: int = 50_000,
-    max_grams: int = 60_000,
+    max_train_docs: int = 4_000,
 ) -> Model | None:
     """Learn from the labelled rows that are not held out (None without any).
-    The counts are Spark aggregations; what reaches the driver is bounded by
-    ``max_words`` and ``max_grams``."""
+    The counts are Spark aggregations; what reaches the driver are the words
+    and n-grams of ``max_train_docs`` documents."""
     labelled = docs.filter(col(lang_col).isNotNull() & col(text_col).isNotNull() & ~held_out(id_col))
     train = _sample(labelled, id_col, lang_col, max_train_docs)
     words = (
@@ -105,17 +108,11 @@ def fit(
         langs = sorted(totals)
         if not langs:
             return None
-        known, word_counts = _table(words, "word", langs, max_words)
+        known, word_counts = _table(words, "word", langs)
         padded = F.concat(F.lit("^"), F.col("word"), F.lit("$"))
-        pieces = F.flatten(F.array(*[
-            F.transform(
-                F.sequence(F.lit(1), F.greatest(F.length(padded) - k + 1, F.lit(1))),
-                lambda at, k=k: F.substring(padded, at, F.lit(k)),
-            )
-            for k in ORDERS
-        ]))
+        pieces = F.flatten(F.array(*[_pieces(padded, k) for k in ORDERS]))
         grams = words.select("lang", "n", F.explode(pieces).alias("gram")).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-        known_grams, gram_counts = _table(grams, "gram", langs, max_grams)
+        known_grams, gram_counts = _table(grams, "gram", langs)
     finally:
         words.unpersist()
     total = np.array([totals[x] for x in langs], float)
