@@ -54,6 +54,13 @@ SPACE = re.compile(r"\s")
 EDGE = ".,;:!?()[]{}\"'<>«»“”"
 NOT_DIGIT = re.compile(r"[^0-9]")
 ROUNDS, CLOSE = 1000, 1e-4
+#: Fewest and most digits of a number that is recognised in another form.
+SAME, MOST = 7, 19
+#: Tokens whose messages are passed together; a document with more has them alone.
+TOGETHER = 100_000
+#: What is counted where the sample has nothing, for links of any kind and of
+#: equal numbers, of which hardly any two are equal by chance.
+SMOOTH = {"chain": 0.5, "skip": 0.5, "same": 1e-6}
 
 
 def luhn(digits: str) -> bool:
@@ -126,7 +133,10 @@ def shape(core: str) -> list[str]:
     letters = sum(map(str.isalpha, core))
     size = next(i for i, most in enumerate((0, 1, 3, 4, 6, 7, 9, 12, 15, 19, 1 << 60)) if digits <= most)
     others = "".join(sorted({c for c in core if c in "@+-_%/="}))
-    return [
+    checked = []
+    if 13 <= digits <= 19 and not letters:
+        checked = [f"luhn={luhn(NOT_DIGIT.sub('', core))}"]
+    return checked + [
         f"digits={size}", f"letters={min(letters, 3) if letters < 4 else 4 + (letters > 12)}",
         f"dots={min(core.count('.'), 4)}", f"others={others}", f"first={'d' if core[0].isdigit() else 'l' if core[0].isalpha() else core[0]}",
     ]
@@ -144,6 +154,25 @@ def keys(core: str) -> list[str]:
     return out
 
 
+def numbers(cores: list[str], joined: list[bool]) -> list[list[str]]:
+    """Per token the numbers that it is written in together with neighbours:
+    the digits of each window of adjacent digit tokens (``joined``: a token
+    follows the one before it with nothing but separators between)."""
+    out: list[list[str]] = [[] for _ in cores]
+    digits = [NOT_DIGIT.sub("", c) if not any(map(str.isalpha, c)) and "@" not in c else "" for c in cores]
+    for end in range(len(cores)):
+        number, start = digits[end], end
+        while number and joined[start] and digits[start - 1]:
+            start -= 1
+            number = digits[start] + number
+            if len(number) > MOST:
+                break
+            if len(number) >= SAME:
+                for i in range(start, end + 1):
+                    out[i].append(f"n{number}")
+    return out
+
+
 @dataclass
 class Graph:
     """Tokens of one document, their observed labels and their links."""
@@ -155,6 +184,8 @@ class Graph:
     skip: list[tuple[int, int]]
     #: Skip links from a key's first observed occurrence.
     far: list[tuple[int, int]]
+    #: Those of ``skip`` and ``far`` whose tokens share a number.
+    same: set[tuple[int, int]]
 
 
 def graph(text: str, base: list[tuple[int, int, int]]) -> Graph:
@@ -167,16 +198,32 @@ def graph(text: str, base: list[tuple[int, int, int]]) -> Graph:
             if found[i][1] > a:
                 observed[i] = kind + 1
             i += 1
-    chain = [(i - 1, i) for i in range(1, len(found)) if not text[found[i - 1][1]:found[i][0]].strip(EDGE + " \t\n")]
-    last: dict[str, int] = {}
-    skip = set()
+    joined = [False] * len(found)
+    for i in range(1, len(found)):
+        joined[i] = not text[found[i - 1][1]:found[i][0]].strip(EDGE + " \t\n")
+    chain = [(i - 1, i) for i in range(1, len(found)) if joined[i]]
     cores = [text[a:b] for a, b, _ in found]
-    known = [keys(core) for core in cores]
+    known = [keys(core) + own for core, own in zip(cores, numbers(cores, joined))]
+    for i, core in enumerate(cores):
+        # A number alone in its token may also end a longer one elsewhere.
+        digits = NOT_DIGIT.sub("", core)
+        if SAME <= len(digits) <= MOST and "@" not in core and not any(map(str.isalpha, core)):
+            known[i].append(f"n{digits}")
+    for kind, a, b in base:
+        if KINDS[kind] in ("card", "phone"):
+            digits = NOT_DIGIT.sub("", text[a:b])
+            i = int(np.searchsorted(starts, b, "left")) - 1  # the span's last token
+            if i >= 0 and observed[i] == kind + 1:
+                known[i] += [f"n{digits[-k:]}" for k in range(SAME, len(digits) + 1)]
+    last: dict[str, int] = {}
+    skip, same = set(), set()
     seen: dict[str, dict[int, int]] = {}  # key -> kind -> the first token observed as it
     for i, own in enumerate(known):
-        for key in own:
-            if key in last:
+        for key in dict.fromkeys(own):
+            if key in last and last[key] != i:
                 skip.add((last[key], i))
+                if key[0] in "dn":
+                    same.add((last[key], i))
             last[key] = i
             if observed[i]:
                 seen.setdefault(key, {}).setdefault(observed[i], i)
@@ -187,11 +234,13 @@ def graph(text: str, base: list[tuple[int, int, int]]) -> Graph:
     far = []
     for i, own in enumerate(known):
         if not observed[i]:
-            for kind, first in sorted((x for key in own for x in seen.get(key, {}).items())):
-                if kind not in near[i]:
+            for kind, first, number in sorted((*x, key[0] in "dn") for key in own for x in seen.get(key, {}).items()):
+                if kind not in near.setdefault(i, set()):
                     near[i].add(kind)
                     far.append((first, i))
-    return Graph([(a, b) for a, b, _ in found], [shape(c) for c in cores], observed, chain, sorted(skip), far)
+                    if number:
+                        same.add((first, i))
+    return Graph([(a, b) for a, b, _ in found], [shape(c) for c in cores], observed, chain, sorted(skip), far, same)
 
 
 @dataclass
@@ -203,6 +252,7 @@ class Field:
     prior: np.ndarray
     chain: np.ndarray
     skip: np.ndarray
+    same: np.ndarray
 
     def marginals(self, graphs: list[Graph]) -> list[np.ndarray]:
         """Label marginals of all tokens; the documents are one large graph
@@ -219,13 +269,13 @@ class Field:
         local[known] = -50.0
         local[known, observed[known]] = 0.0
         edges = [
-            (first[k] + a, first[k] + b, kind, k)
+            (first[k] + a, first[k] + b, 2 if kind and (a, b) in g.same else kind, k)
             for k, g in enumerate(graphs) for kind, pairs in ((0, g.chain), (1, g.skip), (1, g.far)) for a, b in pairs
         ]
         belief = local
         if edges:
             a, b, kind, part = np.array(edges, np.int64).T
-            tables = np.stack([self.chain, self.skip])
+            tables = np.stack([self.chain, self.skip, self.same])
             source, target = np.concatenate([a, b]), np.concatenate([b, a])
             table = np.concatenate([tables[kind], tables[kind].transpose(0, 2, 1)])
             back = np.concatenate([np.arange(len(a)) + len(a), np.arange(len(a))])
@@ -271,11 +321,11 @@ def _counts(text: str) -> Counter:
             out["unary", f, label] += 1
     for name, pairs in (("chain", g.chain), ("skip", g.skip)):
         for i, j in pairs:
-            out[name, str(g.observed[i]), g.observed[j]] += 1
+            out["same" if name == "skip" and (i, j) in g.same else name, str(g.observed[i]), g.observed[j]] += 1
     return out
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_train_docs: int = 20_000, max_features: int = 2_000) -> Field:
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_train_docs: int = 20_000) -> Field:
     """Potentials from a bounded sample; the base patterns label it."""
     small_batches(docs.sparkSession)
     total, span = docs.count(), 1 << 20
@@ -291,8 +341,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_tra
 
     rows = (
         chosen.select(text_or_empty(text_col).alias("text")).mapInPandas(count, "kind string, name string, label int, n long")
-        .groupBy("kind", "name", "label").agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "kind", "name", "label").limit(max_features).collect()
+        .groupBy("kind", "name", "label").agg(F.sum("n").alias("n")).collect()  # shapes: a fixed set
     )
     return field({(r[0], r[1], r[2]): r[3] for r in rows})
 
@@ -308,43 +357,84 @@ def field(seen: dict[tuple[str, str, int], int]) -> Field:
         """How much likelier two linked tokens have two labels than two tokens
         drawn alone."""
         n = np.array([[seen.get((name, str(i), j), 0) for j in range(LABELS)] for i in range(LABELS)], float)
-        n = n + n.T + 0.5 + 5 * np.eye(LABELS)
+        if name == "same":
+            # The base patterns miss other forms of a number: a link from one
+            # they know to one they don't says nothing against it.
+            n[0, 1:] = n[1:, 0] = 0.0
+        n = n + n.T + SMOOTH[name] + 5 * np.eye(LABELS)
         share = n / n.sum()
         return np.log(share) - np.log(np.outer(share.sum(axis=1), share.sum(axis=0)))
 
-    return Field(unary, np.log(0.1 / (labels + 1)), np.log((labels + 1) / (labels + 1).sum()), ties("chain"), ties("skip"))
+    return Field(unary, np.log(0.1 / (labels + 1)), np.log((labels + 1) / (labels + 1).sum()), ties("chain"), ties("skip"), ties("same"))
 
 
 def added_spans(text: str, g: Graph, share: np.ndarray) -> list[tuple[int, int, int]]:
     """Spans of tokens that no base pattern has and whose marginal favours a
     kind; neighbours of one kind are one span, which must be plausible."""
     out: list[tuple[int, int, int]] = []
+    linked: list[bool] = []  # a token shares its number with one observed as the kind
+    chained = set(g.chain)
+    reached = _reached(g)
     for i, (a, b) in enumerate(g.spans):
         kind = int(share[i].argmax())
         if g.observed[i] or not kind or share[i, kind] <= 0.5:
             continue
-        if out and out[-1][0] == kind - 1 and (i - 1, i) in g.chain and out[-1][2] == g.spans[i - 1][1]:
+        if out and out[-1][0] == kind - 1 and (i - 1, i) in chained and out[-1][2] == g.spans[i - 1][1]:
             out[-1] = (kind - 1, out[-1][1], b)
+            linked[-1] |= (i, kind) in reached
         else:
             out.append((kind - 1, a, b))
-    return [x for x in out if _plausible(x[0], text[x[1]:x[2]])]
+            linked.append((i, kind) in reached)
+    return [x for x, known in zip(out, linked) if _plausible(x[0], text[x[1]:x[2]], known)]
+
+
+def _reached(g: Graph) -> set[tuple[int, int]]:
+    """(token, kind): links of equal numbers lead to one observed as it."""
+    near: dict[int, list[int]] = {}
+    for i, j in g.same:
+        near.setdefault(i, []).append(j)
+        near.setdefault(j, []).append(i)
+    todo = [(i, g.observed[i]) for i in near if g.observed[i]]
+    out = set(todo)
+    while todo:
+        i, kind = todo.pop()
+        for j in near[i]:
+            if (j, kind) not in out:
+                out.add((j, kind))
+                todo.append((j, kind))
+    return out
 
 
-def _plausible(kind: int, found: str) -> bool:
-    """What a span of a kind must look like at least."""
+def _plausible(kind: int, found: str, linked: bool) -> bool:
+    """What a span of a kind must look like at least.  Looks alone make no
+    phone number, and no card number that fails the checksum: these must also
+    stand elsewhere in a form that the base patterns know."""
     digits = len(NOT_DIGIT.sub("", found))
     if kind == 0:
         return "@" in found
     if kind == 1:
         parts = re.split(r"[.:]", found)
         return len(parts) >= 4 and all(p.isascii() and p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in parts[:4])
-    return 12 <= digits <= 19 if kind == 2 else 7 <= digits <= 15
+    if kind == 2:
+        return 12 <= digits <= 19 and (linked or luhn(NOT_DIGIT.sub("", found)))
+    return 7 <= digits <= 15 and linked
 
 
 def _joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for kind, start, end in spans)
 
 
+def _in_groups(model: Field, graphs: list[Graph]) -> Iterator[np.ndarray]:
+    """Marginals of each graph; about ``TOGETHER`` tokens at a time."""
+    held: list[Graph] = []
+    for g in graphs:
+        if held and sum(len(x.spans) for x in held) + len(g.spans) > TOGETHER:
+            yield from model.marginals(held)
+            held = []
+        held.append(g)
+    yield from model.marginals(held)
+
+
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: Field | None = None, **fit_options) -> DataFrame:
     """One row per document: id, n_email, n_ip, n_card, n_phone (base spans),
     n_added, base_sha256, spans."""
@@ -358,7 +448,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model:
             base = [base_spans(t) for t in batch["text"]]
             graphs = [graph(t, b) for t, b in zip(batch["text"], base)]
             out = []
-            for text, own, g, share in zip(batch["text"], base, graphs, model.marginals(graphs)):
+            for text, own, g, share in zip(batch["text"], base, graphs, _in_groups(model, graphs)):
                 more = added_spans(text, g, share)
                 n = [sum(s[0] == kind for s in own) for kind in range(len(KINDS))]
                 out.append((*n, len(more), hashlib.sha256(_joined(own).encode()).hexdigest(), _joined(sorted(own + more))))
