@@ -4,15 +4,20 @@ A page becomes a tree: its block elements, and a leaf for each block of text.
 Elements whose text is never shown are no part of it; the text around one that
 stands inside a block is one leaf.
 Every node has a hidden label, content or not.  Unary potentials come from the
-element's tag, class and id words, or from the leaf's length and share of link
-text; pairwise potentials tie a child's label to its parent's.  Sum-product
+element's tag, the words of its class, id and role (and known words inside
+them, so that an unseen name may say something), and from what its subtree
+holds: share of the page's text, share of link text, sentences, its place
+before or after its largest sibling; for a leaf, from its length, share of
+link text, end and element.  Pairwise potentials tie a child's label to its
+parent's.  Sum-product
 messages, once upward and once downward, give each leaf's exact marginal, and
 leaves that are more likely content than not are the page's text.
 
 The potentials are smoothed counts from labelled pages: a bounded hash sample
 of the table's own pages (``max_train_pages``), labelled where they say so
 themselves (``article``, ``main``), together with the labelled examples below,
-which show the kinds of furniture that a page may have.  Other labelled pages
+which show the kinds of furniture that a page may have, named by known words,
+by words that say nothing, or not at all.  Other labelled pages
 may be given; there, ``data-main`` marks content.
 
 Defined results: a null or empty page, or one without content, gives an empty
@@ -57,20 +62,51 @@ WORDS = re.compile(r"[a-z]+")
 MARK = "data-main"
 #: Added to a feature's share among the nodes of a label, and the largest
 #: weight.  A leaf's looks say less than its element's names.
-SMOOTH = {"kind=element": 0.000004, "kind=leaf": 0.2}
-LARGEST = 7.0
+SMOOTH = {"word": 0.00000001, "kind=element": 0.000004, "kind=leaf": 0.2}
+LARGEST = {"word": 12.0, "kind=element": 7.0, "kind=leaf": 7.0}
+#: What a subtree holds is told by several features that go together; a known
+#: word inside another says less than the word itself.
+STRUCTURE, PART_OF_WORD = 0.5, 0.7
+#: Features of elements; the others are leaves'.
+SUBTREE = ("mass=", "dense=", "sentences=", "side=")
+ELEMENT = ("tag=", "word=", "has=", *SUBTREE)
+#: Elements of which it says little whether they come before or after a larger one.
+SMALL = frozenset("tag=" + t for t in "p h1 h2 h3 h4 h5 h6 li dt dd tr td th thead tbody tfoot caption blockquote pre figure figcaption".split())
 #: Weight of the labelled examples, against one for the table's own pages.
 SHOWN = 3.0
 #: Elements whose children are sections of the page, each on its own.
 TOP = ("tag=root", "tag=html", "tag=body")
 #: Words of class and id that training examples use (fixed values).
 FURNITURE = (
-    "ad ads advert advertisement banner breadcrumb breadcrumbs comment comments consent cookie copyright disclaimer "
-    "footer form header login masthead menu modal nav navbar navigation newsletter notice pagination popup privacy "
-    "promo promoted related recommended reply respond search share sidebar signup social sponsor sponsored subscribe "
-    "tags toolbar warning widget"
+    "ad ads adsense advert advertisement alert author avatar backtotop banner bio bookmarks bottombar breadcrumb breadcrumbs byline "
+    "captcha carousel cart categories comment comments complementary consent contentinfo cookie cookies copyright cta dialog "
+    "disclaimer discussion disqus donate dropdown email feedback feed follow footer form forum gdpr header legal links login logo "
+    "masthead menu meta metadata modal more nav navbar navigation newsletter notice notification offcanvas optin outbrain pager "
+    "pagination paywall popular popup print privacy promo promoted promotion rating recommend recommended register related replies "
+    "reply respond responses review reviews rss search share sharing shop sidebar signup skip skyscraper social sponsor sponsored "
+    "subscribe subscription suggestions survey taboola tagcloud tags teaser thread toast toolbar tools topbar trending tweet utility "
+    "warning widget widgets"
 ).split()
-MAIN = "article body content entry main page post story text".split()
+MAIN = "article body content entry hentry main page post prose single story text".split()
+#: Words that say nothing, for examples.
+SILENT_WORDS = "block box col column container grid group inner item layout region row unit wrap wrapper zone".split()
+#: Known words that are looked for inside longer ones.
+INNER = frozenset(w for w in FURNITURE if len(w) >= 3) - {"more", "form", "bio", "ads", "cta", "rss", "meta", "tools", "feed", "links", "email", "print"}
+#: Least length of a sentence block.
+SENTENCE = 40
+
+
+def _words(names: str) -> list[str]:
+    """Words of class, id and role, and the known ones inside unknown ones."""
+    out = set()
+    for w in WORDS.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", names).lower()):
+        out.add(f"word={w}")
+        if w not in KNOWN and len(w) > 3:
+            out.update(f"has={x}" for x in INNER if x in w)
+    return sorted(out)
+
+
+KNOWN = frozenset(FURNITURE) | frozenset(MAIN) | frozenset(SILENT_WORDS)
 
 
 class Tree(HTMLParser):
@@ -82,6 +118,7 @@ class Tree(HTMLParser):
         self.features: list[list[str]] = []
         self.marked: list[bool] = []
         self.texts: dict[int, str] = {}
+        self.link_text: dict[int, float] = {}
         self.stack: list[tuple[str, int]] = []
         self.parts: list[str] = []
         self.linked = 0
@@ -106,8 +143,10 @@ class Tree(HTMLParser):
             share = self.linked / max(1, sum(map(len, self.parts)))
             size = min(9, int(math.log2(len(text))))
             ends = "stop" if text[-1] in ".!?:;\"'”»" else "open"
-            at = self.add(self.place(), [f"size={size}", f"links={min(4, int(share * 4.999))}", f"end={ends}"], False)
+            tag = self.stack[-1][0] if self.stack else "root"
+            at = self.add(self.place(), [f"size={size}", f"links={min(4, int(share * 4.999))}", f"end={ends}", f"in={tag}"], False)
             self.texts[at] = text
+            self.link_text[at] = share * len(text)
         self.parts, self.linked = [], 0
 
     def close_to(self, depth: int) -> None:
@@ -148,8 +187,8 @@ class Tree(HTMLParser):
         if tag == "hr":
             return
         given = dict(attrs)
-        words = WORDS.findall(f"{given.get('class') or ''} {given.get('id') or ''} {given.get('role') or ''}".lower())
-        at = self.add(self.place(), [f"tag={tag}", *sorted({f"word={w}" for w in words})], MARK in given)
+        names = f"{given.get('class') or ''} {given.get('id') or ''} {given.get('role') or ''}"
+        at = self.add(self.place(), [f"tag={tag}", *_words(names)], MARK in given)
         self.stack.append((tag, at))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -172,12 +211,48 @@ class Tree(HTMLParser):
                 self.linked += len(data)
 
 
+    def describe(self) -> None:
+        """What each element's subtree holds, as features."""
+        n = len(self.parents)
+        plain, linked, sentences = [0.0] * n, [0.0] * n, [0] * n
+        largest = [-1] * n  # an element's child with the most unlinked text
+        for i in range(n - 1, -1, -1):
+            if i in self.texts:
+                linked[i] = self.link_text[i]
+                plain[i] = len(self.texts[i]) - linked[i]
+                sentences[i] = plain[i] >= SENTENCE and self.features[i][2] == "end=stop"
+            p = self.parents[i]
+            if p >= 0:
+                plain[p] += plain[i]
+                linked[p] += linked[i]
+                sentences[p] += sentences[i]
+                if largest[p] < 0 or plain[i] >= plain[largest[p]]:
+                    largest[p] = i
+        for i in range(1, n):
+            if i in self.texts or not plain[i] + linked[i]:
+                continue
+            share = plain[i] / (plain[0] or 1.0)
+            links = linked[i] / (plain[i] + linked[i])
+            big = largest[self.parents[i]]
+            if big == i or plain[big] * 2 < plain[self.parents[i]] or big in self.texts:
+                side = "own"
+            else:
+                side = "before" if i < big else "after"
+            self.features[i] += [
+                f"mass={sum(share > x for x in (0.02, 0.1, 0.3, 0.6))}", f"dense={sum(links > x for x in (0.1, 0.3, 0.6))}",
+                f"sentences={min(3, sentences[i])}",
+            ]
+            if self.features[i][0] not in SMALL:
+                self.features[i].append(f"side={side}")
+
+
 def read(html: str) -> Tree:
     tree = Tree()
     tree.ending.update(map(str.lower, SILENT_END.findall(html)))
     tree.feed(html)
     tree.close()
     tree.flush()
+    tree.describe()
     return tree
 
 
@@ -211,25 +286,38 @@ def counted(tree: Tree, labels: list[bool]) -> Counter:
 
 
 def examples() -> list[str]:
-    """Labelled pages: each kind of furniture beside marked content."""
+    """Labelled pages: each kind of furniture beside marked content, in pages
+    of several builds, under known names, names that say nothing, and none."""
     line = "A paragraph of the article says a few things at some length, and then it ends."
+    short = "It was so."
     item = '<li><a href="/x">Item</a></li>'
-    inners = (f"<p>{line}</p>" * 3, f"<h3>Head</h3><p>{line}</p><ul>{item * 4}</ul>", f"Short text here <p>{line * 2}</p>", f"{line} <p>We ask you.</p>")
+    remark = "<div><b>Ann</b><p>I agree with that!</p><a href='#'>Reply</a></div>"
+    inners = (
+        f"<p>{line}</p>" * 3, f"<h3>Head</h3><p>{line}</p><ul>{item * 4}</ul>", f"Short text here <p>{line * 2}</p>", f"{line} <p>We ask you.</p>",
+        "<a href='/'>Home</a> <a href='/a'>About</a> <a href='/b'>Contact</a>", f"<h3>3 answers</h3>{remark * 3}", "<p>Please subscribe now.</p>",
+    )
     pages = []
     for i, (word, inner) in enumerate((w, x) for w in FURNITURE for x in inners):
-        main = MAIN[i % len(MAIN)]
-        inside = i % 2 == 0
+        named = word if i % 5 else (SILENT_WORDS[i % len(SILENT_WORDS)] if i % 2 and inner is not inners[0] else word)
+        main = MAIN[i % len(MAIN)] if i % 3 else ("", SILENT_WORDS[i // 3 % len(SILENT_WORDS)])[i // 3 % 2]
+        inside = i % 2 == 0 and named == word
         kind = ("div", "section", "div", "aside", "ul")[i % 5]
-        extra = f'<{kind} class="{word}">{inner}</{kind}>' + f"<footer><p>{line}</p></footer>" * (i % 3 == 0)
+        extra = f'<{kind} class="{named}">{inner}</{kind}>' + f"<footer><p>{line}</p></footer>" * (i % 3 == 0)
         title = ("<h1>A title</h1>", "<header><h1>A title</h1></header>")[i % 2]
-        article = f"{title}<p>{line}</p><h2>Part</h2><p>{line}</p><h3>Small</h3><p>{line * 3}</p><blockquote>{line}</blockquote><ul><li>{line}</li></ul>"
+        parts = (f"<p>{line}</p><p>{short}</p>", f"<h2>Part</h2><p>{line}</p>", f"<h3>Small</h3><p>{line * 3}</p>", f"<blockquote>{line}</blockquote>", f"<ul><li>{line}</li></ul>")
+        article = title + "".join(parts[: 2 + i % 4]) + f"<p>{line * (1 + i % 3)}</p>"
         # Marked blocks, so that furniture inside an article stays unmarked.
         article = re.sub(r"<(header|h1|h2|h3|p|blockquote|ul)>", rf"<\1 {MARK}>", article)
-        tag = ("article", "main", "div", "section")[i // 4 % 4]
+        tag = ("article", "main", "div", "section", "div")[i // 4 % 5]
+        menu = (f"<nav><ul>{item * 5}</ul></nav>", f'<div class="{SILENT_WORDS[i % len(SILENT_WORDS)]}"><ul>{item * 5}</ul></div>')[i // 7 % 2]
+        around = (f"<aside><h3>More</h3><p>{line}</p><p>{line}</p></aside><form><p>{line}</p></form>", "")[i // 3 % 2]
+        whole = f'<{tag} class="{main}">{article}{extra * inside}</{tag}>'
+        if i % 6 == 5 and not inside:  # no element around the text
+            whole = article
+        elif i % 6 == 4 and not inside:  # one inside another
+            whole = f'<div class="{SILENT_WORDS[i % len(SILENT_WORDS)]}">{whole}</div>'
         pages.append(
-            f"<body><header><p>Site name</p></header><nav><ul>{item * 5}</ul></nav>"
-            f'<{tag} class="{main}">{article}{extra * inside}</{tag}>{extra * (not inside)}'
-            f"<aside><h3>More</h3><p>{line}</p><p>{line}</p></aside><form><p>{line}</p></form><footer><p>{line}</p></footer></body>"
+            f"<body><header><p>Site name</p></header>{menu}{whole}{extra * (not inside)}{around}<footer><p>{line}</p></footer></body>"
         )
     return pages
 
@@ -282,7 +370,6 @@ def fit(
     html_col: str = "html",
     labelled: list[str] | None = None,
     max_train_pages: int = 2_000,
-    max_features: int = 20_000,
 ) -> Potentials:
     """Smoothed log-ratios of the features and log-probabilities of a child's
     label given its parent's."""
@@ -304,10 +391,14 @@ def fit(
         yield pd.DataFrame([(f, label, n) for (f, label), n in counts.items()], columns=["feature", "label", "n"])
 
     rows = (
-        chosen.mapInPandas(count, "feature string, label int, n long").groupBy("feature", "label").agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "feature", "label").limit(max_features).collect()
+        chosen.mapInPandas(count, "feature string, label int, n long").groupBy("feature", "label").agg(F.sum("n").alias("n")).collect()
     )
-    seen = Counter({(r[0], r[1]): r[2] for r in rows})
+    return learned(Counter({(r[0], r[1]): r[2] for r in rows}), labelled)
+
+
+def learned(seen: Counter, labelled: list[str] | None = None) -> Potentials:
+    """Potentials from the counts of a table's own pages and from labelled
+    examples."""
     own = max(1, sum(n for (f, _), n in seen.items() if f.startswith("kind=")))
     shown: Counter = Counter()
     for html in examples() if labelled is None else labelled:
@@ -321,9 +412,13 @@ def fit(
     weights = {}
     for f in names:
         # Of tags and words, how often in an element; of the rest, in a leaf.
-        kind = "kind=element" if f.startswith(("tag=", "word=")) else "kind=leaf"
-        share = [seen[f, label] / max(1, seen[kind, label]) + SMOOTH[kind] for label in (0, 1)]
-        weights[f] = max(-LARGEST, min(LARGEST, math.log(share[1] / share[0])))
+        kind = "kind=element" if f.startswith(ELEMENT) else "kind=leaf"
+        how = "word" if f.startswith("word=") else kind
+        share = [seen[f, label] / max(1, seen[kind, label]) + SMOOTH[how] for label in (0, 1)]
+        weight = max(-LARGEST[how], min(LARGEST[how], math.log(share[1] / share[0])))
+        weights[f] = weight * STRUCTURE if f.startswith(SUBTREE) else weight
+    for w in INNER:
+        weights[f"has={w}"] = PART_OF_WORD * min(0.0, weights.get(f"word={w}", 0.0))
     pair = {}
     for top, name in ((True, "top"), (False, "inner")):
         of = [[seen[f"parent={name}{p}", c] / by + 0.5 for c in (0, 1)] for p in (0, 1)]
