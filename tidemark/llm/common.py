@@ -44,9 +44,30 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Folders that :func:`written` made and :func:`release` has not removed.
+_written: list[str] = []
+
+
+def mark() -> int:
+    """A point in the list of written folders, for :func:`release`."""
+    return len(_written)
+
+
+def release(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
+    """Removes the folders that :func:`written` made after a :func:`mark`, but
+    for the last ``keep``: for a caller whose own result is written, so that
+    nothing reads them any more."""
+    gone = _written[since:len(_written) - keep]
+    for path in gone:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        _written.remove(path)
+
+
 def worker_cache(name: str) -> dict:
     """A dictionary that lives as long as the Python worker process, so that
     the tasks it runs share what is costly to set up."""

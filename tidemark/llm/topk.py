@@ -15,8 +15,9 @@ comparing the bound with a small slack, so results are exact.
 
 Pivots and ring edges come from a bounded sample (``sample`` rows, by hash);
 every row is indexed.  What is broadcast is the pivots and the table of rings,
-of fixed size.  A ring is dealt in blocks of rows and queries, so neither a
-popular ring nor many copies of one vector meet in one task.
+of fixed size.  A ring is dealt in blocks of rows and of queries, and these
+meet by the ring and a salt of either side, about ``MEET`` blocks of each, so
+neither a popular ring nor many copies of one vector meet in one task.
 
 Defined results: a vector that is null or holds a null or non-finite component
 takes no part, nor does one with a null id; vectors of different lengths are
@@ -32,13 +33,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import col, shared, value_of, written
 
 #: Rows of a data block and queries of a query block.
 BLOCK, ASKED = 2048, 512
+#: Blocks of either side that meet under one key.
+MEET = 64
 #: Rings visited in the second round.
 NEXT = 8
 SLACK = 1e-6
@@ -163,6 +166,26 @@ def _visit(width: int, kind: str, k: int):
     return run
 
 
+def _salts(blocks: DataFrame) -> Column:
+    """How many salts the blocks of a ring are dealt by (null: it has none).
+    One count per ring, ``pivots * rings`` at most, reaches the driver."""
+    counts = blocks.groupBy("cell").count().collect()
+    return F.create_map(*[F.lit(x) for r in counts for x in (r["cell"], -(-r["count"] // MEET))])[F.col("cell")] if counts else F.lit(None).cast("long")
+
+
+def _meetings(asked: DataFrame, blocks: DataFrame, data_salts: Column) -> DataFrame:
+    """All pairs of a query block and a data block of the same ring."""
+
+    def each(n: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), n.cast("long") - 1))
+
+    query_salts = _salts(asked)
+    left = asked.withColumn("query_salt", F.pmod(F.xxhash64("asked"), query_salts)).withColumn("data_salt", each(data_salts))
+    right = blocks.withColumn("data_salt", F.pmod(F.xxhash64("ids"), data_salts)).withColumn("query_salt", each(query_salts))
+    key = ["cell", "data_salt", "query_salt"]
+    return left.join(right, key).drop("data_salt", "query_salt")
+
+
 def _best(found: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
@@ -252,6 +275,7 @@ def top_k(
 
         return run
 
+    data_salts = _salts(blocks)
     best = None
     for start, stop in ((0, 1), (1, 1 + NEXT), (1 + NEXT, None)):
         if best is None:
@@ -260,12 +284,13 @@ def top_k(
             kth = best.filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("kth"))
             asked = queries.join(kth, "vec_id", "left")
         going = asked.mapInPandas(visits(start, stop), "cell long, vec_id long, code binary")
-        grouped = (
+        grouped = written(
             going.repartitionByRange(parts, "cell", "vec_id").sortWithinPartitions("cell", "vec_id")
             .mapInPandas(_packed(ASKED), "cell long, ids binary, vectors binary")
-            .select("cell", F.col("ids").alias("asked"), F.col("vectors").alias("questions"))
+            .select("cell", F.col("ids").alias("asked"), F.col("vectors").alias("questions")),
+            "asked",
         )
-        found = grouped.join(blocks, "cell").mapInPandas(_visit(width, kind, k), "query_id long, vec_id long, score long")
+        found = _meetings(grouped, blocks, data_salts).mapInPandas(_visit(width, kind, k), "query_id long, vec_id long, score long")
         if best is not None:
             found = found.unionByName(best.drop("rank"))
         best = written(_best(found, k), "best")
