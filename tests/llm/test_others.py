@@ -110,6 +110,28 @@ def potentials(spark):
     return html_extract.fit(spark.read.parquet(f"{SMALL}/pages.parquet"))
 
 
+def test_layouts_not_trained_on(potentials):
+    """Precision and recall of blocks; the plainest layouts exactly."""
+    from layouts import LAYOUTS
+
+    right = found = wanted = 0
+    for name, html, want in LAYOUTS:
+        got = collections.Counter(x for x in html_extract.main_text(html, potentials).split("\n\n") if x)
+        want = collections.Counter(want)
+        if name in ("bare body", "bare body, same line twice", "topbar and post-content", "disqus", "alert inside", "role complementary"):
+            assert got == want, name
+        right, found, wanted = right + sum((got & want).values()), found + sum(got.values()), wanted + sum(want.values())
+    assert len(LAYOUTS) >= 30 and right >= 0.97 * found and right >= 0.97 * wanted, (right / found, right / wanted)
+
+
+def test_pages_long_and_with_clashing_columns(spark):
+    line = "Some words that make a sentence of the story here."
+    long = "<article><h1>Title</h1>" + f"<p>{line}</p>" * 20_000 + "</article>"
+    pages = spark.createDataFrame([(1, "u", long, 9, "x", "y")], "page_id long, url string, html string, n_chars int, text string, `a.b` string")
+    row = html_extract.extract(pages).first()
+    assert row.text == "\n\n".join(["Title", *[line] * 20_000]) and row.n_chars == len(row.text)
+
+
 def test_page_furniture(potentials):
     line = "Some words that make a sentence of the story here."
     page = (
@@ -224,5 +246,16 @@ def test_pipeline_returns_the_token_sequences(spark, odd_docs, no_docs):
 
 def test_entry_registers_the_queries():
     names = entry.queries()
-    assert "pipeline" in names and {f"op{n}" for n in range(1, 11)} <= {n.split("_")[0] for n in names}
+    assert "pipeline" in names and {f"op{n}" for n in range(1, 14)} <= {n.split("_")[0] for n in names}
     assert set(entry.oracle_sql()) <= set(names)
+
+
+def test_pipeline_leaves_only_its_result(spark):
+    from tidemark.llm import common
+
+    before = list(common._written)
+    out = corpus_pipeline.run(spark, SMALL)
+    new = [p for p in common._written if p not in before]
+    assert len(new) == 1 and out.count() > 0
+    common.release(spark, common._written.index(new[0]))
+    assert common._written == before
