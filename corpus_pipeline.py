@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import exact_dedup, langid, packing, secret_scan, simhash
-from tidemark.llm.common import written
+from tidemark.llm.common import mark, release, written
 from tidemark.sources.tables import table_path
 
 
@@ -56,6 +56,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = spark.read.parquet(table_path(sf_dir, "documents"))
+    since = mark()
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        release(spark, since, keep=1)  # the stage before it and what this one wrote on its way
     return docs
