@@ -85,3 +85,21 @@ def test_insert_into_appends_and_overwrite_replaces(spark, scratch):
     catalog.insert_run(spark, table, rows, overwrite=True)
     assert spark.table(table).count() == rows.count()
     spark.sql(f"DROP TABLE {table}")
+
+
+def test_insert_empties_runs_and_ignores_the_sessions_mode(spark, scratch):
+    rows = _trusted_rows(spark)
+    days = [dt.date(2024, 1, d) for d in (8, 9, 10)]
+    catalog.create_database(spark, "tm_empty_test", f"{scratch}/db")
+    table = "tm_empty_test.pageviews"
+    catalog.create_trusted_table(spark, table, f"{scratch}/trusted")
+    catalog.insert_run(spark, table, rows)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        catalog.insert_run(spark, table, rows.where(F.col("processing_date") == F.lit(days[0])), runs=days[:2])
+    finally:
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "static"
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    got = {r.processing_date: r["count"] for r in spark.table(table).groupBy("processing_date").count().collect()}
+    assert got == {days[0]: 7, days[2]: 7}  # the 9th was answered for and has no rows; the 10th is as it was
+    spark.sql(f"DROP TABLE {table}")

@@ -440,3 +440,31 @@ def test_replayed_batch_keeps_its_lookup(spark, scratch):
     stream = spark.readStream.schema("k long").parquet(f"{scratch}/in")
     ws.drain(start_enriched(stream, f"{scratch}/lookup", "k", f"{scratch}/out", f"{scratch}/ckpt"))
     assert [r.v for r in spark.read.option("recursiveFileLookup", True).parquet(f"{scratch}/out").collect()] == ["old"]
+
+
+# --- Q5 as a stream --------------------------------------------------------------------
+
+def test_cross_source_stream_waits_for_the_slower_source(spark, scratch):
+    from tidemark.streaming.cross_source_stream import cross_source_stream, start_cross_source
+
+    def at(day, hour=12):
+        return dt.datetime(2024, 1, day, hour)
+
+    def run(edits, views):
+        spark.createDataFrame(edits, "domain string, createTime timestamp").write.mode("append").parquet(f"{scratch}/edits")
+        spark.createDataFrame(views, "domain string, reported timestamp, pageviews long").write.mode("append").parquet(f"{scratch}/views")
+        joined = cross_source_stream(
+            spark.readStream.schema("domain string, createTime timestamp").parquet(f"{scratch}/edits"),
+            spark.readStream.schema("domain string, reported timestamp, pageviews long").parquet(f"{scratch}/views"),
+        )
+        with ws.state_partitions(spark, 4):
+            ws.drain(start_cross_source(joined, f"{scratch}/out", f"{scratch}/ckpt"))
+        rows = spark.read.schema("domain string, day date, edits long, pageviews long, edit_ratio double").parquet(f"{scratch}/out").collect()
+        return sorted((r.day.day, r.domain, r.edits, r.pageviews) for r in rows)
+
+    first = run([("en.wikipedia.org", at(1)), ("en.wikipedia.org", at(1, 13)), ("de.wikipedia.org", at(1)), ("x.org", at(4))], [("en.wikipedia", at(1), 10), ("fr.wikipedia", at(1), 5)])
+    assert first == []  # the pageviews have not passed the first day
+    second = run([("x.org", at(5))], [("en.wikipedia", at(2, 23), 20), ("late", at(3, 1), 1)])
+    assert second == [(1, "de.wikipedia", 1, None), (1, "en.wikipedia", 2, 10), (1, "fr.wikipedia", 0, 5), (2, "en.wikipedia", 0, 20)]
+    third = run([("y.org", at(9)), ("en.wikipedia.org", at(1, 20))], [("z", at(9), 1)])  # an edit of a closed day is late
+    assert third[:4] == second and [x for x in third if x[0] < 3] == second

@@ -40,3 +40,11 @@ def normalise_edits(raw: DataFrame) -> DataFrame:
         F.col("user").alias("user_name"),
         user_type_label("bot").alias("user_type"),
     )
+
+
+def edit_days(raw: DataFrame) -> DataFrame:
+    """Q5: domain and UTC day of the edits, straight from the parsed record:
+    what a daily count needs, without formatting the time and reading it
+    again."""
+    day = F.to_date(F.timestamp_seconds(F.col("timestamp")))
+    return raw.where(F.col("type") == F.lit(EDIT_TYPE)).select(F.col("meta.domain").alias("domain"), day.alias("day"))

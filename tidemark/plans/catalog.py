@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Iterable
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.schemas import TRUSTED_TABLE_DDL
@@ -43,17 +45,41 @@ def repair_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"MSCK REPAIR TABLE {_ident(name)}")
 
 
-def insert_run(spark: SparkSession, name: str, rows: DataFrame, overwrite: bool = True) -> None:
+def insert_run(spark: SparkSession, name: str, rows: DataFrame, overwrite: bool = True, runs: Iterable | None = None) -> None:
     """SQL insert of run partitions into the external table; with
-    ``overwrite`` only the run dates present in ``rows`` are replaced."""
+    ``overwrite`` the run dates present in ``rows`` are replaced, and each of
+    ``runs``, the dates the insert answers for, even if it has no rows.  Other
+    runs stay, whatever the session's overwrite mode is."""
     view = f"_tidemark_insert_{uuid.uuid4().hex[:12]}"
-    rows.select("domain", "pageviews", "pageview_date", "processing_date").createOrReplaceTempView(view)
+    rows = rows.select("domain", "pageviews", "pageview_date", "processing_date")
+    seen = Observation()
+    rows.observe(seen, F.collect_set("processing_date").alias("there")).createOrReplaceTempView(view)
     verb = "INSERT OVERWRITE" if overwrite else "INSERT INTO"
-    spark.sql(
-        f"{verb} {_ident(name)} PARTITION (processing_date) "
-        f"SELECT domain, pageviews, pageview_date, processing_date FROM {view}"
-    )
-    spark.catalog.dropTempView(view)
+    try:
+        with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+            spark.sql(
+                f"{verb} {_ident(name)} PARTITION (processing_date) "
+                f"SELECT domain, pageviews, pageview_date, processing_date FROM {view}"
+            )
+        if overwrite and runs is not None:
+            for run in sorted(set(runs) - set(seen.get["there"] or ())):
+                spark.sql(
+                    f"INSERT OVERWRITE {_ident(name)} PARTITION (processing_date = DATE '{run.isoformat()}') "
+                    f"SELECT domain, pageviews, pageview_date FROM {view} WHERE false"
+                )
+    finally:
+        spark.catalog.dropTempView(view)
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str):
+    """A session setting for one statement."""
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
 
 
 @dataclass

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.times import parse_event_time, time_auto, to_ntz
+from tidemark.functions.times import time_auto, to_ntz
 from tidemark.operators import crosssource, limits, lookups, sketches
 from tidemark.operators import events as edit_ops
 from tidemark.operators import pageviews as pv
@@ -371,12 +371,17 @@ def q_registry_list(spark, sf_dir):
 
 
 def q_cross_source_daily(spark, sf_dir):
-    edits = _normalised_edits(spark, sf_dir).select(
-        "domain", parse_event_time("createTime").alias("createTime")
-    )
-    edit_days = crosssource.daily_event_counts(edits)
-    views = crosssource.daily_pageviews(_backfill(spark, sf_dir))
-    return crosssource.cross_source_daily(edit_days, views)
+    """Q5: raw edit events against the backfilled pageviews, each counted once.
+    The edits' day comes from the parsed record; the pageviews, one row per
+    domain and day, are written once, for the run dates and the backfill."""
+    base = scratch_path(spark, "cross_source")
+    _daily(spark, sf_dir).write.parquet(f"{base}/daily")
+    daily = spark.read.parquet(f"{base}/daily")
+    raw = edit_ops.parse_raw_edits(dtab.raw_change_text(_events(spark, sf_dir, EVENT_COLS), with_broken=True), "value", on_error="skip")
+    edits = edit_ops.edit_days(raw)
+    dates = dtab.run_dates(daily) or (dtab.RUN_DATE, dtab.RUN_DATE)
+    views = crosssource.daily_pageviews(pv.explode_run_dates(daily.withColumnRenamed("day", "pageview_date"), *dates))
+    return crosssource.cross_source_daily(crosssource.daily_event_counts(edits, "day"), views)
 
 
 # --------------------------------------------------------------------------
@@ -525,15 +530,18 @@ def q_backfill_from_raw(spark, sf_dir):
 
 
 def q_insert_run(spark, sf_dir):
-    """INSERT INTO, then INSERT OVERWRITE of the same run: one copy."""
+    """INSERT INTO of two runs, then INSERT OVERWRITE of both, of which
+    the second comes out empty: one copy of the first, nothing of the other."""
     base = scratch_path(spark, "insert_run")
     db = "tidemark_" + base.rsplit("-", 1)[-1]
     catalog.create_database(spark, db, f"{base}/db")
     table = f"{db}.trusted_pageviews"
     catalog.create_trusted_table(spark, table, f"{base}/trusted")
-    rows = pv.trusted_transform(dtab.flat_raw_records(_daily(spark, sf_dir)), dtab.RUN_DATE)
-    catalog.insert_run(spark, table, rows, overwrite=False)
-    catalog.insert_run(spark, table, rows, overwrite=True)
+    daily = dtab.flat_raw_records(_daily(spark, sf_dir))
+    runs = [dtab.RUN_DATE, dtab.RUN_DATE + dt.timedelta(days=1)]
+    rows, later = (pv.trusted_transform(daily, run) for run in runs)
+    catalog.insert_run(spark, table, rows.unionByName(later), overwrite=False)
+    catalog.insert_run(spark, table, rows, overwrite=True, runs=runs)
     result = spark.table(table)
     result.write.parquet(f"{base}/result")
     spark.sql(f"DROP DATABASE {db} CASCADE")
@@ -544,7 +552,11 @@ def q_raw_json_array_scan(spark, sf_dir):
     """S1 in the collector's own form: each file one JSON array over lines."""
     root = scratch_path(spark, "raw_arrays")
     record = F.to_json(F.struct("date", "domain", "pageviews"))
-    files = dtab.raw_layer_records(_daily(spark, sf_dir)).groupBy("processing_date", F.col("date")).agg(
+    records = dtab.raw_layer_records(_daily(spark, sf_dir))
+    # About 1,000 records in an array, however many domains a day has.
+    slices = records.groupBy("processing_date", "date").agg(F.ceil(F.count(F.lit(1)) / 1000).alias("_slices"))
+    dealt = records.join(slices, ["processing_date", "date"]).withColumn("_slice", F.pmod(F.xxhash64("domain"), F.col("_slices")))
+    files = dealt.groupBy("processing_date", "date", "_slice").agg(
         F.concat(F.lit("[\n"), F.array_join(F.collect_list(record), ",\n"), F.lit("\n]")).alias("value")
     )
     # One row, and so one array, in each file.

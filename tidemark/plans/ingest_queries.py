@@ -13,12 +13,13 @@ from pyspark.sql import types as T
 
 from tidemark.functions.times import to_ntz
 from tidemark.operators import lookups, sketches
+from tidemark.operators.events import parse_raw_edits
 from tidemark.operators.windows import tumbling_count
 from tidemark.plans import driver_queries as dq
 from tidemark.plans import driver_tables as dtab
 from tidemark.plans import jobs
 from tidemark.plans.ledger import RunLedger, RunsFailed, catch_up
-from tidemark.schemas import DAY_SEGMENT, EDIT_EVENT, TRUSTED_PAGEVIEW, WINDOW_COUNT
+from tidemark.schemas import DAY_SEGMENT, EDIT_EVENT, EDIT_TYPE, TRUSTED_PAGEVIEW, WINDOW_COUNT
 from tidemark.session import scratch_path
 from tidemark.sinks import bulk, compaction
 from tidemark.sinks.index import with_doc_id
@@ -27,6 +28,7 @@ from tidemark.sinks.segments import replace_time_chunk, to_day_segments, write_s
 from tidemark.sinks.topics import to_frames
 from tidemark.sources.topics import Topic, decode_topic, read_topic
 from tidemark.streaming import window_stream as ws
+from tidemark.streaming.cross_source_stream import cross_source_stream, start_cross_source
 from tidemark.streaming.live_lookup import LookupVersions, read_enriched, start_enriched
 from tidemark.streaming.normaliser_stream import start_normaliser
 
@@ -187,6 +189,21 @@ def q_lookup_live(spark, sf_dir):
     return read_enriched(spark, f"{base}/out", schema)
 
 
+def q_stream_cross_source(spark, sf_dir):
+    """Q5 as a stream: raw edit events and daily pageviews, both replayed as
+    streams; the days that both have passed."""
+    base = scratch_path(spark, "stream_cross_source")
+    daily = dq._daily(spark, sf_dir).select("domain", (F.col("day").cast("timestamp") + F.make_dt_interval(secs=F.lit(86_399))).alias("reported"), "pageviews")
+    daily.write.parquet(f"{base}/pageviews")
+    raw = dtab.raw_change_text(dq._event_stream(spark, sf_dir), with_broken=True)
+    parsed = parse_raw_edits(raw, "value", on_error="skip")
+    edits = parsed.where(F.col("type") == F.lit(EDIT_TYPE)).select(F.col("meta.domain").alias("domain"), F.timestamp_seconds("timestamp").alias("createTime"))
+    views = spark.readStream.schema(daily.schema).parquet(f"{base}/pageviews")
+    with ws.state_partitions(spark, dq.STATE_PARTITIONS):
+        ws.drain(start_cross_source(cross_source_stream(edits, views), f"{base}/table", f"{base}/ckpt"))
+    return spark.read.schema("domain string, day date, edits long, pageviews long, edit_ratio double").parquet(f"{base}/table")
+
+
 _QUERY_FUNCTIONS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kll_quantiles": q_kll_quantiles,
     "fixed_histogram": q_fixed_histogram,
@@ -196,9 +213,11 @@ _QUERY_FUNCTIONS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "backfill_resumed": q_backfill_resumed,
     "segments_compacted": q_segments_compacted,
     "lookup_live": q_lookup_live,
+    "stream_cross_source": q_stream_cross_source,
 }
 
 _DAYS = {
+    "stream_cross_source": ("day",),
     "replace_time_chunk": ("segment_day",),
     "segments_compacted": ("segment_day",),
     "backfill_resumed": ("pageview_date", "processing_date"),
@@ -209,7 +228,13 @@ QUERIES = {name: dq._days_as_timestamps(fn, _DAYS[name]) if name in _DAYS else f
 _PER_DAY = "SELECT CAST(CAST(ten_second_window AS DATE) AS TIMESTAMP) AS segment_day, count(*) AS n_rows, CAST(sum(count_actions) AS BIGINT) AS total_actions"
 _WIDTH = (UPPER - LOWER) / BUCKETS
 
+_EDIT_TIMES = f"SELECT date_trunc('second', ts) AS t FROM events WHERE {dq._RAW_KIND} = 'edit'"
+
 ORACLE_SQL: dict[str, str] = {
+    "stream_cross_source": (
+        f"SELECT * FROM ({dq.ORACLE_SQL['cross_source_daily']}) WHERE day + INTERVAL 1 DAY <= "
+        f"(SELECT max(t) - INTERVAL 5 SECOND FROM ({_EDIT_TIMES}))"
+    ),
     "kll_quantiles": (
         "SELECT event_type AS domain, count(*) AS n_values, true AS within_bound FROM events WHERE value IS NOT NULL GROUP BY 1"
     ),
