@@ -468,3 +468,28 @@ def test_cross_source_stream_waits_for_the_slower_source(spark, scratch):
     assert second == [(1, "de.wikipedia", 1, None), (1, "en.wikipedia", 2, 10), (1, "fr.wikipedia", 0, 5), (2, "en.wikipedia", 0, 20)]
     third = run([("y.org", at(9)), ("en.wikipedia.org", at(1, 20))], [("z", at(9), 1)])  # an edit of a closed day is late
     assert third[:4] == second and [x for x in third if x[0] < 3] == second
+
+
+# --- T5: late rows to a side table ------------------------------------------------------
+
+def test_late_rows_are_kept_beside_the_counts(spark, scratch):
+    from tidemark.streaming.late_rows import read_counts, read_late, start_counts_and_late
+
+    def at(second, minute=0):
+        return dt.datetime(2024, 1, 1, 12, minute, second)
+
+    def run(rows):
+        spark.createDataFrame(rows, "domain string, createTime timestamp").write.mode("append").parquet(f"{scratch}/in")
+        stream = spark.readStream.schema("domain string, createTime timestamp").parquet(f"{scratch}/in")
+        with ws.state_partitions(spark, 2):
+            ws.drain(start_counts_and_late(stream, f"{scratch}/counts", f"{scratch}/late", f"{scratch}/ckpt"))
+        counts = sorted((r.domain or "", r.ten_second_window.second, r.count_actions) for r in read_counts(spark, f"{scratch}/counts").collect())
+        return counts, sorted((r.domain, r.createTime.second) for r in read_late(spark, f"{scratch}/late").collect())
+
+    assert run([("a", at(1)), ("a", at(9)), ("a", at(10)), ("b", at(3)), (None, at(4)), ("a", at(24))]) == ([("", 10, 0), ("a", 10, 2), ("b", 10, 1)], [])
+    # watermark 12:00:19: the first window is closed, the second one open
+    second = run([("a", at(2)), ("b", at(5)), ("a", at(11)), ("c", at(40))])
+    assert second == ([("", 10, 0), ("a", 10, 2), ("a", 20, 2), ("a", 30, 1), ("b", 10, 1)], [("a", 2), ("b", 5)])
+    third = run([("a", at(12)), ("c", at(0, 1))])
+    assert third == (sorted(second[0] + [("c", 50, 1)]), [("a", 2), ("a", 12), ("b", 5)])
+    assert sum(n for _, _, n in third[0]) + len(third[1]) + 1 + 1 == 12  # one open window, one event without a domain

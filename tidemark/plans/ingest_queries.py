@@ -29,6 +29,7 @@ from tidemark.sinks.topics import to_frames
 from tidemark.sources.topics import Topic, decode_topic, read_topic
 from tidemark.streaming import window_stream as ws
 from tidemark.streaming.cross_source_stream import cross_source_stream, start_cross_source
+from tidemark.streaming.late_rows import read_counts, read_late, start_counts_and_late
 from tidemark.streaming.live_lookup import LookupVersions, read_enriched, start_enriched
 from tidemark.streaming.normaliser_stream import start_normaliser
 
@@ -204,6 +205,28 @@ def q_stream_cross_source(spark, sf_dir):
     return spark.read.schema("domain string, day date, edits long, pageviews long, edit_ratio double").parquet(f"{base}/table")
 
 
+def q_stream_late_side(spark, sf_dir):
+    """T5: the later half of the days first, then the earlier half, which is
+    late.  Closed windows with their counts, and the late rows of the second
+    sink, counted per window."""
+    base = scratch_path(spark, "late_side")
+    schema = "kind string, domain string, ten_second_window timestamp_ntz, n_rows long"
+    ev = dq._events(spark, sf_dir, ["event_type", "ts"])
+    low, high = ev.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    if low is None:
+        return spark.createDataFrame([], schema)
+    rows = ev.select(F.col("event_type").alias("domain"), F.col("ts").cast("timestamp").alias("createTime"))
+    later = F.to_date("createTime") >= F.lit(low + dt.timedelta(days=(high - low).days // 2))
+    for k, part in enumerate((rows.where(later), rows.where(~later))):
+        part.write.parquet(f"{base}/in/k={k}")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{base}/in/k=*")
+        with ws.state_partitions(spark, 8):  # a Python worker each
+            ws.drain(start_counts_and_late(stream, f"{base}/counts", f"{base}/late", f"{base}/ckpt"))
+    counts = read_counts(spark, f"{base}/counts").select(F.lit("count").alias("kind"), "domain", "ten_second_window", F.col("count_actions").alias("n_rows"))
+    late = tumbling_count(read_late(spark, f"{base}/late")).select(F.lit("late").alias("kind"), "domain", "ten_second_window", F.col("count_actions").alias("n_rows"))
+    return counts.unionByName(late).withColumn("ten_second_window", to_ntz("ten_second_window"))
+
+
 _QUERY_FUNCTIONS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kll_quantiles": q_kll_quantiles,
     "fixed_histogram": q_fixed_histogram,
@@ -214,6 +237,7 @@ _QUERY_FUNCTIONS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "segments_compacted": q_segments_compacted,
     "lookup_live": q_lookup_live,
     "stream_cross_source": q_stream_cross_source,
+    "stream_late_side": q_stream_late_side,
 }
 
 _DAYS = {
@@ -231,6 +255,11 @@ _WIDTH = (UPPER - LOWER) / BUCKETS
 _EDIT_TIMES = f"SELECT date_trunc('second', ts) AS t FROM events WHERE {dq._RAW_KIND} = 'edit'"
 
 ORACLE_SQL: dict[str, str] = {
+    "stream_late_side": (
+        f"WITH d AS (SELECT CAST(min(CAST(ts AS DATE)) + CAST((max(CAST(ts AS DATE)) - min(CAST(ts AS DATE))) // 2 AS INTEGER) AS DATE) AS m FROM events) "
+        f"SELECT CASE WHEN ten_second_window - INTERVAL 10 SECOND >= m THEN 'count' ELSE 'late' END AS kind, domain, ten_second_window, count_actions AS n_rows "
+        f"FROM ({dq._TUMBLING}), d WHERE ten_second_window <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 5 SECOND FROM events)"
+    ),
     "stream_cross_source": (
         f"SELECT * FROM ({dq.ORACLE_SQL['cross_source_daily']}) WHERE day + INTERVAL 1 DAY <= "
         f"(SELECT max(t) - INTERVAL 5 SECOND FROM ({_EDIT_TIMES}))"
