@@ -493,3 +493,42 @@ def test_late_rows_are_kept_beside_the_counts(spark, scratch):
     third = run([("a", at(12)), ("c", at(0, 1))])
     assert third == (sorted(second[0] + [("c", 50, 1)]), [("a", 2), ("a", 12), ("b", 5)])
     assert sum(n for _, _, n in third[0]) + len(third[1]) + 1 + 1 == 12  # one open window, one event without a domain
+
+
+# --- command lines ------------------------------------------------------------------------
+
+def test_catch_up_and_compact_command_lines(spark, scratch):
+    from tidemark.plans import jobs
+    from tidemark.sinks.layers import write_raw
+    from tidemark.sinks.topics import to_frames
+    from tidemark.streaming import jobs as stream_jobs
+
+    days = [dt.date(2024, 1, d) for d in range(1, 11)]
+    raw = spark.createDataFrame([(str(d), "en", d.day, r) for r in days for d in days if d < r], "date string, domain string, pageviews long, processing_date date")
+    write_raw(raw, f"{scratch}/raw")
+    args = ["catchup", "--start", "2024-01-02", "--end", "2024-01-10", "--raw-root", f"{scratch}/raw", "--trusted-root", f"{scratch}/trusted", "--ledger", f"{scratch}/ledger", "--step-days", "4"]
+    jobs.run_cli(args, spark)
+    assert [(r.first, r.last, r.state) for r in RunLedger(spark, f"{scratch}/ledger").entries()] == [
+        ("2024-01-02", "2024-01-05", "done"), ("2024-01-06", "2024-01-09", "done"), ("2024-01-10", "2024-01-10", "done")]
+    assert spark.read.parquet(f"{scratch}/trusted").count() == sum(min(7, d.day - 1) for d in days)
+    with pytest.raises(SystemExit):
+        jobs.run_cli(args[:-4], spark)
+    counts = Topic("counts", path=f"{scratch}/counts")
+    rows = spark.createDataFrame([("a", dt.datetime(2024, 1, 1, 0, 0, 10), 3)], "domain string, ten_second_window timestamp, count_actions long")
+    write_topic(to_frames(rows, counts), counts)
+    for q in stream_jobs.run(["segments", "--counts", counts.path, "--table", f"{scratch}/table", "--checkpoint", f"{scratch}/k", "--trigger", "available-now", "--compactable"], spark):
+        ws.drain(q)
+    jobs.run_cli(["compact", "--table", f"{scratch}/table", "--keep", "1"], spark)
+    assert live(spark, f"{scratch}/table") == [(1, "a", 3)] and storage.names(spark, f"{scratch}/table/stream") == []
+
+
+def test_counts_job_sends_bulks(spark, scratch):
+    from tidemark.sinks.index import write_index_batch
+
+    counts = spark.createDataFrame([("a", dt.datetime(2024, 1, 1, 0, 0, 10), 3), (None, dt.datetime(2024, 1, 1, 0, 0, 10), 0)], "domain string, ten_second_window timestamp, count_actions long")
+    for _ in range(2):  # a replayed micro-batch
+        write_index_batch(counts, 0, scratch, format=bulk.FORMAT, options={"max_actions": "1"})
+    from tidemark.schemas import WINDOW_COUNT
+
+    rows = bulk.read_bulks(spark, scratch, WINDOW_COUNT).collect()
+    assert sorted((r.domain or "", r.count_actions) for r in rows) == [("", 0), ("a", 3)] and len({r["_id"] for r in rows}) == 2

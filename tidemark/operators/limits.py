@@ -29,6 +29,12 @@ def _before(key: list[Column], bound: list, inclusive: bool) -> Column:
     return out
 
 
+def _in_order(key: list):
+    """Spark's order of (flag, key, hash): nulls last, NaN the largest."""
+    flag, value, row = key
+    return flag, value != value, 0 if value is None or value != value else value, row
+
+
 def _cut(keys: DataFrame, names: list[str], n: int):
     """(key of the n-th row, how many rows with that key belong to the first
     n, how many there are), or None if there are at most n rows.
@@ -40,9 +46,9 @@ def _cut(keys: DataFrame, names: list[str], n: int):
     while True:
         ranges = (
             keys.repartitionByRange(RANGES, *order).groupBy(F.spark_partition_id().alias("part"))
-            .agg(F.count(F.lit(1)).alias("n"), F.min(bound).alias("low"), F.max(bound).alias("high")).orderBy("low").collect()
+            .agg(F.count(F.lit(1)).alias("n"), F.min(bound).alias("low"), F.max(bound).alias("high")).collect()
         )
-        for own in ranges:
+        for own in sorted(ranges, key=lambda r: r["part"]):  # ranges are numbered in order
             if n <= own["n"]:
                 break
             n -= own["n"]
@@ -54,7 +60,7 @@ def _cut(keys: DataFrame, names: list[str], n: int):
         columns = [F.col(x) for x in names]
         keys = keys.where(~_before(columns, low, False) & _before(columns, high, True))
         if own["n"] <= FEW:
-            seen = [list(r) for r in keys.orderBy(*order).collect()]
+            seen = sorted((list(r) for r in keys.collect()), key=_in_order)
             key = seen[n - 1]
             return key, n - seen.index(key), seen.count(key)
 

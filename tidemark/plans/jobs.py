@@ -21,8 +21,10 @@ from tidemark.operators.pageviews import (
     trusted_from_raw_root,
     trusted_transform,
 )
+from tidemark.plans.ledger import RunLedger, catch_up
 from tidemark.schemas import PAGEVIEW_DOMAINS
 from tidemark.session import CLUSTER_BATCH_CONF, build_session, configure
+from tidemark.sinks import compaction
 from tidemark.sinks.layers import write_raw, write_trusted
 from tidemark.sources.rawjson import read_raw, read_raw_run
 
@@ -77,20 +79,28 @@ def backfill_from_pageviews(spark: SparkSession, start, end, pageviews: DataFram
 
 def run_cli(argv=None, spark: SparkSession | None = None) -> None:
     p = argparse.ArgumentParser(description="pageview batch jobs")
-    p.add_argument("step", choices=["raw", "daily", "trusted", "backfill"])
+    p.add_argument("step", choices=["raw", "daily", "trusted", "backfill", "catchup", "compact"])
     p.add_argument("--replies", help="raw, daily: service replies, one JSON object per line")
     p.add_argument("--date", help="run date yyyy-MM-dd (raw, daily, trusted)")
     p.add_argument("--start")
     p.add_argument("--end")
-    p.add_argument("--raw-root", required=True)
-    p.add_argument("--trusted-root", required=True)
+    p.add_argument("--raw-root")
+    p.add_argument("--trusted-root")
+    p.add_argument("--ledger", help="catchup: folder of the run ledger")
+    p.add_argument("--step-days", type=int, default=1, help="catchup: run dates in one run")
+    p.add_argument("--table", help="compact: day table written in micro-batch folders")
+    p.add_argument("--keep", type=int, default=2, help="compact: versions that readers may still use")
     p.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
     p.add_argument("--multiline", action="store_true", help="raw files are JSON arrays, one per file")
     p.add_argument("--domains", nargs="*", help="raw, daily: domains to collect (default: the fixed list)")
     p.add_argument("--on-error", default="fail", choices=["fail", "skip"], help="raw, daily: bad replies and entries")
     a = p.parse_args(argv)
-    needed = {"raw": ["date", "replies"], "daily": ["date", "replies"], "trusted": ["date"], "backfill": ["start", "end"]}[a.step]
-    missing = [f"--{name}" for name in needed if getattr(a, name) is None]
+    layers = ["raw_root", "trusted_root"]
+    needed = {
+        "raw": ["date", "replies", *layers], "daily": ["date", "replies", *layers], "trusted": ["date", *layers],
+        "backfill": ["start", "end", *layers], "catchup": ["start", "end", "ledger", *layers], "compact": ["table"],
+    }[a.step]
+    missing = [f"--{name.replace('_', '-')}" for name in needed if getattr(a, name) is None]
     if missing:
         p.error(f"{a.step} needs {' '.join(missing)}")
     spark = spark or build_session(app_name=f"tidemark-{a.step}", extra=CLUSTER_BATCH_CONF)
@@ -101,6 +111,14 @@ def run_cli(argv=None, spark: SparkSession | None = None) -> None:
             raw_job(spark, a.date, replies, a.raw_root, domains=domains, on_error=a.on_error)
         else:
             daily_job(spark, a.date, replies, a.raw_root, a.trusted_root, domains, a.on_error, mode=a.mode)
+    elif a.step == "catchup":
+        catch_up(
+            RunLedger(spark, a.ledger), a.start, a.end,
+            lambda first, last: backfill_from_raw(spark, first, last, a.raw_root, a.trusted_root), a.step_days,
+        )
+    elif a.step == "compact":
+        compaction.compact(spark, a.table)
+        compaction.vacuum(spark, a.table, a.keep)
     elif a.step == "trusted":
         trusted_job(spark, a.date, a.raw_root, a.trusted_root, a.mode, multiline=a.multiline)
     else:

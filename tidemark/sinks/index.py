@@ -4,8 +4,8 @@ Streams write through ``foreachBatch``.  Every document gets a
 deterministic id ``sha2(domain $ window end)`` so a replayed micro-batch
 rewrites the same documents instead of adding copies.  The local form keeps
 one Parquet partition per writer and micro-batch and overwrites it on replay;
-its reader folds documents by id.  An external index format receives the id as
-its document key.
+its reader folds documents by id.  The format ``tidemark_bulk`` sends bulks
+(``sinks.bulk``); any other index format receives the id as its document key.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.schemas import EVENT_TIME_FORMAT
+from tidemark.sinks import bulk
 
 
 def with_doc_id(df: DataFrame) -> DataFrame:
@@ -39,6 +40,8 @@ def write_index_batch(df: DataFrame, batch_id: int, target: str, format: str = "
             .partitionBy("load_id", "batch_id")
             .parquet(target)
         )
+    elif format == bulk.FORMAT:
+        bulk.write_bulk(docs, target, "doc_id", **(options or {}))
     else:
         # Bulk requests of at most 32 documents / 42 MB, retried after 1 s.
         opts = {

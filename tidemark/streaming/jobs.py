@@ -15,7 +15,9 @@ from __future__ import annotations
 import argparse
 
 from tidemark.session import CLUSTER_STREAM_CONF, build_session
-from tidemark.sources.topics import Topic
+from tidemark.sinks.compaction import write_batches
+from tidemark.sinks.segments import to_day_segments
+from tidemark.sources.topics import Topic, read_topic
 from tidemark.streaming import window_stream as ws
 from tidemark.streaming.normaliser_stream import raw_topic_stream, start_normaliser, wait
 
@@ -57,7 +59,9 @@ def run(argv=None, spark=None) -> list:
                    help=f"normalise: stop after exactly this many published events (G2; default {MAX_EVENTS}, 0: no end)")
     p.add_argument("--kind-column", default=None, help="normalise: column of the record kind, of which 'message' is read")
     p.add_argument("--state-partitions", type=int, default=STATE_PARTITIONS, help="counts: fixed by the first start")
-    p.add_argument("--index-format", default="parquet", help="counts: data source of the index")
+    p.add_argument("--index-format", default="parquet", help="counts: data source of the index (tidemark_bulk: bulk requests by id)")
+    p.add_argument("--compactable", action="store_true",
+                   help="segments: write micro-batch folders, to be compacted by the batch step 'compact'")
     p.add_argument("--index-option", action="append", default=[], metavar="KEY=VALUE", help="counts: option of the index")
     a = p.parse_args(argv)
     if a.max_events is not None and a.job != "normalise":
@@ -79,6 +83,9 @@ def run(argv=None, spark=None) -> list:
                     ws.start_counts_to_index(counts, a.index, f"{a.checkpoint}/to_index", trigger, a.index_format, options)
                 )
         return queries
+    if a.compactable:
+        frames = read_topic(spark, _topic(a.counts, a), streaming=True, max_per_trigger=a.max_per_trigger)
+        return [write_batches(to_day_segments(frames), a.table, a.checkpoint, trigger)]
     return [ws.start_day_segments(spark, _topic(a.counts, a), a.table, a.checkpoint, trigger, a.max_per_trigger)]
 
 
