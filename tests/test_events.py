@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators.events import normalise_edits, parse_raw_edits
 
@@ -63,3 +64,39 @@ def test_only_message_records_are_read(spark):
     )
     out = parse_raw_edits(df, "value", on_error="skip", kind_col="kind")
     assert [r.id for r in out.collect()] == [1]
+
+
+ODD_JSON = [
+    '{"id": 1, "type": "edit", "meta": {"domain": "d"}, "namespace": 0, "title": "t", "timestamp": 5, "user": "u", "bot": true}',
+    ' \t{"id": 2, "type": "edit", "meta": {"domain": "d"}, "namespace": 0, "title": "t", "timestamp": 5, "user": "u", "bot": true}\r\n',
+    '{"id": 3, "type": "edit", "meta": {"domain": "d"}, "namespace": 0, "title": "t", "timestamp": 5, "user": "u", "bot": true} x',
+    '{"id": 4, "type": "edit", "meta": {"domain": "d"}, "namespace": 0, "title": "t", "timestamp": 5, "user": "u", "bot": true}, {"id": 5}',
+    '{"id": 6, "type": "edit", "meta": {"domain": "d"}, "namespace": 0, "title": "t", "timestamp": 5, "user": "u", "bot": true}{"id": 7}',
+    '{"id": 8, "type": "edit", "meta": {"domain": "d"}, "namespace": "x", "title": 7, "timestamp": 5.5, "user": "u", "bot": "no"}',
+    '{"id": 9}', '{"id": null, "meta": null}', '{"id": 10, "meta": {"other": 1}}', '{"id": 11, "meta": "text"}', '{"id": 12, "meta": [1]}',
+    '{"id": 99999999999999999999, "type": "edit"}', '{}', '[]', '[{"id": 13}]', '5', 'null', '"text"', 'true', '', ' ', '{', '}', '{"id": 14', "{'id': 15}",
+    '{"id": 16,}', 'event: {"id": 17}', '{"id": 18, "more": {"a": [1, 2, {"b": "}"}]}, "type": "edit"}', '{"type": "\\u00e9\\n\\"", "id": 19}',
+    '{"id": 20, "type": "edit", "meta": {"domain": "d", "x": 1}, "namespace": 0, "title": "", "timestamp": -5, "user": "", "bot": false, "z": null}', None,
+]
+
+
+def test_records_are_read_as_by_the_variant_alone(spark):
+    """Parsing by the schema first changes no field of a record, and the
+    records are those that a strict parser reads as one object."""
+    from tidemark.functions import codec
+    from tidemark.schemas import RAW_EDIT
+
+    def is_object(text):
+        try:
+            return isinstance(json.loads(text or ""), dict)
+        except ValueError:
+            return False
+
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(ODD_JSON)], "n int, value string")
+    wanted = [i for i, x in enumerate(ODD_JSON) if is_object(x)]
+    plain = df.where(F.col("n").isin(wanted)).withColumn("_v", F.try_parse_json("value")).select(
+        "n", *[codec._field(F.col("_v"), f"$['{f.name}']", f.dataType).alias(f.name) for f in RAW_EDIT.fields]
+    )
+    got = codec.parse_json_or_skip(df, "value", RAW_EDIT, keep=["n"])
+    assert sorted(r.n for r in got.collect()) == wanted
+    assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect())) and len(wanted) >= 12

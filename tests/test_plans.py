@@ -1,5 +1,7 @@
 """Plan shape guards for the scale properties the README claims."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
@@ -19,8 +21,12 @@ def test_no_cross_or_nested_loop_join(spark, name):
 
 @pytest.mark.parametrize("name", ["edit_normalise", "edit_parse_skip_bad", "cross_source_daily"])
 def test_raw_events_parsed_once(spark, name):
+    """One parse by the declared schema; the parse as a variant stands once in
+    the plan, under the condition that the first one left something open."""
     plan = plan_text(entry.queries()[name](spark, SF), "simple")
-    assert plan.lower().replace("_", "").count("parsejson(") == 1 and "from_json(" not in plan
+    assert plan.count("from_json(") == 1
+    assert plan.lower().replace("_", "").count("parsejson(") == 1
+    assert re.search(r"CASE WHEN NOT _whole#\d+ THEN [^,]*parse_?json\(", plan, re.I)
 
 
 def test_backfill_bound_reaches_the_scan(spark):

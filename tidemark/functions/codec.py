@@ -52,17 +52,18 @@ def parse_json_or_skip(df: DataFrame, col: str, schema: T.StructType, keep=()) -
     object_text = F.filter(F.array(text), lambda t: bare.startswith("{") & bare.endswith("}"))
     candidates = df.select(*keep, F.explode(object_text).alias("_t"))
     options = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
-    alone = F.from_json(F.concat(F.lit("["), F.col("_t"), F.lit("]")), T.ArrayType(schema), options)
+    array_text = F.concat(F.lit("["), F.col("_t"), F.lit("]"))
+    alone = F.from_json(array_text, T.ArrayType(schema), options)
     read = candidates.select(*keep, "_t", F.explode(F.array(F.struct(alone.alias("a")))).alias("_r")).select(
         *keep, "_t", (F.size("_r.a") == 1).alias("_one"), F.try_element_at("_r.a", F.lit(1)).alias("_o")
     )
     whole = F.coalesce(F.col("_one") & _all_there(F.col("_o"), schema), F.lit(False))
-    again = F.when(~F.col("_whole"), F.try_parse_json("_t"))
-    ok = F.filter(F.array(again), lambda v: F.col("_whole") | (v.isNotNull() & F.schema_of_variant(v).startswith("OBJECT")))
+    again = F.when(~F.col("_whole"), F.try_parse_json(array_text))
+    ok = F.filter(F.array(again), lambda v: F.col("_whole") | (v.isNotNull() & F.try_variant_get(v, "$[1]", "variant").isNull()))
     return read.select(*keep, "_t", "_o", whole.alias("_whole")).select(*keep, "_o", "_whole", F.explode(ok).alias("_v")).select(
         *keep,
         *[
-            F.when(F.col("_whole"), F.col("_o").getField(f.name)).otherwise(_field(F.col("_v"), f"$['{f.name}']", f.dataType)).alias(f.name)
+            F.when(F.col("_whole"), F.col("_o").getField(f.name)).otherwise(_field(F.col("_v"), f"$[0]['{f.name}']", f.dataType)).alias(f.name)
             for f in schema.fields
         ],
     )
