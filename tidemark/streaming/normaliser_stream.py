@@ -60,14 +60,18 @@ def start_normaliser(raw_text: DataFrame, events_topic: Topic, checkpoint: str,
         left = budget.left(spark, batch_id)
         if left <= 0:
             return
-        frames = to_frames(first_n(batch, left, "id"), events_topic)
-        if events_topic.format == "files":
-            query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-            n = publish_once(frames, events_topic.path, query, batch_id)
-        else:
-            seen = Observation()
-            write_topic(frames.observe(seen, F.count(F.lit(1)).alias("n")), events_topic)
-            n = seen.get["n"]
+        batch.persist()  # the first n are found and taken in several passes
+        try:
+            frames = to_frames(first_n(batch, left, "id"), events_topic)
+            if events_topic.format == "files":
+                query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+                n = publish_once(frames, events_topic.path, query, batch_id)
+            else:
+                seen = Observation()
+                write_topic(frames.observe(seen, F.count(F.lit(1)).alias("n")), events_topic)
+                n = seen.get["n"]
+        finally:
+            batch.unpersist()
         budget.record(spark, batch_id, budget.published(spark, batch_id) + n)
 
     query = (
