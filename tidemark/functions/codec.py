@@ -48,7 +48,7 @@ def parse_json_or_skip(df: DataFrame, col: str, schema: T.StructType, keep=()) -
     """
     text = F.col(col).cast("string")
     # An object begins and ends with braces; other text isn't parsed at all.
-    bare = F.trim(F.translate(text, "\t\r\n", "   "))
+    bare = F.btrim(text, F.lit(" \t\r\n"))
     object_text = F.filter(F.array(text), lambda t: bare.startswith("{") & bare.endswith("}"))
     candidates = df.select(*keep, F.explode(object_text).alias("_t"))
     options = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
